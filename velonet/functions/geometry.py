@@ -104,12 +104,8 @@ def left_of(ax: Column, ay: Column, bx: Column, by: Column, px: Column, py: Colu
 
 def interpolate(part: Column, distance: Column) -> Column:
     """The point that far along a part; before its start or past its end: that end."""
-    walk = F.aggregate(
-        _legs(part),
-        F.struct(F.greatest(distance, F.lit(0.0)).alias("left"), F.get(part, 0)["x"].alias("x"), F.get(part, 0)["y"].alias("y")),
-        lambda s, l: _step(s, l),
-    )
-    return F.struct(walk["x"].alias("x"), walk["y"].alias("y"))
+    start = F.struct(F.greatest(distance, F.lit(0.0)).alias("left"), F.get(part, 0)["x"].alias("x"), F.get(part, 0)["y"].alias("y"))
+    return F.aggregate(_legs(part), start, _step, lambda s: F.struct(s["x"].alias("x"), s["y"].alias("y")))
 
 
 def _step(s: Column, l: Column) -> Column:
@@ -121,30 +117,6 @@ def _step(s: Column, l: Column) -> Column:
     return F.struct(F.greatest(s["left"] - n, F.lit(0.0)).alias("left"), x.alias("x"), y.alias("y"))
 
 
-def chords(geom: Column, step: float) -> Column:
-    """Each part as ceil(length / step) equal chords, straight between points of the part: array<struct<part, piece, ax, ...>>."""
-
-    def of(p: Column, k: Column) -> Column:
-        total = part_length(p)
-        n = F.greatest(F.ceil(total / step), F.lit(1)).cast("int")
-        ends = F.transform(F.sequence(F.lit(0), n), lambda i: interpolate(p, total * i / n))
-        return F.transform(F.slice(ends, 1, n), lambda a, i: F.struct(k.alias("part"), i.alias("piece"), a["x"].alias("ax"), a["y"].alias("ay"), F.get(ends, i + 1)["x"].alias("bx"), F.get(ends, i + 1)["y"].alias("by")))
-
-    return F.flatten(F.transform(geom, of))
-
-
-def steps(geom: Column, step: float) -> Column:
-    """Each part cut at every step; the last chord is shorter, none has length 0."""
-
-    def of(p: Column, k: Column) -> Column:
-        total = part_length(p)
-        n = F.greatest(F.ceil(total / step), F.lit(1)).cast("int")
-        ends = F.transform(F.sequence(F.lit(0), n), lambda i: interpolate(p, F.least(i * F.lit(float(step)), total)))
-        return F.transform(F.slice(ends, 1, n), lambda a, i: F.struct(k.alias("part"), i.alias("piece"), a["x"].alias("ax"), a["y"].alias("ay"), F.get(ends, i + 1)["x"].alias("bx"), F.get(ends, i + 1)["y"].alias("by")))
-
-    return F.filter(F.flatten(F.transform(geom, of)), lambda q: (q["ax"] != q["bx"]) | (q["ay"] != q["by"]))
-
-
 def point_piece_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
     """From a point to a straight piece of some length."""
     dx, dy = bx - ax, by - ay
@@ -209,15 +181,19 @@ def union_length(intervals: Column) -> Column:
     return F.aggregate(F.array_sort(intervals), start, step)["sum"]
 
 
-def in_polygon(px: Column, py: Column, rings: Column) -> Column:
-    """Even-odd test of a point against array<ring>, a ring being a closed array of vertices. Edges hold their lower end."""
-    legs = F.flatten(F.transform(rings, _legs))
+def polygon_legs(rings: Column) -> Column:
+    """All sides of a polygon (array<ring>, a ring being a closed array of vertices): array<struct<a, b>>."""
+    return F.flatten(F.transform(rings, _legs))
+
+
+def in_polygon(px: Column, py: Column, legs: Column) -> Column:
+    """Even-odd test of a point against polygon_legs(). Sides hold their lower end."""
     hit = lambda l: ((l["a"]["y"] > py) != (l["b"]["y"] > py)) & (px < (l["b"]["x"] - l["a"]["x"]) * (py - l["a"]["y"]) / F.nullif(l["b"]["y"] - l["a"]["y"], F.lit(0.0)) + l["a"]["x"])
     return F.size(F.filter(legs, lambda l: F.coalesce(hit(l), F.lit(False)))) % 2 == 1
 
 
-def inside_intervals(t: tuple[Column, ...], rings: Column) -> Column:
-    """Where the piece t lies inside a polygon: array<struct<lo, hi>> of parameters, cut at every crossing with a ring."""
+def crossings(t: tuple[Column, ...], legs: Column) -> Column:
+    """Where the piece t crosses the polygon's sides: its parameters in order, with 0 and 1."""
     ax, ay, bx, by = t
     dx, dy = bx - ax, by - ay
 
@@ -228,10 +204,14 @@ def inside_intervals(t: tuple[Column, ...], rings: Column) -> Column:
         u = ((l["a"]["x"] - ax) * dy - (l["a"]["y"] - ay) * dx) / F.nullif(det, F.lit(0.0))
         return F.when((u >= 0) & (u <= 1) & (s > 0) & (s < 1), s)
 
-    cuts = F.transform(F.flatten(F.transform(rings, _legs)), crossing)
-    at = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.filter(cuts, lambda c: c.isNotNull()))))
+    return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.filter(F.transform(legs, crossing), lambda c: c.isNotNull()))))
+
+
+def inside_intervals(t: tuple[Column, ...], at: Column, legs: Column) -> Column:
+    """Where the piece t lies inside a polygon: array<struct<lo, hi>>, between its crossings `at`."""
+    ax, ay, bx, by = t
     spans = F.zip_with(F.slice(at, 1, F.size(at) - 1), F.slice(at, 2, F.size(at) - 1), lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi")))
-    return F.filter(spans, lambda i: in_polygon(ax + (i["lo"] + i["hi"]) / 2 * dx, ay + (i["lo"] + i["hi"]) / 2 * dy, rings))
+    return F.filter(spans, lambda i: in_polygon(ax + (i["lo"] + i["hi"]) / 2 * (bx - ax), ay + (i["lo"] + i["hi"]) / 2 * (by - ay), legs))
 
 
 def merge_intervals(intervals: Column) -> Column:

@@ -16,14 +16,14 @@ BROADCAST_VERTICES = 2_000_000
 
 
 def _boxed(polygons: DataFrame, key: str, order: str | None) -> DataFrame:
-    """(code, seq, rings, xmin, ...): the table that is joined."""
+    """(code, seq, legs, bounds): the table that is joined."""
     box = G.bounds(F.col("rings"))
-    return polygons.select(F.col(key).alias("_code"), F.col(order or key).alias("_seq"), "rings", box["xmin"].alias("_x0"), box["ymin"].alias("_y0"), box["xmax"].alias("_x1"), box["ymax"].alias("_y1"))
+    return polygons.select(F.col(key).alias("_code"), F.col(order or key).alias("_seq"), G.polygon_legs(F.col("rings")).alias("_legs"), box["xmin"].alias("_x0"), box["ymin"].alias("_y0"), box["xmax"].alias("_x1"), box["ymax"].alias("_y1"))
 
 
 def _meet(left: DataFrame, polygons: DataFrame, x0: str, y0: str, x1: str, y1: str, cell: float = 1000.0) -> DataFrame:
     """Rows of left with the polygons whose boxes they meet, once each."""
-    n = polygons.agg(F.sum(F.size(F.flatten("rings")))).first()[0] or 0
+    n = polygons.agg(F.sum(F.size("_legs"))).first()[0] or 0
     meets = (F.col(x0) <= F.col("_x1")) & (F.col(x1) >= F.col("_x0")) & (F.col(y0) <= F.col("_y1")) & (F.col(y1) >= F.col("_y0"))
     if n <= BROADCAST_VERTICES:
         return left.join(F.broadcast(polygons), meets)
@@ -36,23 +36,27 @@ def _meet(left: DataFrame, polygons: DataFrame, x0: str, y0: str, x1: str, y1: s
 def district_of_point(points: DataFrame, polygons: DataFrame, key: str, code: str = "gem", order: str | None = None) -> DataFrame:
     """(key, district): the code's last two characters of the first polygon (by order) that holds the point (x, y); null if none."""
     m = _meet(points.select(key, "x", "y"), _boxed(polygons, code, order), "x", "y", "x", "y")
-    hit = m.where(G.in_polygon(F.col("x"), F.col("y"), F.col("rings"))).groupBy(key).agg(F.min_by("_code", "_seq").alias("c"))
+    hit = m.where(G.in_polygon(F.col("x"), F.col("y"), F.col("_legs"))).groupBy(key).agg(F.min_by("_code", "_seq").alias("c"))
     return points.select(key).join(hit, key, "left").select(key, last_two(F.col("c")).alias("district"))
 
 
 def _inside(lines: DataFrame, polygons: DataFrame, key: str, code: str, order: str | None) -> DataFrame:
-    """Pieces of lines with where they lie inside which polygon."""
+    """Pieces of lines and where they lie inside which polygon: a row (lo, hi) for each stretch."""
     p = near.explode_pieces(lines, key).select(key, "part", "piece", "sub", "ax", "ay", "bx", "by")
     p = p.withColumns({"_px0": F.least("ax", "bx"), "_py0": F.least("ay", "by"), "_px1": F.greatest("ax", "bx"), "_py1": F.greatest("ay", "by")})
     m = _meet(p, _boxed(polygons, code, order), "_px0", "_py0", "_px1", "_py1")
-    return m.withColumn("inside", G.inside_intervals(tuple(F.col(c) for c in ("ax", "ay", "bx", "by")), F.col("rings"))).drop("rings").where(F.size("inside") > 0)
+    t = tuple(F.col(c) for c in ("ax", "ay", "bx", "by"))
+    m = m.withColumn("_at", G.crossings(t, F.col("_legs")))
+    # explode_outer: a filter for empty arrays would be pushed into the join and run for every pair of boxes
+    m = m.select(*p.columns, "_code", "_seq", F.explode_outer(G.inside_intervals(t, F.col("_at"), F.col("_legs"))).alias("i"))
+    return m.where(F.col("i.lo").isNotNull()).drop("_px0", "_py0", "_px1", "_py1")
 
 
 def district_by_length(lines: DataFrame, polygons: DataFrame, key: str, code: str = "gem", order: str | None = None, name: str = "Bezirksnummer") -> DataFrame:
     """(key, name): the district that holds most of a line; the first by order wins ties; null if none holds any.
 
     Lengths are compared in whole millimetres."""
-    share = F.aggregate("inside", F.lit(0.0), lambda s, i: s + i["hi"] - i["lo"]) * G.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))
+    share = (F.col("i.hi") - F.col("i.lo")) * G.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))
     per = _inside(lines, polygons, key, code, order).groupBy(key, "_code", "_seq").agg(F.bround(F.sum(share) * 1000).cast("long").alias("mm")).where("mm > 0")
     best = per.groupBy(key).agg(F.min_by("_code", F.struct(-F.col("mm"), F.col("_seq"))).alias("c"))
     return lines.select(key).join(best, key, "left").select(key, last_two(F.col("c")).alias(name))
@@ -64,7 +68,7 @@ def clip_lines(lines: DataFrame, polygons: DataFrame | None, key: str, carry: Se
         return lines.select(key, *carry, "geom")
     own = ["part", "piece", "sub", "ax", "ay", "bx", "by"]
     p = polygons.withColumn("_id", F.monotonically_increasing_id())
-    cut = _inside(lines, p, key, "_id", "_id").groupBy(key, *own).agg(F.flatten(F.collect_list("inside")).alias("i"))
+    cut = _inside(lines, p, key, "_id", "_id").groupBy(key, *own).agg(F.collect_list("i").alias("i"))
     cut = cut.withColumn("i", G.merge_intervals(F.col("i")))
     at = lambda a, b, t: F.when(t == 0, a).when(t == 1, b).otherwise(a + (b - a) * t)
     q = cut.select(key, *own, F.explode("i").alias("i")).select(key, F.struct("part", "piece", "sub", F.col("i.lo").alias("lo"), at(F.col("ax"), F.col("bx"), F.col("i.lo")).alias("ax"), at(F.col("ay"), F.col("by"), F.col("i.lo")).alias("ay"), at(F.col("ax"), F.col("bx"), F.col("i.hi")).alias("bx"), at(F.col("ay"), F.col("by"), F.col("i.hi")).alias("by")).alias("q"))

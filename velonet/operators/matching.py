@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from velonet.functions import geometry as G
 from velonet.operators import near
-from velonet.operators.sets import combine, id_column
+from velonet.operators.scratch import written
+from velonet.operators.sets import apply_interventions, combine, id_column, without_ids
 from velonet.operators.translate import one_sided_streets
 
 
@@ -56,7 +57,7 @@ def short_ways(ways: DataFrame, below: float = 50.0, geom: str = "geom") -> Data
     return ways.where(G.length(F.col(geom)) < below)
 
 
-def crossing_short_ways(ways: DataFrame, network: DataFrame, key: str, opts: MatchOptions | None = None) -> DataFrame:
+def crossing_short_ways(ways: DataFrame, network: DataFrame, key: str, opts: MatchOptions | None = None, network_key: str = "id") -> DataFrame:
     """Short ways near the network, with what decides whether they cross it: (key, angle, spread, parallel, removed).
 
     The network is cut into short chords; those within the radius of a way are ordered by edge and place and joined where
@@ -64,16 +65,16 @@ def crossing_short_ways(ways: DataFrame, network: DataFrame, key: str, opts: Mat
     0 to 90). A way is removed if it differs by more than max_angle, unless the chords turn by more than `spread` and one of
     them runs nearly parallel: a bend."""
     o = opts or MatchOptions()
-    net = network.select(F.monotonically_increasing_id().alias("edge"), F.posexplode(G.steps(F.col("geom"), o.short_step)).alias("pos", "p")).select("edge", "pos", "p.ax", "p.ay", "p.bx", "p.by")
+    net = near.cut_lines(network.select(network_key, "geom").withColumnRenamed(network_key, "edge"), "edge", o.short_step, equal=False).withColumnRenamed("piece", "pos")
     short = short_ways(ways, o.short)
     angle = short.select(key, G.bearing_mean(F.col("geom")).alias("own"))
     pairs = near.near_pieces(near.explode_pieces(short, key).select(key, "ax", "ay", "bx", "by"), net, o.short_buffer)
-    close = pairs.select(F.col(f"l_{key}").alias(key), *[F.col(f"r_{c}").alias(c) for c in ("edge", "pos", "ax", "ay", "bx", "by")]).distinct()
+    close = pairs.select(F.col(f"l_{key}").alias(key), *[F.col(f"r_{c}").alias(c) for c in ("edge", "part", "pos", "ax", "ay", "bx", "by")]).distinct()
     run = F.col("pos") - F.row_number().over(_window(key))
     close = close.withColumn("run", run).withColumn("long", G.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))).withColumn("raw", F.degrees(F.atan2(F.col("by") - F.col("ay"), F.col("bx") - F.col("ax"))))
     first, last = F.min_by(F.struct("ax", "ay"), "pos"), F.max_by(F.struct("bx", "by"), "pos")
-    runs = close.groupBy(key, "edge", "run").agg(F.sum("long").alias("long"), first.alias("a"), last.alias("b"), F.min("raw").alias("least"), F.max("raw").alias("most"), F.collect_list("raw").alias("raws"))
-    per = runs.groupBy(key).agg(F.max_by(F.struct("a", "b"), F.struct("long", -F.col("edge"), -F.col("run"))).alias("m"), F.min("least").alias("least"), F.max("most").alias("most"), F.flatten(F.collect_list("raws")).alias("raws"))
+    runs = close.groupBy(key, "edge", "part", "run").agg(F.sum("long").alias("long"), first.alias("a"), last.alias("b"), F.min("raw").alias("least"), F.max("raw").alias("most"), F.collect_list("raw").alias("raws"))
+    per = runs.groupBy(key).agg(F.max_by(F.struct("a", "b"), F.struct("long", -F.col("edge"), -F.col("part"), -F.col("run"))).alias("m"), F.min("least").alias("least"), F.max("most").alias("most"), F.flatten(F.collect_list("raws")).alias("raws"))
     j = per.join(angle, key)
     main = F.degrees(F.atan2(F.col("m.b.by") - F.col("m.a.ay"), F.col("m.b.bx") - F.col("m.a.ax")))
     turn = F.col("most") - F.col("least")
@@ -83,9 +84,7 @@ def crossing_short_ways(ways: DataFrame, network: DataFrame, key: str, opts: Mat
 
 
 def _window(key: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(key, "edge").orderBy("pos")
+    return Window.partitionBy(key, "edge", "part").orderBy("pos")
 
 
 def remove_crossing(matched: DataFrame, layer: DataFrame, network: DataFrame, key: str, id_col: str, opts: MatchOptions | None = None) -> DataFrame:
@@ -100,9 +99,7 @@ def remove_crossing(matched: DataFrame, layer: DataFrame, network: DataFrame, ke
 def match(layers: dict[str, DataFrame], network: DataFrame, opts: MatchOptions | None = None, exclude: DataFrame | None = None, include: DataFrame | None = None, key: str = "seq") -> dict[str, DataFrame]:
     """The whole matching stage over translated layers with a unique `key`: a table for each step's result, and 'matched'.
 
-    Nothing is written and nothing runs until a result is used."""
-    from velonet.operators.sets import apply_interventions
-
+    Each layer's matches are written once to the shared folder, as several later steps read them; the rest is lazy."""
     o = opts or MatchOptions()
     out: dict[str, DataFrame] = {}
     for name in ("bikelanes", "streets", "paths"):
@@ -115,7 +112,7 @@ def match(layers: dict[str, DataFrame], network: DataFrame, opts: MatchOptions |
             m = remove_crossing(m, layer, network, key, id_col, o)
         if not o.skip_manual and exclude is not None and include is not None:
             m = apply_interventions(m, layer, exclude, include, id_col)
-        out[name] = m
+        out[name] = written(m, name)
     bikelanes, streets, paths = (out.get(n) for n in ("bikelanes", "streets", "paths"))
     reduced = None
     if not o.skip_difference_streets and bikelanes is not None and streets is not None:
@@ -142,3 +139,15 @@ def combine_enhanced(reduced: DataFrame, one_sided: DataFrame, seq: str) -> Data
     id_col = id_column(reduced, ("tilda_id", "tilda_osm_id"))
     a = reduced.withColumn("has_one_sided_bikelane", F.lit(False))
     return combine([("no_bikelanes", a), ("one_sided_bikelanes", one_sided)], id_col, seq, "street_type")
+
+
+def enrich(streets: DataFrame, priority: DataFrame, r: float = 5.0, key: str = "id", deny: DataFrame | None = None) -> DataFrame:
+    """Streets inside the network's buffer, then the network's parts that streets don't cover; one row for each key and source.
+
+    deny: ids that are left out of the streets."""
+    inside = contained(streets, priority, r, key).where("contained").select(key)
+    s = streets.join(inside, key, "left_semi")
+    if deny is not None:
+        s = without_ids(s, deny, key)
+    gaps = contained(priority, s, r, key).where("not contained").select(key)
+    return s.withColumn("edge_source", F.lit("detailnetz")).unionByName(priority.join(gaps, key, "left_semi").withColumn("edge_source", F.lit("rvn")), allowMissingColumns=True)

@@ -31,6 +31,20 @@ def explode_pieces(df: DataFrame, key: str, geom: str = "geom", longest: float =
     return p.select(key, "p.part", "p.piece", "sub", *ends, ((F.col("p.piece") == 0) & (F.col("sub") == 0)).alias("at_start"), ((F.col("p.piece") == F.get("last", F.col("p.part"))) & (F.col("sub") == F.col("n") - 1)).alias("at_end"))
 
 
+def cut_lines(df: DataFrame, key: str, step: float, equal: bool = True, geom: str = "geom") -> DataFrame:
+    """(key, part, piece, ax, ay, bx, by): each part in straight chords between points of it.
+
+    equal: ceil(length / step) chords of equal length along the part, one at least; else one for every step and a shorter last
+    one, none of length 0. A row for each chord, so long lines are spread by rows, not held in arrays."""
+    p = df.select(key, F.posexplode(F.col(geom)).alias("part", "line")).withColumn("total", G.part_length(F.col("line")))
+    p = p.withColumn("n", F.greatest(F.ceil(F.col("total") / step), F.lit(1)).cast("int"))
+    p = p.select(key, "part", "line", "total", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("piece"))
+    at = lambda k: F.col("total") * k / F.col("n") if equal else F.least(k * F.lit(float(step)), F.col("total"))
+    p = p.select(key, "part", "piece", G.interpolate(F.col("line"), at(F.col("piece"))).alias("a"), G.interpolate(F.col("line"), at(F.col("piece") + 1)).alias("b"))
+    p = p.select(key, "part", "piece", F.col("a.x").alias("ax"), F.col("a.y").alias("ay"), F.col("b.x").alias("bx"), F.col("b.y").alias("by"))
+    return p if equal else p.where("ax <> bx or ay <> by")
+
+
 def _cells(box: tuple[Column, Column, Column, Column], c: float) -> Column:
     x0, y0, x1, y1 = (F.floor(v / c) for v in box)
     return F.flatten(F.transform(F.sequence(x0, x1), lambda x: F.transform(F.sequence(y0, y1), lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
@@ -102,4 +116,4 @@ def coverage(target: DataFrame, network: DataFrame, r: float, key: str, flat: bo
     long = G.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))
     part = covered_intervals(t, n, r, flat).groupBy(key).agg(F.sum(G.union_length(F.col("intervals")) * long).alias("covered"))
     total = target.select(key, G.length(F.col(geom)).alias("total"))
-    return total.join(part, key, "left").select(key, F.coalesce(F.least(F.lit(1.0), F.col("covered") / F.nullif("total", F.lit(0.0))), F.lit(0.0)).alias("fraction"))
+    return total.join(part, key, "left").select(key, F.least(F.lit(1.0), F.coalesce(F.col("covered") / F.nullif("total", F.lit(0.0)), F.lit(0.0))).alias("fraction"))

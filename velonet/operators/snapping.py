@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from velonet.functions import geometry as G
 from velonet.functions.text import has_traffic_sign, merge_key, opt, whole
 from velonet.operators import near
+from velonet.operators.near import cut_lines
 from velonet.operators.sets import number_rows
 from velonet.operators.translate import MIXED, ONE_WAY
 
@@ -43,9 +44,8 @@ def priority(category: Column, sign: Column) -> Column:
 
 
 def segmentize(network: DataFrame, edge_key: str, step: float = 2.5) -> DataFrame:
-    """(edge_key, part, piece, seg, ax, ay, bx, by, bearing): chords of about `step` metres; seg orders a row of (edge, part, piece)."""
-    p = network.select(edge_key, F.explode(G.chords(F.col("geom"), step)).alias("p")).select(edge_key, "p.*")
-    return p.withColumn("bearing", F.pmod(F.degrees(F.atan2(F.col("by") - F.col("ay"), F.col("bx") - F.col("ax"))), F.lit(360.0)))
+    """(edge_key, part, piece, ax, ay, bx, by, bearing): each part as equal chords of at most `step` metres."""
+    return cut_lines(network, edge_key, step).withColumn("bearing", F.pmod(F.degrees(F.atan2(F.col("by") - F.col("ay"), F.col("bx") - F.col("ax"))), F.lit(360.0)))
 
 
 def candidates(segments: DataFrame, ways: DataFrame, seg_key: str, way_key: str, opts: SnapOptions | None = None) -> DataFrame:
