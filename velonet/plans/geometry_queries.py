@@ -98,7 +98,7 @@ def geom_left_of(spark, sf_dir):
 
 @query()
 def geom_reproject(spark, sf_dir):
-    """There and back again: the error in millimetres is 0."""
+    """There and back again, with the error in millimetres: under one."""
     e = graph.endpoints(ways(spark, sf_dir), "id").select("id", (F.col("sx") + 390000).alias("x"), (F.col("sy") + 5810000).alias("y"))
     p = e.withColumn("ll", G.utm33_to_wgs84(F.col("x"), F.col("y"))).withColumn("back", G.wgs84_to_utm33(F.col("ll.x"), F.col("ll.y")))
     return p.select("id", F.round("ll.x", 6).alias("lon"), F.round("ll.y", 6).alias("lat"), F.round(G.hypot(F.col("back.x") - F.col("x"), F.col("back.y") - F.col("y")) * 1000, 1).alias("error_mm"))
