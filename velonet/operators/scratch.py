@@ -23,4 +23,15 @@ def written(df: DataFrame, tag: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes what written() wrote, once nothing reads it any more."""
+    path = getattr(df, "_written_path", None)
+    if path:
+        spark = df.sparkSession
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
