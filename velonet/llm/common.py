@@ -1,15 +1,18 @@
-"""Shared helpers: the shared scratch folder, written intermediates, document columns."""
+"""Shared helpers: paths for written intermediates, document columns, bounded slices of batches."""
 
 from __future__ import annotations
 
-import os
-import re
-import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from velonet.operators.scratch import shared_folder
+
 #: Stands for a null doc_id where ids are compared: after every other id.
 NO_ID = 2**63 - 1
 
@@ -18,39 +21,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir.
-
-    Only a single-process session may do without that setting; it then gets a folder of its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", "")
-    if not folder:
-        if not re.match(r"local(\[|$)", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = f"file://{os.path.join(tempfile.gettempdir(), 'checkpoints')}"
-    return folder.rstrip("/")
-
-
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Writes df once to the shared folder and reads it back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, tag)
-    df.write.mode("overwrite").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._scratch_path = path
-    return out
-
-
-def discard(df: DataFrame | None) -> None:
-    """Deletes what materialize() wrote, once nothing reads it any more."""
-    path = getattr(df, "_scratch_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+    return f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -65,3 +37,16 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def text_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """As texts(), with the text as UTF-8 bytes."""
     return texts(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
+
+
+def by_size(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of `limit` bytes of text (or items of a list) at most, or one row, so that memory doesn't follow
+    the rows of a batch."""
+    for b in batches:
+        length = pc.list_value_length if pa.types.is_list(b[column].type) else pc.binary_length
+        size = np.cumsum(pc.fill_null(length(b[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+        at = 0
+        while at < b.num_rows:
+            end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + limit, side="right")))
+            yield b.slice(at, end - at)
+            at = end

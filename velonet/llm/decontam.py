@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velonet.llm.common import text_bytes
+from velonet.llm.common import by_size, text_bytes
 
 WINDOW = 10
 #: Bytes of test items that one pass broadcasts.
@@ -118,7 +118,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, i
     def scan_of(shared, several: bool):
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tests = TestSet(shared.value, n)
-            for b in batches:
+            for b in by_size(batches):
                 texts = b["text"].to_pylist()
                 found = tests.hits(texts)
                 keys = [hashlib.sha256(t).digest() if several else None for t in texts]
@@ -158,7 +158,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW,
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             tests = TestSet(shared.value, n)
-            for b in batches:
+            for b in by_size(batches):
                 texts = [(t or "").encode() for t in b["text"].to_pylist()]
                 yield b.filter(pa.array([not r for _, r, _ in tests.hits(texts)], pa.bool_()))
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velonet.llm.common import shuffle_partitions, texts
+from velonet.llm.common import by_size, shuffle_partitions, texts
 
 SIZE = 128
 _BASE = 0x9E3779B97F4A7C15
@@ -124,7 +124,7 @@ def fingerprints(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text
     """(doc_id, n_chars, fingerprint) of each row, where it is: no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_size(batches):
             t = b["text"].to_pylist()
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([len(x) for x in t], pa.int64()), pa.array([_text(fingerprint(x, size)) for x in t], pa.string())], names=["doc_id", "n_chars", "fingerprint"])
 
@@ -159,13 +159,13 @@ def compare_with_edited(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id
     descending id (after the last: the first)."""
     d = texts(docs, id_col, text_col)
     n = shuffle_partitions(docs.sparkSession)
-    rows = with_next(d, 2 * n).repartition(n, "bucket").sortWithinPartitions("bucket", "halo", F.desc("pos"), "text")
+    rows = with_next(d, 4 * n).repartition(n, "bucket").sortWithinPartitions("bucket", "halo", F.desc("pos"), "text")
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, closed = None, None
-        for b in batches:
+        for b in by_size(batches):
             out = []
             for bucket, halo, doc_id, text in zip(b["bucket"].to_pylist(), b["halo"].to_pylist(), b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
                 if closed == bucket:

@@ -5,7 +5,7 @@ in either. P(w | v) takes DISCOUNT off each bigram count and gives it to P(w), t
 document's score is the mean, over its tokens, of the target model's loss less the background model's: lower is more like
 the target.
 
-Counts cover all rows; they are summed per batch and per task before the shuffle, so frequent bigrams don't skew it. The
+Texts are tokenized once, into a table that counting and scoring read. Counts cover all rows; they are summed per batch and per task before the shuffle, so frequent bigrams don't skew it. The
 loss-difference table goes to the tasks if it has at most BROADCAST_ROWS rows, else documents' distinct bigrams are
 joined with it by a shuffle; results are equal. Defined cases: a null or empty text has no tokens and score 0; rows
 without a label aren't targets; repeated rows count and are scored each; without targets, the target model is the vocabulary's even
@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velonet.llm.common import discard, materialize, texts
+from velonet.llm.common import by_size, texts
 from velonet.llm.tokens import default_path, encoder
+from velonet.operators.scratch import discard, written
 
 DISCOUNT, START = 0.75, 49406
 #: 12 bytes each: at most 48 MB to every executor.
@@ -30,32 +31,54 @@ BROADCAST_ROWS = 4_000_000
 _WIDE = np.int64(1 << 20)
 
 
-def _bigrams(path: str, batch_texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (first id * 2**20 + second id) of all texts in a row, and each text's number of tokens."""
-    ids = [np.frombuffer(x, "<u4") for x in encoder(path).encode_batch(batch_texts)]
-    n = np.array([len(x) for x in ids], np.int64)
-    w = np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64)
+#: Tokens that a task works on at a time.
+SLICE = 1 << 20
+
+
+def tokenize(docs: DataFrame, labels: DataFrame | None = None, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", target: str = "quality = 1") -> DataFrame:
+    """(doc_id, hit, ids): token ids of each row, and whether it is a target: one with a label row for which `target` holds.
+
+    Labels may be as many as documents, so they meet the texts by a sort-merge join at every size."""
+    path = tokenizer or default_path()
+    d = texts(docs, id_col, text_col)
+    if labels is None:
+        d = d.withColumn("hit", F.lit(False))
+    else:
+        chosen = labels.where(target).select(F.col(label_id).cast("long").alias("doc_id"), F.lit(True).alias("hit")).distinct()
+        d = d.join(chosen.hint("merge"), "doc_id", "left").select("doc_id", F.coalesce("hit", F.lit(False)).alias("hit"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in by_size(batches):
+            ids = encoder(path).encode_batch(b["text"].to_pylist())
+            ends = np.cumsum([0, *map(len, ids)]) // 4
+            flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["hit"], pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=["doc_id", "hit", "ids"])
+
+    return d.select("doc_id", "hit", "text").mapInArrow(run, "doc_id long, hit boolean, ids array<int>")
+
+
+def _bigrams(ids: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (first id * 2**20 + second id) of all rows in a row, and each row's number of tokens."""
+    n = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    w = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     v = np.empty_like(w)
     v[1:] = w[:-1]
     v[(np.cumsum(n) - n)[n > 0]] = START
     return v * _WIDE + w, n
 
 
-def count_bigrams(docs: DataFrame, labels: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", target: str = "quality = 1") -> DataFrame:
-    """(bigram, n, n_target) over all documents; targets are those with a label row for which `target` holds."""
-    path = tokenizer or default_path()
-    chosen = labels.where(target).select(F.col(label_id).cast("long").alias("doc_id"), F.lit(True).alias("hit")).distinct()
-    d = texts(docs, id_col, text_col).join(chosen, "doc_id", "left").select(F.coalesce("hit", F.lit(False)).alias("hit"), "text")
+def count_bigrams(tokens: DataFrame) -> DataFrame:
+    """(bigram, n, n_target) over all rows of tokenize()."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys, n = _bigrams(path, b["text"].to_pylist())
+        for b in by_size(batches, "ids", SLICE):
+            keys, n = _bigrams(b["ids"])
             hit = np.repeat(np.array(b["hit"].to_pylist(), bool), n)
             bigram, where, total = np.unique(keys, return_inverse=True, return_counts=True)
             own = np.bincount(where[hit], minlength=len(bigram)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(bigram), pa.array(total.astype(np.int64)), pa.array(own)], names=["bigram", "n", "n_target"])
 
-    return d.mapInArrow(count, "bigram long, n long, n_target long").groupBy("bigram").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+    return tokens.select("hit", "ids").mapInArrow(count, "bigram long, n long, n_target long").groupBy("bigram").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
 
 
 def loss_differences(counts: DataFrame) -> DataFrame:
@@ -78,18 +101,17 @@ def loss_differences(counts: DataFrame) -> DataFrame:
     return j.select("bigram", (log_p("n") - log_p("t")).alias("delta"))
 
 
-def score_documents(docs: DataFrame, deltas: DataFrame, tokenizer: str | None = None, broadcast_rows: int = BROADCAST_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, score). deltas: from loss_differences(), of counts over these documents or more."""
-    path = tokenizer or default_path()
-    d = texts(docs, id_col, text_col)
+def score_documents(tokens: DataFrame, deltas: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(doc_id, n_tokens, score) of each row of tokenize(). deltas: from loss_differences(), of counts over these rows or more."""
+    d = tokens.select("doc_id", "ids")
     if deltas.count() <= broadcast_rows:
         t = deltas.toArrow().sort_by("bigram")
-        shared = docs.sparkSession.sparkContext.broadcast((t["bigram"].to_numpy(), t["delta"].to_numpy().astype(np.float32)))
+        shared = tokens.sparkSession.sparkContext.broadcast((t["bigram"].to_numpy(), t["delta"].to_numpy().astype(np.float32)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known, delta = shared.value
-            for b in batches:
-                keys, n = _bigrams(path, b["text"].to_pylist())
+            for b in by_size(batches, "ids", SLICE):
+                keys, n = _bigrams(b["ids"])
                 uniq, where = np.unique(keys, return_inverse=True)
                 at = np.minimum(np.searchsorted(known, uniq), max(0, len(known) - 1))
                 value = np.where(known[at] == uniq, delta[at], 0.0) if len(known) else np.zeros(len(uniq))
@@ -100,8 +122,8 @@ def score_documents(docs: DataFrame, deltas: DataFrame, tokenizer: str | None =
         return d.mapInArrow(run, "doc_id long, n_tokens long, score double")
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys, n = _bigrams(path, b["text"].to_pylist())
+        for b in by_size(batches, "ids", SLICE):
+            keys, n = _bigrams(b["ids"])
             owner = np.repeat(np.arange(len(n)), n)
             order = np.lexsort((keys, owner))
             o, k = owner[order], keys[order]
@@ -120,7 +142,8 @@ def score_documents(docs: DataFrame, deltas: DataFrame, tokenizer: str | None =
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, target: str = "quality = 1", tokenizer: str | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Counts, models and scores; see the module."""
-    counts = materialize(count_bigrams(docs, labels, tokenizer, target=target), "bigrams")
-    deltas = materialize(loss_differences(counts), "deltas")
+    tokens = written(tokenize(docs, labels, tokenizer, target=target), "tokens")
+    counts = written(count_bigrams(tokens), "bigrams")
+    deltas = written(loss_differences(counts), "deltas")
     discard(counts)
-    return score_documents(docs, deltas, tokenizer, broadcast_rows)
+    return score_documents(tokens, deltas, broadcast_rows)

@@ -19,8 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velonet.llm.common import discard, materialize, texts
+from velonet.llm.common import by_size, texts
 from velonet.llm.tokens import default_path, encoder
+from velonet.operators.scratch import discard, written
 
 CAPACITY = 2048
 #: Pieces to a group: what one task packs at once. Groups grow in number, not in size.
@@ -35,7 +36,7 @@ def tokenize(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, tokeniz
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for b in batches:
+        for b in by_size(batches):
             rows: list[tuple] = []
             for i, ids in zip(b["doc_id"].to_pylist(), enc.encode_batch(b["text"].to_pylist()), strict=True):
                 ids += end
@@ -117,21 +118,20 @@ def _pack(pieces: DataFrame, capacity: int, tag: int) -> DataFrame:
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds: int = 3) -> DataFrame:
     """pieces (see tokenize) + sequence_id, offset. Sequences are gapless from 0 and at most `capacity` long."""
     columns = [*[c.split()[0] for c in PIECES.split(", ")], "sequence_id", "offset"]
-    whole = pieces.where(F.col("length") == capacity).select(*columns[:5], F.xxhash64("doc_id", "piece", "ids_crc32", "start").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    # ids of full pieces: negative and by row, so that they can't meet the packed ones
-    whole = whole.withColumn("sequence_id", -1 - F.monotonically_increasing_id())
+    # full pieces are sequences of their own; their ids are negative, so that they can't meet the packed ones
+    whole = pieces.where(F.col("length") == capacity).select(*columns[:5], (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     part = pieces.where(F.col("length") < capacity)
     n = part.count()
     if not n:
         return whole
-    packed = materialize(_pack(_deal(part, -(-n // group), 0), capacity, 0), "packed")
+    packed = written(_pack(_deal(part, -(-n // group), 0), capacity, 0), "packed")
     kept = []
     for salt in range(1, rounds + 1):
         open_ = packed.where((F.col("bins") > F.col("bound")) & (F.col("left") > 0))
         m, before, gap = packed.agg(F.count(F.when((F.col("bins") > F.col("bound")) & (F.col("left") > 0), 1)), F.count(F.when((F.col("bins") > F.col("bound")) & (F.col("left") > 0) & (F.col("offset") == 0), 1)), F.count(F.when((F.col("bins") > F.col("bound")) & (F.col("offset") == 0), 1))).first()
         if not gap or not m:
             break
-        again = materialize(_pack(_deal(open_.select(*columns[:5]), -(-m // group), salt), capacity, salt), "packed")
+        again = written(_pack(_deal(open_.select(*columns[:5]), -(-m // group), salt), capacity, salt), "packed")
         after = again.where(F.col("offset") == 0).count()
         if after >= before:
             discard(again)
@@ -146,4 +146,4 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Tokenizes and packs whole documents; see tokenize() and pack()."""
-    return pack(materialize(tokenize(docs, capacity, 0, tokenizer, id_col, text_col), "pieces"), capacity)
+    return pack(written(tokenize(docs, capacity, 0, tokenizer, id_col, text_col), "pieces"), capacity)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velonet.llm.common import texts
+from velonet.llm.common import by_size, texts
 from velonet.llm.labelled import sample
 
 #: Labelled documents that the fit may use: what the driver holds is their hashed features, about 2 kB each.
@@ -121,7 +121,7 @@ def train(docs: DataFrame, labels: DataFrame, grade: str = GRADES, grades: int =
     """Fits on at most `rows` labelled documents; tasks make the features, the driver gets these alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_size(batches):
             cols, vals = [], []
             for text in b["text"].to_pylist():
                 words, shape = features(text)
@@ -141,7 +141,7 @@ def grade_documents(docs: DataFrame, model: Ordinal, at_least: int = 1, threshol
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_size(batches):
             tails = shared.value.tails(np.array([shared.value.f(t) for t in b["text"].to_pylist()], float))
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(tails.sum(axis=1)), pa.array(tails.tolist(), pa.list_(pa.float64())), pa.array(tails[:, at_least - 1] >= threshold)], names=["doc_id", "expected_grade", "tail", "keep"])
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velonet.llm.common import scratch_path, texts
+from velonet.llm.common import by_size, scratch_path, texts
 
 
 @dataclass(frozen=True)
@@ -86,7 +86,7 @@ def scan_unseen(blobs: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, .
     by_key = {r.key: r for r in rules}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_size(batches):
             spans = [[{"kind": k, "start": s, "end": e} for k, s, e in find(t, tuple(by_key[x] for x in own))] for t, own in zip(b["text"].to_pylist(), b["rules"].to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b["blob"], b["rules"], pa.array(spans, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])))], names=["blob", "rules", "spans"])
 
@@ -137,7 +137,7 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", rules: tuple[Rule, ...] = RU
     The texts don't move: the scan runs where each row is. mask must not match a rule."""
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_size(batches):
             out = []
             for t in b["text"].to_pylist():
                 done, at = [], 0

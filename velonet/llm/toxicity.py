@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velonet.llm.common import texts
+from velonet.llm.common import by_size, texts
 from velonet.llm.labelled import sample
 
 #: Labelled rows that lexicon and regression are learned from; terms that the lexicon may have.
@@ -151,7 +151,7 @@ def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, bool]:
     terms tried; a term that a kept stem begins is left out, and a stem that only one word has is that word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_size(batches):
             n: dict[int, Counter] = {0: Counter(), 1: Counter()}
             for text, y in zip(b["text"].to_pylist(), b["y"].to_pylist(), strict=True):
                 own = {x.decode(errors="replace") for x in set(words(text))}
@@ -211,7 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, terms: int = T
         shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in by_size(batches):
                 x = [features(t, shared.value) for t in b["text"].to_pylist()]
                 yield pa.RecordBatch.from_arrays([b["doc_id"], b["y"], pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
 
@@ -234,7 +234,7 @@ def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD,
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_size(batches):
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([shared.value.score(t) for t in b["text"].to_pylist()], pa.float64())], names=["doc_id", "score"])
 
     scored = texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
@@ -246,7 +246,7 @@ def reject_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) ->
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_size(batches):
             yield b.filter(pa.array([shared.value.score(t or "") < threshold for t in b["text"].to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
