@@ -20,7 +20,6 @@ remove each other's windows; a null id counts as after all others; an empty tabl
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +32,9 @@ from velonet.llm.common import NO_ID, shuffle_partitions, text_bytes
 WINDOW, PERIOD = 13, 7
 #: Each remainder by PERIOD is a difference of two of these.
 COVER = (0, 1, 3)
-_M64 = (1 << 64) - 1
+#: Chunks of documents for each shuffle partition: what a task holds at a time is one chunk. There are half as many buckets
+#: as partitions, since every chunk writes to every bucket.
+CHUNKS = 8
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -141,8 +142,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
     """Per document: doc_id, n_words, n_removed, kept (the kept words joined by one blank)."""
     if {(a - b) % period for a in cover for b in cover} != set(range(period)) or window <= period:
         raise ValueError("cover must be a difference cover of period, and window longer than period")
-    n_buckets = shuffle_partitions(docs.sparkSession)
-    n_chunks = 4 * n_buckets
+    n = shuffle_partitions(docs.sparkSession)
+    n_chunks, n_buckets = CHUNKS * n, max(1, n // 2)
     d = text_bytes(docs, id_col, text_col).select(F.pmod(F.xxhash64("doc_id"), F.lit(n_chunks)).cast("long").alias("chunk"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
     schema = "chunk long, bucket long, data binary"
 
@@ -196,7 +197,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
             return _rows([])
         chunk, ids, w = load(left)
         _, h, own, first = windows(w, ids, near_shared(w, answer))
-        rec = np.column_stack([h[first], own[first].astype(np.uint64)])
+        rec = np.column_stack([h[first], own[first].view(np.uint64) ^ np.uint64(1 << 63)])  # unsigned, in the ids' order
         return _rows([(chunk, b, rec[p].tobytes()) for b, p in _by_bucket(rec[:, 0], n_buckets)])
 
     def earlier_windows(t: pa.Table) -> pa.Table:
@@ -249,7 +250,3 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
 def kept_digest(removed: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of what remove_repeats() returns."""
     return removed.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
-
-
-def sha256(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
