@@ -24,8 +24,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velonet.llm.common import NO_ID, materialize, text_bytes
-from velonet.llm.components import components
+from velonet.llm.common import NO_ID, by_size, text_bytes
+from velonet.operators.graph import least_reachable
+from velonet.operators.scratch import written
 
 SHINGLE, SEED, LIMIT, FAN = 3, 42, 2, 8
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -52,7 +53,7 @@ def fingerprints(docs: DataFrame, n: int = SHINGLE, id_col: str = "doc_id", text
     """(doc_id, fp): a row for each row of docs; fp is the fingerprint's 64 bits as a long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in by_size(batches):
             fp = np.array([fingerprint(t, n) for t in b["text"].to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 
@@ -183,10 +184,11 @@ def links(distinct: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, n: int = SHINGLE, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of docs: doc_id, fp (long), fingerprint (16 hex digits), component_id (the least doc_id reachable)."""
-    fps = materialize(fingerprints(docs, n, id_col, text_col), "fingerprints")
+    fps = written(fingerprints(docs, n, id_col, text_col), "fingerprints")
     distinct = fps.groupBy("fp").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("id"))
-    found = components(links(distinct, limit))
-    label = distinct.join(found, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id"))
+    found = least_reachable(links(distinct, limit))
+    # written, so that the join below reads both sides as they come and may split a fingerprint that very many rows share
+    label = written(distinct.join(found, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id")), "labels")
     out = fps.join(label, "fp", "left")
     return out.select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.nullif("component_id", F.lit(NO_ID)).alias("component_id"))
 
