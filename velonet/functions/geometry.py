@@ -117,61 +117,78 @@ def _step(s: Column, l: Column) -> Column:
     return F.struct(F.greatest(s["left"] - n, F.lit(0.0)).alias("left"), x.alias("x"), y.alias("y"))
 
 
+def let(value: Column, f) -> Column:
+    """f of a value that is computed once, however often f uses it: plain Columns would repeat its expression at each use."""
+    return F.get(F.transform(F.array(value), f), 0)
+
+
 def point_piece_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
     """From a point to a straight piece of some length."""
     dx, dy = bx - ax, by - ay
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * dx + (py - ay) * dy) / (dx * dx + dy * dy)))
-    return hypot(px - (ax + t * dx), py - (ay + t * dy))
+    return let(t, lambda t: hypot(px - (ax + t * dx), py - (ay + t * dy)))
 
 
 def piece_distance(a: tuple[Column, ...], b: tuple[Column, ...]) -> Column:
-    """Between straight pieces: 0 if they cross, else the least distance of an end to the other piece."""
+    """Between straight pieces: 0 if they cross, else the least distance of an end to the other piece.
+
+    The four distances are one expression over four rows of numbers, which keeps the generated code small."""
     ax, ay, bx, by = a
     cx, cy, dx, dy = b
     side = lambda px, py, qx, qy, rx, ry: (qx - px) * (ry - py) - (qy - py) * (rx - px)
     crossing = (side(ax, ay, bx, by, cx, cy) * side(ax, ay, bx, by, dx, dy) < 0) & (side(cx, cy, dx, dy, ax, ay) * side(cx, cy, dx, dy, bx, by) < 0)
-    return F.when(crossing, 0.0).otherwise(F.least(point_piece_distance(ax, ay, *b), point_piece_distance(bx, by, *b), point_piece_distance(cx, cy, *a), point_piece_distance(dx, dy, *a)))
+    pairs = F.array(*[F.struct(*[v.alias(n) for v, n in zip((*p, *q), ("px", "py", "ax", "ay", "bx", "by"), strict=True)]) for p, q in ((a[:2], b), (a[2:], b), (b[:2], a), (b[2:], a))])
+    return F.when(crossing, 0.0).otherwise(F.array_min(F.transform(pairs, lambda x: point_piece_distance(*[x[n] for n in ("px", "py", "ax", "ay", "bx", "by")]))))
 
 
 def _clip(lo: Column, hi: Column) -> Column:
     """struct<lo, hi> within [0, 1], or null if nothing of it is."""
-    lo, hi = F.greatest(lo, F.lit(0.0)), F.least(hi, F.lit(1.0))
-    return F.when(lo < hi, F.struct(lo.alias("lo"), hi.alias("hi")))
+    return let(F.struct(F.greatest(lo, F.lit(0.0)).alias("lo"), F.least(hi, F.lit(1.0)).alias("hi")), lambda i: F.when(i["lo"] < i["hi"], i))
 
 
 def disc_interval(t: tuple[Column, ...], cx: Column, cy: Column, r: float) -> Column:
     """The share of the piece t (as parameters from 0 to 1) within r of c; null if none."""
     ax, ay, bx, by = t
     dx, dy, ex, ey = bx - ax, by - ay, ax - cx, ay - cy
-    a, b, c = dx * dx + dy * dy, ex * dx + ey * dy, ex * ex + ey * ey - r * r
-    root = b * b - a * c
-    s = F.sqrt(F.greatest(root, F.lit(0.0)))
-    return F.when(root > 0, _clip((-b - s) / a, (-b + s) / a))
+    q = F.struct((dx * dx + dy * dy).alias("a"), (ex * dx + ey * dy).alias("b"), (ex * ex + ey * ey - r * r).alias("c"))
+    ends = lambda q, s: _clip((-q["b"] - s) / q["a"], (-q["b"] + s) / q["a"])
+    return let(q, lambda q: let(q["b"] * q["b"] - q["a"] * q["c"], lambda root: F.when(root > 0, let(F.sqrt(root), lambda s: ends(q, s)))))
 
 
 def slab_interval(t: tuple[Column, ...], n: tuple[Column, ...], r: float) -> Column:
     """The share of the piece t in the rectangle that spans the piece n and r to both sides; null if none."""
     ax, ay, bx, by = t
     cx, cy, ex, ey = n
-    span = hypot(ex - cx, ey - cy)
-    ux, uy = (ex - cx) / span, (ey - cy) / span
-    along, along_d = (ax - cx) * ux + (ay - cy) * uy, (bx - ax) * ux + (by - ay) * uy
-    across, across_d = (ay - cy) * ux - (ax - cx) * uy, (by - ay) * ux - (bx - ax) * uy
-    lo, hi = [F.lit(0.0)], [F.lit(1.0)]
-    inside = F.lit(True)
-    for start, move, least, most in ((along, along_d, F.lit(0.0), span), (across, across_d, F.lit(-float(r)), F.lit(float(r)))):
-        still = F.abs(move) < 1e-12
-        p, q = (least - start) / F.nullif(move, F.lit(0.0)), (most - start) / F.nullif(move, F.lit(0.0))
-        inside = inside & (~still | ((start >= least) & (start <= most)))
-        lo.append(F.when(still, 0.0).otherwise(F.least(p, q)))
-        hi.append(F.when(still, 1.0).otherwise(F.greatest(p, q)))
-    return F.when(inside, _clip(F.greatest(*lo), F.least(*hi)))
+
+    def axes(u: Column) -> Column:
+        """Start and change of t along and across n."""
+        return F.struct(
+            ((ax - cx) * u["x"] + (ay - cy) * u["y"]).alias("s1"),
+            ((bx - ax) * u["x"] + (by - ay) * u["y"]).alias("m1"),
+            ((ay - cy) * u["x"] - (ax - cx) * u["y"]).alias("s2"),
+            ((by - ay) * u["x"] - (bx - ax) * u["y"]).alias("m2"),
+            u["n"].alias("n"),
+        )
+
+    def between(start: Column, move: Column, least: Column, most: Column) -> Column:
+        """Parameters at which start + t * move lies between the bounds; null if never."""
+        ends = F.struct(((least - start) / move).alias("p"), ((most - start) / move).alias("q"))
+        moving = let(ends, lambda e: F.struct(F.least(e["p"], e["q"]).alias("lo"), F.greatest(e["p"], e["q"]).alias("hi")))
+        always = F.when((start >= least) & (start <= most), F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi")))
+        return F.when(F.abs(move) < 1e-12, always).otherwise(moving)
+
+    def both(s: Column) -> Column:
+        two = F.struct(between(s["s1"], s["m1"], F.lit(0.0), s["n"]).alias("i"), between(s["s2"], s["m2"], F.lit(-float(r)), F.lit(float(r))).alias("j"))
+        return let(two, lambda k: F.when(k["i"].isNotNull() & k["j"].isNotNull(), _clip(F.greatest(k["i"]["lo"], k["j"]["lo"]), F.least(k["i"]["hi"], k["j"]["hi"]))))
+
+    unit = let(hypot(ex - cx, ey - cy), lambda n: F.struct(((ex - cx) / n).alias("x"), ((ey - cy) / n).alias("y"), n.alias("n")))
+    return let(unit, lambda u: let(axes(u), both))
 
 
 def hull(*intervals: Column) -> Column:
     """The least interval over all given; null if all are."""
-    lo, hi = F.least(*[i["lo"] for i in intervals]), F.greatest(*[i["hi"] for i in intervals])
-    return F.when(lo.isNotNull(), F.struct(lo.alias("lo"), hi.alias("hi")))
+    span = lambda v: F.when(F.size(v) > 0, F.struct(F.array_min(F.transform(v, lambda i: i["lo"])).alias("lo"), F.array_max(F.transform(v, lambda i: i["hi"])).alias("hi")))
+    return let(F.filter(F.array(*intervals), lambda i: i.isNotNull()), span)
 
 
 def union_length(intervals: Column) -> Column:

@@ -63,7 +63,8 @@ def near_pieces(left: DataFrame, right: DataFrame, r: float) -> DataFrame:
     lb, rb = _box("l_"), _box("r_", r)
     here = (F.floor(F.greatest(lb[0], rb[0]) / c) == F.col("cx")) & (F.floor(F.greatest(lb[1], rb[1]) / c) == F.col("cy"))
     d = G.piece_distance(tuple(F.col(f"l_{x}") for x in ("ax", "ay", "bx", "by")), tuple(F.col(f"r_{x}") for x in ("ax", "ay", "bx", "by")))
-    return l.join(r_, ["cx", "cy"]).where(here).withColumn("distance", d).where(F.col("distance") <= r).drop("cx", "cy")
+    meet = (lb[0] <= rb[2]) & (rb[0] <= lb[2]) & (lb[1] <= rb[3]) & (rb[1] <= lb[3])
+    return l.join(r_, ["cx", "cy"]).where(here & meet).withColumn("distance", d).where(F.col("distance") <= r).drop("cx", "cy")
 
 
 def near_join(left: DataFrame, right: DataFrame, r: float, left_key: str, right_key: str, how: str = "inner", geom: str = "geom") -> DataFrame:
