@@ -19,7 +19,7 @@ def town(spark):
     net = [("E1", [[(0.0, 0.0), (100.0, 0.0)]]), ("E2", [[(0.0, 300.0), (100.0, 300.0)]]), ("E3", [[(0.0, 600.0), (100.0, 600.0)]]), ("E4", [[(0.0, 900.0), (10.0, 900.0)]])]
     net = [(k, e, "a", "b", g) for k, (e, g) in enumerate(net)]
     ways = [
-        (1, [[(0.0, 5.0), (100.0, 5.0)]], "Radweg", TWO_WAY, "cycleway", None, 2.0, "t1"),
+        (1, [[(0.0, 5.0), (100.0, 5.0)]], "Radweg", TWO_WAY, "footAndCyclewayShared", None, 2.0, "t1"),
         (2, [[(112.0, -3.0), (112.0, 3.0)]], "Radweg", TWO_WAY, "bicycleRoad", None, 9.9, "t2"),  # beyond the end of E1
         (3, [[(0.0, 305.0), (100.0, 305.0)]], "Radweg", ONE_WAY, "cycleway", "yes", 1.5, "t3"),
         (4, [[(100.0, 295.0), (0.0, 295.0)]], "Radfahrstreifen", ONE_WAY, "cycleway", "yes", 1.2, "t4"),
