@@ -17,6 +17,7 @@ repeated rows give a row each; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 from velonet.llm.common import by_size, texts
 from velonet.llm.labelled import sample
 
-#: Labelled rows that lexicon and regression are learned from; terms that the lexicon may have.
-SAMPLE, TERMS = 16_000, 2_000
+#: Labelled rows that lexicon and regression are learned from; terms that the lexicon may have; states kept at a time.
+SAMPLE, TERMS, STATES = 16_000, 400, 10_000
 STEMS, FUZZY, WINDOW, THRESHOLD = range(4, 8), 5, 6, 0.3
 #: Held out from learning: rows whose crc32(doc_id as text) has this remainder by 4.
 HELD_OUT = 2
@@ -107,6 +108,8 @@ class Lexicon:
         return out
 
     def match(self, word: str) -> tuple[str, int] | None:
+        if len(self.sets) > STATES:
+            self._build()  # states are made again when they are met; this bounds their memory
         state = self.first
         for c in word:
             c = c if c in self.alphabet else ""
@@ -144,6 +147,20 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     return [1.0, *map(math.log1p, (plain, quoted, bent, len({t for _, (t, _) in hits}), 100 * len(hits) / len(w)))]
 
 
+def one_of_each(rows: DataFrame, shingle: int = 5) -> DataFrame:
+    """One row for each least hash of the texts' word shingles: near copies mostly share theirs, and are one witness."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in by_size(batches):
+            least = []
+            for t in b["text"].to_pylist():
+                w = words(t)
+                least.append(min((zlib.crc32(b" ".join(w[k : k + shingle])) for k in range(max(1, len(w) - shingle + 1))), default=0))
+            yield pa.RecordBatch.from_arrays([b["text"], b["y"], pa.array(least, pa.int64())], names=["text", "y", "least"])
+
+    return rows.select("text", "y").mapInArrow(run, "text string, y int, least long").dropDuplicates(["least", "y"])
+
+
 def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, bool]:
     """rows (text, y) -> term -> whether it is a stem.
 
@@ -160,7 +177,7 @@ def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, bool]:
             keys = list(n[0].keys() | n[1].keys())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([n[0][k] for k in keys], pa.int64()), pa.array([n[1][k] for k in keys], pa.int64())], names=["term", "n0", "n1"])
 
-    rows = rows.dropDuplicates(["text"])  # a text with many copies is one witness
+    rows = one_of_each(rows)
     docs = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
     n0, n1 = docs.get(0, 0), docs.get(1, 0)
     if not n0 or not n1:
