@@ -5,8 +5,8 @@ in either. P(w | v) takes DISCOUNT off each bigram count and gives it to P(w), t
 document's score is the mean, over its tokens, of the target model's loss less the background model's: lower is more like
 the target.
 
-Texts are tokenized once, into a table that counting and scoring read. Counts cover all rows; they are summed per batch and per task before the shuffle, so frequent bigrams don't skew it. The
-loss-difference table goes to the tasks if it has at most BROADCAST_ROWS rows, else documents' distinct bigrams are
+Texts are tokenized once, into a table that counting and scoring read. Counts cover all rows; they are summed per batch and
+per task before the shuffle, so frequent bigrams don't skew it. The loss-difference table goes to the tasks if it has at most BROADCAST_ROWS rows, else documents' distinct bigrams are
 joined with it by a shuffle; results are equal. Defined cases: a null or empty text has no tokens and score 0; rows
 without a label aren't targets; repeated rows count and are scored each; without targets, the target model is the vocabulary's even
 distribution; an empty table gives an empty result.
@@ -29,8 +29,6 @@ DISCOUNT, START = 0.75, 49406
 #: 12 bytes each: at most 48 MB to every executor.
 BROADCAST_ROWS = 4_000_000
 _WIDE = np.int64(1 << 20)
-
-
 #: Tokens that a task works on at a time.
 SLICE = 1 << 20
 
