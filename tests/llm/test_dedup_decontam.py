@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from velonet.llm import decontam, simhash, substring_dedup
+from velonet.llm import decontam, simhash, similar, substring_dedup
 from velonet.operators.graph import least_reachable
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -137,6 +137,55 @@ def test_simhash(spark, docs, odd):
     assert simhash.near_duplicates(docs([])).count() == 0 and simhash.keep_one_each(docs([])).count() == 0
 
 
+def plain_similar(texts):
+    """The place of the first text of each text's group."""
+    sets, parent = [], list(range(len(texts)))
+    for t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOW))
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set()))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            if 5 * len(x & y) >= 4 * len(x | y):
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    return [root(i) for i in range(len(texts))]
+
+
+def test_near_copies_with_changed_words_go(spark, docs, odd):
+    """The pipeline's stage: five-word similarity 0.8, however many bits the fingerprints differ in."""
+    import corpus_pipeline
+
+    r = random.Random(23)
+    texts = [t for _, t in odd]
+    for _ in range(15):
+        base = prose(r, 120, 4000).split(" ")
+        for _ in range(6):
+            w = list(base)
+            for _ in range(r.randint(0, 4)):
+                w[r.randrange(len(w))] = f"n{r.randrange(9999)}"
+            texts.append(" ".join(w))
+    base = prose(r, 150, 4000).split(" ")
+    for k in range(60):  # more than a small bucket holds
+        texts.append(" ".join([*base[:k], "changed", *base[k + 1 :]]))
+    texts += ["q r s", "q  R s", "", " ", prose(r, 50, 4000)]
+    first = plain_similar(texts)
+    far = [(a, b) for a, b in zip(range(len(texts)), first, strict=True) if (plain_fingerprint(texts[a]) ^ plain_fingerprint(texts[b])).bit_count() > 2]
+    assert len(far) > 20
+    rows = [(10 + k, t) for k, t in enumerate(texts)]
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs(rows), "")
+    assert sorted(x.doc_id for x in kept.collect()) == sorted({10 + k for k in first}) and kept.columns == docs(rows).columns
+    other = [(None, texts[0]), (None, texts[1]), (None, prose(r, 50, 4000)), (None, prose(r, 50, 4000)), (7, texts[-1]), (7, texts[-1]), (7, prose(r, 30, 4000))]
+    got = [(x.doc_id, x.text) for x in similar.keep_one_each(docs(other)).collect()]
+    assert sorted(got, key=str) == sorted({(None, next(t for i, t in got if i is None and not (t or "").split())), *[x for x in other if (x[1] or "").split()]}, key=str)
+    assert similar.keep_one_each(docs([])).count() == 0
+
+
 def test_index_links_as_brute_force():
     """Buckets of every density, small and large, through the tree and past it."""
     r = np.random.default_rng(17)

@@ -216,6 +216,32 @@ def test_pipeline_against_brute_force(spark):
     assert {r.doc_id for r in rows} == set(texts)
 
 
+def test_pipeline_keeps_one_of_similar_texts(spark):
+    """As above, with the near-dedup stage's groups by five-word similarity, and the stages after it."""
+    import corpus_pipeline as p
+    from tests.llm.test_dedup_decontam import plain_contamination, plain_similar
+    from tests.llm.test_scan_pack_print import base, check_packing
+
+    d = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    stages = dict(p.STAGES)
+    now = stages["toxicity"](spark, docs, d)
+    before = {x.doc_id: x.text for x in now.collect()}
+    now = stages["simhash_near_dedup"](spark, now, d)
+    ids, after = sorted(before), {x.doc_id: x.text for x in now.collect()}
+    assert after == {i: before[i] for k, (i, c) in enumerate(zip(ids, plain_similar([before[i] for i in ids]), strict=True)) if c == k}
+    items = [(x.item_id, x.text) for x in spark.read.parquet(f"{d}/benchmark.parquet").collect()]
+    now = stages["decontamination"](spark, now, d)
+    before, after = after, {x.doc_id: x.text for x in now.collect()}
+    assert after == {i: before[i] for i, _, h, _ in plain_contamination(list(before.items()), items) if not h}
+    now = stages["secret_scan"](spark, now, d)
+    before, after = after, {x.doc_id: x.text for x in now.collect()}
+    assert now.schema == docs.schema and after.keys() == before.keys() and all((after[i] == before[i]) == (not base(before[i])) and not base(after[i]) for i in after)
+    rows = p.run(spark, d).collect()
+    check_packing(rows, after, 2048)
+    assert {r.doc_id for r in rows} == set(after)
+
+
 def test_rest_imports_without_this_subpackage(tmp_path):
     """The library doesn't need the text operators."""
     import os

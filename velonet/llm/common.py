@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velonet.operators.scratch import shared_folder
+from velonet.operators.scratch import shared_folder, written
 
 #: Stands for a null doc_id where ids are compared: after every other id.
 NO_ID = 2**63 - 1
@@ -39,6 +39,24 @@ def text_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return texts(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
 
 
+def text_node(text_col: str = "text") -> F.Column:
+    """A hash of the text's bytes; a null text is the empty text."""
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"))
+
+
+def keep_first(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """docs with one row of each group: the one with the least doc_id (null after all), then the least text node.
+
+    rows: doc_id, node, component of every row. Only ids and nodes of rows that stay cross the join with the texts."""
+    named = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.col("node").alias("__node"), "component")
+    counted = named.groupBy("component", "__id", "__node").agg(F.count("*").alias("copies"))
+    stay = written(counted.groupBy("component").agg(F.min(F.struct("__id", "__node", "copies")).alias("r")).select("r.*"), "stay")
+    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "__node": text_node()}).join(stay.select("__id", "__node"), ["__id", "__node"], "left_semi")
+    if not stay.where("copies > 1").isEmpty():
+        keyed = keyed.dropDuplicates(["__id", "__node"])
+    return keyed.select(*docs.columns)
+
+
 def by_size(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in slices of `limit` bytes of text (or items of a list) at most, or one row, so that memory doesn't follow
     the rows of a batch."""
