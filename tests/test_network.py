@@ -153,6 +153,38 @@ def test_element_numbers(spark):
     assert {x.id: (x.beginnt_bei_vp, x.endet_bei_vp, x.element_nr) for x in got} == plain_numbers(lines, nodes)
 
 
+def test_reach_from_every_node(spark):
+    """The registered query, and a chain longer than the limit, against a breadth-first walk."""
+    from velonet.plans.queries import QUERIES
+
+    def plain(edges, limit=50):
+        adj = defaultdict(set)
+        for a, b in edges:
+            adj[a].add(b)
+            adj[b].add(a)
+        out = set()
+        for s in adj:
+            hops, queue = {s: 0}, deque([s])
+            while queue:
+                p = queue.popleft()
+                for q in adj[p] if hops[p] < limit else ():
+                    if q not in hops:
+                        hops[q] = hops[p] + 1
+                        queue.append(q)
+            out |= {(s, n, h) for n, h in hops.items()}
+        return out
+
+    sf = "/root/testdata/sf0.001"
+    parts = [r.p_partkey for r in spark.read.parquet(f"{sf}/part.parquet").select("p_partkey").collect()]
+    want = plain([(k, (k * 7 + 3) % (2 * len(parts))) for k in parts])
+    got = [tuple(r) for r in QUERIES["chain_reachability_from_every_node"](spark, sf).select("start", "node", "hops").collect()]
+    assert len(got) == len(want) and set(got) == want
+    chain = [(k, k + 1) for k in range(53)] + [(60, 61), (61, 60), (62, 62)]
+    e = spark.createDataFrame(chain, "src long, dst long")
+    got = [tuple(r) for r in graph.reach(e, e.selectExpr("explode(array(src, dst)) start")).select("start", "node", "hops").collect()]
+    assert set(got) == plain(chain) and (0, 50, 50) in got and len(got) == len(set(got))
+
+
 def test_sets(spark):
     a = spark.createDataFrame([(1, 1, "x"), (2, 2, "y"), (2, 3, "z")], "id long, seq long, a string")
     b = spark.createDataFrame([(2, 1, 5), (3, 2, 6)], "id long, seq long, b int")

@@ -358,6 +358,15 @@ def chain_reachability(spark, sf_dir):
     return graph.reach(e, p.where("p_size = 1").select(F.col("p_partkey").alias("start")), 4)
 
 
+@query()
+def chain_reachability_from_every_node(spark, sf_dir):
+    """The whole walk: from every node, to the operator's default depth of 50; tests compare with a breadth-first walk."""
+    p = read(spark, sf_dir, "part")
+    n = p.count()
+    e = p.select(F.col("p_partkey").alias("src"), F.expr(f"(p_partkey * 7 + 3) % {2 * n}").alias("dst"))
+    return graph.reach(e, e.select(F.explode(F.array("src", "dst")).alias("start")))
+
+
 _CLUST = f"with recursive {POINTS}, b as (select a.id x, b.id y from sp a join sp b on pow(a.x - b.x, 2) + pow(a.y - b.y, 2) <= 60 * 60), r(id, c) as (select id, id from sp union select y, c from r join b on r.id = b.x), cl as (select id, min(c) \"cluster\" from r group by 1)"
 
 
