@@ -137,6 +137,23 @@ def test_simhash(spark, docs, odd):
     assert simhash.near_duplicates(docs([])).count() == 0 and simhash.keep_one_each(docs([])).count() == 0
 
 
+def test_simhash_without_ids(spark, docs):
+    """Null ids, and ids that several texts share, join nothing; each group keeps one row."""
+    r = random.Random(29)
+    a, b, c, d = (prose(r, 200, 900) for _ in range(4))
+    near = lambda t: next(x for x in (t.replace(w, "other", 1) for w in t.split()) if (plain_fingerprint(x) ^ plain_fingerprint(t)).bit_count() in (1, 2))
+    rows = [(None, a), (None, b), (None, c), (None, c), (None, near(c)), (7, near(a)), (9, near(b)), (3, d), (3, prose(r, 90, 900)), (3, d)]
+    comp = plain_components([plain_fingerprint(t) for _, t in rows])
+    least = {}
+    for (i, _), k in zip(rows, comp, strict=True):
+        least[k] = min(least.get(k, 2**63), 2**63 if i is None else i)
+    got = [(x.doc_id, x.fingerprint, x.component_id) for x in simhash.near_duplicates(docs(rows)).collect()]
+    assert sorted(got, key=str) == sorted(((i, f"{plain_fingerprint(t):016x}", None if least[k] == 2**63 else least[k]) for (i, t), k in zip(rows, comp, strict=True)), key=str)
+    assert {x[2] for x in got if x[0] in (7, 9)} == {7, 9}
+    kept = [(x.doc_id, x.text) for x in simhash.keep_one_each(docs(rows)).collect()]
+    assert len(kept) == len(least) and {(7, near(a)), (9, near(b)), (3, d)} <= set(kept) and sum(i is None for i, _ in kept) == 1
+
+
 def plain_similar(texts):
     """The place of the first text of each text's group."""
     sets, parent = [], list(range(len(texts)))

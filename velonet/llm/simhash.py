@@ -10,7 +10,8 @@ mask). Two nodes whose shared bits differ in more than LIMIT places are pruned a
 differ in more are linked as a whole; else their children are compared. A bucket returns a spanning forest, not all pairs.
 
 Defined cases: a null or empty text has no words and fingerprint zero, linked like any other; fewer than SHINGLE words
-are one shingle; repeated rows give a row each; a null id never names a component unless it has no other; empty in, empty out.
+are one shingle; repeated rows give a row each; a null id never names a component unless it has no other; rows that share an id,
+or have none, are joined by their fingerprints only; empty in, empty out.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velonet.llm.common import NO_ID, by_size, text_bytes
+from velonet.llm.common import by_size, keep_first, text_bytes, text_node
 from velonet.operators.graph import least_reachable
 from velonet.operators.scratch import written
 
@@ -50,14 +51,14 @@ def fingerprint(text: bytes, n: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, n: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): a row for each row of docs; fp is the fingerprint's 64 bits as a long."""
+    """(doc_id, node, fp): a row for each row of docs; node is a hash of its text, fp the fingerprint's 64 bits as a long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_size(batches):
             fp = np.array([fingerprint(t, n) for t in b["text"].to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["node"], pa.array(fp.view(np.int64))], names=["doc_id", "node", "fp"])
 
-    return text_bytes(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    return text_bytes(docs, id_col, text_col).withColumn("node", text_node()).mapInArrow(run, "doc_id long, node long, fp long")
 
 
 def masks(limit: int = LIMIT) -> list[int]:
@@ -182,22 +183,26 @@ def links(distinct: DataFrame, limit: int = LIMIT) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
+def _labelled(docs: DataFrame, n: int, limit: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(doc_id, node, fp) of each row, and (fp, component, id): the component's least fingerprint, the least id at fp."""
+    fps = written(fingerprints(docs, n, id_col, text_col), "fingerprints")
+    distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("id")), "distinct")
+    found = least_reachable(links(distinct.select("fp", F.col("fp").alias("id")), limit)).withColumnRenamed("id", "fp")
+    return fps, distinct.join(found, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"), "id")
+
+
 def near_duplicates(docs: DataFrame, n: int = SHINGLE, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of docs: doc_id, fp (long), fingerprint (16 hex digits), component_id (the least doc_id reachable)."""
-    fps = written(fingerprints(docs, n, id_col, text_col), "fingerprints")
-    distinct = fps.groupBy("fp").agg(F.coalesce(F.min("doc_id"), F.lit(NO_ID)).alias("id"))
-    found = least_reachable(links(distinct, limit))
+    fps, of = _labelled(docs, n, limit, id_col, text_col)
+    of = written(of, "components")
+    named = of.groupBy("component").agg(F.min("id").alias("component_id"))
     # written, so that the join below reads both sides as they come and may split a fingerprint that very many rows share
-    label = written(distinct.join(found, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id")), "labels")
+    label = written(of.join(named, "component").select("fp", "component_id"), "labels")
     out = fps.join(label, "fp", "left")
-    return out.select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.nullif("component_id", F.lit(NO_ID)).alias("component_id"))
+    return out.select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one_each(docs: DataFrame, n: int = SHINGLE, limit: int = LIMIT) -> DataFrame:
-    """docs with one row of each near-duplicate group: the one whose doc_id names it (rows that share that id are one document).
-
-    Only the ids of rows that stay cross the join with the texts."""
-    found = near_duplicates(docs, n, limit)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id")).distinct()
-    out = docs.join(stay, F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == stay["__id"], "left_semi")
-    return out
+    """docs with one row of each near-duplicate group; see keep_first()."""
+    fps, of = _labelled(docs, n, limit)
+    return keep_first(docs, fps.join(written(of, "labels"), "fp").select("doc_id", "node", "component"))
