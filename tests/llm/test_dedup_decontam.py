@@ -52,6 +52,17 @@ def test_decontamination(spark, docs, odd, block_bytes):
     assert sorted((x.doc_id for x in kept.collect()), key=str) == sorted(clean, key=str) and kept.columns == docs(rows).columns
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 100])
+def test_decontamination_by_items_without_an_id(spark, docs, block_bytes):
+    r = random.Random(31)
+    p, q = prose(r, 14, 900), prose(r, 14, 900)
+    b = spark.createDataFrame([(None, p), (5, q), (None, q), (None, None)], "item_id long, text string")
+    d = docs([(1, f"a b {p} c"), (2, f"a {q} b"), (3, "a b c"), (4, f"{p} {q}")])
+    got = {x.doc_id: (x.n_hit, x.n_items, x["items"], x.contaminated) for x in decontam.find_contamination(d, b, block_bytes=block_bytes).collect()}
+    assert got == {1: (14, 0, [], True), 2: (14, 1, ["5"], True), 3: (0, 0, [], False), 4: (28, 1, ["5"], True)}
+    assert [x.doc_id for x in decontam.remove_contaminated(d, b, block_bytes=block_bytes).collect()] == [3]
+
+
 def test_decontamination_of_nothing(spark, docs, odd):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.find_contamination(docs(odd), none).where("contaminated").count() == 0

@@ -5,8 +5,9 @@ of a test item; an item with fewer words, but some, is one window. A document wo
 Windows are met by hash and verified word by word. The test set goes to the tasks in blocks of bounded size, one pass over
 the texts for each block; hits of several blocks are joined by position.
 
-Defined cases: null or empty texts have no words and aren't contaminated; null or empty items have no windows; repeated
-rows of documents give a row each, repeated items count once; empty tables give empty results or clean documents.
+Defined cases: null or empty texts have no words and aren't contaminated; null or empty items have no windows; an item
+without an id hits and removes like any other, but isn't among items and n_items; repeated rows of documents give a row each,
+repeated items count once; empty tables give empty results or clean documents.
 """
 
 from __future__ import annotations
@@ -38,9 +39,9 @@ class TestSet:
 
     __test__ = False
 
-    def __init__(self, items: list[tuple[str, bytes]], n: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes]], n: int = WINDOW):
         self.number: dict[bytes, int] = {}
-        by_length: dict[int, dict[tuple[int, ...], set[str]]] = defaultdict(lambda: defaultdict(set))
+        by_length: dict[int, dict[tuple[int, ...], set[str | None]]] = defaultdict(lambda: defaultdict(set))
         for item, text in items:
             w = [self.number.setdefault(x, len(self.number) + 1) for x in words(text)]
             m = min(n, len(w))
@@ -63,7 +64,7 @@ class TestSet:
             h ^= h >> np.uint64(29)
         return h
 
-    def hits(self, texts: list[bytes]) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
+    def hits(self, texts: list[bytes]) -> list[tuple[int, list[tuple[int, int]], set[str | None]]]:
         """Of each text: words, hit (first, after last) word ranges, items. Words unknown to the test set are number 0."""
         get, counts, numbers = self.number.get, [], []
         for t in texts:
@@ -73,7 +74,7 @@ class TestSet:
         ids, ends = np.array(numbers, np.uint64), np.cumsum(counts)
         owner_start = ends - counts
         ranges: list[list[tuple[int, int]]] = [[] for _ in texts]
-        items: list[set[str]] = [set() for _ in texts]
+        items: list[set[str | None]] = [set() for _ in texts]
         for m, (found, seen) in self.hashes.items():
             if len(ids) < m:
                 continue
@@ -99,9 +100,9 @@ def _covered(ranges: list[tuple[int, int]]) -> int:
     return n
 
 
-def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str, bytes]]]:
+def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str | None, bytes]]]:
     """The test set in parts of about block_bytes at most, dealt out by a hash of the text; each is brought to the driver by itself."""
-    b = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("binary").alias("text")).where("item is not null and text is not null")
+    b = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("binary").alias("text")).where("text is not null")
     total = b.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     n = -(-total // block_bytes)
     for k in range(n):
@@ -123,7 +124,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, i
                 found = tests.hits(texts)
                 keys = [hashlib.sha256(t).digest() if several else None for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [b["doc_id"], pa.array(keys, pa.binary()), pa.array([c for c, _, _ in found], pa.int64()), pa.array([_covered(r) for _, r, _ in found], pa.int64()), pa.array([sorted(i) for _, _, i in found], pa.list_(pa.string()))]
+                    [b["doc_id"], pa.array(keys, pa.binary()), pa.array([c for c, _, _ in found], pa.int64()), pa.array([_covered(r) for _, r, _ in found], pa.int64()), pa.array([sorted(i - {None}) for _, _, i in found], pa.list_(pa.string()))]
                     + [pa.array([[{"start": s, "end": e} for s, e in sorted(set(r))] for _, r, _ in found], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
                     names=["doc_id", "key", "n_words", "n_hit", "items", "spans"],
                 )
