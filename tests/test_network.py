@@ -153,6 +153,19 @@ def test_element_numbers(spark):
     assert {x.id: (x.beginnt_bei_vp, x.endet_bei_vp, x.element_nr) for x in got} == plain_numbers(lines, nodes)
 
 
+def test_element_groups_end_at_nodes(spark):
+    """One connected street with a node at each fifth place: groups are the stretches between nodes, numbers those of the walk."""
+    lines = {k: ((k * 10.0, 0.0), (k * 10.0 + 10.0, 0.0)) for k in range(100)} | {100 + k: ((k * 10.0, 0.0), (k * 10.0, 10.0)) for k in range(0, 100, 7)}
+    nodes = [(f"n{k}", k * 50.0, 0.0) for k in range(21)]
+    at = {(x, y): n for n, x, y in nodes}
+    rows = [(k, str(s), str(e), at.get(s), at.get(e)) for k, (s, e) in lines.items()]
+    got = {r.id: r.component for r in graph.stretches(spark.createDataFrame(rows, "id long, s_at string, e_at string, s_node string, e_node string"), "id").collect()}
+    assert len(got) == len(lines) and got[0] == got[4] != got[5] and max(list(got.values()).count(c) for c in got.values()) <= 7
+    df = spark.createDataFrame([(k, [list(v)]) for k, v in lines.items()], f"id long, {LINE}")
+    out = graph.element_numbers(df, spark.createDataFrame(nodes, "node string, x double, y double"), "id", "node").collect()
+    assert {x.id: (x.beginnt_bei_vp, x.endet_bei_vp, x.element_nr) for x in out} == plain_numbers(lines, nodes)
+
+
 def test_reach_from_every_node(spark):
     """The registered query, and a chain longer than the limit, against a breadth-first walk."""
     from velonet.plans.queries import QUERIES
