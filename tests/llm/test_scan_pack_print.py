@@ -69,6 +69,25 @@ def test_redaction(spark, docs, odd):
     assert all(not base(r.text or "") for r in got.values())
 
 
+def test_redaction_takes_its_spans_from_the_scan(spark, docs, monkeypatch):
+    """Each distinct content is scanned once, by the operator; spans that overlap are masked once."""
+    calls, scan = [], secret_scan.scan_secrets
+    monkeypatch.setattr(secret_scan, "scan_secrets", lambda *a, **k: calls.append(1) or scan(*a, **k))
+    texts = [*secret_texts(), "token=deadbeefdeadbeefdeadbeef00", "none", "", None]
+    rows = [*enumerate(texts), (None, "token=abcdefgh1"), *enumerate(texts)]
+
+    def plain(t):
+        keep, at = "", 0
+        for _, s, e in base(t or ""):
+            if e > at:
+                keep += t[at:s] + "[SECRET]" if s >= at else ""
+                at = e
+        return keep + t[at:] if at else t
+
+    got = [(r.doc_id, r.text) for r in secret_scan.redact(docs(rows)).collect()]
+    assert calls and sorted(got, key=str) == sorted(((i, plain(t)) for i, t in rows), key=str)
+
+
 def test_tokens_are_the_librarys():
     e = Encoder(default_path())
     texts = ["", "a", "don't it's I'LL", "x <|endoftext|> y", "é É́ ﬁ Σας İstanbul", "a\tb\x0bc", "1234 12a 3.5 $$$", "naïve?!) ÿ µ ª º ×÷", "The the THE, (the)...", "\n\n \n", "日本語"] * 2

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velonet.llm.common import by_size, scratch_path, texts
+from velonet.operators.scratch import written
 
 
 @dataclass(frozen=True)
@@ -134,21 +135,26 @@ def scan_with_ledger(docs: DataFrame, ledger_path: str, rules: tuple[Rule, ...]
 def redact(docs: DataFrame, mask: str = "[SECRET]", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """docs with every found span of `text` replaced by the mask and n_chars brought up to date; nothing else changes.
 
-    The texts don't move: the scan runs where each row is. mask must not match a rule."""
+    The spans are scan_secrets()'s, each distinct content scanned once; only findings that aren't empty are joined to docs, on
+    the content's hash. mask must not match a rule."""
+    found, _ = scan_secrets(docs, rules=rules)
+    spans = written(found.where(F.size("spans") > 0).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")).dropDuplicates(["__blob"]), "findings")
+    joined = docs.withColumn("__blob", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).join(spans, "__blob", "left").select(*docs.columns, "__spans")
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_size(batches):
             out = []
-            for t in b["text"].to_pylist():
+            for t, own in zip(b["text"].to_pylist(), b["__spans"].to_pylist(), strict=True):
                 done, at = [], 0
-                for _, s, e in find(t, rules) if t else []:
+                for s, e in ((x["start"], x["end"]) for x in own or []):
                     if e > at:
                         done += [t[at:s], mask] if s >= at else []
                         at = e
                 out.append("".join(done) + t[at:] if done else t)
+            b = b.drop_columns(["__spans"])
             yield b.set_column(b.schema.get_field_index("text"), b.schema.field("text"), pa.array(out, b.schema.field("text").type))
 
-    out = docs.mapInArrow(clean, docs.schema)
+    out = joined.mapInArrow(clean, docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return out
