@@ -43,6 +43,13 @@ def test_lm_scores(spark, docs, odd, labels, limit):
     assert all(np.isfinite(x.score) for x in lm_score.cross_entropy_difference(docs(rows), labels.where("doc_id < 0")).collect())
 
 
+def test_lm_scores_are_the_same_by_both_ways(spark, docs, labels):
+    r = random.Random(6)
+    rows = [(k, " ".join(r.choice(["red", "green", "blue", "Berlin"]) for _ in range(r.randint(1, 30)))) for k in range(40)]
+    a, b = ({x.doc_id: x.score for x in lm_score.cross_entropy_difference(docs(rows), labels, broadcast_rows=n).collect()} for n in (10**6, 0))
+    assert a.keys() == b.keys() and any(a.values()) and all(abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
 def test_ordinal_fit_recovers_order():
     r = np.random.default_rng(3)
     x = r.normal(size=(600, 4))

@@ -7,7 +7,7 @@ the target.
 
 Texts are tokenized once, into a table that counting and scoring read. Counts cover all rows; they are summed per batch and
 per task before the shuffle, so frequent bigrams don't skew it. The loss-difference table goes to the tasks if it has at most BROADCAST_ROWS rows, else documents' distinct bigrams are
-joined with it by a shuffle; results are equal. Defined cases: a null or empty text has no tokens and score 0; rows
+joined with it by a shuffle; both add the same doubles. Defined cases: a null or empty text has no tokens and score 0; rows
 without a label aren't targets; repeated rows count and are scored each; without targets, the target model is the vocabulary's even
 distribution; an empty table gives an empty result.
 """
@@ -26,7 +26,7 @@ from velonet.llm.tokens import default_path, encoder
 from velonet.operators.scratch import discard, written
 
 DISCOUNT, START = 0.75, 49406
-#: 12 bytes each: at most 48 MB to every executor.
+#: 16 bytes each: at most 64 MB to every executor.
 BROADCAST_ROWS = 4_000_000
 _WIDE = np.int64(1 << 20)
 #: Tokens that a task works on at a time.
@@ -104,7 +104,7 @@ def score_documents(tokens: DataFrame, deltas: DataFrame, broadcast_rows: int =
     d = tokens.select("doc_id", "ids")
     if deltas.count() <= broadcast_rows:
         t = deltas.toArrow().sort_by("bigram")
-        shared = tokens.sparkSession.sparkContext.broadcast((t["bigram"].to_numpy(), t["delta"].to_numpy().astype(np.float32)))
+        shared = tokens.sparkSession.sparkContext.broadcast((t["bigram"].to_numpy(), t["delta"].to_numpy()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known, delta = shared.value
