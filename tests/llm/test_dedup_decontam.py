@@ -102,6 +102,31 @@ def test_substring_dedup(spark, docs, odd):
         substring_dedup.remove_repeats(docs([]), cover=(0, 1))
 
 
+def test_substring_dedup_of_words_that_polynomial_hashes_confuse(spark, docs):
+    """The letters of the Thue-Morse sequence and their complement collide under every odd base modulo 2 ** 64."""
+    a = "".join("ab"[k.bit_count() % 2] for k in range(1024))
+    b, rest = a.translate(str.maketrans("ab", "ba")), " ".join(f"w{k}" for k in range(12))
+    rows = [(1, f"{a} {rest}"), (2, f"{b} {rest}"), (3, f"{rest} {a} {rest}")]
+    got = substring_dedup.kept_digest(substring_dedup.remove_repeats(docs(rows))).collect()
+    assert sorted((tuple(x) for x in got), key=str) == plain_repeats(rows)
+    assert {x.doc_id: x.n_removed for x in got} == {1: 0, 2: 0, 3: 13}
+
+
+@pytest.mark.parametrize("chunk_bytes", [300, 1 << 30])
+def test_substring_dedup_in_chunks_of_any_size(spark, docs, chunk_bytes):
+    """Ids that many rows share, equal rows and null ids, in one chunk a row and in one for all."""
+    r = random.Random(41)
+    p = [prose(r, 30, 300) for _ in range(4)]
+    rows = [(i, f"{prose(r, 5, 300)} {r.choice(p)} {prose(r, r.randint(0, 5), 300)}") for i in [5] * 30 + [None] * 20 + [*range(1, 15)]]
+    rows += [(2, p[0])] * 25
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        got = substring_dedup.kept_digest(substring_dedup.remove_repeats(docs(rows), chunk_bytes=chunk_bytes)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert sorted((tuple(x) for x in got), key=str) == plain_repeats(rows)
+
+
 def plain_fingerprint(t):
     w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOW))
     g = [" ".join(w[k : k + 3]) for k in range(len(w) - 2)] or ([" ".join(w)] if w else [])

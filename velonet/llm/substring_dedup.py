@@ -5,21 +5,35 @@ covered by a window whose words also start in a document with a smaller id is re
 
 Which windows can repeat is found from anchors: windows of WINDOW - PERIOD + 1 words, hashed only at positions whose
 remainder by PERIOD lies in a difference cover. Any two equal windows share, at one and the same shift, an anchor at a
-cover position of both. Three steps, each a shuffle of packed hashes (documents lie in chunks; texts are shuffled once):
-
-1. anchors: a chunk sends its distinct anchors (32 bits within a bucket), twice if two of its documents hold it; the
-   bucket answers which are held by two documents or more;
-2. extension: a chunk sends the 128-bit hashes of whole windows around such anchors, with the least id that has each; the
-   bucket answers which windows a smaller id of another chunk has;
-3. removal, from these answers and the chunk's own windows.
-
-A passage that very many documents share is sent once per chunk, so no bucket grows with its copies; false anchors only
-cost an extension. Defined cases: null or empty texts have no words; rows that share an id are one document and don't
-remove each other's windows; a null id counts as after all others; an empty table gives an empty result.
+cover position of both. Documents lie in chunks, which shuffle their texts once; then
+
+1. anchors: a chunk sends its distinct anchors to buckets, a bucket answers with a bit each: does another chunk have it;
+2. extension: a chunk sends the hashes of its distinct windows around shared anchors, with the least id that has each; a
+   bucket answers with a bit each: has a smaller id of another chunk the window;
+3. removal, from these bits and the chunk's own windows.
+
+Equality: every distinct word gets 128 bits from a hash keyed anew in each run, and a window the chain of its words' bits,
+each step of which is a bijection of the word. So two windows that differ in a word are taken for equal with a probability
+of 2 ** -96 through the number of buckets (what a bucket compares), whatever the words, for no one can choose words against
+the key. Within a chunk windows are compared by 128 bits, then word by word. Anchors are only met by 32 bits within a bucket; a false one
+costs an extension.
+
+Sizes: chunks and buckets are as many as the input has CHUNK_BYTES, so neither a chunk, a bucket nor a task grows with the
+input; several share a task past PARTS. A passage that very many documents share is sent once per chunk, so no bucket grows
+with its copies. A chunk is chosen by id, text and the partition that the row was read in, so rows that share an id (or have
+none), equal ones too, spread.
+
+Defined cases: null or empty texts have no words; rows that share an id are one document and don't remove each other's
+windows; a null id counts as after all others; a very long text is one row of one chunk, whole; other columns, whatever their
+names, aren't read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import hashlib
+import itertools
+import secrets
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,219 +46,206 @@ from velonet.llm.common import NO_ID, shuffle_partitions, text_bytes
 WINDOW, PERIOD = 13, 7
 #: Each remainder by PERIOD is a difference of two of these.
 COVER = (0, 1, 3)
-#: Chunks of documents for each shuffle partition: what a task holds at a time is one chunk. There are half as many buckets
-#: as partitions, since every chunk writes to every bucket.
-CHUNKS = 8
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = h ^ (h >> np.uint64(31))
-    h = h * np.uint64(0x7FB5D329728EA185)
-    return h ^ (h >> np.uint64(29))
-
-
-def _table(base: int) -> np.ndarray:
-    """A value for each byte, from the base alone."""
-    return _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(base))
-
-
-_powers: dict[tuple[int, int], np.ndarray] = {}
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    """base ** 0..n-1 modulo 2 ** 64; grown as needed."""
-    size = 1 << max(16, (n - 1).bit_length())
-    have = _powers.get((base, 0))
-    if have is None or len(have) < n:
-        have = np.full(size, base, np.uint64)
-        have[0] = 1
-        np.multiply.accumulate(have, out=have)
-        _powers[base, 0] = have
-    return have
+#: Bytes of text in a chunk: what a task holds at a time.
+CHUNK_BYTES = 16 << 20
+#: Tasks of a step at most; past it, a task takes several chunks one after the other.
+PARTS = 20_000
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_ANCHORS, _WINDOWS = 0, 1
+_SIGN = np.uint64(1 << 63)
 
 
 class Words:
-    """The words of several texts in one buffer, joined by single blanks, with hashes of any run of them."""
-
-    def __init__(self, texts: list[bytes]):
-        parts = [t.split() for t in texts]
-        self.counts = np.array([len(p) for p in parts], np.int64)
-        self.parts = parts
-        joined = b" ".join([b" ".join(p) for p in parts if p])
-        self.bytes = np.frombuffer(joined, np.uint8)
-        blanks = np.flatnonzero(self.bytes == 32)
-        self.start = np.concatenate([[0], blanks + 1]).astype(np.int64) if len(joined) else np.zeros(0, np.int64)
-        self.end = np.concatenate([blanks, [len(joined)]]).astype(np.int64) if len(joined) else np.zeros(0, np.int64)
-        self.doc = np.repeat(np.arange(len(parts)), self.counts)
+    """The words of several texts as numbers, with 128 keyed bits for each."""
+
+    def __init__(self, texts: list[bytes], key: bytes):
+        number: dict[bytes, int] = defaultdict(itertools.count().__next__)
+        self.parts = [t.split() for t in texts]
+        self.counts = np.array([len(p) for p in self.parts], np.int64)
+        self.number = np.array(list(map(number.__getitem__, itertools.chain.from_iterable(self.parts))), np.int64)
+        bits = np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=16, key=key).digest() for w in number), np.uint64).reshape(-1, 2)
+        self.bits = [bits[self.number, k] if len(bits) else np.zeros(0, np.uint64) for k in (0, 1)]
+        self.doc = np.repeat(np.arange(len(self.parts)), self.counts)
         first = np.cumsum(self.counts) - self.counts
         self.pos = np.arange(len(self.doc)) - first[self.doc]
-        self._sums: dict[int, np.ndarray] = {}
 
     def starts(self, n: int) -> np.ndarray:
         """Numbers of the words at which a run of n words of one document begins."""
         return np.flatnonzero(self.pos + n <= self.counts[self.doc])
 
-    def hash(self, at: np.ndarray, n: int, base: int) -> np.ndarray:
-        if base not in self._sums:
-            sums = np.zeros(len(self.bytes) + 1, np.uint64)
-            np.cumsum(_table(base)[self.bytes] * _power(base, len(self.bytes))[: len(self.bytes)], out=sums[1:])
-            self._sums[base] = sums
-        sums, s, e = self._sums[base], self.start[at], self.end[at + n - 1]
-        inverse = pow(base, -1, 1 << 64)
-        return _mix((sums[e] - sums[s]) * _power(inverse, len(self.bytes) + 1)[s])
+    def hash(self, at: np.ndarray, n: int, half: int) -> np.ndarray:
+        """Of the n words from each of `at` on."""
+        h, bits = np.zeros(len(at), np.uint64), self.bits[half]
+        for k in range(n):
+            h ^= bits[at + k]
+            h *= _STEP
+            h ^= h >> np.uint64(32)
+        return h
 
 
-def _anchors(w: Words, window: int, period: int, cover: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the words where anchors begin, and their hashes."""
+def _anchors(w: Words, window: int, period: int, cover: tuple[int, ...], n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the words where anchors begin; for each its bucket (upper half) and 32 bits (lower half)."""
     n = window - period + 1
     at = w.starts(n)
     at = at[np.isin(w.pos[at] % period, cover)]
-    return at, w.hash(at, n, _BASES[0])
+    h = w.hash(at, n, 0)
+    return at, ((h >> np.uint64(32)) % np.uint64(n_buckets)) << np.uint64(32) | h & np.uint64(0xFFFFFFFF)
+
 
+def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first, after last) of each run of equal values."""
+    cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
+    yield from zip([0, *cuts.tolist()], [*cuts.tolist(), len(values)], strict=True) if len(values) else ()
 
-def _by_bucket(h: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of h, sorted within a bucket, for each bucket that has any. The bucket comes from the upper half."""
-    b = ((h >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
-    order = np.lexsort((h & np.uint64(0xFFFFFFFF), b))
-    cuts = np.flatnonzero(np.diff(b[order])) + 1
-    for part in np.split(order, cuts) if len(order) else []:
-        yield int(b[part[0]]), part
 
+_BLOB = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("bucket", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
+_BLOB_SQL = "part int, chunk int, bucket int, kind int, data binary"
 
-_BLOB = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("data", pa.binary())])
 
+def _rows(rows: list[tuple[int, int, int, bytes]], parts: int, to: str) -> pa.Table:
+    """Rows (chunk, bucket, kind, data), for the task of the chunk or of the bucket."""
+    part = [r[0 if to == "chunk" else 1] % parts for r in rows]
+    return pa.table([pa.array(part, pa.int32()), *[pa.array([r[k] for r in rows], t) for k, t in enumerate(_BLOB.types[1:])]], schema=_BLOB)
 
-def _rows(rows: list[tuple[int, int, bytes]]) -> pa.Table:
-    return pa.table([pa.array([r[k] for r in rows], t.type) for k, t in enumerate(_BLOB)], schema=_BLOB)
 
+def _bits(answer: pa.Table, kind: int) -> dict[int, np.ndarray]:
+    """Of each bucket that answered: its bits, some zeros after them."""
+    own = answer.filter(pa.array(np.equal(answer["kind"].to_numpy(), kind)))
+    return {b: np.unpackbits(np.frombuffer(d, np.uint8)).view(bool) for b, d in zip(own["bucket"].to_pylist(), own["data"].to_pylist(), strict=True)}
 
-def _owned(t: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """All blobs' 64-bit (or 32-bit) values, `width` to a record, and the chunk of each record."""
-    blobs, chunks = t["data"].to_pylist(), t["chunk"].to_numpy()
-    kind = np.uint32 if width == 0 else np.uint64
-    data = np.frombuffer(b"".join(blobs), kind)
-    step = 4 if width == 0 else 8 * width
-    return (data if width == 0 else data.reshape(-1, width)), np.repeat(chunks, [len(b) // step for b in blobs])
 
+def _answered(buckets: np.ndarray, bits: dict[int, np.ndarray]) -> np.ndarray:
+    """The bits of records that are sorted by bucket, as they were sent."""
+    out = np.zeros(len(buckets), bool)
+    for s, e in _runs(buckets):
+        out[s:e] = bits[int(buckets[s])][: e - s]
+    return out
 
-def _answer(t: pa.Table, owner: np.ndarray, values: np.ndarray) -> pa.Table:
-    """values (sorted by nothing in particular) back to their chunks."""
-    order = np.argsort(owner, kind="stable")
-    owner, values = owner[order], values[order]
-    bucket = t["bucket"][0].as_py()
-    cuts = np.flatnonzero(np.diff(owner)) + 1
-    groups = zip(np.split(owner, cuts), np.split(values, cuts), strict=True) if len(owner) else []
-    return _rows([(int(o[0]), bucket, v.tobytes()) for o, v in groups])
 
+def same_words(w: Words, at: np.ndarray, first: np.ndarray, window: int) -> np.ndarray:
+    """first (of each window of `at`, sorted by hash: whether a new hash begins) with those added whose words differ from
+    the one before."""
+    out = first.copy()
+    for k in range(window):
+        out[1:] |= w.number[at[1:] + k] != w.number[at[:-1] + k]
+    return out
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD, cover: tuple[int, ...] = COVER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD, cover: tuple[int, ...] = COVER, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept (the kept words joined by one blank)."""
     if {(a - b) % period for a in cover for b in cover} != set(range(period)) or window <= period:
         raise ValueError("cover must be a difference cover of period, and window longer than period")
-    n = shuffle_partitions(docs.sparkSession)
-    n_chunks, n_buckets = CHUNKS * n, max(1, n // 2)
-    d = text_bytes(docs, id_col, text_col).select(F.pmod(F.xxhash64("doc_id"), F.lit(n_chunks)).cast("long").alias("chunk"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
-    schema = "chunk long, bucket long, data binary"
+    d = text_bytes(docs, id_col, text_col)
+    size = d.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    n = max(shuffle_partitions(docs.sparkSession), -(-size // chunk_bytes))
+    parts, key = min(n, PARTS), secrets.token_bytes(16)
+    d = d.select(F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(n)).cast("int").alias("chunk"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
+    d = d.select((F.col("chunk") % parts).alias("part"), "*").repartitionById(parts, "part")
 
     def load(t: pa.Table) -> tuple[int, np.ndarray, Words]:
-        return (t["chunk"][0].as_py() if t.num_rows else -1), t["doc_id"].to_numpy(), Words(t["text"].to_pylist())
+        return t["chunk"][0].as_py(), t["doc_id"].to_numpy(), Words(t["text"].to_pylist(), key)
+
+    def own_anchors(w: Words, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Words where anchors begin and their keys; the distinct keys in order, and which of them two documents here have."""
+        at, keys = _anchors(w, window, period, cover, n)
+        distinct, where = np.unique(keys, return_inverse=True)
+        own = ids[w.doc[at]]
+        least, most = np.full(len(distinct), NO_ID), np.full(len(distinct), -NO_ID - 1)
+        np.minimum.at(least, where, own)
+        np.maximum.at(most, where, own)
+        return at, where, distinct, least < most
 
     def send_anchors(t: pa.Table) -> pa.Table:
         chunk, ids, w = load(t)
-        at, h = _anchors(w, window, period, cover)
-        own = ids[w.doc[at]]
-        order = np.lexsort((own, h))
-        h, own = h[order], own[order]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (own[1:] != own[:-1])  # of a document, an anchor counts once
-        h = h[new]
-        rank = np.arange(len(h)) - np.maximum.accumulate(np.where(np.r_[True, h[1:] != h[:-1]], np.arange(len(h)), 0)) if len(h) else np.zeros(0, np.int64)
-        h = h[rank < 2]
-        return _rows([(chunk, b, h[p].astype(np.uint32).tobytes()) for b, p in _by_bucket(h, n_buckets)])
+        distinct = own_anchors(w, ids)[2]
+        low = distinct.astype(np.uint32)
+        return _rows([(chunk, int(distinct[s] >> np.uint64(32)), _ANCHORS, low[s:e].tobytes()) for s, e in _runs(distinct >> np.uint64(32))], parts, "bucket")
 
     def shared_anchors(t: pa.Table) -> pa.Table:
-        h, owner = _owned(t, 0)
+        blobs = t["data"].to_pylist()
+        ends = np.cumsum([len(b) // 4 for b in blobs])
+        h = np.frombuffer(b"".join(blobs), np.uint32)
         order = np.argsort(h, kind="stable")
-        h, owner = h[order], owner[order]
-        same = h[1:] == h[:-1]
-        shared = np.r_[same, False] | np.r_[False, same]
-        return _answer(t, owner[shared], h[shared])
-
-    def near_shared(w: Words, answer: pa.Table) -> np.ndarray:
-        """Words where windows begin that hold a shared anchor."""
-        at, h = _anchors(w, window, period, cover)
-        known = np.unique(np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(x, np.uint32).astype(np.uint64) | (np.uint64(b) << np.uint64(32)) for b, x in zip(answer["bucket"].to_pylist(), answer["data"].to_pylist(), strict=True)]]))
-        key = (h & np.uint64(0xFFFFFFFF)) | (((h >> np.uint64(32)) % np.uint64(n_buckets)) << np.uint64(32))
-        hot = at[np.isin(key, known)]
+        same = h[order[1:]] == h[order[:-1]]
+        shared = np.zeros(len(h), bool)
+        shared[order] = np.r_[same, False] | np.r_[False, same]
+        return _rows([(c, b, _ANCHORS, np.packbits(x).tobytes()) for c, b, x in zip(t["chunk"].to_pylist(), t["bucket"].to_pylist(), np.split(shared, ends[:-1]), strict=True)], parts, "chunk")
+
+    def windows(w: Words, ids: np.ndarray, answer: pa.Table) -> tuple[np.ndarray, ...]:
+        """Windows with a shared anchor, equal ones side by side and least id first: (where they begin, ids, whether the first
+        of its words, that first one's place); then the firsts as they are sent: (places, buckets, both hash halves)."""
+        at, where, distinct, here = own_anchors(w, ids)
+        hot = at[(here | _answered(distinct >> np.uint64(32), _bits(answer, _ANCHORS)))[where]]
         mark = np.zeros(len(w.doc) + 1, np.int64)  # a window that begins up to period - 1 words before holds the anchor
         np.add.at(mark, np.maximum(hot - (period - 1), 0), 1)
         np.add.at(mark, hot + 1, -1)
         starts = w.starts(window)
-        return starts[np.cumsum(mark)[starts] > 0]
-
-    def windows(w: Words, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes and id of each window, sorted by these, and where equal hashes begin."""
-        h1, h2, own = w.hash(at, window, _BASES[0]), w.hash(at, window, _BASES[1]), ids[w.doc[at]]
-        order = np.lexsort((own, h2, h1))
-        h1, h2, own = h1[order], h2[order], own[order]
-        first = np.ones(len(h1), bool)
-        first[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-        return order, np.column_stack([h1, h2]), own, first
-
-    def send_windows(key: tuple, left: pa.Table, answer: pa.Table) -> pa.Table:
+        starts = starts[np.cumsum(mark)[starts] > 0]
+        h0, h1, own = w.hash(starts, window, 0), w.hash(starts, window, 1), ids[w.doc[starts]]
+        order = np.lexsort((own, h0, h1))
+        starts, h0, h1, own = starts[order], h0[order], h1[order], own[order]
+        first = np.ones(len(starts), bool)
+        first[1:] = (h1[1:] != h1[:-1]) | (h0[1:] != h0[:-1])
+        first = same_words(w, starts, first, window)
+        at_first = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+        sent = np.flatnonzero(first)
+        bucket = (h0[sent] >> np.uint64(32)) % np.uint64(n)
+        sent = sent[np.lexsort((h0[sent], h1[sent], own[sent], bucket))]  # by content alone, so that the bits are met again
+        return starts, own, at_first, sent, (h0[sent] >> np.uint64(32)) % np.uint64(n), h0[sent], h1[sent]
+
+    def send_windows(key_: tuple, left: pa.Table, answer: pa.Table) -> pa.Table:
         if not left.num_rows or not answer.num_rows:
-            return _rows([])
+            return _rows([], parts, "bucket")
         chunk, ids, w = load(left)
-        _, h, own, first = windows(w, ids, near_shared(w, answer))
-        rec = np.column_stack([h[first], own[first].view(np.uint64) ^ np.uint64(1 << 63)])  # unsigned, in the ids' order
-        return _rows([(chunk, b, rec[p].tobytes()) for b, p in _by_bucket(rec[:, 0], n_buckets)])
+        _, own, _, sent, bucket, h0, h1 = windows(w, ids, answer)
+        own, low = own[sent].view(np.uint64) ^ _SIGN, h0.astype(np.uint32)  # unsigned, in the ids' order
+        step = lambda s, e: np.diff(own[s:e], prepend=np.uint64(0)).tobytes()  # small numbers, which compress
+        return _rows([(chunk, int(bucket[s]), _WINDOWS, h1[s:e].tobytes() + low[s:e].tobytes() + step(s, e)) for s, e in _runs(bucket)], parts, "bucket")
 
     def earlier_windows(t: pa.Table) -> pa.Table:
-        rec, owner = _owned(t, 3)
-        order = np.lexsort((rec[:, 2], rec[:, 1], rec[:, 0]))
-        rec, owner = rec[order], owner[order]
-        first = np.ones(len(rec), bool)
-        first[1:] = (rec[1:, :2] != rec[:-1, :2]).any(axis=1)
-        least = rec[first, 2][np.cumsum(first) - 1]
-        later = least < rec[:, 2]
-        return _answer(t, owner[later], rec[later][:, :2])
-
-    def remove(key: tuple, left: pa.Table, answer: pa.Table) -> pa.Table:
-        out = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
+        blobs = [np.frombuffer(b, np.uint8) for b in t["data"].to_pylist()]
+        size = [len(b) // 20 for b in blobs]
+        take = lambda lo, hi, kind: np.concatenate([b[lo * k : hi * k].view(kind) for b, k in zip(blobs, size, strict=True)])
+        h1, low = take(0, 8, np.uint64), take(8, 12, np.uint32)
+        own = np.concatenate([np.cumsum(b[12 * k :].view(np.uint64)) for b, k in zip(blobs, size, strict=True)])
+        order = np.lexsort((own, low, h1))
+        first = np.ones(len(h1), bool)
+        first[1:] = (h1[order[1:]] != h1[order[:-1]]) | (low[order[1:]] != low[order[:-1]])
+        least = own[order][np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))]
+        later = np.zeros(len(h1), bool)
+        later[order] = least < own[order]
+        return _rows([(c, b, _WINDOWS, np.packbits(x).tobytes()) for c, b, x in zip(t["chunk"].to_pylist(), t["bucket"].to_pylist(), np.split(later, np.cumsum(size)[:-1]), strict=True)], parts, "chunk")
+
+    out = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
+
+    def remove(key_: tuple, left: pa.Table, answer: pa.Table) -> pa.Table:
         if not left.num_rows:
             return out.empty_table()
         _, ids, w = load(left)
-        starts = w.starts(window)
-        order, h, own, first = windows(w, ids, starts)
-        gone = own > own[first][np.cumsum(first) - 1] if len(own) else np.zeros(0, bool)
-        there = np.frombuffer(b"".join(answer["data"].to_pylist()), np.uint64).reshape(-1, 2)
-        if len(there):
-            there = there[np.lexsort((there[:, 1], there[:, 0]))]
-            # both halves as one sortable value, so that equal first halves are told apart
-            pair = lambda x: np.ascontiguousarray(x).astype(">u8").view("S16").ravel()
-            uniq = np.flatnonzero(np.isin(h[:, 0], there[:, 0]))
-            known = set(pair(there).tolist())
-            gone[uniq[[x in known for x in pair(h[uniq]).tolist()]]] = True
         mark = np.zeros(len(w.doc) + 1, np.int64)
-        bad = starts[order[gone]]
-        np.add.at(mark, bad, 1)
-        np.add.at(mark, bad + window, -1)
+        if answer.num_rows:
+            starts, own, at_first, sent, bucket, _, _ = windows(w, ids, answer)
+            earlier = np.zeros(len(starts), bool)
+            earlier[sent] = _answered(bucket, _bits(answer, _WINDOWS))
+            bad = starts[earlier[at_first] | (own > own[at_first])]
+            np.add.at(mark, bad, 1)
+            np.add.at(mark, bad + window, -1)
         drop = np.cumsum(mark)[:-1] > 0
         ends = np.cumsum(w.counts)
-        n_removed = np.add.reduceat(np.r_[drop, False].astype(np.int64), np.minimum(ends - w.counts, len(drop))) if len(ends) else np.zeros(0, np.int64)
-        n_removed = np.where(w.counts > 0, n_removed, 0)
+        gone = np.r_[0, np.cumsum(drop)]
+        n_removed = gone[ends] - gone[ends - w.counts] if len(ends) else np.zeros(0, np.int64)
         kept = []
         for p, e, c, r in zip(w.parts, ends.tolist(), w.counts.tolist(), n_removed.tolist(), strict=True):
-            kept.append(b" ".join(p if not r else [x for x, g in zip(p, drop[e - c : e].tolist(), strict=True) if not g]).decode())
+            kept.append(b" ".join(p if not r else itertools.compress(p, ~drop[e - c : e])).decode())
         real = pa.array([None if i == NO_ID else i for i in ids.tolist()], pa.int64())
         return pa.table([real, pa.array(w.counts), pa.array(n_removed), pa.array(kept, pa.string())], schema=out)
 
-    by_chunk = d.groupBy("chunk")
-    shared = by_chunk.applyInArrow(send_anchors, schema).groupBy("bucket").applyInArrow(shared_anchors, schema)
-    again = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(send_windows, schema)
-    earlier = again.groupBy("bucket").applyInArrow(earlier_windows, schema)
-    return by_chunk.cogroup(earlier.groupBy("chunk")).applyInArrow(remove, "doc_id long, n_words long, n_removed long, kept string")
+    by_chunk = d.groupBy("part", "chunk")
+    to = lambda df: df.repartitionById(parts, "part")
+    shared = to(by_chunk.applyInArrow(send_anchors, _BLOB_SQL)).groupBy("part", "bucket").applyInArrow(shared_anchors, _BLOB_SQL)
+    again = by_chunk.cogroup(to(shared).groupBy("part", "chunk")).applyInArrow(send_windows, _BLOB_SQL)
+    earlier = to(again).groupBy("part", "bucket").applyInArrow(earlier_windows, _BLOB_SQL)
+    return by_chunk.cogroup(to(shared.unionByName(earlier)).groupBy("part", "chunk")).applyInArrow(remove, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def kept_digest(removed: DataFrame) -> DataFrame:
