@@ -12,10 +12,10 @@ cover position of both. Documents lie in chunks, which shuffle their texts once;
    bucket answers with a bit each: has a smaller id of another chunk the window;
 3. removal, from these bits and the chunk's own windows.
 
-Equality: every distinct word gets 128 bits from a hash keyed anew in each run, and a window the chain of its words' bits,
-each step of which is a bijection of the word. So two windows that differ in a word are taken for equal with a probability
-of 2 ** -96 through the number of buckets (what a bucket compares), whatever the words, for no one can choose words against
-the key. Within a chunk windows are compared by 128 bits, then word by word. Anchors are only met by 32 bits within a bucket; a false one
+Equality: a word gets 128 bits from a universal hash (products of its keyed 32-bit lanes) whose keys are drawn anew in each
+run, and a window the chain of its words' bits, each step of which is a bijection of the word. So two words that differ are
+taken for equal with a probability of 2 ** -64 at most, whatever they are, for no one can choose words against the keys.
+Within a chunk equal windows are compared byte by byte on top. Anchors are only met by 32 bits within a bucket; a false one
 costs an extension.
 
 Sizes: chunks and buckets are as many as the input has CHUNK_BYTES, so neither a chunk, a bucket nor a task grows with the
@@ -33,7 +33,6 @@ from __future__ import annotations
 import hashlib
 import itertools
 import secrets
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,24 +49,49 @@ COVER = (0, 1, 3)
 CHUNK_BYTES = 16 << 20
 #: Tasks of a step at most; past it, a task takes several chunks one after the other.
 PARTS = 20_000
+#: 32-bit lanes of a word that its bits are made of; the bits of a longer word are a keyed BLAKE2b.
+LANES = 8
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_BLANK = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
+_MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
 _ANCHORS, _WINDOWS = 0, 1
 _SIGN = np.uint64(1 << 63)
 
 
 class Words:
-    """The words of several texts as numbers, with 128 keyed bits for each."""
+    """Where the words of several texts are, with 128 keyed bits for each."""
 
     def __init__(self, texts: list[bytes], key: bytes):
-        number: dict[bytes, int] = defaultdict(itertools.count().__next__)
-        self.parts = [t.split() for t in texts]
-        self.counts = np.array([len(p) for p in self.parts], np.int64)
-        self.number = np.array(list(map(number.__getitem__, itertools.chain.from_iterable(self.parts))), np.int64)
-        bits = np.frombuffer(b"".join(hashlib.blake2b(w, digest_size=16, key=key).digest() for w in number), np.uint64).reshape(-1, 2)
-        self.bits = [bits[self.number, k] if len(bits) else np.zeros(0, np.uint64) for k in (0, 1)]
-        self.doc = np.repeat(np.arange(len(self.parts)), self.counts)
+        joined = b"\n".join(texts)
+        self.bytes = np.frombuffer(joined + bytes(4 * LANES + 8), np.uint8)
+        blank = np.ones(len(joined) + 2, bool)
+        blank[1:-1] = _BLANK[self.bytes[: len(joined)]]
+        change = np.flatnonzero(blank[1:] != blank[:-1])
+        self.start, self.end = change[::2], change[1::2]
+        after = np.cumsum(np.array([len(t) + 1 for t in texts], np.int64))
+        self.counts = np.diff(np.searchsorted(self.start, np.r_[0, after])) if texts else np.zeros(0, np.int64)
+        self.doc = np.repeat(np.arange(len(texts)), self.counts)
         first = np.cumsum(self.counts) - self.counts
         self.pos = np.arange(len(self.doc)) - first[self.doc]
+        self.bits = self._bits(joined, key)
+
+    def _bits(self, joined: bytes, key: bytes) -> list[np.ndarray]:
+        keys = np.frombuffer(hashlib.shake_256(key).digest(4 * 4 * (LANES + 2)), np.uint32).reshape(4, LANES + 2)
+        size = self.end - self.start
+        lanes = np.lib.stride_tricks.as_strided(self.bytes[:4].view(np.uint32), (len(self.bytes) - 3,), (1,))
+        product = lambda x, y: x.astype(np.uint64) * y.astype(np.uint64)
+        sums = [product(size.astype(np.uint32) + k[-2], k[-1:]) for k in keys]
+        for j in range(0, LANES, 2):
+            some = np.flatnonzero(size > 4 * j) if j else slice(None)
+            start, left = self.start[some] + 4 * j, size[some] - 4 * j
+            x, y = lanes[start] & _MASKS[np.minimum(left, 4)], lanes[start + 4] & _MASKS[np.clip(left - 4, 0, 4)]
+            for k, s in zip(keys, sums, strict=True):
+                s[some] += product(x + k[j], y + k[j + 1])
+        bits = [(s * _STEP) ^ (t << np.uint64(32) | t >> np.uint64(32)) for s, t in (sums[:2], sums[2:])]
+        for i in np.flatnonzero(size > 4 * LANES).tolist():
+            digest = hashlib.blake2b(joined[self.start[i] : self.end[i]], digest_size=16, key=key).digest()
+            bits[0][i], bits[1][i] = np.frombuffer(digest, np.uint64)
+        return bits
 
     def starts(self, n: int) -> np.ndarray:
         """Numbers of the words at which a run of n words of one document begins."""
@@ -122,12 +146,18 @@ def _answered(buckets: np.ndarray, bits: dict[int, np.ndarray]) -> np.ndarray:
     return out
 
 
-def same_words(w: Words, at: np.ndarray, first: np.ndarray, window: int) -> np.ndarray:
-    """first (of each window of `at`, sorted by hash: whether a new hash begins) with those added whose words differ from
-    the one before."""
-    out = first.copy()
+def same_text(w: Words, at: np.ndarray, to: np.ndarray, window: int) -> np.ndarray:
+    """Whether the windows from each of `at` and of `to` have the same words."""
+    out = np.ones(len(at), bool)
     for k in range(window):
-        out[1:] |= w.number[at[1:] + k] != w.number[at[:-1] + k]
+        s, t = w.start[at + k], w.start[to + k]
+        size = w.end[at + k] - s
+        out &= size == w.end[to + k] - t
+        for j in range(min(4 * LANES, int(size[out].max(initial=0)))):
+            more = np.flatnonzero(out & (size > j))
+            out[more] = w.bytes[s[more] + j] == w.bytes[t[more] + j]
+        for i in np.flatnonzero(out & (size > 4 * LANES)).tolist():
+            out[i] = np.array_equal(w.bytes[s[i] : s[i] + size[i]], w.bytes[t[i] : t[i] + size[i]])
     return out
 
 
@@ -186,11 +216,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
         starts, h0, h1, own = starts[order], h0[order], h1[order], own[order]
         first = np.ones(len(starts), bool)
         first[1:] = (h1[1:] != h1[:-1]) | (h0[1:] != h0[:-1])
-        first = same_words(w, starts, first, window)
+        same = np.flatnonzero(~first)
+        first[same[~same_text(w, starts[same], starts[same - 1], window)]] = True
         at_first = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
         sent = np.flatnonzero(first)
         bucket = (h0[sent] >> np.uint64(32)) % np.uint64(n)
-        sent = sent[np.lexsort((h0[sent], h1[sent], own[sent], bucket))]  # by content alone, so that the bits are met again
+        sent = sent[np.lexsort((h1[sent], own[sent], bucket))]  # by content alone, so that the bits are met again
         return starts, own, at_first, sent, (h0[sent] >> np.uint64(32)) % np.uint64(n), h0[sent], h1[sent]
 
     def send_windows(key_: tuple, left: pa.Table, answer: pa.Table) -> pa.Table:
@@ -222,6 +253,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
         if not left.num_rows:
             return out.empty_table()
         _, ids, w = load(left)
+        texts = left["text"].to_pylist()
         mark = np.zeros(len(w.doc) + 1, np.int64)
         if answer.num_rows:
             starts, own, at_first, sent, bucket, _, _ = windows(w, ids, answer)
@@ -235,8 +267,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
         gone = np.r_[0, np.cumsum(drop)]
         n_removed = gone[ends] - gone[ends - w.counts] if len(ends) else np.zeros(0, np.int64)
         kept = []
-        for p, e, c, r in zip(w.parts, ends.tolist(), w.counts.tolist(), n_removed.tolist(), strict=True):
-            kept.append(b" ".join(p if not r else itertools.compress(p, ~drop[e - c : e])).decode())
+        for t, e, c, r in zip(texts, ends.tolist(), w.counts.tolist(), n_removed.tolist(), strict=True):
+            kept.append(b" ".join(itertools.compress(t.split(), ~drop[e - c : e]) if r else t.split()).decode())
         real = pa.array([None if i == NO_ID else i for i in ids.tolist()], pa.int64())
         return pa.table([real, pa.array(w.counts), pa.array(n_removed), pa.array(kept, pa.string())], schema=out)
 
