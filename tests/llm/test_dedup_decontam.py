@@ -239,37 +239,76 @@ def test_near_copies_with_changed_words_go(spark, docs, odd):
     assert similar.keep_one_each(docs([])).count() == 0
 
 
-def test_index_links_as_brute_force():
-    """Buckets of every density, small and large, through the tree and past it."""
+def in_gray_order(fps):
+    rank = fps.copy()
+    for k in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(k)
+    return fps[np.argsort(rank)]
+
+
+def connected(fps, pairs):
+    parent = {f: f for f in fps}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        assert (a ^ b).bit_count() <= 2
+        parent[max(root(a), root(b))] = min(root(a), root(b))
+    return {f: root(f) for f in fps}
+
+
+def plain_connected(fps):
+    least = {}
+    for f, c in zip(fps, plain_components(fps), strict=True):
+        least[c] = min(f, least.get(c, f))
+    return {f: least[c] for f, c in zip(fps, plain_components(fps), strict=True)}
+
+
+CROWDS = [(5, 3), (200, 8), (600, 10), (900, 21), (256, 8), (500, 40)]
+
+
+def test_tree_links_as_brute_force(monkeypatch):
+    """Crowds of every density through the tree, and through two trees; most pairs are pruned in groups."""
     r = np.random.default_rng(17)
-    for n, free, small in [(5, 3, 32), (200, 8, 4), (600, 10, 32), (900, 21, 16), (256, 8, 1)]:
-        fps = np.unique(r.integers(0, 1 << free, n, dtype=np.uint64) << np.uint64(20))
-        rank = fps.copy()
-        for k in (1, 2, 4, 8, 16, 32):
-            rank ^= rank >> np.uint64(k)
-        fps = fps[np.argsort(rank)]
-        a, b = simhash.bucket_links(np.zeros(len(fps), int), fps, np.arange(len(fps)), 2, small)
-        assert len(a) < max(2, 8 * len(fps))
-        parent = list(range(len(fps)))
-
-        def root(x, parent=parent):
-            while parent[x] != x:
-                x = parent[x]
-            return x
-
-        for i, j in zip(a.tolist(), b.tolist(), strict=True):
-            p, q = root(i), root(j)
-            parent[max(p, q)] = min(p, q)
-        assert [root(i) for i in range(len(fps))] == plain_components([int(f) for f in fps])
-
-
-def test_masks_find_every_close_pair():
-    masks = simhash.masks()
-    assert len(masks) == 15
-    for i in range(64):
-        for j in range(i + 1):
-            flip = (1 << i) | (1 << j)
-            assert any(not (m % (1 << 64)) & flip for m in masks)
+    seen, meet = [0, 0], simhash.may_meet
+
+    def counted(every, *rest):
+        out = meet(every, *rest)
+        seen[0] += len(out)
+        seen[1] += int((~out).sum())
+        return out
+
+    monkeypatch.setattr(simhash, "may_meet", counted)
+    for n, free in CROWDS:
+        fps = in_gray_order(np.unique(r.integers(0, 1 << free, n, dtype=np.uint64) << np.uint64(20)))
+        tree = simhash.Tree(fps)
+        pairs = [(int(fps[i]), int(fps[j])) for x, y in simhash.close_pairs(tree, tree) for i, j in zip(x, y, strict=True)]
+        assert connected(fps.tolist(), pairs) == plain_connected(fps.tolist())
+        own, other = fps[: len(fps) // 3], fps[len(fps) // 3 :]
+        across = {(int(own[i]), int(other[j])) for x, y in simhash.close_pairs(simhash.Tree(own), simhash.Tree(other)) for i, j in zip(x, y, strict=True)}
+        for part in (own, other):
+            t = simhash.Tree(part)
+            across |= {(int(part[i]), int(part[j])) for x, y in simhash.close_pairs(t, t) for i, j in zip(x, y, strict=True)}
+        assert connected(fps.tolist(), across) == plain_connected(fps.tolist())
+    assert seen[0] > 1000 and seen[1] > 1000
+    seen[:] = [0, 0]
+    fps = in_gray_order(r.integers(0, 1 << 64, 20000, dtype=np.uint64))
+    tree = simhash.Tree(fps)
+    list(simhash.close_pairs(tree, tree))
+    assert 0 < seen[0] < len(fps) ** 2 / 20
+
+
+@pytest.mark.parametrize("range_size", [1 << 20, 40, 1])
+def test_links_of_ranges_as_brute_force(spark, range_size):
+    r = np.random.default_rng(19)
+    fps = np.unique(np.concatenate([r.integers(0, 1 << free, n, dtype=np.uint64) << np.uint64(up) for (n, free), up in zip(CROWDS[1:], (54, 30, 0, 20, 24), strict=True)]))[::2 if range_size > 1 else 20]
+    df = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    pairs = [(x.a % (1 << 64), x.b % (1 << 64)) for x in simhash.links(df, range_size=range_size).collect()]
+    assert len(pairs) < len(fps) * 4 and connected(fps.tolist(), pairs) == plain_connected(fps.tolist())
+    assert simhash.links(df.where("fp is null")).count() == 0
 
 
 def test_components(spark):

@@ -1,23 +1,28 @@
 """SimHash near-duplicates through a Gray-order hierarchical index.
 
 A fingerprint has bit i if more than half of the 64-bit shingle hashes have it. Fingerprints that differ in LIMIT bits at
-most are linked. Two such fingerprints agree on at least 4 of 6 blocks of bits (LIMIT = 2), so each distinct fingerprint
-goes to 15 buckets, one per choice of 4 blocks, keyed by these bits. About 21 bits of a bucket's members are free, which
-bounds it at 2 ** 22 fingerprints whatever the number of documents; exact copies are one member.
+most are linked; links() finds what connects them.
 
-A bucket is sorted by Gray rank and indexed by a tree: an upper node keeps the bits that all below share (pattern and
-mask). Two nodes whose shared bits differ in more than LIMIT places are pruned as a whole; two nodes whose members can't
-differ in more are linked as a whole; else their children are compared. A bucket returns a spanning forest, not all pairs.
+The distinct fingerprints are sorted by Gray rank, in ranges, one table for all. In Gray order neighbours share most bits, so
+each node of a tree over them keeps the bits that all below it share (pattern and mask). A node's shared bits contain those of
+the nodes above, so the differences of two nodes in bits that both share accumulate downwards: once they are more than LIMIT,
+both groups are pruned as a whole; if no member of one can differ in more from one of the other, both are linked as a whole;
+else their children are compared.
+
+Ranges meet through their upper nodes: these, two numbers a range, go to every task, where each range's tree descends against
+them and sends the fingerprints that are left to the later range. There they pass, batch by batch, through that range's tree. With n
+fingerprints a node shares about log2 n leading bits, so a fingerprint meets about (log2 n) ** 2 / 2 nodes a level, not n.
+Exact copies are one member. A range gives a spanning forest of its links, not all pairs.
 
 Defined cases: a null or empty text has no words and fingerprint zero, linked like any other; fewer than SHINGLE words
 are one shingle; repeated rows give a row each; a null id never names a component unless it has no other; rows that share an id,
-or have none, are joined by their fingerprints only; empty in, empty out.
+or have none, are joined by their fingerprints only; a very long text is hashed whole; other columns, whatever their names,
+aren't read; empty in, empty out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +35,11 @@ from velonet.operators.graph import least_reachable
 from velonet.operators.scratch import written
 
 SHINGLE, SEED, LIMIT, FAN = 3, 42, 2, 8
+#: Fingerprints in a range, and ranges at most: past RANGE * RANGES fingerprints ranges grow instead. So the upper nodes, which
+#: go to every task, have 16 bytes * RANGES at most.
+RANGE, RANGES = 1 << 15, 1 << 14
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_VISITS = pa.schema([("to", pa.int32()), ("visitor", pa.int32()), ("fp", pa.int64())])
 
 
 def shingle_hashes(text: bytes, n: int = SHINGLE) -> list[int]:
@@ -61,15 +70,6 @@ def fingerprints(docs: DataFrame, n: int = SHINGLE, id_col: str = "doc_id", text
     return text_bytes(docs, id_col, text_col).withColumn("node", text_node()).mapInArrow(run, "doc_id long, node long, fp long")
 
 
-def masks(limit: int = LIMIT) -> list[int]:
-    """For each choice of all but `limit` of 3 * limit blocks, the mask of their bits, as a signed long."""
-    n = max(1, 3 * limit)
-    cuts = [round(64 * k / n) for k in range(n + 1)]
-    block = [((1 << cuts[k + 1]) - 1) ^ ((1 << cuts[k]) - 1) for k in range(n)]
-    out = [sum(c) for c in combinations(block, n - limit)]
-    return [m - (1 << 64) if m >> 63 else m for m in out]
-
-
 def gray_rank(fp: F.Column) -> F.Column:
     """The place of fp in the order of the reflected Gray code (as a signed long)."""
     for k in (1, 2, 4, 8, 16, 32):
@@ -77,117 +77,200 @@ def gray_rank(fp: F.Column) -> F.Column:
     return fp
 
 
-def _roots(parent: dict[int, int], x: int) -> int:
-    while parent.setdefault(x, x) != x:
-        parent[x] = x = parent[parent[x]]
-    return x
+class Tree:
+    """Nodes over fingerprints in Gray order: node i of level k covers FAN ** k of them. A node's shared bits are those in
+    which `every` (the AND of all below) and `some` (their OR) agree."""
+
+    def __init__(self, fps: np.ndarray):
+        self.every, self.some = [fps], [fps]
+        while len(self.every[-1]) > 1:
+            at = np.arange(0, len(self.every[-1]), FAN)
+            self.every.append(np.bitwise_and.reduceat(self.every[-1], at))
+            self.some.append(np.bitwise_or.reduceat(self.some[-1], at))
+        self.top = len(self.every) - 1
+
+    def children(self, level: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of `nodes`, child)."""
+        which = np.repeat(np.arange(len(nodes)), FAN)
+        child = nodes[which] * FAN + np.tile(np.arange(FAN), len(nodes))
+        there = child < len(self.every[level - 1])
+        return which[there], child[there]
+
+    def below(self, level: int, node: int) -> np.ndarray:
+        step = FAN**level
+        return np.arange(node * step, min((node + 1) * step, len(self.every[0])))
+
+
+def may_meet(every: np.ndarray, some: np.ndarray, pattern: np.ndarray, mask: np.ndarray, limit: int) -> np.ndarray:
+    """Whether groups differ in `limit` at most of the bits that both share."""
+    return np.bitwise_count((every ^ pattern) & ~(every ^ some) & mask) <= limit
 
 
-def tree_links(fps: np.ndarray, limit: int = LIMIT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Places (i, j) in fps, which must be in Gray order, such that linking them connects all within `limit` bits."""
-    all_of, any_of = [fps], [fps]
-    while len(all_of[-1]) > 1:
-        at = np.arange(0, len(all_of[-1]), FAN)
-        all_of.append(np.bitwise_and.reduceat(all_of[-1], at))
-        any_of.append(np.bitwise_or.reduceat(any_of[-1], at))
-    zero = np.zeros(1, np.int64)
-    stack = [(len(all_of) - 1, zero, zero)]
+def close_pairs(one: Tree, two: Tree, limit: int = LIMIT) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i in one, j in two) within `limit` bits whose links connect all such; of a tree with itself, i before j."""
+    same, zero = one is two, np.zeros(1, np.int64)
+    stack = [(one.top, two.top, zero, zero)]
     while stack:
-        level, a, b = stack.pop()
+        k, m, a, b = stack.pop()
         if len(a) > 1 << 16:
             half = len(a) // 2
-            stack += [(level, a[:half], b[:half]), (level, a[half:], b[half:])]
+            stack += [(k, m, a[:half], b[:half]), (k, m, a[half:], b[half:])]
             continue
-        one, some = all_of[level], any_of[level]
-        fixed = ~(one[a] ^ some[a]) & ~(one[b] ^ some[b])
-        keep = np.bitwise_count((one[a] ^ one[b]) & fixed) <= limit
+        e, s, f, t = one.every[k], one.some[k], two.every[m], two.some[m]
+        keep = may_meet(e[a], s[a], f[b], ~(f[b] ^ t[b]), limit)
         a, b = a[keep], b[keep]
-        whole = np.bitwise_count((some[a] | some[b]) ^ (one[a] & one[b])) <= limit
-        step = FAN**level
-        i, j = a[whole] * step, b[whole] * step
-        if len(i):
-            yield i, j
-            if level:  # all below lie within the limit of the first
-                for x, y in zip(i.tolist(), j.tolist(), strict=True):
-                    for z in {x, y}:
-                        m = np.arange(z + 1, min(z + step, len(fps)))
-                        yield np.full(len(m), z), m
+        whole = np.bitwise_count((s[a] | t[b]) ^ (e[a] & f[b])) <= limit
+        if not k and not m:
+            yield (a[a < b], b[a < b]) if same else (a, b)
+            continue
+        for x, y in zip(a[whole].tolist(), b[whole].tolist(), strict=True):
+            x, y = one.below(k, x), two.below(m, y)
+            yield np.full(len(y), x[0]), y
+            yield x, np.full(len(x), y[0])
         a, b = a[~whole], b[~whole]
-        if level and len(a):
-            k = np.arange(FAN)
-            ca = (a[:, None, None] * FAN + k[None, :, None]).repeat(FAN, 2).ravel()
-            cb = (b[:, None, None] * FAN + k[None, None, :]).repeat(FAN, 1).ravel()
-            n = len(all_of[level - 1])
-            ok = (ca < n) & (cb < n) & (ca <= cb)
-            stack.append((level - 1, ca[ok], cb[ok]))
-
-
-def bucket_links(bucket: np.ndarray, fps: np.ndarray, ids: np.ndarray, limit: int = LIMIT, small: int = 32) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (id, id) of a spanning forest of each bucket. Rows are sorted by bucket, then Gray rank."""
-    first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
-    size = np.diff(np.r_[first, len(bucket)])
-    left, right = [], []
-    few = np.repeat(size <= small, size)
-    for step in range(1, min(small, int(size.max(initial=0)))):
-        i = np.flatnonzero(few[:-step] & (bucket[:-step] == bucket[step:]))
-        i = i[np.bitwise_count(fps[i] ^ fps[i + step]) <= limit]
-        left.append(i)
-        right.append(i + step)
-        if not len(i) and not (size > step).any():
-            break
-    for s, n in zip(first[size > small].tolist(), size[size > small].tolist(), strict=True):
-        parent: dict[int, int] = {}
-        for i, j in tree_links(fps[s : s + n], limit):
-            for x, y in zip((i + s).tolist(), (j + s).tolist(), strict=True):
-                p, q = _roots(parent, x), _roots(parent, y)
-                if p != q:
-                    parent[max(p, q)] = min(p, q)
-        linked = [x for x in parent if _roots(parent, x) != x]
-        left.append(np.array([_roots(parent, x) for x in linked], np.int64))
-        right.append(np.array(linked, np.int64))
-    i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
-    return ids[i], ids[j]
-
-
-def links(distinct: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """distinct (fp, id) -> edges (a, b) between ids that connect all fingerprints within `limit` bits."""
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(masks(limit))]))
-    rows = distinct.select("fp", "id", each.alias("b")).select("b.k", "b.key", "fp", "id", gray_rank(F.col("fp")).alias("rank"))
-    rows = rows.repartition("k", "key").sortWithinPartitions("k", "key", "rank")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def flush(rows: pa.Table) -> pa.RecordBatch:
-            k, key = rows["k"].to_numpy(), rows["key"].to_numpy()
-            bucket = np.cumsum(np.r_[True, (k[1:] != k[:-1]) | (key[1:] != key[:-1])])
-            a, b = bucket_links(bucket, rows["fp"].to_numpy().view(np.uint64), rows["id"].to_numpy(), limit)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=_EDGES)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            k, key = batch["k"].to_numpy(), batch["key"].to_numpy()
-            change = np.flatnonzero((k[1:] != k[:-1]) | (key[1:] != key[:-1]))
-            if held and (held[0]["k"][0].as_py(), held[0]["key"][0].as_py()) != (k[0], key[0]):
-                yield flush(pa.Table.from_batches(held))
-                held = []
-            if len(change):  # the last bucket may go on in the next batch
-                cut = int(change[-1]) + 1
-                yield flush(pa.Table.from_batches([*held, batch.slice(0, cut)]))
-                held, batch = [], batch.slice(cut)
-            held.append(batch)
-        if held:
-            yield flush(pa.Table.from_batches(held))
-
-    return rows.mapInArrow(run, "a long, b long").distinct()
+        if k >= m:
+            which, a = one.children(k, a)
+            b = b[which]
+        if m >= k:
+            which, b = two.children(m, b)
+            a = a[which]
+        k, m = (k - 1 if k >= m else k), (m - 1 if m >= k else m)
+        if same:
+            a, b = a[a <= b], b[a <= b]
+        stack.append((k, m, a, b))
+
+
+def visits(tree: Tree, pattern: np.ndarray, mask: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j): the members i that may lie within `limit` bits of what is below the upper node j."""
+    a, b = np.zeros(len(pattern), np.int64), np.arange(len(pattern))
+    for level in range(tree.top, -1, -1):
+        keep = may_meet(tree.every[level][a], tree.some[level][a], pattern[b], mask[b], limit)
+        a, b = a[keep], b[keep]
+        if level:
+            which, a = tree.children(level, a)
+            b = b[which]
+    return a, b
+
+
+class Forest:
+    """Drops pairs that earlier ones connect."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def grow(self, n: int) -> None:
+        self.root = np.r_[self.root[:n], np.arange(len(self.root), n)]
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which of the pairs connect what wasn't connected."""
+        new = np.zeros(len(i), bool)
+        apart = np.flatnonzero(self.root[i] != self.root[j])
+        up: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while x in up:
+                x = up[x]
+            return x
+
+        for k, x, y in zip(apart.tolist(), self.root[i[apart]].tolist(), self.root[j[apart]].tolist(), strict=True):
+            x, y = top(x), top(y)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+                new[k] = True
+        for x in up:
+            up[x] = top(up[x])
+        if up:
+            to = np.arange(len(self.root))
+            to[list(up)] = list(up.values())
+            self.root = to[self.root]
+        return new
+
+
+class RangeLinks:
+    """The links of one range: own members first, then visitors, batch by batch."""
+
+    def __init__(self, limit: int):
+        self.limit, self.parts, self.tree = limit, [], None
+
+    def own(self, fps: np.ndarray) -> None:
+        self.parts.append(fps)
+
+    def _edges(self, pairs: Iterator[tuple[np.ndarray, np.ndarray]], left: np.ndarray, shift: int) -> Iterator[pa.RecordBatch]:
+        for i, j in pairs:
+            new = self.forest.add(i + shift, j)
+            if new.any():
+                yield pa.RecordBatch.from_arrays([pa.array(left[i[new]].view(np.int64)), pa.array(self.fps[j[new]].view(np.int64))], schema=_EDGES)
+
+    def among(self) -> Iterator[pa.RecordBatch]:
+        if self.tree is None and self.parts:
+            self.fps = np.concatenate(self.parts)
+            self.tree, self.forest = Tree(self.fps), Forest(len(self.fps))
+            yield from self._edges(close_pairs(self.tree, self.tree, self.limit), self.fps, 0)
+
+    def visitors(self, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        yield from self.among()
+        n = len(self.fps)
+        self.forest.grow(n)
+        self.forest.grow(n + len(fps))
+        yield from self._edges(close_pairs(Tree(fps), self.tree, self.limit), fps, n)
+
+
+def _stretches(c: pa.Array) -> Iterator[tuple[int, int, int]]:
+    """(value, first, after last) of each run of equal values."""
+    v = c.to_numpy()
+    cuts = (np.flatnonzero(v[1:] != v[:-1]) + 1).tolist()
+    yield from ((int(v[s]), s, e) for s, e in zip([0, *cuts], [*cuts, len(v)], strict=True) if e > s)
+
+
+def links(distinct: DataFrame, limit: int = LIMIT, range_size: int = RANGE) -> DataFrame:
+    """distinct (fp) -> edges (a, b) of fingerprints within `limit` bits that connect all such."""
+    spark = distinct.sparkSession
+    d = distinct.select("fp", gray_rank(F.col("fp")).alias("rank"))
+    n = max(1, min(RANGES, -(-d.count() // range_size)))
+    order = F.col("rank").bitwiseXOR(F.lit(-(1 << 63)))  # unsigned
+    table = written(d.select("fp", order.alias("rank")).repartitionByRange(n, "rank").select(F.spark_partition_id().alias("range"), "fp", "rank").sortWithinPartitions("rank"), "ranges")
+    upper = table.groupBy("range").agg(F.bit_and("fp").alias("every"), F.bit_or("fp").alias("some")).toArrow().sort_by("range")
+    number = upper["range"].to_numpy()
+    every, some = (upper[c].to_numpy().view(np.uint64) for c in ("every", "some"))
+    shared = spark.sparkContext.broadcast((number, every, ~(every ^ some)))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, pattern, mask = shared.value
+        for b in batches:
+            fps = b["fp"].to_numpy().view(np.uint64)
+            for r, s, e in _stretches(b["range"]):
+                own, later = fps[s:e], np.searchsorted(number, r, side="right")
+                i, j = visits(Tree(own), pattern[later:], mask[later:], limit)
+                to = np.r_[np.full(len(own), r), number[later:][j]]
+                visitor = np.r_[np.zeros(len(own), np.int32), np.ones(len(i), np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(visitor), pa.array(np.r_[own, own[i]].view(np.int64))], schema=_VISITS)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, at = RangeLinks(limit), None
+        for b in batches:
+            fps, visitor = b["fp"].to_numpy().view(np.uint64), b["visitor"].to_numpy()
+            for r, s, e in _stretches(b["to"]):
+                if r != at:
+                    yield from now.among()
+                    now, at = RangeLinks(limit), r
+                own = s + int(np.searchsorted(visitor[s:e], 1))
+                if own > s:
+                    now.own(fps[s:own])
+                if e > own:
+                    yield from now.visitors(fps[own:e])
+        yield from now.among()
+
+    parts = int(number.max(initial=0)) + 1
+    sent = table.select("range", "fp").mapInArrow(send, "to int, visitor int, fp long").repartitionById(parts, "to")
+    # visitors in Gray order again, so that their own tree prunes too
+    return sent.sortWithinPartitions("to", "visitor", gray_rank(F.col("fp"))).mapInArrow(meet, "a long, b long").distinct()
 
 
 def _labelled(docs: DataFrame, n: int, limit: int, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(doc_id, node, fp) of each row, and (fp, component, id): the component's least fingerprint, the least id at fp."""
     fps = written(fingerprints(docs, n, id_col, text_col), "fingerprints")
     distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("id")), "distinct")
-    found = least_reachable(links(distinct.select("fp", F.col("fp").alias("id")), limit)).withColumnRenamed("id", "fp")
+    found = least_reachable(links(distinct.select("fp"), limit)).withColumnRenamed("id", "fp")
     return fps, distinct.join(found, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component"), "id")
 
 
