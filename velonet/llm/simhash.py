@@ -35,9 +35,9 @@ from velonet.operators.graph import least_reachable
 from velonet.operators.scratch import written
 
 SHINGLE, SEED, LIMIT, FAN = 3, 42, 2, 8
-#: Fingerprints in a range, and ranges at most: past RANGE * RANGES fingerprints ranges grow instead. So the upper nodes, which
-#: go to every task, have 16 bytes * RANGES at most.
-RANGE, RANGES = 1 << 15, 1 << 14
+#: Fingerprints in a range; ranges at least, so that small inputs are spread too, and at most: past RANGE * MOST_RANGES
+#: fingerprints ranges grow instead. So the upper nodes, which go to every task, have 16 bytes * MOST_RANGES at most.
+RANGE, LEAST_RANGES, MOST_RANGES = 1 << 15, 64, 1 << 14
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _VISITS = pa.schema([("to", pa.int32()), ("visitor", pa.int32()), ("fp", pa.int64())])
 
@@ -226,7 +226,7 @@ def links(distinct: DataFrame, limit: int = LIMIT, range_size: int = RANGE) -> D
     """distinct (fp) -> edges (a, b) of fingerprints within `limit` bits that connect all such."""
     spark = distinct.sparkSession
     d = distinct.select("fp", gray_rank(F.col("fp")).alias("rank"))
-    n = max(1, min(RANGES, -(-d.count() // range_size)))
+    n = max(LEAST_RANGES, min(MOST_RANGES, -(-d.count() // range_size)))
     order = F.col("rank").bitwiseXOR(F.lit(-(1 << 63)))  # unsigned
     table = written(d.select("fp", order.alias("rank")).repartitionByRange(n, "rank").select(F.spark_partition_id().alias("range"), "fp", "rank").sortWithinPartitions("rank"), "ranges")
     upper = table.groupBy("range").agg(F.bit_and("fp").alias("every"), F.bit_or("fp").alias("some")).toArrow().sort_by("range")
