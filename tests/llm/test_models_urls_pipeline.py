@@ -178,6 +178,21 @@ def test_urls(spark):
     assert urls.filter_urls(df.limit(0)).count() == 0
 
 
+def test_urls_by_many_tries_as_by_one(spark):
+    """Rules of any size give the same rows; equal rules, repeated rows, long urls and no rules at all."""
+    r = random.Random(18)
+    rules = [*urls.RULES, *[(r.choice(["allow", "block"]), f"{h}/{p}") for h in ("com", "a.com", "net", "x.net") for p in ("", "x", "x/", "x/y", "en/") for _ in range(2)]]
+    pages = [(k % 50, f"http://{r.choice(['a.com', 'b.a.com', 'www.example.com', 'x.net', 'net'])}/{r.choice(['', 'x', 'x/y/z', 'en/1', 'es/'])}") for k in range(120)]
+    pages += [(None, None), (7, "http://a.com/" + "x/" * 50000), (7, "http://a.com/" + "x/" * 50000)]
+    df = spark.createDataFrame([(i, u, "z", 1) for i, u in pages], "page_id long, url string, verdict string, trie int")
+    one, many, each = (sorted((tuple(x) for x in urls.filter_urls(df, rules, rule_bytes=n).collect()), key=str) for n in (1 << 30, 200, 1))
+    assert one == many == each and len(one) == len(pages)
+    for (i, host, path, rule, verdict) in one:
+        fits = [(len(x), len(x.partition("/")[0]), k, v, x) for k, (v, x) in enumerate(rules) if (host == (h := x.partition("/")[0]) or host.endswith("." + h)) and path.startswith(x[len(h) :])]
+        assert (rule, verdict) == (max(fits)[4], max(fits)[3]) if fits else (rule, verdict) == (None, "allow"), (i, host, path)
+    assert {x.verdict for x in urls.filter_urls(df, [], "block").collect()} == {"block"}
+
+
 def test_trie_is_longest_match():
     r = random.Random(8)
     hosts, paths = ["com", "a.com", "b.a.com", "net", "c.net"], ["/", "/x", "/x/", "/x/y", "/xy/", ""]
@@ -185,7 +200,7 @@ def test_trie_is_longest_match():
         rules = [(r.choice(["allow", "block"]), h + p) for h in hosts for p in paths if p and r.random() < 0.3]
         trie = urls.RuleTrie(rules)
         host, path = r.choice([*hosts, "d.c.net", "xcom", "org"]), r.choice(["", "/", "/x", "/x/", "/x/y", "/x/yz/", "/xy/1", "/xyz"])
-        fits = [(x.partition("/")[0].count("."), len(x), (v, x)) for v, x in rules if (host == (h := x.partition("/")[0]) or host.endswith("." + h)) and path.startswith(x[len(h) :])]
+        fits = [(len(x), len(x.partition("/")[0]), (v, x)) for v, x in rules if (host == (h := x.partition("/")[0]) or host.endswith("." + h)) and path.startswith(x[len(h) :])]
         want = max(fits)[2] if fits else None
         assert trie.find(host, path) == want
 

@@ -1,14 +1,19 @@
 """URL filters: a trie over reversed host labels, then path segments; the longest matching rule decides.
 
+The longest is the one with the most characters, host and path together; of two as long, the one with more of the host, and of
+equal rules the last given. Rules go to the tasks as tries of about RULE_BYTES each. Several of these follow each other over the
+rows where they are, each carrying the best rule so far, so any number of rules gives the same results and no row moves.
+
 Defined cases: a null url, or one without `://`, has an empty host and path and matches no rule; so does a url without a
 path, as every rule's path begins with `/`. What no rule matches gets the default verdict. Repeated rows give a row each;
-an empty table gives an empty result.
+a very long url is split once, whole; other columns, whatever their names, aren't read; without rules everything gets the
+default verdict; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -16,8 +21,8 @@ from pyspark.sql import functions as F
 
 #: (verdict, host and path prefix)
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
-#: Rules go to every task; past this many bytes of them, use a shuffled join on the host instead.
-RULE_BYTES = 64 << 20
+#: Bytes of rules in a trie. A worker that runs several tries one after the other holds them all, each about ten times as large.
+RULE_BYTES = 8 << 20
 
 
 class RuleTrie:
@@ -39,7 +44,7 @@ class RuleTrie:
             node.setdefault("ends", {})[last] = (verdict, rule)
 
     def find(self, host: str, path: str) -> tuple[str, str] | None:
-        """(verdict, rule) of the longest rule: most host labels, then the longest path."""
+        """(verdict, rule) of the longest rule."""
         best, node = None, self.root
         if not path.startswith("/"):
             return None
@@ -48,11 +53,12 @@ class RuleTrie:
             node = node.get(label) if label != "/" else None
             if node is None:
                 break
-            best = self._path(node.get("/"), segments) or best
+            best = longer(self._path(node.get("/"), segments), best)
         return best
 
     @staticmethod
     def _path(node: dict | None, segments: list[str]) -> tuple[str, str] | None:
+        """The longest path among rules of one host."""
         best, k = None, 0
         while node is not None and k < len(segments):
             ends = node.get("ends")
@@ -63,6 +69,26 @@ class RuleTrie:
         return best
 
 
+def longer(a: tuple[str, str] | None, b: tuple[str, str] | None) -> tuple[str, str] | None:
+    """Of two fitting (verdict, rule) the one that decides; a, if they are the same rule."""
+    if a is None or b is None:
+        return a or b
+    size = lambda r: (len(r[1]), len(r[1].partition("/")[0]))
+    return a if size(a) >= size(b) else b
+
+
+def tries(rules: Iterable[tuple[str, str]], rule_bytes: int = RULE_BYTES) -> Iterator[RuleTrie]:
+    part, size = [], 0
+    for verdict, rule in rules:
+        part.append((verdict, rule))
+        size += len(rule) + 64
+        if size >= rule_bytes:
+            yield RuleTrie(part)
+            part, size = [], 0
+    if part:
+        yield RuleTrie(part)
+
+
 _URL = re.compile(r"(?s)(?:(?!://).)*://([^/?#]*)([^?#]*)")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -73,18 +99,28 @@ def split_url(url: str | None) -> tuple[str, str]:
     return (m[1].translate(_LOWER), m[2]) if m else ("", "")
 
 
-def filter_urls(pages: DataFrame, rules=RULES, default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES, default: str = "allow", id_col: str = "page_id", url_col: str = "url", rule_bytes: int = RULE_BYTES) -> DataFrame:
     """Per row: page_id, host, path, rule (or null), verdict. Only id and url are read; nothing is shuffled."""
-    rules = tuple(rules)
-    if sum(len(r) + 64 for _, r in rules) > RULE_BYTES:
-        raise ValueError("these rules are too large to go to every task")
-    trie = pages.sparkSession.sparkContext.broadcast(RuleTrie(rules))
+    names = ["page_id", "host", "path", "rule", "verdict"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             parts = [split_url(u) for u in b["url"].to_pylist()]
-            found = [trie.value.find(h, p) for h, p in parts]
-            cols = [[h for h, _ in parts], [p for _, p in parts], [f and f[1] for f in found], [f[0] if f else default for f in found]]
-            yield pa.RecordBatch.from_arrays([b["page_id"], *[pa.array(c, pa.string()) for c in cols]], names=["page_id", "host", "path", "rule", "verdict"])
-
-    return pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url")).mapInArrow(run, "page_id long, host string, path string, rule string, verdict string")
+            none = pa.nulls(len(parts), pa.string())
+            yield pa.RecordBatch.from_arrays([b["page_id"], pa.array([h for h, _ in parts], pa.string()), pa.array([p for _, p in parts], pa.string()), none, none], names=names)
+
+    def match(trie):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                found = []
+                for host, path, rule, verdict in zip(*(b[c].to_pylist() for c in names[1:]), strict=True):
+                    found.append(longer(trie.value.find(host, path), None if rule is None else (verdict, rule)) or (None, None))
+                yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([r for _, r in found], pa.string()), pa.array([v for v, _ in found], pa.string())], names=names)
+
+        return run
+
+    schema = "page_id long, host string, path string, rule string, verdict string"
+    out = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url")).mapInArrow(split, schema)
+    for trie in tries(rules, rule_bytes):
+        out = out.mapInArrow(match(pages.sparkSession.sparkContext.broadcast(trie)), schema)
+    return out.fillna(default, ["verdict"])
