@@ -3,10 +3,12 @@
 Documents become token ids (plus an end id); ones over the capacity are cut into full pieces and a rest. Pieces are dealt
 out to groups of bounded size, each packed by best-fit decreasing and certified by lower bounds from dual-feasible
 functions. Groups that need more sequences than their bound give the documents of their sequences with space left to a
-common pool, which is dealt out anew and packed again, as long as that saves sequences.
+common pool, which is dealt out anew and packed again, as long as that saves sequences. The certificates are in the result:
+each piece has its group's number of sequences and bound, equal where nothing can be saved.
 
-Defined cases: a null or empty text is the end id alone; an empty table gives an empty result; repeated rows are packed
-each; a null doc_id stays null; extra columns are ignored. No piece is dropped, and only longer documents are cut.
+Defined cases: a null or empty text is the end id alone; a very long one is cut into pieces, which lie where they fit; an empty
+table gives an empty result; repeated rows are packed each, dealt out by their place in the written table, so they don't meet
+in one group; a null doc_id stays null; extra columns are ignored. No piece is dropped, and only longer documents are cut.
 """
 
 from __future__ import annotations
@@ -94,49 +96,53 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[
 
 
 def _deal(df: DataFrame, n: int, salt: int) -> DataFrame:
-    return df.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(salt)), F.lit(n)))
+    return df.withColumn("grp", F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(n)))
 
 
 def _pack(pieces: DataFrame, capacity: int, tag: int) -> DataFrame:
     """Each group packed: + sequence_id, offset, left (space in the sequence), bins and bound of the group."""
 
     def run(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("ids_crc32", "ascending")])
+        t = t.sort_by([("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending"), ("row", "ascending")])
         lengths = t["length"].to_numpy()
         b, offset = best_fit_decreasing(lengths, capacity)
         n = int(b.max()) + 1
         left = capacity - np.bincount(b, weights=lengths, minlength=n).astype(np.int64)
         group = t["grp"][0].as_py()
-        own = [("sequence_id", b + (tag << 56) + (group << 24)), ("offset", offset), ("left", left[b]), ("bins", np.full(len(b), n)), ("bound", np.full(len(b), lower_bound(lengths, capacity)))]
+        own = [("sequence_id", b + (tag << 48) + (group << 24)), ("offset", offset), ("left", left[b]), ("bins", np.full(len(b), n)), ("bound", np.full(len(b), lower_bound(lengths, capacity)))]
         for name, x in own:
             t = t.append_column(name, pa.array(x, pa.int64()))
         return t
 
-    return pieces.groupBy("grp").applyInArrow(run, f"{PIECES}, grp long, sequence_id long, offset long, left long, bins long, bound long")
+    return pieces.groupBy("grp").applyInArrow(run, f"{PIECES}, row long, grp long, sequence_id long, offset long, left long, bins long, bound long")
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds: int = 3) -> DataFrame:
-    """pieces (see tokenize) + sequence_id, offset. Sequences are gapless from 0 and at most `capacity` long."""
-    columns = [*[c.split()[0] for c in PIECES.split(", ")], "sequence_id", "offset"]
+def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds: int | None = None) -> DataFrame:
+    """pieces (see tokenize) + sequence_id, offset, group_sequences, group_bound. Sequences are gapless from 0 and at most
+    `capacity` long; a group is what was packed at once, a full piece one by itself. rounds: of exchanges, at most; None: until
+    one saves nothing."""
+    own = [c.split()[0] for c in PIECES.split(", ")]
+    columns = [*own, "sequence_id", "offset", F.col("bins").alias("group_sequences"), F.col("bound").alias("group_bound")]
+    table = written(pieces.select(*own, F.monotonically_increasing_id().alias("row")), "pieces")
     # full pieces are sequences of their own; their ids are negative, so that they can't meet the packed ones
-    whole = pieces.where(F.col("length") == capacity).select(*columns[:5], (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    part = pieces.where(F.col("length") < capacity)
+    whole = table.where(F.col("length") == capacity).select("*", (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(1).cast("long").alias("bins"), F.lit(1).cast("long").alias("bound")).select(*columns)
+    part = table.where(F.col("length") < capacity)
     n = part.count()
     if not n:
         return whole
     packed = written(_pack(_deal(part, -(-n // group), 0), capacity, 0), "packed")
-    kept = []
-    for salt in range(1, rounds + 1):
-        open_ = packed.where((F.col("bins") > F.col("bound")) & (F.col("left") > 0))
-        m, before, gap = packed.agg(F.count(F.when((F.col("bins") > F.col("bound")) & (F.col("left") > 0), 1)), F.count(F.when((F.col("bins") > F.col("bound")) & (F.col("left") > 0) & (F.col("offset") == 0), 1)), F.count(F.when((F.col("bins") > F.col("bound")) & (F.col("offset") == 0), 1))).first()
-        if not gap or not m:
+    kept, salt = [], 0
+    gap = (F.col("bins") > F.col("bound")) & (F.col("left") > 0)
+    while rounds is None or salt < rounds:
+        salt += 1
+        m, before = packed.agg(F.count_if(gap), F.count_if(gap & (F.col("offset") == 0))).first()
+        if not m:
             break
-        again = written(_pack(_deal(open_.select(*columns[:5]), -(-m // group), salt), capacity, salt), "packed")
-        after = again.where(F.col("offset") == 0).count()
-        if after >= before:
+        again = written(_pack(_deal(packed.where(gap).select(*own, "row"), -(-m // group), salt), capacity, salt), "packed")
+        if again.where(F.col("offset") == 0).count() >= before:
             discard(again)
             break
-        kept.append(packed.where(~((F.col("bins") > F.col("bound")) & (F.col("left") > 0))).select(*columns))
+        kept.append(packed.where(~gap).select(*columns))
         packed = again
     kept.append(packed.select(*columns))
     for x in kept:
@@ -146,4 +152,4 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group: int = GROUP, rounds
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Tokenizes and packs whole documents; see tokenize() and pack()."""
-    return pack(written(tokenize(docs, capacity, 0, tokenizer, id_col, text_col), "pieces"), capacity)
+    return pack(tokenize(docs, capacity, 0, tokenizer, id_col, text_col), capacity)
