@@ -63,6 +63,18 @@ def test_decontamination_by_items_without_an_id(spark, docs, block_bytes):
     assert [x.doc_id for x in decontam.remove_contaminated(d, b, block_bytes=block_bytes).collect()] == [3]
 
 
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    """With a hash that hardly tells windows apart, verification alone decides."""
+    monkeypatch.setattr(decontam, "roll", lambda columns: columns[0].astype(np.uint64) % np.uint64(3))
+    r = random.Random(43)
+    items = [(str(k % 9), prose(r, r.randint(2, 14), 5)) for k in range(60)] + [(None, prose(r, 12, 5))]
+    tests = decontam.TestSet([(i, t.encode()) for i, t in items])
+    texts = [prose(r, 200, 5) for _ in range(10)]
+    got = [(k, c, len({x for s, e in hit for x in range(s, e)}), tuple(who)) for k, (c, hit, who) in enumerate(tests.hits([t.encode() for t in texts]))]
+    named = {k: tuple(i for i in who if i != "None") for k, _, _, who in plain_contamination(list(enumerate(texts)), items)}
+    assert sorted(got, key=str) == sorted(((k, c, h, named[k]) for k, c, h, _ in plain_contamination(list(enumerate(texts)), items)), key=str)
+
+
 def test_decontamination_of_nothing(spark, docs, odd):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.find_contamination(docs(odd), none).where("contaminated").count() == 0
