@@ -220,7 +220,7 @@ def test_fingerprints(spark, docs, odd, buckets):
             f = fingerprints.fingerprint
             assert got[i].edited_sha256 == hashlib.sha256(new.encode()).hexdigest() and got[i].n_chars == len(a)
             assert got[i].near_edited == fingerprints.likeness(f(a), f(new)) and got[i].near_next == fingerprints.likeness(f(a), f(b))
-        assert fingerprints.compare_with_edited(docs(odd)).count() == len(odd)  # repeated rows and a null id
+        check_successors(docs, [*odd, *[(5, f"five {k}") for k in range(9)], *[(None, f"none {k}") for k in range(9)], *[(4, "one two")] * 30], 1 << 20)
         assert fingerprints.compare_with_edited(docs([])).count() == 0
         lone = fingerprints.compare_with_edited(docs([(1, "abcabc")])).first()
         assert lone.near_next == 1.0
@@ -229,6 +229,34 @@ def test_fingerprints(spark, docs, odd, buckets):
         spark.conf.set("spark.sql.shuffle.partitions", 4)
 
 
+def check_successors(docs, rows, stretch):
+    """Rows by descending id, null ids last; those of one id in any one order of their texts, equal rows side by side."""
+    got = fingerprints.compare_with_edited(docs(rows), stretch=stretch).collect()
+    assert len(got) == len(rows)
+    text_of, f = {}, fingerprints.fingerprint
+    for i, t in rows:
+        text_of.setdefault(i, []).append(t or "")
+    ids = sorted(text_of, key=lambda i: (i is None, -(i or 0)))
+    for k, i in enumerate(ids):
+        own, after = text_of[i], text_of[ids[(k + 1) % len(ids)]]
+        mine = [r for r in got if r.doc_id == i]
+        assert sorted(r.fingerprint for r in mine) == sorted(fingerprints._text(f(t)) for t in own)
+        left, links = list(mine), 0
+        for t in own:  # each row's edited text comes from some other row of the id, or, for one row, from the next id
+            can = {hashlib.sha256((t[: len(t) - len(t) // 3] + a[: len(t) // 3]).encode()).hexdigest(): a in own for a in [*after, *own]}
+            hit = next(r for r in left if r.fingerprint == fingerprints._text(f(t)) and r.edited_sha256 in can)
+            links += can[hit.edited_sha256]
+            left.remove(hit)
+        assert links >= len(own) - 1 and not left
+
+
+@pytest.mark.parametrize("stretch", [1, 200, 1 << 20])
+def test_successors_of_shared_ids(spark, docs, stretch):
+    r = random.Random(3)
+    rows = [(r.choice([None, 3, 3, 3, k]), " ".join(f"w{r.randrange(90)}" for _ in range(r.randint(1, 40)))) for k in range(60)]
+    check_successors(docs, [*rows, *[(3, "copy of one text again")] * 20], stretch)
+
+
 def test_likeness_orders(spark):
     f = fingerprints.fingerprint
     a = " ".join(f"w{k % 97}x" for k in range(900))

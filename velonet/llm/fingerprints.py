@@ -4,9 +4,14 @@ A text is parsed into dictionary phrases: each is the shortest run, from where t
 dictionary yet, and joins it (an unfinished last run doesn't count). The phrases are hashed, and the SIZE least hashes are
 the fingerprint; two fingerprints' likeness estimates the Jaccard index of their phrase sets from the least hashes of both.
 
+compare_with_edited() needs each row's successor: rows go, by one shuffle of the texts, to stretches of the order, one a task,
+which end at quantiles of (id, hash of the text), weighed by the texts' sizes. Rows that share an id, or have none, split too;
+equal rows stay together, sorted on disk if need be, and are parsed once.
+
 Defined cases: a null or empty text has no phrases, an empty fingerprint, and likeness 1 to another such text; texts with
-fewer phrases than SIZE are compared exactly; equal texts have equal fingerprints. Repeated rows give a row each; rows that
-share an id are neighbours in the order of their texts; null ids come last. A lone document is its own successor.
+fewer phrases than SIZE are compared exactly; equal texts have equal fingerprints; very long ones are parsed whole. Repeated
+rows give a row each, each other's successors; rows that share an id are neighbours in the order of hashes of their texts; null
+ids come last. A lone document is its own successor. Other columns, whatever their names, aren't read; empty in, empty out.
 """
 
 from __future__ import annotations
@@ -15,13 +20,17 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velonet.llm.common import by_size, shuffle_partitions, texts
+from velonet.llm.common import by_size, shuffle_partitions, text_node, texts
+from velonet.operators.scratch import written
 
 SIZE = 128
+#: Bytes of text in a stretch of rows, which is a task.
+STRETCH = 32 << 20
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _LAST = -(2**63)
@@ -131,51 +140,91 @@ def fingerprints(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text
     return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_chars long, fingerprint string")
 
 
-def with_next(docs: DataFrame, n_buckets: int) -> DataFrame:
-    """(bucket, halo, pos, doc_id, text): rows in buckets of neighbouring ids, each with one more row, the halo: the
-    successor, by descending id, of the bucket's last row. One shuffle moves the texts.
+def with_next(docs: DataFrame, stretch: int = STRETCH) -> tuple[DataFrame, int]:
+    """(bucket, halo, pos, tie, doc_id, text) and the number of buckets: rows in buckets of neighbours by descending (pos, tie), each
+    bucket with one more key's rows, the halo: what follows its last row. One shuffle moves the texts.
 
-    Buckets are cut at quantiles of the ids. What the driver sees is a number for each bucket."""
+    Where buckets end comes from a table of the keys and sizes, without texts. What the driver sees is two keys for each bucket."""
     spark = docs.sparkSession
-    d = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("pos"), "doc_id", "text")
-    cuts = sorted(set(d.select("pos").agg(F.percentile_approx("pos", [k / n_buckets for k in range(1, n_buckets)] or [0.5], 20 * n_buckets)).first()[0] or []))
-    wide = max(1, int(len(cuts) ** 0.5))
-    coarse, fine = F.array(*[F.lit(c).cast("long") for c in cuts[::wide]]), F.array(*[F.lit(c).cast("long") for c in cuts])
-    skip = F.greatest(F.lit(0), F.size(F.filter(coarse, lambda c: c < F.col("pos"))) - 1) * wide
-    bucket = skip + F.size(F.filter(F.slice(fine, skip + 1, wide + 1), lambda c: c < F.col("pos"))) if cuts else F.lit(0)
-    tops = dict(d.select("pos").withColumn("bucket", bucket).groupBy("bucket").agg(F.max("pos")).collect())
-    used = sorted(tops)
-    halo = spark.createDataFrame([(tops[b], used[(k + 1) % len(used)]) for k, b in enumerate(used)], "pos long, into int")
-    own = d.withColumn("bucket", bucket).join(F.broadcast(halo), "pos", "left")
-    place = lambda b, h: F.struct(F.col(b).cast("int").alias("bucket"), F.lit(h).alias("halo"))
-    each = F.explode(F.when(F.col("into").isNull(), F.array(place("bucket", False))).otherwise(F.array(place("bucket", False), place("into", True))))
-    return own.select(each.alias("x"), "pos", "doc_id", "text").select("x.bucket", "x.halo", "pos", "doc_id", "text")
-
-
-def compare_with_edited(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    d = docs.select(F.coalesce("doc_id", F.lit(_LAST)).alias("pos"), text_node().alias("tie"), "doc_id", "text")
+    n = shuffle_partitions(spark)
+    keys = d.select("pos", "tie", (F.octet_length("text") + 64).alias("size")).groupBy("pos", "tie").agg(F.sum("size").alias("size"))
+    keys = written(keys.repartitionByRange(n, F.desc("pos"), F.desc("tie")).select(F.spark_partition_id().alias("range"), "*"), "keys")
+    ranges = keys.groupBy("range").agg(F.sum("size").alias("size")).orderBy("range").toPandas()
+    total = int(ranges["size"].sum())
+    if not total:
+        return d.select(F.lit(0).alias("bucket"), F.lit(False).alias("halo"), "*"), 1
+    each = max(1, min(stretch, -(-total // (4 * n))))
+    shift = spark.createDataFrame(list(zip(ranges["range"].tolist(), (ranges["size"].cumsum() - ranges["size"]).tolist(), strict=True)), "range int, before long")
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The first and last key of what a batch holds of each bucket, by the bytes before a key."""
+        before: dict[int, int] = {}
+        for b in batches:
+            out = []
+            for r, part in b.groupby("range", sort=False):
+                end = part["size"].cumsum() + before.setdefault(r, int(part["before"].iloc[0]))
+                before[r] = int(end.iloc[-1])
+                for bucket, own in part.groupby((end - part["size"]) // each):
+                    out.append((bucket, *own.iloc[0][["pos", "tie"]], *own.iloc[-1][["pos", "tie"]]))
+            yield pd.DataFrame(out, columns=["bucket", "p0", "t0", "p1", "t1"]).astype("int64")
+
+    sorted_ = keys.join(F.broadcast(shift), "range").repartition(n, "range").sortWithinPartitions("range", F.desc("pos"), F.desc("tie"))
+    ends = sorted_.mapInPandas(place, "bucket long, p0 long, t0 long, p1 long, t1 long")
+    ends = ends.groupBy("bucket").agg(F.max(F.struct("p0", "t0")).alias("top"), F.min(F.struct("p1", "t1")).alias("end")).orderBy("bucket").select("top.*", "end.*").toPandas().to_numpy()
+    used = len(ends)
+    shared = spark.sparkContext.broadcast(ends)
+
+    @F.pandas_udf("bucket int, into int")
+    def of(pos: pd.Series, tie: pd.Series) -> pd.DataFrame:
+        ends = shared.value
+        p, t = pos.to_numpy(), tie.to_numpy()
+        lo, hi = np.zeros(len(p), np.int64), np.full(len(p), used - 1)  # the first bucket that doesn't end before the key
+        while (lo < hi).any():
+            mid = (lo + hi) // 2
+            past = (ends[mid, 2] > p) | (ends[mid, 2] == p) & (ends[mid, 3] > t)
+            lo, hi = np.where(past, mid + 1, lo), np.where(past, hi, mid)
+        tops = (ends[lo, 0] == p) & (ends[lo, 1] == t)
+        return pd.DataFrame({"bucket": lo, "into": np.where(tops, (lo - 1) % used, -1)})
+
+    at = d.withColumn("at", of("pos", "tie"))
+    two = F.array(F.struct(F.col("at.bucket").alias("bucket"), F.lit(False).alias("halo")), F.struct(F.col("at.into").alias("bucket"), F.lit(True).alias("halo")))
+    each_ = F.explode(F.when(F.col("at.into") < 0, F.slice(two, 1, 1)).otherwise(two)).alias("x")
+    return at.select(each_, "pos", "tie", "doc_id", "text").select("x.bucket", "x.halo", "pos", "tie", "doc_id", "text"), used
+
+
+def compare_with_edited(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text", stretch: int = STRETCH) -> DataFrame:
     """Per document: its fingerprint, that of its edited text, and the likeness to that and to the next document.
 
     The edited text: the last floor(n_chars / 3) code points are replaced by the first as many of the next document by
     descending id (after the last: the first)."""
-    d = texts(docs, id_col, text_col)
-    n = shuffle_partitions(docs.sparkSession)
-    rows = with_next(d, 4 * n).repartition(n, "bucket").sortWithinPartitions("bucket", "halo", F.desc("pos"), "text")
+    rows, n = with_next(texts(docs, id_col, text_col), stretch)
+    rows = rows.repartitionById(n, "bucket").sortWithinPartitions("bucket", "halo", F.desc("pos"), F.desc("tie"), "text")
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
+    def compared(p: Parsed, text: str, after: np.ndarray) -> tuple:
+        new, h = p.edited(text)
+        return len(p.text), hashlib.sha256(new.encode()).hexdigest(), _text(p.least), _text(h), likeness(p.least, h, size), likeness(p.least, after, size)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, closed = None, None
+        before, closed, twin = None, None, None  # twin: what follows from a text that its own copy follows
         for b in by_size(batches):
             out = []
             for bucket, halo, doc_id, text in zip(b["bucket"].to_pylist(), b["halo"].to_pylist(), b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
                 if closed == bucket:
-                    continue  # several rows may share the halo's id: the first is the successor
-                now = (bucket, doc_id, Parsed(text, size))
-                if before:
-                    _, i, p = before
-                    new, h = p.edited(text)
-                    out.append((i, len(p.text), hashlib.sha256(new.encode()).hexdigest(), _text(p.least), _text(h), likeness(p.least, h, size), likeness(p.least, now[2].least, size)))
-                before, closed = (None, bucket) if halo else (now, closed)
+                    continue  # of the rows of the halo's key the first is the successor
+                if before and before[1].text == text:
+                    if twin is None:
+                        p = Parsed(text, size)
+                        twin = compared(p, text, p.least)
+                    out.append((before[0], *twin))
+                    now = (doc_id, before[1])
+                else:
+                    now, twin = (doc_id, Parsed(text, size)), None
+                    if before:
+                        out.append((before[0], *compared(before[1], text, now[1].least)))
+                before, closed, twin = (None, bucket, None) if halo else (now, closed, twin)
             cols = list(zip(*out, strict=True)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
