@@ -123,7 +123,109 @@ def test_quotation_counts_apart():
     f = lambda t: toxicity.features(t, lex)[1:4]
     assert f("you idiot there")[0] > 0 and f("you idiot there")[1] == 0
     assert f('he wrote “idiot” there')[1] > 0 and f('he wrote "idiot" there')[0] == 0
-    assert f("you idi0t idiott")[2] > 0
+    assert f("you idi0t")[2] > 0 and f("you idiott")[2] > 0 and f("an 1d!ot, Idiot! idiot5 5 !!")[0] > 0
+    assert toxicity.words("you idi0t! tr@sh 3rd a1b2 9 c3") == [b"you", b"idi0t", b"tr@sh", b"rd", b"a1b", b"c"]
+
+
+def test_toxicity_scores_as_plain_ones(spark, docs, odd):
+    """The query's scores from a model by plain means: each word against each term, by edit distance."""
+    terms = {"idiot": False, "moron": False, "scum": False, "vequ": True}
+    m = toxicity.Model(toxicity.Lexicon(terms), np.array([-3.0, 2.0, 0.4, 1.5, 0.3, 0.2]))
+
+    def plain(text):
+        t = "".join('"' if c in "“”„«»‘’`" else c for c in text).translate({c: c + 32 for c in range(65, 91)})
+        t = "".join(c if c in '"0123456789@$!*' or "a" <= c <= "z" or ord(c) > 127 else " " for c in t).replace('"', ' " ')
+        letter = lambda c: "a" <= c <= "z" or ord(c) > 127
+        out, k = [], 0
+        t = f" {t} "
+        while k < len(t):  # runs of signs stay between letters only
+            e = k
+            while e < len(t) and t[e] in "0123456789@$!*":
+                e += 1
+            if e > k:
+                out.append(t[k:e] if letter(t[k - 1]) and letter(t[e]) else " ")
+            else:
+                out.append(t[k])
+                e = k + 1
+            k = e
+        w = "".join(out).split()
+        n, kinds = [0, 0, 0], set()
+        for i, x in enumerate(w):
+            exact = next((s for s, stem in terms.items() if (x.startswith(s) if stem else x == s)), None)
+            near = next((s for s, stem in sorted(terms.items()) if not stem and len(s) >= 5 and edits(x, s) == 1), None)
+            if not (exact or near):
+                continue
+            kinds.add(exact or near)
+            n[1 if '"' in w[max(0, i - 6) : i] and '"' in w[i + 1 : i + 7] else 0 if exact else 2] += 1
+        if not sum(n):
+            return 1 / (1 + math.exp(3))
+        x = [1.0, *map(math.log1p, (*n, len(kinds), 100 * sum(n) / len(w)))]
+        return 1 / (1 + math.exp(-sum(a * b for a, b in zip(x, m.weights, strict=True))))
+
+    r = random.Random(12)
+    parts = ["idiot", "Idi0t", "idot", "mor on", "m0r0n", "moro!n", "scum", "scvm", "vequxyz", "“", "”", '"', "tree", "house", "3", "!!", "é", "idiot5", "ïdiot"]
+    rows = [*odd, *[(100 + k, " ".join(r.choice(parts) for _ in range(r.randint(1, 25)))) for k in range(150)]]
+    got = toxicity.score_documents(docs(rows), m).collect()
+    want = sorted((str(i), round(plain(t or ""), 9)) for i, t in rows)
+    assert sorted((str(x.doc_id), round(x.score, 9)) for x in got) == want and len({s for _, s in want}) > 40
+    assert all(x.predicted == int(x.score >= 0.3) for x in got)
+
+
+def test_lexicon_has_no_caps(spark, docs):
+    """Long words and very many terms are learned like others."""
+    r = random.Random(15)
+    word = lambda k: f"{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'uvwxyzabcd'[k // 100]}bad"
+    long = "verylongabusiveword" * 3
+    rows = [(k, " ".join(["tree", "house", *(r.sample([word(j) for j in range(600)], 120) + [long, "zq"] if k % 3 == 0 else []), *r.choices([a + b + c for a in "bdfg" for b in "aeiou" for c in "lmnr"], k=30)])) for k in range(240)]
+    labels = spark.createDataFrame([(k, 1, int(k % 3 == 0)) for k, _ in rows], "doc_id long, quality int, toxic int")
+    m = toxicity.train(docs(rows), labels)
+    hit = lambda w: m.lexicon.find(w.encode()) is not None
+    assert sum(hit(word(j)) for j in range(600)) > 400 and hit(long) and hit("zq") and not hit("tree")
+
+
+def test_sample_is_bounded_by_rows(spark, docs):
+    from pyspark.sql import functions as F
+
+    from velonet.llm.labelled import sample
+
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, None), (None, 1)], "doc_id long, toxic int")
+    got = sample(docs([(1, "b"), (1, "a"), (1, None), (2, "x"), (2, "x"), (3, "c"), (None, "n")]), labels, F.col("toxic"), 5).collect()
+    assert sorted(tuple(x) for x in got) == [(1, "", 0), (2, "x", 1)]
+
+
+def test_quality_grades_as_plain_ones(spark, docs, odd):
+    """The query's grades from a model's weights, word by word."""
+    import zlib
+
+    weights = np.random.default_rng(5).normal(size=quality.DIMENSIONS)
+    m = quality.Ordinal(weights, np.array([-0.5, 0.8]))
+    at = lambda t: weights[zlib.crc32(t.encode()) % quality.DIMENSIONS]
+
+    def plain(text):
+        w = text.split()
+        n, chars, joined = max(1, len(w)), max(1, len(text)), "".join(w)
+        bare = ["".join(c for c in x if c not in ".,;:!?\"'()").lower() for x in w]
+        tenth = {
+            "capitals": sum(x.isupper() for x in w) / n,
+            "letters": sum(x.isalpha() for x in w) / n,
+            "repeats": sum(w[k] == w[k + 1] for k in range(len(w) - 1)) / n,
+            "distinct": len(set(w)) / n,
+            "bars": 5 * text.count("|") / chars,
+            "marks": 5 * sum(c in "#$%&*!@" for c in joined) / chars,
+            "digits": 2 * sum(c in "0123456789" for c in joined) / chars,
+            "lines": 10 * text.count("\n") / chars,
+            "length": min(1.0, math.floor(math.log2(len(text)) + 1) / 20 if text else 0),
+            "word": min(1.0, len(joined) / n / 20),
+        }
+        f = sum(at(f"shape {k} {min(10, int(10 * v))}") for k, v in tenth.items()) + (8 * sum(map(at, bare)) / len(w) if w else 0)
+        return [1 / (1 + math.exp(t - f)) for t in m.thresholds]
+
+    r = random.Random(14)
+    rows = [*odd, *[(100 + k, " ".join(r.choice(["Good", "good.", "BAD!!", "|", "12", "x\ny", "plain"]) for _ in range(r.randint(1, 30)))) for k in range(60)]]
+    got = quality.grade_documents(docs(rows), m).collect()
+    want = sorted(((str(i), *[round(x, 9) for x in plain(t or "")]) for i, t in rows), key=str)
+    assert sorted(((str(x.doc_id), *[round(v, 9) for v in x.tail]) for x in got), key=str) == want
+    assert all(abs(x.expected_grade - sum(x.tail)) < 1e-12 and x.keep == (x.tail[0] >= 0.5) for x in got)
 
 
 def test_toxicity_odd(spark, docs, odd):

@@ -3,20 +3,24 @@
 The lexicon (whole words and word stems) is learned from labelled rows: terms that occur in toxic documents far more often
 than chance allows, and hardly elsewhere. It is kept as a trie; the automata of all its terms run as one, determinised
 while it reads: a state is a set of (trie node, edits), so a word costs one step a letter, whatever the lexicon's size.
-Words of FUZZY letters or more also match with one edit; stems match exactly, at the start of a word.
+Words of FUZZY letters or more also match with one edit; stems match exactly, at the start of a word. Digits and marks that
+stand for letters (idi0t, tr@sh) belong to a word if letters are on both sides of them.
 
 Each match is looked at within WINDOW words: between quotation marks, or near them, it counts as quoted. A small logistic
 regression turns a document's matches into a score. Everything is learned from at most SAMPLE labelled rows, by a
-hash of the id; ids, languages and sources are never inputs. Scores cover every row where it is, without a shuffle.
+hash of the id; ids, languages and sources are never inputs. Every term that passes the test is kept, however long and however
+many: each has documents of its own in the sample, whose size bounds them. Scores cover every row where it is, without a shuffle.
 
 Defined cases: null and empty texts have no words and get the score of a text without matches; unlabelled rows are scored
 alike; without labels (or of one kind only) nothing matches and the score is the share of toxic labels, 0 if there are none;
-repeated rows give a row each; an empty table gives an empty result.
+of several labels of an id the least counts; repeated rows give a row each; very long texts and words are read whole; other
+columns, whatever their names, aren't read, and pass reject_toxic() as they are; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -29,22 +33,28 @@ from pyspark.sql import functions as F
 from velonet.llm.common import by_size, texts
 from velonet.llm.labelled import sample
 
-#: Labelled rows that lexicon and regression are learned from; terms that the lexicon may have; states kept at a time.
-SAMPLE, TERMS, STATES = 16_000, 400, 10_000
+#: Labelled rows that lexicon and regression are learned from; states kept at a time.
+SAMPLE, STATES = 16_000, 10_000
 STEMS, FUZZY, WINDOW, THRESHOLD = range(4, 8), 5, 6, 0.3
 #: Held out from learning: rows whose crc32(doc_id as text) has this remainder by 4.
 HELD_OUT = 2
-_LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 34 if c in (34, 96) else 32 for c in range(256))
+_SIGNS = b"0123456789@$!*"
+_LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 or c in _SIGNS else 34 if c in (34, 96) else 32 for c in range(256))
+_ANY_SIGN = re.compile(rb"[0-9@$!*]")
+#: Signs that don't have a letter before and after them.
+_LOOSE = re.compile(rb"(?<![a-z\x80-\xff])[0-9@$!*]+|(?<=[a-z\x80-\xff])[0-9@$!*]+(?![0-9@$!*a-z\x80-\xff])")
 _QUOTES = (b"\xe2\x80\x9c", b"\xe2\x80\x9d", b"\xe2\x80\x9e", b"\xc2\xab", b"\xc2\xbb", b"\xe2\x80\x98", b"\xe2\x80\x99")
 
 
 def words(text: str) -> list[bytes]:
-    """Runs of letters, A-Z lower-cased; a quotation mark is a word of its own."""
+    """Runs of letters, and of signs between letters, A-Z lower-cased; a quotation mark is a word of its own."""
     b = text.encode()
     if b"\xe2\x80" in b or b"\xc2" in b:
         for q in _QUOTES:
             b = b.replace(q, b'"')
     b = b.translate(_LETTERS)
+    if _ANY_SIGN.search(b):
+        b = _LOOSE.sub(b" ", b)
     return (b.replace(b'"', b' " ') if b'"' in b else b).split()
 
 
@@ -161,7 +171,7 @@ def one_of_each(rows: DataFrame, shingle: int = 5) -> DataFrame:
     return rows.select("text", "y").mapInArrow(run, "text string, y int, least long").dropDuplicates(["least", "y"])
 
 
-def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, bool]:
+def learn_lexicon(rows: DataFrame) -> dict[str, bool]:
     """rows (text, y) -> term -> whether it is a stem.
 
     A term stays if nine tenths of its documents are toxic and the likelihood ratio against chance beats the number of
@@ -172,7 +182,7 @@ def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, bool]:
             n: dict[int, Counter] = {0: Counter(), 1: Counter()}
             for text, y in zip(b["text"].to_pylist(), b["y"].to_pylist(), strict=True):
                 own = {x.decode(errors="replace") for x in set(words(text))}
-                n[y].update({f"{x}$" for x in own if 3 <= len(x) <= 24})
+                n[y].update({f"{x}$" for x in own if x != '"'})
                 n[y].update({x[:k] for x in own for k in STEMS if len(x) > k})
             keys = list(n[0].keys() | n[1].keys())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([n[0][k] for k in keys], pa.int64()), pa.array([n[1][k] for k in keys], pa.int64())], names=["term", "n0", "n1"])
@@ -185,18 +195,18 @@ def learn_lexicon(rows: DataFrame, terms: int = TERMS) -> dict[str, bool]:
     share = n1 / (n0 + n1)
     counts = rows.select("text", "y").mapInArrow(run, "term string, n0 long, n1 long").groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     surprise = F.expr(f"n1 * ln(greatest(n1, 0.5) / (n0 + n1) / {share!r}) + n0 * ln(greatest(n0, 0.5) / (n0 + n1) / {1 - share!r})")
-    got = counts.where("n1 >= 3 and n1 >= 9 * n0").withColumn("surprise", surprise).where(F.col("surprise") > math.log(1e6)).orderBy(F.desc("surprise"), "term").limit(terms * len(STEMS)).collect()
+    got = counts.where("n1 >= 3 and n1 >= 9 * n0").withColumn("surprise", surprise).where(F.col("surprise") > math.log(1e6)).orderBy(F.desc("surprise"), "term").collect()  # of the sample's words those that tell
     stems = {r.term: r.n1 for r in got if not r.term.endswith("$")}
     whole = {r.term[:-1]: r.n1 for r in got if r.term.endswith("$")}
+    best = Counter()  # of each beginning, the documents of the word that has most
+    for w, n in whole.items():
+        for k in STEMS:
+            best[w[:k]] = max(best[w[:k]], n)
     kept: dict[str, bool] = {}
     for s in sorted(stems, key=len):
-        one = max((whole.get(w, 0) for w in whole if w.startswith(s)), default=0)
-        if one < 0.9 * stems[s] and not any(s.startswith(k) for k in kept):
+        if best[s] < 0.9 * stems[s] and not any(s[:k] in kept for k in STEMS):
             kept[s] = True
-    for w in whole:
-        if not any(w.startswith(k) for k, stem in kept.items() if stem):
-            kept[w] = False
-    return dict(list(kept.items())[:terms])
+    return kept | {w: False for w in whole if not any(w[:k] in kept for k in STEMS)}
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
@@ -220,11 +230,11 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(np.dot(features(text, self.lexicon), self.weights), -30, 30))))
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, terms: int = TERMS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
     """Lexicon and regression from at most `rows` rows that aren't held out; the driver gets counts of terms and six numbers a row."""
     own = sample(docs, labels, F.col("toxic").cast("int"), rows, held_out(F.col("doc_id")) == F.lit(False)).where("y in (0, 1)").repartition(12).persist()
     try:
-        lexicon = Lexicon(learn_lexicon(own, terms))
+        lexicon = Lexicon(learn_lexicon(own))
         shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
