@@ -71,8 +71,8 @@ def test_redaction(spark, docs, odd):
 
 def test_redaction_takes_its_spans_from_the_scan(spark, docs, monkeypatch):
     """Each distinct content is scanned once, by the operator; spans that overlap are masked once."""
-    calls, scan = [], secret_scan.scan_secrets
-    monkeypatch.setattr(secret_scan, "scan_secrets", lambda *a, **k: calls.append(1) or scan(*a, **k))
+    calls, scan = [], secret_scan.scan_with_ledger
+    monkeypatch.setattr(secret_scan, "scan_with_ledger", lambda *a, **k: calls.append(1) or scan(*a, **k))
     texts = [*secret_texts(), "token=deadbeefdeadbeefdeadbeef00", "none", "", None]
     rows = [*enumerate(texts), (None, "token=abcdefgh1"), *enumerate(texts)]
 
@@ -88,6 +88,15 @@ def test_redaction_takes_its_spans_from_the_scan(spark, docs, monkeypatch):
     assert calls and sorted(got, key=str) == sorted(((i, plain(t)) for i, t in rows), key=str)
 
 
+def test_redaction_by_a_kept_ledger_and_of_nothing(spark, docs, tmp_path):
+    path = f"file://{tmp_path}/ledger"
+    one, two = [(1, "password=hunter22"), (2, "clean")], [(3, "clean"), (4, "x password=hunter22"), (1, "password=hunter22")]
+    assert secret_scan.redact(docs([]), ledger_path=path).count() == 0
+    assert {r.doc_id: r.text for r in secret_scan.redact(docs(one), ledger_path=path).collect()} == {1: "[SECRET]", 2: "clean"}
+    assert {r.doc_id: r.text for r in secret_scan.redact(docs(two), ledger_path=path).collect()} == {1: "[SECRET]", 3: "clean", 4: "x [SECRET]"}
+    assert sorted(len(r.spans) for r in spark.read.parquet(path).collect()) == [0, 1, 1]
+
+
 def test_tokens_are_the_librarys():
     e = Encoder(default_path())
     texts = ["", "a", "don't it's I'LL", "x <|endoftext|> y", "é É́ ﬁ Σας İstanbul", "a\tb\x0bc", "1234 12a 3.5 $$$", "naïve?!) ÿ µ ª º ×÷", "The the THE, (the)...", "\n\n \n", "日本語"] * 2

@@ -10,7 +10,7 @@ from velonet.llm.common import read
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = secret_scan.scan_secrets(read(spark, sf_dir, "documents"))
+    found = secret_scan.scan_with_ledger(read(spark, sf_dir, "documents"))
     line = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = [r.kind for r in secret_scan.BASE]
     of = lambda kinds: F.filter("spans", lambda s: s["kind"].isin(kinds))

@@ -2,10 +2,12 @@
 
 Every version of every file is named by the SHA-256 of its content (a blob). A ledger table holds which
 (blob, rule version) pairs were scanned and what was found. A scan reads only blobs that have unseen pairs, each
-distinct blob once however many paths and versions share it, and joins the findings back to all paths.
+distinct blob once however many paths and versions share it, and joins the findings back to all paths. The op1 query and
+redact() begin a ledger of their own where they are given none; a caller that keeps one has only what is new scanned.
 
 Defined cases: a null or empty text is the empty blob, without findings; repeated rows give a row each; a null id stays
-null; an empty table gives an empty result; extra columns are ignored. Texts are scanned whole.
+null; an empty table gives an empty result; extra columns, whatever their names, aren't read, and pass redact() as they are.
+Texts are scanned whole, very long ones too.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velonet.llm.common import by_size, scratch_path, texts
-from velonet.operators.scratch import written
+from velonet.operators.scratch import discard, written
 
 
 @dataclass(frozen=True)
@@ -119,25 +121,29 @@ def scan_secrets(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[
     return findings_by_path(blobs, new if ledger is None else ledger.select("blob", "rules", "spans").unionByName(new), rules), new
 
 
-def scan_with_ledger(docs: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Scans against the ledger stored at ledger_path (Parquet; made if absent), appends what is new, returns findings per path."""
+def scan_with_ledger(docs: DataFrame, ledger_path: str | None = None, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Scans against the ledger stored at ledger_path (Parquet; made if absent; None: one of its own), appends what is new, returns
+    findings per path."""
     spark = docs.sparkSession
+    ledger_path = ledger_path or scratch_path(spark, "ledger")
     path = spark._jvm.org.apache.hadoop.fs.Path(ledger_path)
     there = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
-    old = spark.read.parquet(ledger_path) if there else None
     blobs = blobs_of(docs, id_col, text_col)
-    fresh = scratch_path(spark, "ledger")
-    scan_unseen(blobs, old, rules).write.parquet(fresh)  # first elsewhere: the ledger is read while this is made
-    spark.read.parquet(fresh).write.mode("append").parquet(ledger_path)
+    if there:  # first elsewhere: the ledger is read while this is made
+        fresh = written(scan_unseen(blobs, spark.read.parquet(ledger_path), rules), "fresh")
+        fresh.write.mode("append").parquet(ledger_path)
+        discard(fresh)
+    else:
+        scan_unseen(blobs, None, rules).write.parquet(ledger_path)
     return findings_by_path(blobs, spark.read.parquet(ledger_path), rules)
 
 
-def redact(docs: DataFrame, mask: str = "[SECRET]", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def redact(docs: DataFrame, mask: str = "[SECRET]", rules: tuple[Rule, ...] = RULES, ledger_path: str | None = None) -> DataFrame:
     """docs with every found span of `text` replaced by the mask and n_chars brought up to date; nothing else changes.
 
-    The spans are scan_secrets()'s, each distinct content scanned once; only findings that aren't empty are joined to docs, on
-    the content's hash. mask must not match a rule."""
-    found, _ = scan_secrets(docs, rules=rules)
+    The spans are scan_with_ledger()'s, each distinct content scanned once; only findings that aren't empty are joined to docs,
+    on the content's hash. mask must not match a rule."""
+    found = scan_with_ledger(docs, ledger_path, rules)
     spans = written(found.where(F.size("spans") > 0).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")).dropDuplicates(["__blob"]), "findings")
     joined = docs.withColumn("__blob", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).join(spans, "__blob", "left").select(*docs.columns, "__spans")
 
