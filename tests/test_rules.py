@@ -13,11 +13,26 @@ def one(spark, column, **values):
     return df.select(column(df).alias("v")).first().v
 
 
-@pytest.mark.parametrize(("text", "want"), [("2.5 m", 2.5), ("3 meter", 3.0), ("2.5m", 2.5), ("2.5;3", 2.5), ("3 metres", None), ("3 meters", None), ("3 metre", None), ("250 cm", None), ("2,5", None), ("0", None), ("", None), (None, None), (" 1.25 ", 1.3), ("2.5d", None)])
+@pytest.mark.parametrize(("text", "want"), [("2.5 m", 2.5), ("3 meter", 3.0), ("2.5m", 2.5), ("2.5;3", 2.5), ("3 metres", None), ("3 meters", None), ("3 metre", None), ("250 cm", None), ("2,5", None), ("0", 0.0), ("", None), (None, None), (" 1.25 ", 1.2), ("2.5d", None), ("0 m", 0.0), ("0.15", 0.1), ("nan", None)])
 def test_width(spark, text, want):
     assert one(spark, lambda d: T.parse_width(F.col("w")), w=text) == want
 
 
+def test_width_of_numbers(spark):
+    df = spark.createDataFrame([(0.0,), (2.25,), (float("nan"),), (None,)], "w double")
+    assert [r.v for r in df.select(T.parse_width(F.col("w"), "double").alias("v")).collect()] == [None, 2.2, None, None]
+
+
+def test_one_decimal_is_that_of_the_number(spark):
+    """As round(x, 1) of Python: of the double's exact value, halves to the even."""
+    import random
+
+    r = random.Random(2)
+    values = [k / 100 for k in range(-100, 1000)] + [k / 20 for k in range(300)] + [r.uniform(-1e6, 1e6) for _ in range(500)] + [round(r.uniform(0, 1e9), 2) for _ in range(500)] + [1e300, 0.05, 1e-300, 123456789012345.25]
+    df = spark.createDataFrame([(v,) for v in values], "x double").coalesce(1)
+    assert [r.v for r in df.select(T.round1(F.col("x")).alias("v")).collect()] == [round(v, 1) for v in values]
+
+
 @pytest.mark.parametrize(("value", "sign", "want"), [("DE:240", "240", True), ("DE:2401", "240", True), ("DE:242.1", "242", True), ("DE:1,240", "240", True), ("240", "240", False), ("DE:1, 240", "240", True), (None, "240", False), ("", "240", False)])
 def test_sign(spark, value, sign, want):
     assert one(spark, lambda d: T.has_traffic_sign(F.col("v0"), sign), v0=value) is want
@@ -55,13 +70,36 @@ def test_bicycle_road_of_sett(spark):
         ({"category": "cyclewayOnHighwayProtected", "separation": "no", "separation_left": ""}, "Ohne"),
         ({"category": "cyclewayOnHighwayProtected", "separation_right": "bump"}, "Schwellen (auf Sperrfläche)"),
         ({"category": "cyclewayOnHighwayProtected", "traffic_mode_right": "parking", "marking_right": "barred_area", "separation_left": "kerb"}, "Ruhender Verkehr (mit Sperrfläche)"),
+        ({"category": " cyclewayOnHighwayProtected", "separation": "Bollard "}, "Poller (auf Sperrfläche)"),
+        ({"category": "cyclewayOnHighwayProtected", "traffic_mode_left": " Parking", "marking": "Barred_Area"}, "Ruhender Verkehr (mit Sperrfläche)"),
+        ({"category": "cyclewayOnHighwayProtected", "traffic_mode": "parking", "marking": "barred_area"}, "[TODO] Protektionstyp fehlt"),
     ],
 )
 def test_protection(spark, tags, want):
     assert one(spark, translate.protek, **tags) == want
 
 
-@pytest.mark.parametrize(("tags", "want"), [({"lifecycle": "construction", "updated_at": 86400}, "Derzeit Baustelle (Stand 02.01.1970)"), ({"lifecycle": "construction"}, "Derzeit Baustelle (Stand unbekannt)"), ({"lifecycle": None}, None)])
+@pytest.mark.parametrize(
+    ("tags", "want"),
+    [
+        ({"category": "bicycleRoad", "traffic_mode_left": "Parking ", "marking_left": " Dashed_line"}, "ja"),
+        ({"category": " BicycleRoad", "traffic_mode_left": "foot"}, "nein"),
+        ({"category": "x", "traffic_mode_right": "PARKING", "buffer_right": "nan"}, "nein"),
+        ({"category": "x", "traffic_mode_right": "parking", "buffer_right": " 0.6 "}, "ja"),
+        ({"category": "x", "traffic_mode_right": "parking", "buffer_right": "1d"}, "nein"),
+        ({"category": "x", "traffic_mode_left": "parking"}, "entfällt"),
+    ],
+)
+def test_safety_strip(spark, tags, want):
+    assert one(spark, translate.trennstreifen, **tags) == want
+
+
+def test_facility_of_padded_tags(spark):
+    assert one(spark, lambda d: translate.fuehrung(d, "bikelanes"), category="bicycleRoad ", traffic_sign=None) == "Fahrradstraße /-zone (Z 244)"
+    assert one(spark, lambda d: translate.fuehrung(d, "bikelanes"), category="cycleway_adjoining", traffic_sign=" none ") == translate.OTHER_WAYS
+
+
+@pytest.mark.parametrize(("tags", "want"), [({"lifecycle": " Construction", "updated_at": "86400.9"}, "Derzeit Baustelle (Stand 02.01.1970)"), ({"lifecycle": "construction", "updated_at": 0}, "Derzeit Baustelle (Stand unbekannt)"), ({"lifecycle": "construction", "updated_at": "soon"}, "Derzeit Baustelle (Stand unbekannt)"), ({"lifecycle": "construction", "updated_at": 86400}, "Derzeit Baustelle (Stand 02.01.1970)"), ({"lifecycle": "construction"}, "Derzeit Baustelle (Stand unbekannt)"), ({"lifecycle": None}, None)])
 def test_comment(spark, tags, want):
     assert one(spark, translate.kommentar, **tags) == want
 

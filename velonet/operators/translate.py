@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velonet.functions.geometry import length
-from velonet.functions.text import NULL_TEXT, among, contains_any, epoch_day, has_traffic_sign, lookup, low, opt, parse_width, starts_with_any, strip, txt, whole
+from velonet.functions.text import NULL_TEXT, among, contains_any, epoch_day, has_traffic_sign, lookup, low, number, opt, parse_width, starts_with_any, strip, txt, whole
 
 LAYERS = ("bikelanes", "streets", "paths")
 
@@ -103,7 +103,7 @@ def fuehrung(df: DataFrame, layer: str, null_text: str = NULL_TEXT) -> Column:
         return F.lit(MIXED)
     if layer == "paths":
         return F.lit(OTHER_WAYS)
-    category, sign = txt(df, "category", null_text), txt(df, "traffic_sign", null_text)
+    category, sign = strip(txt(df, "category", null_text)), strip(txt(df, "traffic_sign", null_text))
     free = has_traffic_sign(sign, "1022-10")
     beside = starts_with_any(category, ("footAndCyclewayShared", "footAndCyclewaySegregated", "cyclewaySeparated", "cycleway_adjoining"))
     yes_walk = category.startswith("footwayBicycleYes")
@@ -146,21 +146,23 @@ def farbe(df: DataFrame, null_text: str = NULL_TEXT) -> Column:
 
 
 def protek(df: DataFrame, null_text: str = NULL_TEXT) -> Column:
-    """Physical protection: the left side's, then the right side's."""
-    out = F.when(txt(df, "category", null_text) != "cyclewayOnHighwayProtected", "Ohne")
+    """Physical protection: the left side's, then the right side's. Separation and marking may be given for both sides at once,
+    parking beside the lane for its side only."""
+    out = F.when(strip(txt(df, "category", null_text)) != "cyclewayOnHighwayProtected", "Ohne")
     for side in ("left", "right"):
-        one = lambda tag, s=side: F.coalesce(F.nullif(opt(df, f"{tag}_{s}").cast("string"), F.lit("")), opt(df, tag).cast("string"), F.lit(""))
-        out = out.when((one("traffic_mode") == "parking") & one("marking").contains("barred_area"), "Ruhender Verkehr (mit Sperrfläche)")
-        out = out.when(one("separation").isin(*SEPARATIONS), lookup(one("separation"), SEPARATIONS, F.lit(None)))
+        either = lambda tag, s=side: low(F.coalesce(F.nullif(opt(df, f"{tag}_{s}").cast("string"), F.lit("")), opt(df, tag).cast("string"), F.lit("")))
+        parked = low(txt(df, f"traffic_mode_{side}", null_text)) == "parking"
+        out = out.when(parked & either("marking").contains("barred_area"), "Ruhender Verkehr (mit Sperrfläche)")
+        out = out.when(either("separation").isin(*SEPARATIONS), lookup(either("separation"), SEPARATIONS, F.lit(None)))
     return out.otherwise("[TODO] Protektionstyp fehlt")
 
 
 def trennstreifen(df: DataFrame, null_text: str = NULL_TEXT) -> Column:
     """Safety strip beside parked cars."""
-    parked = {s: txt(df, f"traffic_mode_{s}", null_text) == "parking" for s in ("left", "right")}
-    lined = {s: contains_any(txt(df, f"marking_{s}", null_text), ("dashed_line", "solid_line")) for s in parked}
-    road = F.lower(txt(df, "category", null_text)).startswith("bicycleroad")
-    wide = F.coalesce(opt(df, "buffer_right").try_cast("double") >= 0.6, F.lit(False))
+    parked = {s: low(txt(df, f"traffic_mode_{s}", null_text)) == "parking" for s in ("left", "right")}
+    lined = {s: contains_any(low(txt(df, f"marking_{s}", null_text)), ("dashed_line", "solid_line")) for s in parked}
+    road = low(txt(df, "category", null_text)).startswith("bicycleroad")
+    wide = F.coalesce(number(opt(df, "buffer_right")) >= 0.6, F.lit(False))
     return (
         F.when(road & ((parked["left"] & lined["left"]) | (parked["right"] & lined["right"])), "ja")
         .when(road & ~parked["left"] & ~parked["right"], "nein")
@@ -176,9 +178,12 @@ def nutz_beschr(df: DataFrame, fuehr: Column, null_text: str = NULL_TEXT) -> Col
 
 
 def kommentar(df: DataFrame, null_text: str = NULL_TEXT) -> Column:
-    """Note on building sites."""
-    day = epoch_day(opt(df, "updated_at").try_cast("bigint"))
-    return F.when(txt(df, "lifecycle", null_text) == "construction", F.concat(F.lit("Derzeit Baustelle (Stand "), F.coalesce(day, F.lit("unbekannt")), F.lit(")")))
+    """Note on building sites. A date of zero in a column of numbers isn't known."""
+    seconds = number(opt(df, "updated_at"))
+    if dict(df.dtypes).get("updated_at", "string") != "string":
+        seconds = F.nullif(seconds, F.lit(0.0))
+    day = epoch_day(seconds.cast("bigint"))
+    return F.when(low(txt(df, "lifecycle", null_text)) == "construction", F.concat(F.lit("Derzeit Baustelle (Stand "), F.coalesce(day, F.lit("unbekannt")), F.lit(")")))
 
 
 def derived_columns(df: DataFrame, layer: str, null_text: str = NULL_TEXT) -> dict[str, Column]:
@@ -190,7 +195,7 @@ def derived_columns(df: DataFrame, layer: str, null_text: str = NULL_TEXT) -> di
         "verkehrsri": verkehrsri(df, layer, null_text),
         "fuehr": fuehr,
         "pflicht": pflicht(df, layer, null_text),
-        "breite": parse_width(opt(df, "width")),
+        "breite": parse_width(opt(df, "width"), dict(df.dtypes).get("width", "string")),
         "ofm": ofm(df, null_text),
         "farbe": farbe(df, null_text),
         "protek": protek(df, null_text),

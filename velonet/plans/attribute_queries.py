@@ -111,7 +111,8 @@ _ONE, _TWO = "'Einrichtungsverkehr'", "'Zweirichtungsverkehr'"
 _O = _strip(_t("oneway"))
 _VERKEHRSRI = f"""case when {_O} in ('yes', 'implicit_yes') then {_ONE} when {_O} in ('no', 'car_not_bike', 'assumed_no') then {_TWO} when {_O} in ('', 'None', 'none') then '[TODO] Fehlender Wert' else '[TODO] Fehlerhafter Wert' end"""
 _VERKEHRSRI_ROAD = f"""case when {_O} in ('', 'None', 'none', 'nil') then {_TWO} when {_strip(_t('oneway_bicycle'))} = 'no' then {_TWO} when {_O} in ('yes', 'yes_dual_carriageway') then {_ONE} when {_O} = 'no' then {_TWO} else '[TODO] Fehlerhafter Wert' end"""
-_C, _S = _t("category"), _t("traffic_sign")
+_C, _S = _strip(_t("category")), _strip(_t("traffic_sign"))
+_LOW = lambda c: f"lower({_strip(_t(c))})"
 _FREE = _sign(_S, "1022-10")
 _FUEHR = f"""case when {_C} in ('cyclewayOnHighway_exclusive', 'cyclewayOnHighwayBetweenLanes') then 'Radfahrstreifen'
  when {_C} = 'sharedBusLaneBikeWithBus' then 'Radfahrstreifen mit Linienverkehr frei (Z237 mit Z1026-32)'
@@ -131,19 +132,22 @@ _FARBE = f"lower({_strip(_t('surface_color'))}) in ('red', 'green')"
 
 
 def _protek_side(s: str) -> str:
-    sep, mode, mark = f"coalesce(nullif(separation_{s}, ''), separation, '')", f"coalesce(nullif(traffic_mode_{s}, ''), '')", f"coalesce(nullif(marking_{s}, ''), '')"
-    return f"when {mode} = 'parking' and contains({mark}, 'barred_area') then 'Ruhender Verkehr (mit Sperrfläche)' when {_case(SEPARATIONS, sep)} is not null then {_case(SEPARATIONS, sep)}"
+    either = lambda tag: f"lower({_strip(f'coalesce(nullif({tag}_{s}, {chr(39) * 2}), {tag}, {chr(39) * 2})')})"
+    sep, mark = either("separation"), either("marking")
+    return f"when {_LOW(f'traffic_mode_{s}')} = 'parking' and contains({mark}, 'barred_area') then 'Ruhender Verkehr (mit Sperrfläche)' when {_case(SEPARATIONS, sep)} is not null then {_case(SEPARATIONS, sep)}"
 
 
 _PROTEK = f"case when {_C} <> 'cyclewayOnHighwayProtected' then 'Ohne' {_protek_side('left')} {_protek_side('right')} else '[TODO] Protektionstyp fehlt' end"
-_LINED = {s: f"(contains({_t(f'marking_{s}')}, 'dashed_line') or contains({_t(f'marking_{s}')}, 'solid_line'))" for s in ("left", "right")}
-_PARK = {s: f"({_t(f'traffic_mode_{s}')} = 'parking')" for s in ("left", "right")}
+_LINED = {s: f"(contains({_LOW(f'marking_{s}')}, 'dashed_line') or contains({_LOW(f'marking_{s}')}, 'solid_line'))" for s in ("left", "right")}
+_PARK = {s: f"({_LOW(f'traffic_mode_{s}')} = 'parking')" for s in ("left", "right")}
+_BUFFER = "try_cast(buffer_right as double)"
 _TRENN = f"""case when lower({_C}) like 'bicycleroad%' then case when ({_PARK['left']} and {_LINED['left']}) or ({_PARK['right']} and {_LINED['right']}) then 'ja' when not {_PARK['left']} and not {_PARK['right']} then 'nein' else 'entfällt' end
- when not {_PARK['right']} then 'entfällt' when coalesce(try_cast(buffer_right as double) >= 0.6, false) then 'ja' else 'nein' end"""
-_NUTZ = f"case when {_FUEHR} = '{MIXED}' then 'keine' when contains({_S}, 'Gehwegschäden') or contains({_S}, 'Radwegschäden') then '{DAMAGE}' else 'keine' end"
-_KOMM = "case when lifecycle = 'construction' then 'Derzeit Baustelle (Stand ' || strftime(make_timestamp(updated_at * 1000000), '%d.%m.%Y') || ')' end"
+ when not {_PARK['right']} then 'entfällt' when coalesce({_BUFFER} >= 0.6 and not isnan({_BUFFER}), false) then 'ja' else 'nein' end"""
+_NUTZ = f"case when {_FUEHR} = '{MIXED}' then 'keine' when contains({_t("traffic_sign")}, 'Gehwegschäden') or contains({_t("traffic_sign")}, 'Radwegschäden') then '{DAMAGE}' else 'keine' end"
+_KOMM = f"case when {_LOW('lifecycle')} = 'construction' then 'Derzeit Baustelle (Stand ' || strftime(make_timestamp(updated_at * 1000000), '%d.%m.%Y') || ')' end"
 _W = r"regexp_replace(string_split(replace(replace(replace(lower(regexp_replace(width, '^\s+|\s+$', '', 'g')), 'm', ''), 'eter', ''), 'tres', ''), ';')[1], '^\s+|\s+$', '', 'g')"
-_BREITE = rf"case when regexp_full_match({_W}, '[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?') and try_cast({_W} as double) <> 0 then round(try_cast({_W} as double), 1) end"
+# printf rounds the number itself, halves to the even, as the source rule does
+_BREITE = rf"case when regexp_full_match({_W}, '[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?') then cast(printf('%.1f', cast({_W} as double)) as double) end"
 
 _RULES = {
     "verkehrsri": (_VERKEHRSRI, lambda d: translate.verkehrsri(d, "bikelanes")),
@@ -199,7 +203,7 @@ def one_sided_streets(spark, sf_dir):
     return translate.one_sided_streets(features(spark, sf_dir), prefix="").select("id", "one_sided_bikelane_side", "separate_infrastructure_type", "mixed_traffic_side", "has_one_sided_bikelane")
 
 
-_PRIO = f"greatest(0, case when {_sign(_S, '237')} or {_sign(_S, '240')} or {_sign(_S, '241')} then 3 else 0 end, case when starts_with({_C}, 'bicycleRoad') or starts_with({_C}, 'cycleway') then 6 when starts_with({_C}, 'footAndCycleway') then 5 when starts_with({_C}, 'footwayBicycle') then 4 when {_C} = 'sharedBusLaneBikeWithBus' then 3 when {_C} in ('sharedBusLaneBusWithBike', 'pedestrianAreaBicycleYes') then 2 when {_C} = 'sharedMotorVehicleLane' then 1 else 0 end)"
+_PRIO = f"greatest(0, case when {_sign(_t("traffic_sign"), '237')} or {_sign(_t("traffic_sign"), '240')} or {_sign(_t("traffic_sign"), '241')} then 3 else 0 end, case when starts_with({_t("category")}, 'bicycleRoad') or starts_with({_t("category")}, 'cycleway') then 6 when starts_with({_t("category")}, 'footAndCycleway') then 5 when starts_with({_t("category")}, 'footwayBicycle') then 4 when {_t("category")} = 'sharedBusLaneBikeWithBus' then 3 when {_t("category")} in ('sharedBusLaneBusWithBike', 'pedestrianAreaBicycleYes') then 2 when {_t("category")} = 'sharedMotorVehicleLane' then 1 else 0 end)"
 
 
 @query(f"with {FEATURES} select id, {_PRIO} priority from b2")

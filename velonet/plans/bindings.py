@@ -79,28 +79,35 @@ FIELDS: dict[str, tuple[list[str | None], int]] = {
             "needsClarification",
             "somethingElse",
             None,
+            " bicycleRoad ",
+            "cyclewayOnHighwayProtected ",
+            "footAndCyclewayShared_adjoining\t",
+            "BicycleRoad",
+            " cyclewayOnHighwayProtected",
         ],
         1,
     ),
     "oneway": (["yes", "no", "implicit_yes", "assumed_no", "car_not_bike", "yes_dual_carriageway", "", None, " none ", "-1"], 3),
     "oneway_bicycle": (["no", "yes", None], 7),
-    "traffic_sign": (["DE:240", "DE:237", "DE:239,1022-10", "DE:242.1,1022-10", "none", None, "DE:1022-10,Gehwegschäden", "241", "DE:2401", "", "DE:241, 1022-10", "nan", "Strassenschaeden"], 5),
+    "traffic_sign": (["DE:240", "DE:237", "DE:239,1022-10", "DE:242.1,1022-10", "none", None, "DE:1022-10,Gehwegschäden", "241", "DE:2401", "", "DE:241, 1022-10", "nan", "Strassenschaeden", " none ", " DE:240 "], 5),
     "traffic_sign_forward": ([None, "DE:237", "none"], 11),
     "traffic_sign_backward": ([None, None, "DE:1,241"], 13),
     "surface": (["asphalt", " Sett ", "sett", "wood", None, "none", "concrete:plates", "", "gravel", "mosaic_sett", "small_sett", "unknownium", "cobblestone"], 2),
     "surface_color": (["red", "Green ", None, "blue"], 4),
-    "separation": (["bollard", None, "no", "planter", ""], 6),
-    "separation_left": ([None, "bump", "", "kerb"], 9),
-    "separation_right": (["vertical_panel", None, "guard_rail"], 12),
-    "traffic_mode_left": (["parking", None, "motor_vehicle"], 8),
-    "traffic_mode_right": ([None, "parking", "parking", "foot"], 10),
-    "marking_left": ([None, "dashed_line", "barred_area"], 14),
-    "marking_right": (["solid_line;barred_area", None], 15),
+    "separation": (["bollard", None, "no", "planter", "", " Bump"], 6),
+    "separation_left": ([None, "bump", "", "kerb", " Bollard ", None], 9),
+    "separation_right": (["vertical_panel", None, "guard_rail", "NO "], 12),
+    "traffic_mode": ([None, "parking"], 30),
+    "traffic_mode_left": (["parking", None, "motor_vehicle", " Parking"], 8),
+    "traffic_mode_right": ([None, "parking", "Parking ", "foot"], 10),
+    "marking": ([None, "barred_area", "Barred_Area;solid_line"], 31),
+    "marking_left": ([None, "dashed_line", "barred_area", "Dashed_Line"], 14),
+    "marking_right": (["solid_line;barred_area", None, "SOLID_LINE", ""], 15),
     "buffer_left": ([None, "0", "0.5"], 16),
-    "buffer_right": (["0.6", None, "0", "x", "1.5"], 17),
-    "lifecycle": (["construction", None, "temporary"], 18),
+    "buffer_right": (["0.6", None, "0", "x", "1.5", "nan", " 0.7 ", "0.59"], 17),
+    "lifecycle": (["construction", None, "temporary", " Construction"], 18),
     "updated_by": (["fmc_anna", "someone", None], 19),
-    "width": (["2.5 m", "3 meter", "3 metres", "2,5", "250 cm", "2.5;3", " 1.25 ", None, "0", "1.75m", "4"], 20),
+    "width": (["2.5 m", "3 meter", "3 metres", "2,5", "250 cm", "2.5;3", " 1.25 ", None, "0", "1.75m", "4", "0.15", "0.25 m", "2.35", "0.45", "1.05", "0 m", "3.65m;2", "-0.05", "12.95", "-2.25"], 20),
     "width_source": ([None, "survey"], 21),
     "mapillary": ([None, None, "123"], 22),
     "mapillary_left": ([None, None, None, "4"], 23),
