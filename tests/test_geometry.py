@@ -114,11 +114,45 @@ def test_districts(spark):
     clipped = {r.id: r.geom for r in districts.clip_lines(lines, d, "id").collect()}
     assert clipped.keys() == {1, 2, 3, 5} and clipped[5] == [[(0.0, 5.0), (20.0, 5.0)]]  # the shared border doesn't split
     assert districts.clip_lines(lines, None, "id").count() == 5
-    old, districts.BROADCAST_VERTICES = districts.BROADCAST_VERTICES, 0  # the way beyond the bound gives the same
-    try:
-        assert {r.id: r.Bezirksnummer for r in districts.district_by_length(lines, d, "id").collect()} == got
-    finally:
-        districts.BROADCAST_VERTICES = old
+    twice = d.unionByName(d.where("gem = '1102'")).unionByName(spark.createDataFrame([("1102", ring(100.0, 0.0, 101.0, 1.0))], d.schema))
+    assert {r.id: r.Bezirksnummer for r in districts.district_by_length(lines, twice, "id").collect()} == got
+
+
+@pytest.mark.parametrize("kind", ["equal", "nearest", "steps"])
+def test_cut_lines_as_a_plain_walk(spark, kind):
+    """Chords over many short legs, of lines with equal neighbours, of one leg, of no length and of one vertex."""
+    import math
+    import random
+
+    r = random.Random(6)
+    lines = [[(float(r.randint(0, 9)), float(r.randint(0, 9))) for _ in range(r.randint(2, 12))] for _ in range(40)]
+    lines += [[(0.0, 0.0), (0.0, 0.0), (3.0, 0.0), (3.0, 0.0), (3.0, 4.0)], [(1.0, 1.0), (1.0, 1.0)], [(2.0, 2.0)], [(0.0, 0.0), (1000.0, 0.0)]]
+    df = spark.createDataFrame([(k, [x]) for k, x in enumerate(lines)], SCHEMA)
+    got = {}
+    for x in near.cut_lines(df, "id", 2.5, equal=kind != "steps", nearest=kind == "nearest").collect():
+        got.setdefault(x.id, []).append((x.piece, x.ax, x.ay, x.bx, x.by))
+
+    def at(line, d):
+        for (ax, ay), (bx, by) in zip(line, line[1:], strict=False):
+            n = math.dist((ax, ay), (bx, by))
+            if d <= n and n:
+                return ax + (bx - ax) * d / n, ay + (by - ay) * d / n
+            d -= n
+        return line[-1]
+
+    for k, line in enumerate(lines):
+        total = sum(math.dist(p, q) for p, q in zip(line, line[1:], strict=False))
+        n = max(1, round(total / 2.5) if kind == "nearest" else math.ceil(total / 2.5))
+        ends = [min(i * 2.5, total) if kind == "steps" else total * i / n for i in range(n + 1)]
+        want = [(i, *at(line, ends[i]), *at(line, ends[i + 1])) for i in range(n)] if len(line) > 1 else []
+        want = [w for w in want if kind != "steps" or w[1:3] != w[3:5]]
+        mine = sorted(got.get(k, []))
+        assert [m[0] for m in mine] == [w[0] for w in want]
+        assert all(abs(a - b) < 1e-9 for m, w in zip(mine, want, strict=True) for a, b in zip(m, w, strict=True)), (k, mine, want)
+    short = near.cut_lines(df, "id", 2.5, nearest=True, least=1.0)
+    assert short.where("sqrt(pow(bx - ax, 2) + pow(by - ay, 2)) < 1").isEmpty()
+    middle = {x.id: x.piece for x in near.middle_pieces(near.cut_lines(df, "id", 2.5), "id").collect()}
+    assert all(middle[k] == max(1, math.ceil(sum(math.dist(p, q) for p, q in zip(x, x[1:], strict=False)) / 2.5)) // 2 for k, x in enumerate(lines) if len(x) > 1)
 
 
 def test_crossing_ways(spark):

@@ -122,23 +122,25 @@ def let(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), 0)
 
 
+def point_piece_square(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
+    """The square of the distance from a point to a straight piece of some length: plain arithmetic, which compiles."""
+    dx, dy, ex, ey = bx - ax, by - ay, px - ax, py - ay
+    dot, own, cross = ex * dx + ey * dy, dx * dx + dy * dy, ex * dy - ey * dx
+    fx, fy = px - bx, py - by
+    return F.when(dot <= 0, ex * ex + ey * ey).when(dot >= own, fx * fx + fy * fy).otherwise(cross * cross / own)
+
+
 def point_piece_distance(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
-    """From a point to a straight piece of some length."""
-    dx, dy = bx - ax, by - ay
-    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * dx + (py - ay) * dy) / (dx * dx + dy * dy)))
-    return let(t, lambda t: hypot(px - (ax + t * dx), py - (ay + t * dy)))
+    return F.sqrt(point_piece_square(px, py, ax, ay, bx, by))
 
 
 def piece_distance(a: tuple[Column, ...], b: tuple[Column, ...]) -> Column:
-    """Between straight pieces: 0 if they cross, else the least distance of an end to the other piece.
-
-    The four distances are one expression over four rows of numbers, which keeps the generated code small."""
+    """Between straight pieces: 0 if they cross, else the least distance of an end to the other piece."""
     ax, ay, bx, by = a
     cx, cy, dx, dy = b
     side = lambda px, py, qx, qy, rx, ry: (qx - px) * (ry - py) - (qy - py) * (rx - px)
     crossing = (side(ax, ay, bx, by, cx, cy) * side(ax, ay, bx, by, dx, dy) < 0) & (side(cx, cy, dx, dy, ax, ay) * side(cx, cy, dx, dy, bx, by) < 0)
-    pairs = F.array(*[F.struct(*[v.alias(n) for v, n in zip((*p, *q), ("px", "py", "ax", "ay", "bx", "by"), strict=True)]) for p, q in ((a[:2], b), (a[2:], b), (b[:2], a), (b[2:], a))])
-    return F.when(crossing, 0.0).otherwise(F.array_min(F.transform(pairs, lambda x: point_piece_distance(*[x[n] for n in ("px", "py", "ax", "ay", "bx", "by")]))))
+    return F.when(crossing, 0.0).otherwise(F.sqrt(F.least(*[point_piece_square(*p, *q) for p, q in ((a[:2], b), (a[2:], b), (b[:2], a), (b[2:], a))])))
 
 
 def _clip(lo: Column, hi: Column) -> Column:

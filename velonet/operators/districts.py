@@ -1,4 +1,4 @@
-"""Districts of points and lines, and clipping. Districts are few, so they are broadcast, behind a check of their size."""
+"""Districts of points and lines, and clipping: boxes meet by grid cells, then polygons are looked at."""
 
 from __future__ import annotations
 
@@ -11,26 +11,26 @@ from velonet.functions import geometry as G
 from velonet.functions.text import last_two
 from velonet.operators import near
 
-#: Up to so many vertices districts are broadcast to every task; past it they meet lines by grid cells.
-BROADCAST_VERTICES = 2_000_000
+#: Metres of a grid cell.
+CELL = 1000.0
 
 
 def _boxed(polygons: DataFrame, key: str, order: str | None) -> DataFrame:
-    """(code, seq, legs, bounds): the table that is joined."""
+    """(code, seq, id, legs, bounds) of each different polygon: the table that is joined."""
     box = G.bounds(F.col("rings"))
-    return polygons.select(F.col(key).alias("_code"), F.col(order or key).alias("_seq"), G.polygon_legs(F.col("rings")).alias("_legs"), box["xmin"].alias("_x0"), box["ymin"].alias("_y0"), box["xmax"].alias("_x1"), box["ymax"].alias("_y1"))
+    each = polygons.withColumn("_id", F.xxhash64("rings")).dropDuplicates(list({key, order or key, "_id"}))
+    return each.select("_id", F.col(key).alias("_code"), F.col(order or key).alias("_seq"), G.polygon_legs(F.col("rings")).alias("_legs"), box["xmin"].alias("_x0"), box["ymin"].alias("_y0"), box["xmax"].alias("_x1"), box["ymax"].alias("_y1"))
 
 
-def _meet(left: DataFrame, polygons: DataFrame, x0: str, y0: str, x1: str, y1: str, cell: float = 1000.0) -> DataFrame:
-    """Rows of left with the polygons whose boxes they meet, once each."""
-    n = polygons.agg(F.sum(F.size("_legs"))).first()[0] or 0
-    meets = (F.col(x0) <= F.col("_x1")) & (F.col(x1) >= F.col("_x0")) & (F.col(y0) <= F.col("_y1")) & (F.col(y1) >= F.col("_y0"))
-    if n <= BROADCAST_VERTICES:
-        return left.join(F.broadcast(polygons), meets)
-    cells = lambda a, b, c, d: F.explode(near._cells((F.col(a), F.col(b), F.col(c), F.col(d)), cell))
-    l, p = left.withColumn("_cell", cells(x0, y0, x1, y1)), polygons.withColumn("_cell", cells("_x0", "_y0", "_x1", "_y1"))
-    here = (F.floor(F.greatest(F.col(x0), F.col("_x0")) / cell) == F.col("_cell.cx")) & (F.floor(F.greatest(F.col(y0), F.col("_y0")) / cell) == F.col("_cell.cy"))
-    return l.join(p, "_cell").where(meets & here).drop("_cell")
+def _meet(left: DataFrame, polygons: DataFrame, x0: str, y0: str, x1: str, y1: str, cell: float = CELL) -> DataFrame:
+    """Rows of left with the polygons whose boxes they meet, once each: an equi-join by cells, of boxes alone; the polygons' sides
+    are joined to the pairs that meet."""
+    c = F.col
+    l, boxes = near.explode_cells(left, (c(x0), c(y0), c(x1), c(y1)), cell), near.explode_cells(polygons.drop("_legs"), (c("_x0"), c("_y0"), c("_x1"), c("_y1")), cell)
+    meets = (c(x0) <= c("_x1")) & (c(x1) >= c("_x0")) & (c(y0) <= c("_y1")) & (c(y1) >= c("_y0"))
+    here = (F.floor(F.greatest(x0, "_x0") / cell) == c("cx")) & (F.floor(F.greatest(y0, "_y0") / cell) == c("cy"))
+    pairs = l.join(boxes, ["cx", "cy"]).where(meets & here).drop("cx", "cy")
+    return pairs.join(polygons.select("_id", "_code", "_seq", "_legs"), ["_id", "_code", "_seq"])
 
 
 def district_of_point(points: DataFrame, polygons: DataFrame, key: str, code: str = "gem", order: str | None = None) -> DataFrame:
@@ -67,8 +67,8 @@ def clip_lines(lines: DataFrame, polygons: DataFrame | None, key: str, carry: Se
     if polygons is None:
         return lines.select(key, *carry, "geom")
     own = ["part", "piece", "sub", "ax", "ay", "bx", "by"]
-    p = polygons.withColumn("_id", F.monotonically_increasing_id())
-    cut = _inside(lines, p, key, "_id", "_id").groupBy(key, *own).agg(F.collect_list("i").alias("i"))
+    p = polygons.select("rings", F.lit(0).alias("_any"))
+    cut = _inside(lines, p, key, "_any", "_any").groupBy(key, *own).agg(F.collect_list("i").alias("i"))
     cut = cut.withColumn("i", G.merge_intervals(F.col("i")))
     at = lambda a, b, t: F.when(t == 0, a).when(t == 1, b).otherwise(a + (b - a) * t)
     q = cut.select(key, *own, F.explode("i").alias("i")).select(key, F.struct("part", "piece", "sub", F.col("i.lo").alias("lo"), at(F.col("ax"), F.col("bx"), F.col("i.lo")).alias("ax"), at(F.col("ay"), F.col("by"), F.col("i.lo")).alias("ay"), at(F.col("ax"), F.col("bx"), F.col("i.hi")).alias("bx"), at(F.col("ay"), F.col("by"), F.col("i.hi")).alias("by")).alias("q"))

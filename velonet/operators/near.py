@@ -6,6 +6,8 @@ only: the one that holds the lower left corner of the common part of both boxes.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,35 +21,67 @@ def cell_size(r: float) -> float:
     return max(2.0 * r, 50.0)
 
 
-def explode_pieces(df: DataFrame, key: str, geom: str = "geom", longest: float = 500.0) -> DataFrame:
-    """(key, part, piece, sub, ax, ay, bx, by, at_start, at_end): straight pieces no longer than `longest`.
+def explode_pieces(df: DataFrame, key: str, geom: str = "geom", longest: float = 500.0, carry: Sequence[str] = ()) -> DataFrame:
+    """(key, carry, part, piece, sub, ax, ay, bx, by, at_start, at_end): straight pieces no longer than `longest`.
 
-    at_start, at_end: whether the piece begins or ends its part. Keys and geometry alone are carried; join attributes back."""
-    p = df.select(F.col(key), F.explode(G.pieces(F.col(geom))).alias("p"), F.transform(F.col(geom), lambda x: F.size(x) - 2).alias("last"))
+    at_start, at_end: whether the piece begins or ends its part. Keys and geometry alone are carried, and what `carry` names: a few
+    numbers; join attributes back."""
+    p = df.select(F.col(key), *carry, F.explode(G.pieces(F.col(geom))).alias("p"), F.transform(F.col(geom), lambda x: F.size(x) - 2).alias("last"))
     n = F.greatest(F.lit(1), F.ceil(G.hypot(F.col("p.bx") - F.col("p.ax"), F.col("p.by") - F.col("p.ay")) / longest).cast("int"))
     p = p.withColumn("n", n).select("*", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("sub"))
     cut = lambda a, b, k: F.when(k == 0, a).when(k == F.col("n"), b).otherwise(a + (b - a) * k / F.col("n"))
     ends = [cut(F.col(f"p.a{v}"), F.col(f"p.b{v}"), F.col("sub") + e).alias(f"{c}{v}") for e, c in ((0, "a"), (1, "b")) for v in "xy"]
-    return p.select(key, "p.part", "p.piece", "sub", *ends, ((F.col("p.piece") == 0) & (F.col("sub") == 0)).alias("at_start"), ((F.col("p.piece") == F.get("last", F.col("p.part"))) & (F.col("sub") == F.col("n") - 1)).alias("at_end"))
+    return p.select(key, *carry, "p.part", "p.piece", "sub", *ends, ((F.col("p.piece") == 0) & (F.col("sub") == 0)).alias("at_start"), ((F.col("p.piece") == F.get("last", F.col("p.part"))) & (F.col("sub") == F.col("n") - 1)).alias("at_end"))
 
 
-def cut_lines(df: DataFrame, key: str, step: float, equal: bool = True, geom: str = "geom") -> DataFrame:
+def cut_lines(df: DataFrame, key: str, step: float, equal: bool = True, geom: str = "geom", nearest: bool = False, least: float = 0.0) -> DataFrame:
     """(key, part, piece, ax, ay, bx, by): each part in straight chords between points of it.
 
-    equal: ceil(length / step) chords of equal length along the part, one at least; else one for every step and a shorter last
-    one, none of length 0. A row for each chord, so long lines are spread by rows, not held in arrays."""
-    p = df.select(key, F.posexplode(F.col(geom)).alias("part", "line")).withColumn("total", G.part_length(F.col("line")))
-    p = p.withColumn("n", F.greatest(F.ceil(F.col("total") / step), F.lit(1)).cast("int"))
-    p = p.select(key, "part", "line", "total", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("piece"))
+    equal: ceil(length / step) chords of equal length along the part (nearest: as many as round(length / step)), one at least; else
+    one for every step and a shorter last one, none of length 0. Chords shorter than `least` are left out.
+
+    A leg gives the chords that begin on it, so a chord's place is a product, whatever the length of its line; only one that
+    goes past its leg's end looks further."""
+    p = df.select(key, F.posexplode(F.col(geom)).alias("part", "line")).where(F.size("line") > 1)
+    p = p.withColumn("legs", G._legs(F.col("line"))).withColumn("total", G.part_length(F.col("line")))
+    # where each leg begins, and the whole length last
+    begins = F.transform(F.sequence(F.lit(0), F.size("legs")), lambda i: G.part_length(F.slice(F.col("line"), 1, i + 1)))
+    p = p.withColumn("begins", F.when(F.size("legs") == 1, F.array(F.lit(0.0), F.col("total"))).otherwise(begins))
+    many = F.bround(F.col("total") / step) if nearest else F.ceil(F.col("total") / step)
+    p = p.withColumn("n", F.greatest(many, F.lit(1)).cast("int")).select(key, "part", "line", "total", "begins", "n", F.posexplode("legs").alias("leg", "l"))
+    begin, end = F.get("begins", F.col("leg")), F.get("begins", F.col("leg") + 1)
+    rest = F.slice("line", F.col("leg") + 2, F.size("line"))
+    last = F.col("leg") == F.size("begins") - 2
+    p = p.select(key, "part", "total", "n", begin.alias("begin"), end.alias("end"), *[F.col(f"l.{e}.{v}").alias(f"{e}{v}") for e in "ab" for v in "xy"], F.when(~last, rest).alias("rest"), last.alias("last"), (F.col("leg") == 0).alias("first"), F.try_element_at("line", F.lit(-1)).alias("goal"))
     at = lambda k: F.col("total") * k / F.col("n") if equal else F.least(k * F.lit(float(step)), F.col("total"))
-    p = p.select(key, "part", "piece", G.interpolate(F.col("line"), at(F.col("piece"))).alias("a"), G.interpolate(F.col("line"), at(F.col("piece") + 1)).alias("b"))
-    p = p.select(key, "part", "piece", F.col("a.x").alias("ax"), F.col("a.y").alias("ay"), F.col("b.x").alias("bx"), F.col("b.y").alias("by"))
-    return p if equal else p.where("ax <> bx or ay <> by")
-
-
-def _cells(box: tuple[Column, Column, Column, Column], c: float) -> Column:
+    number = lambda d: F.ceil(d * F.col("n") / F.nullif("total", F.lit(0.0)) if equal else d / step).cast("int")
+    lo = F.when(F.col("first"), 0).otherwise(number(F.col("begin")))
+    hi = F.when(F.col("last") | (F.col("total") == 0), F.col("n") - 1).otherwise(number(F.col("end")) - 1)
+    p = p.withColumns({"lo": lo, "hi": hi}).where(F.col("lo") <= F.col("hi")).where(F.col("first") | (F.col("total") > 0))
+    p = p.select("*", F.explode(F.sequence("lo", "hi")).alias("piece"))
+    own = F.col("end") - F.col("begin")
+    on = lambda d, v: F.when(own > 0, F.col(f"a{v}") + (F.col(f"b{v}") - F.col(f"a{v}")) * (d - F.col("begin")) / F.nullif(own, F.lit(0.0))).otherwise(F.col(f"a{v}"))
+    here, there = at(F.col("piece")), at(F.col("piece") + 1)
+    goal = F.col("piece") + 1 == F.col("n")
+    further = F.when(~goal & (there > F.col("end")), G.interpolate(F.col("rest"), there - F.col("end")))
+    p = p.select(key, "part", "piece", "goal", goal.alias("_goal"), *[F.when(F.col("piece") == 0, F.col(f"a{v}")).otherwise(on(here, v)).alias(f"_a{v}") for v in "xy"], *[on(there, v).alias(f"_b{v}") for v in "xy"], further.alias("further"))
+    to = lambda v: F.when(F.col("_goal"), F.col(f"goal.{v}")).otherwise(F.coalesce(F.col(f"further.{v}"), F.col(f"_b{v}")))
+    p = p.select(key, "part", "piece", F.col("_ax").alias("ax"), F.col("_ay").alias("ay"), to("x").alias("bx"), to("y").alias("by"))
+    p = p if equal else p.where("ax <> bx or ay <> by")
+    return p.where(G.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")) >= least) if least else p
+
+
+def middle_pieces(cut: DataFrame, key: str) -> DataFrame:
+    """Of cut_lines() the middle piece of each line: that with as many before as after it, or one more."""
+    order = F.struct("part", "piece")
+    n = F.size("all")
+    return cut.groupBy(key).agg(F.array_sort(F.collect_list(order)).alias("all")).select(key, F.get("all", F.floor(n / 2).cast("int")).alias("m")).select(key, "m.*").join(cut, [key, "part", "piece"])
+
+
+def explode_cells(df: DataFrame, box: tuple[Column, Column, Column, Column], c: float) -> DataFrame:
+    """df with a row for each cell (cx, cy) that the box meets."""
     x0, y0, x1, y1 = (F.floor(v / c) for v in box)
-    return F.flatten(F.transform(F.sequence(x0, x1), lambda x: F.transform(F.sequence(y0, y1), lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
+    return df.withColumn("cx", F.explode(F.sequence(x0, x1))).withColumn("cy", F.explode(F.sequence(y0, y1)))
 
 
 def _box(prefix: str = "", grow: float = 0.0) -> tuple[Column, Column, Column, Column]:
@@ -58,8 +92,8 @@ def _box(prefix: str = "", grow: float = 0.0) -> tuple[Column, Column, Column, C
 def near_pieces(left: DataFrame, right: DataFrame, r: float) -> DataFrame:
     """Pairs of pieces within r of each other, once each: all columns of left (prefix l_) and right (prefix r_), and distance."""
     c = cell_size(r)
-    l = left.withColumn("cell", F.explode(_cells(_box(), c))).select("cell.cx", "cell.cy", *[F.col(x).alias(f"l_{x}") for x in left.columns])
-    r_ = right.withColumn("cell", F.explode(_cells(_box(grow=r), c))).select("cell.cx", "cell.cy", *[F.col(x).alias(f"r_{x}") for x in right.columns])
+    l = explode_cells(left, _box(), c).select("cx", "cy", *[F.col(x).alias(f"l_{x}") for x in left.columns])
+    r_ = explode_cells(right, _box(grow=r), c).select("cx", "cy", *[F.col(x).alias(f"r_{x}") for x in right.columns])
     lb, rb = _box("l_"), _box("r_", r)
     here = (F.floor(F.greatest(lb[0], rb[0]) / c) == F.col("cx")) & (F.floor(F.greatest(lb[1], rb[1]) / c) == F.col("cy"))
     d = G.piece_distance(tuple(F.col(f"l_{x}") for x in ("ax", "ay", "bx", "by")), tuple(F.col(f"r_{x}") for x in ("ax", "ay", "bx", "by")))

@@ -11,6 +11,7 @@ from velonet.functions import geometry as G
 from velonet.functions.text import has_traffic_sign, merge_key, opt, whole
 from velonet.operators import near
 from velonet.operators.near import cut_lines
+from velonet.operators.scratch import written
 from velonet.operators.sets import number_rows
 from velonet.operators.translate import MIXED, ONE_WAY
 
@@ -48,58 +49,78 @@ def segmentize(network: DataFrame, edge_key: str, step: float = 2.5) -> DataFram
     return cut_lines(network, edge_key, step).withColumn("bearing", F.pmod(F.degrees(F.atan2(F.col("by") - F.col("ay"), F.col("bx") - F.col("ax"))), F.lit(360.0)))
 
 
-def candidates(segments: DataFrame, ways: DataFrame, seg_key: str, way_key: str, opts: SnapOptions | None = None) -> DataFrame:
-    """(seg_key, way_key, distance, mid_distance, angle, own): ways near each segment.
-
-    segments: seg_key, ax, ay, bx, by, bearing. Only keys and geometry cross the join; the pairs are dealt by segment once,
-    and every later grouping by segment keeps that."""
-    o = opts or SnapOptions()
-    pieces = near.explode_pieces(ways, way_key, "geom", 10 * near.cell_size(o.radius))
+def _near(segments: DataFrame, ways: DataFrame, seg_key: str, way_key: str, o: SnapOptions) -> DataFrame:
+    """Pieces of ways near segments: (seg_key, way_key, distance, mid, angle, own, and what ranks the way). A way with several
+    pieces near a segment has several rows.
+
+    What ranks a way is a dozen numbers, which its pieces carry into the join of cells; attributes don't cross it."""
+    box, c = G.bounds(F.col("geom")), F.col
+    one_way = F.coalesce(opt(ways, "verkehrsri") == ONE_WAY, F.lit(False))
+    rank = {
+        "one_way": one_way,
+        "single": one_way & F.coalesce(opt(ways, "fuehr") == MIXED, F.lit(False)) & ~F.coalesce(opt(ways, "tilda_oneway") == "yes_dual_carriageway", F.lit(False)),
+        "prio": priority(opt(ways, "tilda_category"), opt(ways, "tilda_traffic_sign")),
+        "bearing": G.bearing(F.col("geom")),
+        **{v: box[v] for v in ("xmin", "ymin", "xmax", "ymax")},
+    }
+    w = ways.select(way_key, "geom", *[e.alias(n) for n, e in rank.items()])
+    pieces = near.explode_pieces(w, way_key, "geom", 10 * near.cell_size(o.radius), tuple(rank)).drop("part", "piece", "sub", "at_start", "at_end")
     seg = segments.select(seg_key, "ax", "ay", "bx", "by", "bearing").where("ax <> bx or ay <> by")
-    p = near.near_pieces(seg, pieces.select(way_key, "ax", "ay", "bx", "by"), o.radius)
-    c = lambda n: F.col(n)
-    mid = G.point_piece_distance((c("l_ax") + c("l_bx")) / 2, (c("l_ay") + c("l_by")) / 2, c("r_ax"), c("r_ay"), c("r_bx"), c("r_by"))
-    n = G.hypot(c("l_bx") - c("l_ax"), c("l_by") - c("l_ay"))
-    gx, gy = o.radius * F.abs(c("l_by") - c("l_ay")) / n, o.radius * F.abs(c("l_bx") - c("l_ax")) / n
-    p = p.repartition(f"l_{seg_key}").groupBy(F.col(f"l_{seg_key}").alias(seg_key), F.col(f"r_{way_key}").alias(way_key), c("l_bearing").alias("seg_bearing"), (F.least("l_ax", "l_bx") - gx).alias("x0"), (F.least("l_ay", "l_by") - gy).alias("y0"), (F.greatest("l_ax", "l_bx") + gx).alias("x1"), (F.greatest("l_ay", "l_by") + gy).alias("y1")).agg(F.min("distance").alias("distance"), F.min(mid).alias("near_mid"))
-    box = ways.select(way_key, G.bounds(F.col("geom")).alias("box"), G.bearing(F.col("geom")).alias("way_bearing"))
-    p = p.join(box, way_key)
+    p = near.near_pieces(seg, pieces, o.radius)
     if o.strict_box:
-        p = p.where((c("box.xmin") <= c("x1")) & (c("box.xmax") >= c("x0")) & (c("box.ymin") <= c("y1")) & (c("box.ymax") >= c("y0")))
-    angle = G.angle_difference(c("seg_bearing"), c("way_bearing"))
-    return p.select(seg_key, way_key, "distance", c("near_mid").alias("mid_distance"), angle.alias("angle"), G.direction(angle).alias("own"))
+        n = G.hypot(c("l_bx") - c("l_ax"), c("l_by") - c("l_ay"))
+        gx, gy = o.radius * F.abs(c("l_by") - c("l_ay")) / n, o.radius * F.abs(c("l_bx") - c("l_ax")) / n
+        p = p.where((c("r_xmin") <= F.greatest("l_ax", "l_bx") + gx) & (c("r_xmax") >= F.least("l_ax", "l_bx") - gx) & (c("r_ymin") <= F.greatest("l_ay", "l_by") + gy) & (c("r_ymax") >= F.least("l_ay", "l_by") - gy))
+    mid = G.point_piece_distance((c("l_ax") + c("l_bx")) / 2, (c("l_ay") + c("l_by")) / 2, c("r_ax"), c("r_ay"), c("r_bx"), c("r_by"))
+    angle = G.angle_difference(c("l_bearing"), c("r_bearing"))
+    return p.select(c(f"l_{seg_key}").alias(seg_key), c(f"r_{way_key}").alias(way_key), "distance", mid.alias("mid"), angle.alias("angle"), G.direction(angle).alias("own"), *[c(f"r_{n}").alias(n) for n in ("one_way", "single", "prio")])
+
+
+def candidates(segments: DataFrame, ways: DataFrame, seg_key: str, way_key: str, opts: SnapOptions | None = None) -> DataFrame:
+    """(seg_key, way_key, distance, mid_distance, angle, own): ways near each segment, once each.
+
+    segments: seg_key, ax, ay, bx, by, bearing."""
+    p = _near(segments, ways, seg_key, way_key, opts or SnapOptions())
+    return p.groupBy(seg_key, way_key).agg(F.min("distance").alias("distance"), F.min("mid").alias("mid_distance"), F.first("angle").alias("angle"), F.first("own").alias("own"))
+
+
+def best_ways(segments: DataFrame, ways: DataFrame, seg_key: str, way_key: str, opts: SnapOptions | None = None) -> DataFrame:
+    """(seg_key, b0, b1, any, single) of each segment with a candidate: the best way and its direction for direction 0, for 1 and for
+    neither; whether all are one-way mixed traffic and none is part of a dual carriageway.
+
+    Best is the most compatible, then the highest priority, then the nearest to the middle, then the least key: a least struct, which
+    combines before the one shuffle of pairs."""
+    p = _near(segments, ways, seg_key, way_key, opts or SnapOptions())
+    rank = lambda ri: F.struct(-compatibility(F.col("one_way"), F.col("own"), ri), -F.col("prio"), F.col("mid"), F.col(way_key).alias("way"), F.col("own"))
+    best = p.groupBy(seg_key).agg(F.min(rank(0)).alias("b0"), F.min(rank(1)).alias("b1"), F.min(rank(None)).alias("any"), F.bool_and("single").alias("single"))
+    return best.select(seg_key, *[F.struct(F.col(f"{b}.way"), F.col(f"{b}.own")).alias(b) for b in ("b0", "b1", "any")], "single")
 
 
-def compatibility(verkehrsri: Column, own: Column, ri: int | None) -> Column:
+def compatibility(one_way: Column, own: Column, ri: int | None) -> Column:
     """One-way ways count 10 in their own direction and 0 in the other (or if none is asked for); others 1."""
     hit = F.lit(0) if ri is None else F.when(own == ri, 10).otherwise(0)
-    return F.when(F.coalesce(verkehrsri == ONE_WAY, F.lit(False)), hit).otherwise(1)
+    return F.when(one_way, hit).otherwise(1)
 
 
-def variants(segments: DataFrame, found: DataFrame, ways: DataFrame, seg_key: str, way_key: str) -> DataFrame:
-    """One or two rows for each segment: (seg_key, ri, way_key of the best candidate, case).
+def variants(segments: DataFrame, best: DataFrame, seg_key: str, way_key: str) -> DataFrame:
+    """One or two rows for each segment: its columns, ri, way_key of the best candidate, case. best: best_ways().
 
     Case 1: no candidate, both directions, no way. Case 2: all candidates are one-way mixed traffic and none is part of a dual
-    carriageway: one row, its direction that of the best way. Else both directions, each with its best way: the most
-    compatible, then the highest priority, then the nearest to the middle, then the least key."""
-    info = ways.select(way_key, opt(ways, "verkehrsri").alias("verkehrsri"), F.coalesce(opt(ways, "tilda_oneway") == "yes_dual_carriageway", F.lit(False)).alias("dual"), F.coalesce(opt(ways, "fuehr") == MIXED, F.lit(False)).alias("mixed"), priority(opt(ways, "tilda_category"), opt(ways, "tilda_traffic_sign")).alias("prio"))
-    c = found.join(info, way_key)
-    one_way = F.coalesce(F.col("verkehrsri") == ONE_WAY, F.lit(False))
-    rank = lambda ri: F.struct(-compatibility(F.col("verkehrsri"), F.col("own"), ri), -F.col("prio"), F.col("mid_distance"), F.col(way_key))
-    pick = F.struct(F.col(way_key).alias("way"), F.col("own").alias("own"))
-    best = c.groupBy(seg_key).agg(F.min_by(pick, rank(0)).alias("b0"), F.min_by(pick, rank(1)).alias("b1"), F.min_by(pick, rank(None)).alias("any"), F.bool_and(one_way & F.col("mixed") & ~F.col("dual")).alias("single"))
+    carriageway: one row, its direction that of the best way. Else (4) both directions, each with its best way."""
+    kind = best.schema["b0"].dataType["way"].dataType
     row = lambda ri, way, case: F.struct(ri.cast("int").alias("ri"), way.alias("way"), F.lit(case).alias("case"))
-    none = F.col("b0").isNull()
-    rows = F.when(none, F.array(*[row(F.lit(k), F.lit(None).cast(dict(ways.dtypes)[way_key]), 1) for k in (0, 1)])).when(F.col("single"), F.array(row(F.col("any.own"), F.col("any.way"), 2))).otherwise(F.array(row(F.lit(0), F.col("b0.way"), 4), row(F.lit(1), F.col("b1.way"), 4)))
-    return segments.select(seg_key).join(best, seg_key, "left").select(seg_key, F.explode(rows).alias("v")).select(seg_key, "v.ri", F.col("v.way").alias(way_key), "v.case")
+    none = F.array(*[row(F.lit(k), F.lit(None).cast(kind), 1) for k in (0, 1)])
+    rows = F.when(F.col("b0").isNull(), none).when(F.col("single"), F.array(row(F.col("any.own"), F.col("any.way"), 2))).otherwise(F.array(row(F.lit(0), F.col("b0.way"), 4), row(F.lit(1), F.col("b1.way"), 4)))
+    own = [F.col(c) for c in segments.columns]
+    return segments.join(best, seg_key, "left").select(*own, F.explode(rows).alias("v")).select(*own, "v.ri", F.col("v.way").alias(way_key), "v.case")
 
 
-def attributed(segments: DataFrame, chosen: DataFrame, ways: DataFrame, network: DataFrame, seg_key: str, way_key: str, edge_key: str) -> DataFrame:
-    """Segments with direction, the network's own columns and the chosen way's attributes."""
+def attributed(chosen: DataFrame, ways: DataFrame, network: DataFrame, way_key: str, edge_key: str) -> DataFrame:
+    """variants() with the network's own columns and the chosen way's attributes."""
     carried = [c for c in (*MERGE_ATTRIBUTES, *EXTRA_ATTRIBUTES) if c != "ri"]
-    w = ways.select(F.col(way_key), *[(F.col(f"`{c}`") if c in ways.columns else F.lit(None).cast("string")).alias(c) for c in carried])
+    w = ways.select(F.col(way_key).alias("_way"), *[(F.col(f"`{c}`") if c in ways.columns else F.lit(None).cast("string")).alias(c) for c in carried])
     e = network.select(edge_key, *[F.col(f"`{c}`") for c in EDGE_ATTRIBUTES if c in network.columns and c != edge_key])
-    out = segments.join(chosen.withColumnRenamed(way_key, "_way"), seg_key).join(e, edge_key).join(w.withColumnRenamed(way_key, "_way"), "_way", "left").drop("_way")
+    out = chosen.withColumnRenamed(way_key, "_way").join(e, edge_key).join(w, "_way", "left").drop("_way")
     return out.withColumn("fuehr", F.when(F.col("case") == 1, NOTHING).otherwise(F.col("fuehr")))
 
 
@@ -135,9 +156,9 @@ def snap(network: DataFrame, ways: DataFrame, edge_key: str = "seq", way_key: st
     if missing:
         raise ValueError(f"the network lacks {missing}")
     o = opts or SnapOptions()
-    seg = segmentize(network, edge_key, o.step).withColumn("_seg", F.struct(edge_key, "part", "piece"))
-    found = candidates(seg, ways, "_seg", way_key, o)
-    rows = attributed(seg, variants(seg, found, ways, "_seg", way_key), ways, network, "_seg", way_key, edge_key)
+    # written: the candidates and the rows both read them
+    seg = written(segmentize(network, edge_key, o.step).withColumn("_seg", F.struct(edge_key, "part", "piece")), "segments")
+    rows = attributed(variants(seg, best_ways(seg, ways, "_seg", way_key, o), "_seg", way_key), ways, network, way_key, edge_key)
     merged = merge_segments(rows.drop("bearing", "case"), [edge_key, "part", "piece", "ri"])
     return finish(merged.drop("_seg", "part", "piece", edge_key))
 

@@ -244,28 +244,27 @@ v as (select s.id net_id, s.piece, r.ri, case when w0 is null then null when sin
 def _snap_parts(spark, sf_dir):
     seg = snapping.segmentize(network(spark, sf_dir), "id").withColumn("_seg", F.struct("id", "piece"))
     w = other_ways(spark, sf_dir).withColumnRenamed("id", "way")
-    return seg, w, snapping.candidates(seg, w, "_seg", "way")
+    return seg, w
 
 
 @query(f"with {_CAND} select net_id, piece, count(*) candidates, round(min(d), 4) nearest, max(prio) prio from c group by 1, 2")
 def snap_candidates(spark, sf_dir):
-    _, w, found = _snap_parts(spark, sf_dir)
+    seg, w = _snap_parts(spark, sf_dir)
+    found = snapping.candidates(seg, w, "_seg", "way")
     prio = w.select("way", snapping.priority(F.col("tilda_category"), F.col("tilda_traffic_sign")).alias("prio"))
     return found.join(prio, "way").groupBy(F.col("_seg.id").alias("net_id"), F.col("_seg.piece").alias("piece")).agg(F.count("*").alias("candidates"), R4(F.min("distance")).alias("nearest"), F.max("prio").alias("prio"))
 
 
 @query(f'with {_BEST} select net_id, piece, ri, way, "case" from v')
 def snap_variants(spark, sf_dir):
-    seg, w, found = _snap_parts(spark, sf_dir)
-    return snapping.variants(seg, found, w, "_seg", "way").select(F.col("_seg.id").alias("net_id"), F.col("_seg.piece").alias("piece"), "ri", "way", "case")
+    seg, w = _snap_parts(spark, sf_dir)
+    return snapping.variants(seg, snapping.best_ways(seg, w, "_seg", "way"), "_seg", "way").select(F.col("_seg.id").alias("net_id"), F.col("_seg.piece").alias("piece"), "ri", "way", "case")
 
 
 @query(f'with {_BEST} select net_id, piece, w0, w1 from best')
 def snap_best_candidate(spark, sf_dir):
-    seg, w, found = _snap_parts(spark, sf_dir)
-    v = snapping.variants(seg, found, w.withColumn("fuehr", F.lit("")), "_seg", "way")
-    pick = lambda ri: F.max(F.when(F.col("ri") == ri, F.col("way")))
-    return v.where("way is not null").groupBy(F.col("_seg.id").alias("net_id"), F.col("_seg.piece").alias("piece")).agg(pick(0).alias("w0"), pick(1).alias("w1"))
+    best = snapping.best_ways(*_snap_parts(spark, sf_dir), "_seg", "way")
+    return best.select(F.col("_seg.id").alias("net_id"), F.col("_seg.piece").alias("piece"), F.col("b0.way").alias("w0"), F.col("b1.way").alias("w1"))
 
 
 _NOTHING = snapping.NOTHING
