@@ -268,3 +268,28 @@ def test_expectations(spark):
     assert got == {"any": True, "all": True, "not all": False, "absent": False, "nowhere": False, "short": False}
     assert expectations.summary(expectations.check(e, long)).first() == (6, 2, 4)
     assert {r["case"] for r in expectations.failures(e, long).collect()} >= {"not all", "absent", "nowhere"}
+
+
+def test_enrich_keeps_one_of_each_unique_id(spark):
+    schema = f"id long, unique_id string, {LINE}"
+    line = lambda y, x1=100.0: [[(0.0, y), (x1, y)]]
+    streets = spark.createDataFrame([(1, "a", line(0.0)), (2, "a", line(1.0)), (3, "b", line(2.0)), (4, "c", line(500.0))], schema)
+    rvn = spark.createDataFrame([(10, "x", line(0.0)), (11, "b", line(900.0)), (12, "y", line(800.0)), (13, "y", line(801.0))], schema)
+    got = matching.enrich(streets, rvn)
+    assert sorted((r.id, r.edge_source) for r in got.collect()) == [(1, "detailnetz"), (3, "detailnetz"), (12, "rvn")] and "unique_id" not in got.columns
+
+
+def test_removed_ways_are_all_of_the_id(spark):
+    net = spark.createDataFrame([(1, [[(0.0, 0.0), (200.0, 0.0)]])], f"id long, {LINE}")
+    layer = spark.createDataFrame([(1, 7, [[(100.0, -10.0), (100.0, 10.0)]]), (2, 7, [[(0.0, 5.0), (60.0, 5.0)]]), (3, 8, [[(20.0, 5.0), (60.0, 5.0)]])], f"seq long, tilda_osm_id long, {LINE}")
+    assert sorted(r.seq for r in matching.removed_ways(layer, net, "seq", "tilda_osm_id").collect()) == [1, 2]
+
+
+def test_report_and_exit_code(spark):
+    rows = [{"case": "good", "element_nr": "1", "attributes": {"fuehr": "Radweg"}}, {"case": "bad", "element_nr": "2", "attributes": {"fuehr": "Radweg", "pflicht": True}}]
+    f = spark.createDataFrame([("1", 1, "Radweg", "true"), ("2", 2, "Gehweg", "ja")], "element_nr string, row int, fuehr string, pflicht string")
+    long = expectations.long_form(f, "element_nr", "row", ["fuehr", "pflicht"])
+    out, code = expectations.report(expectations.expectations(rows, spark), long)
+    got = {r.case: (r.passed, r.wrong and [tuple(w) for w in r.wrong]) for r in out.collect()}
+    assert code == 1 and got["good"] == (True, None) and got["bad"][0] is False and (2, "fuehr", "Radweg", "Gehweg") in got["bad"][1]
+    assert expectations.report(expectations.expectations(rows[:1], spark), long)[1] == 0

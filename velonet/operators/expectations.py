@@ -37,7 +37,7 @@ def check(expected: DataFrame, features: DataFrame) -> DataFrame:
 
     An absent or null attribute fails. all_features: every feature of the edge must satisfy all. any_segment: some feature
     satisfies the attributes, and some, perhaps another, the length. An edge without features fails. Other modes give no row."""
-    e = F.broadcast(expected.where(F.col("mode").isin(*MODES)))
+    e = expected.where(F.col("mode").isin(*MODES))
     ids = features.select("element_nr", "row", "length").distinct().alias("f")
     base = e.select("case", "element_nr", "mode", "attribute", "expected", "min_length").join(ids, "element_nr", "left")
     j = base.join(features.select("element_nr", "row", "attribute", "actual"), ["element_nr", "row", "attribute"], "left")
@@ -52,7 +52,7 @@ def check(expected: DataFrame, features: DataFrame) -> DataFrame:
 
 def failures(expected: DataFrame, features: DataFrame) -> DataFrame:
     """(case, row, attribute, expected, actual) of every attribute that differs."""
-    e = F.broadcast(expected.where("attribute is not null"))
+    e = expected.where("attribute is not null")
     ids = features.select("element_nr", "row").distinct()
     j = e.join(ids, "element_nr", "left").join(features, ["element_nr", "row", "attribute"], "left")
     return j.where(~same_value(F.col("actual"), F.col("expected"))).select("case", "row", "attribute", "expected", "actual")
@@ -61,3 +61,13 @@ def failures(expected: DataFrame, features: DataFrame) -> DataFrame:
 def summary(checked: DataFrame) -> DataFrame:
     """One row: cases, passed, failed. A run succeeds if failed is 0."""
     return checked.agg(F.count("*").alias("cases"), F.count_if("passed").alias("passed"), F.count_if(~F.col("passed")).alias("failed"))
+
+
+def report(expected: DataFrame, features: DataFrame) -> tuple[DataFrame, int]:
+    """(case, mode, features, passed, wrong) of each case, and the exit code of a run: 0 if all passed, else 1.
+
+    wrong: what differs, as (row, attribute, expected, actual), in order."""
+    wrong = failures(expected, features).groupBy("case").agg(F.array_sort(F.collect_list(F.struct("row", "attribute", "expected", "actual"))).alias("wrong"))
+    checked = check(expected, features)
+    out = checked.join(wrong, "case", "left").select("case", "mode", "features", "passed", F.when(~F.col("passed"), F.col("wrong")).alias("wrong"))
+    return out, int(not checked.where("not passed").isEmpty())

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from velonet.functions import geometry as G
 from velonet.operators import near
 from velonet.operators.scratch import written
-from velonet.operators.sets import apply_interventions, combine, id_column, without_ids
+from velonet.operators.sets import apply_interventions, combine, id_column, keep_first, without_ids
 from velonet.operators.translate import one_sided_streets
 
 
@@ -141,13 +141,24 @@ def combine_enhanced(reduced: DataFrame, one_sided: DataFrame, seq: str) -> Data
     return combine([("no_bikelanes", a), ("one_sided_bikelanes", one_sided)], id_col, seq, "street_type")
 
 
-def enrich(streets: DataFrame, priority: DataFrame, r: float = 5.0, key: str = "id", deny: DataFrame | None = None) -> DataFrame:
-    """Streets inside the network's buffer, then the network's parts that streets don't cover; one row for each key and source.
+def enrich(streets: DataFrame, priority: DataFrame, r: float = 5.0, key: str = "id", deny: DataFrame | None = None, unique: str = "unique_id") -> DataFrame:
+    """Streets inside the network's buffer, then the network's parts that streets don't cover.
 
-    deny: ids that are left out of the streets."""
+    deny: ids that are left out of the streets. unique: if both tables have this column, one row of each of its values stays, streets
+    before the network, then the least key; the column goes."""
     inside = contained(streets, priority, r, key).where("contained").select(key)
     s = streets.join(inside, key, "left_semi")
     if deny is not None:
         s = without_ids(s, deny, key)
+    s = written(s, "streets")  # the union and the gaps both read it
     gaps = contained(priority, s, r, key).where("not contained").select(key)
-    return s.withColumn("edge_source", F.lit("detailnetz")).unionByName(priority.join(gaps, key, "left_semi").withColumn("edge_source", F.lit("rvn")), allowMissingColumns=True)
+    out = s.withColumn("edge_source", F.lit("detailnetz")).unionByName(priority.join(gaps, key, "left_semi").withColumn("edge_source", F.lit("rvn")), allowMissingColumns=True)
+    if unique in streets.columns and unique in priority.columns:
+        out = keep_first(out, [unique], ["edge_source", key]).drop(unique)
+    return out
+
+
+def removed_ways(layer: DataFrame, network: DataFrame, key: str, id_col: str, opts: MatchOptions | None = None) -> DataFrame:
+    """Rows of the layer that share their id with a crossing short way: what remove_crossing() takes out, to look at."""
+    gone = crossing_short_ways(layer, network, key, opts).where("removed").select(key)
+    return layer.join(layer.join(gone, key, "left_semi").select(id_col).distinct(), id_col, "left_semi")

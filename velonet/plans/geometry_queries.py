@@ -394,3 +394,15 @@ def element_numbers(spark, sf_dir):
     lines = lines.withColumn("d", step).select("id", G.line(G.point(F.col("x") * 10, F.col("y") * 10), G.point((F.col("x") + F.col("d.x")) * 10, (F.col("y") + F.col("d.y")) * 10)).alias("geom"))
     nodes = read(spark, sf_dir, "supplier").selectExpr("s_suppkey node", "cast(s_suppkey * 7 % 41 * 10 as double) x", "cast(s_suppkey * 11 % 51 * 10 as double) y")
     return graph.element_numbers(lines, nodes, "id", "node")
+
+
+@query("select count(*) segments, count(*) filter (b is not null and e is not null) \"both\", count(*) filter ((b is null) <> (e is null)) one, count(*) filter (b is null and e is null) \"none\" from (select case when o_orderkey % 3 > 0 then o_orderkey end b, case when o_custkey % 4 > 0 then o_custkey end e from orders)")
+def node_coverage(spark, sf_dir):
+    return graph.node_coverage(read(spark, sf_dir, "orders").selectExpr("if(o_orderkey % 3 > 0, o_orderkey, null) b", "if(o_custkey % 4 > 0, o_custkey, null) e"), "b", "e")
+
+
+@query(f"with {WAYS} select id, cast(greatest(1, cast(round_even(l, 0) as bigint)) // 2 as integer) piece, round(l / greatest(1, round_even(l, 0)), 4) length from (select id, {_LEN} l from net)")
+def geom_middle_metre(spark, sf_dir):
+    """The middle one of each edge's pieces of about a metre."""
+    m = near.middle_pieces(near.cut_lines(network(spark, sf_dir), "id", 1.0, nearest=True, least=0.01), "id")
+    return m.select("id", "piece", R4(G.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))).alias("length"))
