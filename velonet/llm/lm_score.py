@@ -37,8 +37,8 @@ _WIDE = np.int64(1 << 20)
 START = (1 << 20) - 1
 #: 24 bytes each: at most 60 MB to every executor.
 BROADCAST_ROWS = 2_500_000
-#: Tokens that a task works on at a time.
-SLICE = 1 << 20
+#: Tokens that a task counts, and scores, at a time.
+SLICE, SCORED = 1 << 20, 1 << 18
 
 
 def tokenize(docs: DataFrame, labels: DataFrame | None = None, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", target: str = "quality = 1") -> DataFrame:
@@ -154,7 +154,7 @@ def score_documents(tokens: DataFrame, counts: DataFrame, broadcast_rows: int =
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known, *both = shared.value
-            for b in by_size(batches, "ids", SLICE):
+            for b in by_size(batches, "ids", SCORED):
                 owner, bigram, own, n = _distinct(b["ids"])
                 at = np.searchsorted(known, bigram)
                 hit = np.array(b["hit"].to_pylist(), bool)
@@ -163,7 +163,7 @@ def score_documents(tokens: DataFrame, counts: DataFrame, broadcast_rows: int =
         return tokens.select("doc_id", "hit", "ids").mapInArrow(run, "doc_id long, n_tokens long, score double")
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in by_size(batches, "ids", SLICE):
+        for b in by_size(batches, "ids", SCORED):
             owner, bigram, own, _ = _distinct(b["ids"])
             yield pa.RecordBatch.from_arrays([pa.array(b["row"].to_numpy()[owner]), pa.array(bigram), pa.array(own)], names=["row", "bigram", "own"])
 
@@ -172,7 +172,7 @@ def score_documents(tokens: DataFrame, counts: DataFrame, broadcast_rows: int =
             yield pa.RecordBatch.from_arrays([b["row"], b["doc_id"], b["hit"], pa.array(b["ids"].value_lengths(), pa.int64())], names=["row", "doc_id", "hit", "n_tokens"])
 
     def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in by_size(batches, "x", SLICE):
+        for b in by_size(batches, "x", SCORED):
             x = b["x"].flatten()
             bigram, own, n, n_target = (x.field(k).to_numpy() for k in range(4))
             owner = np.repeat(np.arange(b.num_rows), b["x"].value_lengths().to_numpy(zero_copy_only=False))

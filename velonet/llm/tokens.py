@@ -18,8 +18,8 @@ import re
 import numpy as np
 
 WORD_BPE = "word_bpe_49k.json"
-#: Words kept per worker; past it, the cache starts anew. Bounds a worker's memory to about 200 MB.
-CACHED = 900_000
+#: Words kept per worker; past it, the cache starts anew. Bounds a worker's memory to about 100 MB.
+CACHED = 450_000
 #: Texts that are split at a time.
 SLICE = 256
 
