@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from velonet.functions import geometry as G
 from velonet.operators import districts as D
-from velonet.operators import graph, matching, near, snapping
+from velonet.operators import graph, matching, merge, near, snapping
 from velonet.operators.translate import MIXED, ONE_WAY
 from velonet.plans.bindings import DISTRICTS, POINTS, POLYLINES, WAYS, customers, districts, network, other_ways, polylines, read, suppliers, ways
 from velonet.plans.registry import query
@@ -386,16 +386,32 @@ def node_ids_from_endpoints(spark, sf_dir):
     return graph.node_ids(customers(spark, sf_dir), w, "id", "id").withColumnRenamed("node_id", "node_id")
 
 
+def _grid(spark, sf_dir):
+    """Unit steps of a sparse grid, to the east or the north."""
+    lines = read(spark, sf_dir, "part").selectExpr("p_partkey id", "p_partkey % 40 x", "p_partkey div 40 y", "p_size s")
+    step = F.when(F.col("s") % 2 == 0, F.struct(F.lit(1).alias("x"), F.lit(0).alias("y"))).otherwise(F.struct(F.lit(0).alias("x"), F.lit(1).alias("y")))
+    return lines.withColumn("d", step).select("id", G.line(G.point(F.col("x") * 10, F.col("y") * 10), G.point((F.col("x") + F.col("d.x")) * 10, (F.col("y") + F.col("d.y")) * 10)).alias("geom"))
+
+
 @query()
 def element_numbers(spark, sf_dir):
     """Edge numbers of chains between nodes on a grid: order-dependent within a component; tests compare with a plain walk."""
-    lines = read(spark, sf_dir, "part").selectExpr("p_partkey id", "p_partkey % 40 x", "p_partkey div 40 y", "p_size s")
-    step = F.when(F.col("s") % 2 == 0, F.struct(F.lit(1).alias("x"), F.lit(0).alias("y"))).otherwise(F.struct(F.lit(0).alias("x"), F.lit(1).alias("y")))
-    lines = lines.withColumn("d", step).select("id", G.line(G.point(F.col("x") * 10, F.col("y") * 10), G.point((F.col("x") + F.col("d.x")) * 10, (F.col("y") + F.col("d.y")) * 10)).alias("geom"))
+    lines = _grid(spark, sf_dir)
     nodes = read(spark, sf_dir, "supplier").selectExpr("s_suppkey node", "cast(s_suppkey * 7 % 41 * 10 as double) x", "cast(s_suppkey * 11 % 51 * 10 as double) y")
     return graph.element_numbers(lines, nodes, "id", "node")
 
 
+_STEPS = "st as (select p_partkey id, p_partkey % 40 * 10 ax, p_partkey // 40 * 10 ay, p_partkey % 40 * 10 + if(p_size % 2 = 0, 10, 0) bx, p_partkey // 40 * 10 + if(p_size % 2 = 0, 0, 10) by_ from part)"
+_JOINTS = "en as (select id, ax x, ay y from st union all select id, bx, by_ from st), jo as (select min(id) a, max(id) b from en group by x, y having count(*) = 2 and min(id) <> max(id)), bo as (select a, b from jo union select b, a from jo)"
+
+
+@query(f"with recursive {_STEPS}, {_JOINTS}, re(id, c) as (select id, id from st union select b, c from re join bo on id = a), ch as (select id, min(c) c from re group by 1), jn as (select c, count(*) joints from jo join ch on a = id group by 1) select ch.c id, 2 * count(*) - coalesce(any_value(joints), 0) vertices, cast(10 * count(*) as double) length from ch left join jn using (c) group by 1")
+def network_chains(spark, sf_dir):
+    """The network merged where two ends meet: vertices and length of each chain."""
+    c = merge.merge_network(_grid(spark, sf_dir))
+    return c.select("id", F.size(F.get("geom", 0)).cast("bigint").alias("vertices"), G.length(F.col("geom")).alias("length"))
+
+
 @query("select count(*) segments, count(*) filter (b is not null and e is not null) \"both\", count(*) filter ((b is null) <> (e is null)) one, count(*) filter (b is null and e is null) \"none\" from (select case when o_orderkey % 3 > 0 then o_orderkey end b, case when o_custkey % 4 > 0 then o_custkey end e from orders)")
 def node_coverage(spark, sf_dir):
     return graph.node_coverage(read(spark, sf_dir, "orders").selectExpr("if(o_orderkey % 3 > 0, o_orderkey, null) b", "if(o_custkey % 4 > 0, o_custkey, null) e"), "b", "e")

@@ -1,7 +1,7 @@
-"""Readers and writers: line layers as Parquet or GeoJSON, id lists, test cases, exports.
+"""Readers and writers: line layers as Parquet, GeoJSON or GeoPackage, id lists, test cases, exports.
 
-Binary map formats (FlatGeobuf, GeoPackage) need a geometry library that isn't here: convert such files to GeoJSON lines or
-Parquet once, outside. The readers here take `path` or `path:layer`, the layer being a folder below the path.
+FlatGeobuf needs a library that isn't here: convert such files once, outside. The readers here take `path` or `path:layer`, the
+layer being a table of a GeoPackage, else a folder below the path.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from velonet.functions import geometry as G
 from velonet.operators.sets import common_columns
+from velonet.sources.gpkg import read_gpkg
 
 GEOJSON = "type string, id string, geometry struct<type:string,coordinates:string>, properties map<string,string>"
 
@@ -43,10 +44,10 @@ def split_layer(path: str) -> tuple[str, str | None]:
 
 
 def file_type(path: str) -> str:
-    """'parquet' or 'geojson' by the ending; others are an error."""
+    """'parquet', 'geojson' or 'gpkg' by the ending; others are an error."""
     end = split_layer(path)[0].rstrip("/").rpartition(".")[2].lower()
-    if end in ("parquet", "geojson", "geojsonl", "json"):
-        return "parquet" if end == "parquet" else "geojson"
+    if end in ("parquet", "gpkg", "geojson", "geojsonl", "json"):
+        return end if end in ("parquet", "gpkg") else "geojson"
     raise ValueError(f"unknown file type {end!r}: {path}")
 
 
@@ -74,13 +75,16 @@ def read_geojson(spark: SparkSession, path: str, wgs84: bool = True, multiline:
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
     """A layer by its ending; path[:layer]."""
     base, layer = split_layer(path)
+    if file_type(path) == "gpkg":
+        return read_gpkg(spark, base, layer)
     full = f"{base}/{layer}" if layer else base
     return spark.read.parquet(full) if file_type(path) == "parquet" else read_geojson(spark, full)
 
 
 def read_layers(spark: SparkSession, path: str, layers: list[str], order: tuple[str, ...] = ("element_nr", "ri")) -> DataFrame:
-    """Several layers of a folder as one table of their common columns, in order."""
-    return common_columns([spark.read.parquet(f"{path}/{x}") for x in layers], order)
+    """Several layers of a folder or a GeoPackage as one table of their common columns, in order."""
+    one = (lambda x: read_gpkg(spark, path, x)) if file_type(path) == "gpkg" else (lambda x: spark.read.parquet(f"{path}/{x}"))
+    return common_columns([one(x) for x in layers], order)
 
 
 def read_id_list(spark: SparkSession, path: str) -> DataFrame:
