@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from velonet.functions import geometry as G
 from velonet.operators import near
+from velonet.operators.merge import merge_network
 from velonet.operators.scratch import written
 from velonet.operators.sets import apply_interventions, combine, id_column, keep_first, without_ids
 from velonet.operators.translate import one_sided_streets
@@ -99,8 +100,11 @@ def remove_crossing(matched: DataFrame, layer: DataFrame, network: DataFrame, ke
 def match(layers: dict[str, DataFrame], network: DataFrame, opts: MatchOptions | None = None, exclude: DataFrame | None = None, include: DataFrame | None = None, key: str = "seq") -> dict[str, DataFrame]:
     """The whole matching stage over translated layers with a unique `key`: a table for each step's result, and 'matched'.
 
-    Each layer's matches are written once to the shared folder, as several later steps read them; the rest is lazy."""
+    Short ways are judged by the network's chains between junctions (its lines merged). Each layer's matches are written once to the
+    shared folder, as several later steps read them; the rest is lazy."""
     o = opts or MatchOptions()
+    judged = [n for n in layers if n not in o.skip_layers and n not in o.skip_orthogonal]
+    merged = written(merge_network(network), "chains") if judged else None
     out: dict[str, DataFrame] = {}
     for name in ("bikelanes", "streets", "paths"):
         if name not in layers or name in o.skip_layers:
@@ -109,7 +113,7 @@ def match(layers: dict[str, DataFrame], network: DataFrame, opts: MatchOptions |
         id_col = id_column(layer, ("tilda_osm_id", "tilda_id"))
         m = within_fraction(layer, network, o.buffers[name], o.min_fraction, key)
         if name not in o.skip_orthogonal:
-            m = remove_crossing(m, layer, network, key, id_col, o)
+            m = remove_crossing(m, layer, merged, key, id_col, o)
         if not o.skip_manual and exclude is not None and include is not None:
             m = apply_interventions(m, layer, exclude, include, id_col)
         out[name] = written(m, name)
