@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from velonet.llm import decontam, simhash, similar, substring_dedup
 from velonet.operators.graph import least_reachable
@@ -251,6 +252,19 @@ def test_near_copies_with_changed_words_go(spark, docs, odd):
     assert similar.keep_one_each(docs([])).count() == 0
 
 
+def test_large_buckets_are_split_and_lose_no_text(spark):
+    """A bucket that goes past what a task holds: parts and pieces still join all its texts to its least."""
+    nodes = spark.createDataFrame([(k * 7 % 1000, k % 5, 100, [1, k]) for k in range(1000)], "node long, fp long, n long, bands array<long>")
+    for held in (16, 200, 1 << 18):
+        pairs = similar.candidates(nodes, held).collect()
+        parent = {}
+        for a, b in sorted((x.a, x.b) for x in pairs):
+            parent[a] = min(b, parent.get(a, a))
+        assert len(parent) == 999 and all(a > b for a, b in parent.items())
+    parts = similar._dealt(nodes.select("node", "n", F.col("fp").alias("rank"), F.posexplode("bands").alias("k", "key")), 100).where("key = 1").groupBy("salt").agg(F.count("*").alias("c"), F.min("node").alias("m")).collect()
+    assert len(parts) == 11 and all(x.m == 0 for x in parts) and max(x.c for x in parts) < 200
+
+
 def in_gray_order(fps):
     rank = fps.copy()
     for k in (1, 2, 4, 8, 16, 32):
