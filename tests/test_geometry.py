@@ -57,6 +57,14 @@ def test_near_join(spark, size):
     assert {r.id for r in every.collect()} == set(range(40))
 
 
+def test_a_pair_at_exactly_the_radius_is_near(spark):
+    """25 m: the cross product is 325, the square of the other's length 169, and 325 * 325 / 169 = 625."""
+    a = spark.createDataFrame([(1, [[(14180.0, 681.0), (14185.0, 693.0)]])], SCHEMA)
+    b = spark.createDataFrame([(2, [[(14160.0, 698.0), (14132.0, 722.0)]])], SCHEMA.replace("id", "way"))
+    assert [tuple(r) for r in near.near_join(a, b, 25.0, "id", "way").collect()] == [(1, 2, 25.0)]
+    assert near.near_join(a, b, 24.999999999, "id", "way").isEmpty()
+
+
 @pytest.mark.parametrize("flat", [False, True])
 def test_coverage(spark, flat):
     a, b = random_lines(25, 3), random_lines(8, 4)

@@ -2,6 +2,9 @@
 
 Cells are at least twice the radius. Long pieces are split first, so no piece lies in many cells. A pair is tested in one cell
 only: the one that holds the lower left corner of the common part of both boxes.
+
+A pair at exactly the radius is near. Distances are square roots of squares (functions.geometry.point_piece_square), so that coordinates
+in whole or half metres give the exact answer at the bound; a foot of the perpendicular, computed first, would be off by a rounding.
 """
 
 from __future__ import annotations

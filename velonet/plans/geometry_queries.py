@@ -113,8 +113,10 @@ def geojson_export(spark, sf_dir):
 
 
 def _pd(px: str, py: str, a: str) -> str:
-    t = f"greatest(0, least(1, (({px} - {a}.ax) * ({a}.bx - {a}.ax) + ({py} - {a}.ay) * ({a}.by_ - {a}.ay)) / (({a}.bx - {a}.ax) * ({a}.bx - {a}.ax) + ({a}.by_ - {a}.ay) * ({a}.by_ - {a}.ay))))"
-    return f"sqrt(pow({px} - ({a}.ax + {t} * ({a}.bx - {a}.ax)), 2) + pow({py} - ({a}.ay + {t} * ({a}.by_ - {a}.ay)), 2))"
+    dx, dy, ex, ey = f"({a}.bx - {a}.ax)", f"({a}.by_ - {a}.ay)", f"({px} - {a}.ax)", f"({py} - {a}.ay)"
+    dot, own, cross = f"({ex} * {dx} + {ey} * {dy})", f"({dx} * {dx} + {dy} * {dy})", f"({ex} * {dy} - {ey} * {dx})"
+    end = f"(({px} - {a}.bx) * ({px} - {a}.bx) + ({py} - {a}.by_) * ({py} - {a}.by_))"
+    return f"sqrt(case when {dot} <= 0 then {ex} * {ex} + {ey} * {ey} when {dot} >= {own} then {end} else {cross} * {cross} / {own} end)"
 
 
 def _side(a: str, x: str, y: str) -> str:
