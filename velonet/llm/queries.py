@@ -1,11 +1,11 @@
-"""The ten operators as queries over the bundled tables, and DuckDB SQL where it can express them."""
+"""The operators as queries over the bundled tables, and DuckDB SQL where it can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velonet.llm import decontam, fingerprints, lm_score, packing, quality, secret_scan, simhash, substring_dedup, toxicity, urls
+from velonet.llm import decontam, divergence, fingerprints, lm_score, packing, quality, secret_scan, simhash, substring_dedup, toxicity, urls
 from velonet.llm.common import read
 
 
@@ -58,10 +58,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
-QUERIES = {
-    f.__name__: f
-    for f in (op1_secret_scan, op2_best_fit_packing, op3_document_fingerprints, op4_lm_scoring, op5_decontamination, op6_substring_dedup, op7_simhash, op8_quality, op9_url_filters, op10_toxicity)
-}
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+_OPERATORS = (op1_secret_scan, op2_best_fit_packing, op3_document_fingerprints, op4_lm_scoring, op5_decontamination, op6_substring_dedup, op7_simhash, op8_quality, op9_url_filters, op10_toxicity, op13_source_divergence)
+QUERIES = {f.__name__: f for f in _OPERATORS}
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -91,4 +93,18 @@ h as (select page_id, translate(regexp_extract(r, '^[^/?#]*'), {_AZ}) host, rege
 rules(verdict, host, path, rule) as (values ('allow', 'com', '/', 'com/'), ('block', 'example.com', '/en/', 'example.com/en/'), ('allow', 'www.example.com', '/en/', 'www.example.com/en/'), ('block', 'net', '/es/', 'net/es/'), ('block', 'net', '/fr/', 'net/fr/')),
 best as (select page_id, arg_max(struct_pack(rule := x.rule, verdict := x.verdict), length(x.rule)) b from h join rules x on (h.host = x.host or ends_with(h.host, '.' || x.host)) and starts_with(h.path, x.path) group by page_id)
 select page_id, host, path, b.rule as rule, coalesce(b.verdict, 'allow') verdict from h left join best using (page_id)""",
+    "op13_source_divergence": rf"""
+with d as (select row_number() over () r, coalesce(lang, '') lang, coalesce(source, '') source, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') w from documents),
+w as (select r, lang, source, unnest(w) term from d),
+c as (select lang, source, term, count(*) n from w group by all),
+kept as (select lang, term, count(distinct r) docs, count(*) total from w group by all having docs >= 10),
+langs as (select lang, count(*) v, sum(total) n from kept group by 1),
+groups as (select distinct lang, source from d),
+full_ as (select g.lang, g.source, k.term, k.total, coalesce(c.n, 0) n from groups g join kept k using (lang) left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+sums as (select lang, source, sum(n) n from full_ group by all),
+pq as (select f.lang, f.source, f.term, f.n, 1 + (1000000000::hugeint * (f.n + 2)) // (s.n + 2 * l.v) p, 1 + (1000000000::hugeint * (f.total + 2)) // (l.n + 2 * l.v) q from full_ f join sums s on f.lang = s.lang and f.source = s.source join langs l on l.lang = f.lang),
+pairs as (select a.lang, a.source, b.source item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) x from pq a join pq b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pair as (select a.lang, a.source, 'pair' part, b.source item, coalesce(x, 0) x from groups a join groups b on a.lang = b.lang and a.source <> b.source left join pairs p on p.lang = a.lang and p.source = a.source and p.item = b.source),
+term as (select lang, source, 'term' part, term item, ((p - q) * (p - q)) // (p + q) x from pq where n > 0 and p > q)
+select lang, source, part, item, cast(x as bigint) as value, cast(row_number() over (partition by lang, source, part order by x desc, item) as integer) rank from (from pair union all from term) qualify part = 'pair' or rank <= 10""",
 }
