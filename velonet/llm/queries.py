@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velonet.llm import decontam, divergence, fingerprints, lm_score, packing, quality, secret_scan, simhash, substring_dedup, toxicity, urls
+from velonet.llm import decontam, divergence, fingerprints, lloyd, lm_score, packing, quality, secret_scan, simhash, substring_dedup, toxicity, urls
 from velonet.llm.common import read
 
 
@@ -58,16 +58,41 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.cluster(read(spark, sf_dir, "embeddings"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
 
-_OPERATORS = (op1_secret_scan, op2_best_fit_packing, op3_document_fingerprints, op4_lm_scoring, op5_decontamination, op6_substring_dedup, op7_simhash, op8_quality, op9_url_filters, op10_toxicity, op13_source_divergence)
+_OPERATORS = (op1_secret_scan, op2_best_fit_packing, op3_document_fingerprints, op4_lm_scoring, op5_decontamination, op6_substring_dedup, op7_simhash, op8_quality, op9_url_filters, op10_toxicity, op11_centroid_clustering, op13_source_divergence)
 QUERIES = {f.__name__: f for f in _OPERATORS}
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+
+
+def _lloyd_sql(rounds: int = 3) -> str:
+    d = lambda c: f"list_sum(list_transform(list_zip(x.q, {c}.q), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    out = """
+with e as (select vec_id, embedding v from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda z: z is not null and isfinite(z))) = 64),
+x as materialized (select row_number() over () r, vec_id, list_transform(v, lambda z: cast(floor(64 * cast(z as double)) as bigint)) q from e),
+c0 as materialized (select row_number() over (order by sha256('1:' || vec_id), q) - 1 cluster, q from x order by sha256('1:' || vec_id), q limit 16)"""
+    for n in range(rounds + 1):
+        out += f""",
+a{n} as materialized (select r, min(row(d, cluster)) b from (select r, c.cluster, {d("c")} d from x, c{n} c) group by r)"""
+        if n < rounds:
+            out += f""",
+m{n} as (select cluster, i, sum(z) s, count(*) n from (select a.b[2] cluster, unnest(x.q) z, unnest(range(1, 65)) i from a{n} a join x using (r)) group by all),
+c{n + 1} as materialized (select c.cluster, coalesce(m.q, c.q) q from c{n} c left join (select cluster, list(cast((s - ((s % n) + n) % n) // n as bigint) order by i) q from m{n} group by cluster) m using (cluster))"""
+    return out + f""",
+f as (select x.vec_id, cast(b[2] as integer) cluster, cast(b[1] as bigint) distance from a{rounds} join x using (r))
+select vec_id, cluster, distance, cast(sum(distance) over (partition by cluster) as bigint) cluster_inertia, cast(sum(distance) over () as bigint) inertia, sha256(array_to_string(c.q, ',')) centroid_sha256 from f join c{rounds} c using (cluster)"""
+
+
 SQL = {
+    "op11_centroid_clustering": _lloyd_sql(),
     "op5_decontamination": rf"""
 with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),
 b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from benchmark),
