@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from velonet.llm import decontam, divergence, fingerprints, lloyd, lm_score, packing, quality, secret_scan, simhash, substring_dedup, toxicity, urls
+from velonet.llm import decontam, divergence, fingerprints, lloyd, lm_score, packing, quality, secret_scan, simhash, substring_dedup, toxicity, urls, vector_graph
 from velonet.llm.common import read
 
 
@@ -62,11 +62,15 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lloyd.cluster(read(spark, sf_dir, "embeddings"))
 
 
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
 
-_OPERATORS = (op1_secret_scan, op2_best_fit_packing, op3_document_fingerprints, op4_lm_scoring, op5_decontamination, op6_substring_dedup, op7_simhash, op8_quality, op9_url_filters, op10_toxicity, op11_centroid_clustering, op13_source_divergence)
+_OPERATORS = (op1_secret_scan, op2_best_fit_packing, op3_document_fingerprints, op4_lm_scoring, op5_decontamination, op6_substring_dedup, op7_simhash, op8_quality, op9_url_filters, op10_toxicity, op11_centroid_clustering, op12_embedding_near_dedup, op13_source_divergence)
 QUERIES = {f.__name__: f for f in _OPERATORS}
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
