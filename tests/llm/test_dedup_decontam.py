@@ -252,17 +252,51 @@ def test_near_copies_with_changed_words_go(spark, docs, odd):
     assert similar.keep_one_each(docs([])).count() == 0
 
 
-def test_large_buckets_are_split_and_lose_no_text(spark):
-    """A bucket that goes past what a task holds: parts and pieces still join all its texts to its least."""
-    nodes = spark.createDataFrame([(k * 7 % 1000, k % 5, 100, [1, k]) for k in range(1000)], "node long, fp long, n long, bands array<long>")
-    for held in (16, 200, 1 << 18):
-        pairs = similar.candidates(nodes, held).collect()
-        parent = {}
-        for a, b in sorted((x.a, x.b) for x in pairs):
-            parent[a] = min(b, parent.get(a, a))
-        assert len(parent) == 999 and all(a > b for a, b in parent.items())
-    parts = similar._dealt(nodes.select("node", "n", F.col("fp").alias("rank"), F.posexplode("bands").alias("k", "key")), 100).where("key = 1").groupBy("salt").agg(F.count("*").alias("c"), F.min("node").alias("m")).collect()
-    assert len(parts) == 11 and all(x.m == 0 for x in parts) and max(x.c for x in parts) < 200
+@pytest.mark.parametrize(("shared", "own", "n"), [(170, 20, 600), (60, 5, 500), (40, 5, 500), (300, 70, 300)])
+def test_texts_about_a_shared_passage(spark, docs, shared, own, n):
+    """Crowds whose pairs lie on both sides of the bound, in buckets that no least text joins: no link is lost."""
+    r = random.Random(shared)
+    base = prose(r, shared, 4000)
+    texts = [" ".join([*prose(r, x := r.randint(0, own), 4000).split(" ")[:x], base, *prose(r, own - x + r.randint(0, 6), 4000).split(" ")]) for _ in range(n)]
+    first = plain_similar(texts)
+    kept = similar.keep_one_each(docs([(10 + k, t) for k, t in enumerate(texts)]))
+    assert len(set(first)) > n / 10
+    assert sorted(x.doc_id for x in kept.select("doc_id").collect()) == sorted({10 + k for k in first})
+
+
+@pytest.mark.parametrize(("texts", "shingles"), [(2048, 1 << 20), (40, 1 << 20), (2048, 3000)])
+def test_crowds_in_units(spark, monkeypatch, texts, shingles):
+    """One bucket with a component of most texts and stragglers about the bound; its least fits nobody. Parts lose nothing."""
+    monkeypatch.setattr(similar, "UNIT_TEXTS", texts)
+    monkeypatch.setattr(similar, "UNIT_SHINGLES", shingles)
+    r = np.random.default_rng(texts + shingles)
+    core = r.integers(0, 1 << 62, 100, dtype=np.uint64)
+    sets = [np.unique(r.integers(0, 1 << 62, 300, dtype=np.uint64)), *[np.unique(np.r_[core, r.integers(0, 1 << 62, int(k), dtype=np.uint64)]) for k in r.integers(0, 26, 150)], np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+    rows = spark.createDataFrame([(k, s.astype("<u8").tobytes()) for k, s in enumerate(sets)], "node long, s binary").withColumn("n", F.expr("length(s) div 8"))
+    nodes = rows.select("node", "n", F.array(F.lit(5).cast("long")).alias("bands"))
+    labelled = spark.createDataFrame([(k, 1) for k in range(2, 60)], "id long, component long")
+    found = similar.crowd_links(similar.members(nodes), rows.select("node", "s"), labelled)
+    parent = {k: 1 if 2 <= k < 60 else k for k in range(len(sets))}
+    got = {x.id: x.component for x in least_reachable(found.unionByName(labelled.toDF("a", "b"))).collect()}
+
+    def root(k):
+        return k if parent[k] == k else root(parent[k])
+
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+                x, y = root(i), root(j)
+                parent[max(x, y)] = min(x, y)
+    assert [got.get(k, k) for k in range(len(sets))] == [root(k) for k in range(len(sets))]
+    assert found.count() < len(sets) * (1 if texts > 40 and shingles > 3000 else 30)
+
+
+def test_a_long_text_among_similar_ones(spark, docs):
+    r = random.Random(3)
+    long = prose(r, 60000, 4000)
+    rows = [(1, long), (2, long + " end"), (3, "start " + long), (4, prose(r, 60000, 4000)), (5, long[: len(long) // 2])]
+    assert sorted(x.doc_id for x in similar.keep_one_each(docs(rows)).select("doc_id").collect()) == [1, 4, 5]
 
 
 def in_gray_order(fps):

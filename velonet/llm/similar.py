@@ -6,13 +6,16 @@ finds these without comparing a constant share of all pairs. So the index of sim
 least hashes give the others: BANDS bands of ROWS least hashes, equal in one band at least for all but (1 - 0.8 ** ROWS) **
 BANDS = 3e-6 of the pairs with similarity 0.8, and fewer above. Every pair is verified on the whole shingle sets.
 
-A bucket of at most SMALL texts gives all its pairs; in a larger one each text meets the bucket's least and the NEXT ones in
-Gray order of the fingerprints. A task holds HELD rows of a bucket at most; buckets that seem larger, by a sketch of frequent
-keys (TOP of them at most), are dealt out by text, the least text to every part. Pairs whose sizes alone keep them under LEAST are left out. Each text's pair with its least
-candidate is verified first; of the other pairs only those whose ends are still apart.
+A bucket of at most SMALL texts gives all its pairs; in a larger one each text meets the bucket's least first. Each text's pair with
+its least candidate is verified first; of the other pairs only those whose ends are still apart. Large buckets whose texts are still apart
+then are compared whole, the exact way for what pairs with the least leave out: a unit holds their shingle sets, counts what texts of different
+components share by one matrix product, and gives an edge for components that it joins, never its pairs. A bucket past a unit's size is
+cut into parts by text, and every two parts are a unit: so a crowd of texts that lie about the bound, joined by no link, costs the
+comparisons that it has pairs, spread over tasks. Pairs whose sizes alone keep them under LEAST are left out.
 
 Defined cases: texts that are equal as bytes are one node; repeated rows and null ids are rows like any other, and one row stays
-of each group: the one with the least id (null after all), then the least hash of its text. Empty in, empty out.
+of each group: the one with the least id (null after all), then the least hash of its text. Very long texts are hashed whole; a unit
+with one holds few others. Only doc_id and text are read, whatever the other columns' names. Empty in, empty out.
 """
 
 from __future__ import annotations
@@ -22,17 +25,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velonet.llm import simhash
 from velonet.llm.common import by_size, keep_first, text_node
 from velonet.operators.graph import least_reachable
-from velonet.operators.scratch import written
+from velonet.operators.scratch import discard, written
 
 SHINGLE, LEAST, BANDS, ROWS = 5, 0.8, 24, 4
-SMALL, NEXT = 32, 4
-HELD, TOP = 1 << 18, 1000
+SMALL = 64
+#: Texts, and shingles of all, that a unit of two parts holds.
+UNIT_TEXTS, UNIT_SHINGLES = 2048, 1 << 20
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = np.random.default_rng(42).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -77,85 +81,83 @@ def sketches(docs: DataFrame) -> DataFrame:
     return _texts(docs).mapInArrow(run, "node long, fp long, n long, bands array<long>").dropDuplicates(["node"])
 
 
-def _fits(n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    return np.minimum(n, m) >= LEAST * np.maximum(n, m) - 1e-9
-
-
-def bucket_pairs(bucket: np.ndarray, node: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs of nodes. Rows are sorted by bucket."""
-    first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-    size = np.diff(np.r_[first, len(bucket)])
-    few = np.repeat(size <= SMALL, size)
-    left, right = [], []
-    for step in range(1, min(len(bucket), int(size.max(initial=0)), SMALL)):
-        i = np.flatnonzero((bucket[:-step] == bucket[step:]) & (few[:-step] if step > NEXT else True))
-        left.append(i)
-        right.append(i + step)
-    for s, c in zip(first[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
-        m = np.arange(s, s + c)
-        left.append(np.full(c, s + int(np.argmin(node[s : s + c]))))
-        right.append(m)
-    i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
-    ok = (node[i] != node[j]) & _fits(n[i], n[j])
-    return np.maximum(node[i[ok]], node[j[ok]]), np.minimum(node[i[ok]], node[j[ok]])
-
-
-def _dealt(rows: DataFrame, held: int) -> DataFrame:
-    """rows (key, node, ...) + salt: buckets that hold more than `held` rows, by the sketch, are split; their least is in each part."""
-    # the sketch only places rows: a bucket that it misses is worked through by one task, a piece at a time
-    items = rows.agg(F.expr(f"approx_top_k(key, {TOP}, {TOP * 10})").alias("x")).first().x or []
-    hot = [(i.item, i["count"] // held + 1) for i in items if i["count"] > held]
-    if not hot:
-        return rows.withColumn("salt", F.lit(0).cast("long"))
-    split = rows.join(F.broadcast(rows.sparkSession.createDataFrame(hot, "key long, salts long")), "key", "left")
-    one = split.where("salts is not null").groupBy("k", "key", "salts").agg(F.min(F.struct("node", "n", "rank")).alias("r"))
-    least = one.select("k", "key", "r.*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
-    own = split.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("node"), "salts"), F.lit(0))).drop("salts")
-    return own.unionByName(least)
-
-
-def candidates(nodes: DataFrame, held: int = HELD) -> DataFrame:
-    """(a, b), a > b: pairs of nodes of sketches() to verify."""
-    each = F.posexplode("bands").alias("k", "key")
-    rows = _dealt(nodes.select("node", "n", simhash.gray_rank(F.col("fp")).alias("rank"), each), held)
-    rows = rows.repartition("k", "key", "salt").sortWithinPartitions("k", "key", "salt", "rank", "node")
-    part = ["k", "key", "salt"]
+def _fits(n: Column, m: Column) -> Column:
+    return F.least(n, m) >= LEAST * F.greatest(n, m) - 1e-9
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def ends(t: pa.Table) -> np.ndarray:
-            """Rows that are the last of their bucket's part."""
-            return np.flatnonzero(np.any([(x := t[c].to_numpy())[1:] != x[:-1] for c in part], axis=0))
-
-        def flush(t: pa.Table) -> pa.RecordBatch:
-            bucket = np.zeros(t.num_rows, np.int64)
-            bucket[ends(t) + 1] = 1
-            pairs = np.unique(np.stack(bucket_pairs(np.cumsum(bucket), t["node"].to_numpy(), t["n"].to_numpy())), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], names=["a", "b"])
-
-        rest: pa.Table | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            t = pa.Table.from_batches([batch]).select(["node", "n", *part])
-            t = pa.concat_tables([rest, t]).combine_chunks() if rest is not None else t
-            change = ends(t)
-            cut = int(change[-1]) + 1 if len(change) else 0  # the last bucket may go on in the next batch
-            if cut:
-                yield flush(t.slice(0, cut))
-            rest = t.slice(cut)
-            if rest.num_rows > held:  # the least and the last rows meet the piece to come
-                yield flush(rest)
-                least = int(np.argmin(rest["node"].to_numpy()))
-                rest = pa.concat_tables([rest.slice(least, 1), rest.slice(rest.num_rows - NEXT)]).combine_chunks()
-        if rest is not None:
-            yield flush(rest)
-
-    by_words = rows.mapInArrow(run, "a long, b long")
+
+def members(nodes: DataFrame) -> DataFrame:
+    """(k, key, node, n, texts, shingles, least): the texts of each bucket that has two or more; least is its least (node, n)."""
+    rows = nodes.select("node", "n", F.posexplode("bands").alias("k", "key"))
+    buckets = rows.groupBy("k", "key").agg(F.count("*").alias("texts"), F.sum("n").alias("shingles"), F.min(F.struct("node", "n")).alias("least"))
+    return rows.join(buckets.where("texts > 1"), ["k", "key"])
+
+
+def candidates(of: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(a, b), a > b: pairs of nodes to verify, from members() of sketches()."""
+    few = of.where(F.col("texts") <= SMALL).select("k", "key", "node", "n")
+    other = few.select("k", "key", F.col("node").alias("b"), F.col("n").alias("m"))
+    within = few.join(other, ["k", "key"]).where("node > b").where(_fits(F.col("n"), F.col("m"))).select(F.col("node").alias("a"), "b")
+    least = of.where((F.col("texts") > SMALL) & (F.col("node") > F.col("least.node")) & _fits(F.col("n"), F.col("least.n"))).select(F.col("node").alias("a"), F.col("least.node").alias("b"))
     same = nodes.groupBy("fp").agg(F.min("node").alias("id"))
-    of = lambda c: same.select(F.col("fp").alias(c), F.col("id").alias(f"{c}_node"))
-    index = simhash.links(same.select("fp")).join(of("a"), "a").join(of("b"), "b").select(F.greatest("a_node", "b_node").alias("a"), F.least("a_node", "b_node").alias("b"))
+    end = lambda c: same.select(F.col("fp").alias(c), F.col("id").alias(f"{c}_node"))
+    index = simhash.links(same.select("fp")).join(end("a"), "a").join(end("b"), "b").select(F.greatest("a_node", "b_node").alias("a"), F.least("a_node", "b_node").alias("b"))
     equal = nodes.join(same, "fp").where("node <> id").select(F.col("node").alias("a"), F.col("id").alias("b"))
-    return by_words.unionByName(index).unionByName(equal).distinct()
+    return within.unionByName(least).unionByName(index).unionByName(equal).distinct()
+
+
+def joined_components(table: pa.Table) -> pa.Table:
+    """(a, b): components of a unit's texts (component, s) that similar texts join. Exact: all pairs of different components."""
+    component, code = np.unique(table["component"].to_numpy(), return_inverse=True)
+    sets = [np.frombuffer(v.as_buffer(), "<u8") for v in table["s"]]
+    n, m = np.array([len(s) for s in sets], np.int64), len(sets)
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    row, texts = np.repeat(np.arange(m), n), np.bincount(ids) if len(ids) else np.zeros(0, np.int64)
+    # frequent shingles are columns of a table, the others' texts lie in lists
+    common = texts > max(16, m // 16)
+    column, at = np.cumsum(common) - 1, common[ids]
+    table_of = np.zeros((m, int(common.sum())), np.float32)
+    table_of[row[at], column[ids[at]]] = 1
+    rare = ~at & (texts[ids] > 1)
+    row, ids = row[rare], ids[rare]
+    start = np.searchsorted(row, np.arange(m + 1))
+    lists = row[np.argsort(ids, kind="stable")]
+    begin = np.r_[0, np.cumsum(np.bincount(ids, minlength=len(texts)))]
+    parent = list(range(len(component)))
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = c = parent[parent[c]]
+        return c
+
+    edges = []
+    others = np.flatnonzero(code != np.bincount(code).argmax())  # of any two components one isn't the largest
+    for s in range(0, len(others), 64):
+        own = others[s : s + 64]
+        own_ids = ids[np.concatenate([np.arange(start[r], start[r + 1]) for r in own])]
+        size = begin[own_ids + 1] - begin[own_ids]
+        place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin[own_ids], size)
+        of = np.repeat(np.repeat(np.arange(len(own)), start[own + 1] - start[own]), size)
+        both = table_of[own] @ table_of.T + np.bincount(of * m + lists[place], minlength=len(own) * m).reshape(len(own), m)
+        alike = (both >= LEAST * (n[own][:, None] + n - both) - 1e-9) & (code[own][:, None] != code)
+        i, j = np.nonzero(alike)
+        for pair in np.unique(code[own[i]].astype(np.int64) * len(component) + code[j]).tolist():
+            x, y = root(pair // len(component)), root(pair % len(component))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                edges.append((int(component[max(x, y)]), int(component[min(x, y)])))
+    a, b = zip(*edges, strict=True) if edges else ((), ())
+    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def crowd_links(of: DataFrame, sets: DataFrame, label: DataFrame) -> DataFrame:
+    """(a, b): components (label: id, component) that similar texts of one large bucket join."""
+    large = of.where(F.col("texts") > SMALL).join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    apart = large.groupBy("k", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("k", "key")
+    parts = F.ceil(F.greatest(F.col("texts") * 2 / UNIT_TEXTS, F.col("shingles") * 2 / UNIT_SHINGLES)).cast("int")
+    rows = large.join(apart, ["k", "key"]).withColumn("parts", F.when((F.col("texts") <= UNIT_TEXTS) & (F.col("shingles") <= UNIT_SHINGLES), 1).otherwise(parts))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    units = rows.select("k", "key", F.least("part", "to").alias("one"), F.greatest("part", "to").alias("two"), "node", "component").join(sets, "node")
+    return units.groupBy("k", "key", "one", "two").applyInArrow(joined_components, "a long, b long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -187,14 +189,23 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame) -> DataFrame:
     """(id, component) of every text node that is similar to another, but for the components' least."""
-    pairs = written(candidates(written(sketches(docs), "sketches")), "pairs")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = written(sketches(docs), "sketches")
+    of = written(members(nodes), "buckets")
+    pairs = written(candidates(of, nodes), "pairs")
+    discard(nodes)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(of.where(F.col("texts") > SMALL).select("node")).distinct()
     sets = written(shingle_sets(docs, ends), "sets")
     first = written(verified(pairs.groupBy("a").agg(F.min("b").alias("b")), sets), "links")
     label = written(least_reachable(first), "labels")
-    of = lambda c: label.select(F.col("id").alias(c), F.col("component").alias(f"{c}_in"))
-    apart = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select("a", "b")
-    return least_reachable(first.unionByName(written(verified(apart, sets), "links")))
+    end = lambda c: label.select(F.col("id").alias(c), F.col("component").alias(f"{c}_in"))
+    apart = pairs.join(end("a"), "a", "left").join(end("b"), "b", "left").where(F.coalesce("a_in", "a") != F.coalesce("b_in", "b")).select("a", "b")
+    links = written(first.unionByName(verified(apart, sets)), "links")
+    found = written(least_reachable(links), "labels")
+    crowds = written(crowd_links(of, sets, found), "links")
+    out = found if crowds.isEmpty() else written(least_reachable(links.unionByName(crowds)), "labels")
+    for table in (of, pairs, sets, first, label, links, crowds, *([] if out is found else [found])):
+        discard(table)
+    return out
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
