@@ -10,6 +10,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from velonet.functions.geometry import let
+
 #: How a null reads where a rule looks at text. 'nan' is the other usual form.
 NULL_TEXT = "None"
 
@@ -26,7 +28,7 @@ def opt(df: DataFrame, name: str, kind: str = "string") -> Column:
 
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r"))
 
 
 def low(c: Column) -> Column:
@@ -69,16 +71,22 @@ def has_traffic_sign(value: Column, sign: str) -> Column:
 def round1(c: Column) -> Column:
     """One decimal of the number that the double is, not of its shortest text: 0.15 (a bit less) gives 0.1; halves go to the even.
 
-    Ten times x is 8x + 2x, both exact; `off` is what their sum lost to rounding."""
-    x = F.abs(c)
-    eight, two = x * 8, x * 2
-    ten = eight + two
-    part = ten - eight
-    off = (eight - (ten - part)) + (two - part)
-    n = F.floor(ten).cast("double")
-    past = (ten - n - 0.5) + off
-    up = F.when((past > 0) | ((past == 0) & (F.pmod(n, F.lit(2.0)) == 1)), 1.0).otherwise(0.0)
-    return F.when(x < 9e14, F.when(c < 0, -(n + up) / 10).otherwise((n + up) / 10)).otherwise(c)
+    Ten times x is 8x + 2x, both exact; `off` is what their sum lost to rounding. Each value is bound where it is used more than once:
+    Columns would repeat their expressions, and c's whole text rule with them."""
+
+    def tenth(c: Column, ten: Column) -> Column:
+        x = F.abs(c)
+        part = ten - x * 8
+        off = (x * 8 - (ten - part)) + (x * 2 - part)
+
+        def pick(n: Column) -> Column:
+            past = (ten - n - 0.5) + off
+            up = F.when((past > 0) | ((past == 0) & (F.pmod(n, F.lit(2.0)) == 1)), 1.0).otherwise(0.0)
+            return F.when(c < 0, -(n + up) / 10).otherwise((n + up) / 10)
+
+        return F.when(x < 9e14, let(F.floor(ten).cast("double"), pick)).otherwise(c)
+
+    return let(c, lambda c: let(F.abs(c) * 8 + F.abs(c) * 2, lambda ten: tenth(c, ten)))
 
 
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$"
@@ -86,8 +94,7 @@ NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$"
 
 def number(c: Column) -> Column:
     """A text's number, null if it is none; other types as doubles."""
-    t = low(c.cast("string"))
-    return F.when(t.rlike(NUMBER), t.try_cast("double"))
+    return let(low(c.cast("string")), lambda t: F.when(t.rlike(NUMBER), t.try_cast("double")))
 
 
 def whole(c: Column) -> Column:
