@@ -246,17 +246,22 @@ def merge_intervals(intervals: Column) -> Column:
 
 
 def join_pieces(ordered: Column) -> Column:
-    """Straight pieces (structs with ax, ay, bx, by, in order) as a geometry: pieces that follow on make one part."""
-    zero = F.array().cast(GEOM)
+    """Straight pieces (structs with ax, ay, bx, by, in order) as a geometry: pieces that follow on make one part.
 
-    def add(out: Column, q: Column) -> Column:
-        a, b = point(q["ax"], q["ay"]), point(q["bx"], q["by"])
-        last = F.try_element_at(out, F.lit(-1))
-        end = F.try_element_at(last, F.lit(-1))
-        follows = (F.size(out) > 0) & (end["x"] == q["ax"]) & (end["y"] == q["ay"])
-        return F.when(follows, F.concat(F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))), F.array(F.concat(last, F.array(b))))).otherwise(F.concat(out, F.array(F.array(a, b))))
+    The places where a part begins are listed first; each part then is one slice, so the work is linear in the pieces."""
+
+    def parts(q: Column) -> Column:
+        follows = lambda i: (F.get(q, i - 1)["bx"] == F.get(q, i)["ax"]) & (F.get(q, i - 1)["by"] == F.get(q, i)["ay"])
+        begins = F.filter(F.when(F.size(q) > 0, F.sequence(F.lit(0), F.size(q) - 1)).otherwise(F.array().cast("array<int>")), lambda i: (i == 0) | ~follows(i))
+
+        def line(begins: Column) -> Column:
+            end = lambda k: F.coalesce(F.get(begins, k + 1), F.size(q))
+            own = lambda s, k: F.slice(q, s + 1, end(k) - s)
+            return F.transform(begins, lambda s, k: F.concat(F.array(point(F.get(q, s)["ax"], F.get(q, s)["ay"])), F.transform(own(s, k), lambda p: point(p["bx"], p["by"]))))
+
+        return let(begins, line)
 
-    return F.aggregate(ordered, zero, add)
+    return let(ordered, parts).cast(GEOM)
 
 
 def utm33_to_wgs84(x: Column, y: Column) -> Column:

@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velonet.functions import geometry as G
+from velonet.functions.geometry import GEOM
 from velonet.functions.text import whole
+from velonet.operators.merge import merge_parts
+from velonet.operators.scratch import written
 from velonet.operators.sets import number_rows
 
 # Fixed values ---------------------------------------------------------------------------------------------------------
@@ -87,8 +89,11 @@ def aggregate_edges(df: DataFrame, keys: Sequence[str] = ("element_nr", "ri"), l
 
     out = [*[F.col(k) for k in keys], *[column(c) for c in carried], whole(F.col("_length")).alias("Länge")]
     if geom and geom in d.columns:
-        merged = F.flatten(F.transform("_geoms", lambda x: G.pieces(x["geom"])))
-        out.append(G.join_pieces(merged).alias(geom))
+        lines = F.filter(F.flatten(F.transform("_geoms", lambda x: F.coalesce(x["geom"], F.array().cast(GEOM)))), lambda p: F.size(p) > 1)
+        # a single section keeps its geometry; written, as the merge reads the rows more than once
+        joined = written(g.select(*out, F.when(F.col("_n") == 1, F.get("_geoms", 0)["geom"]).otherwise(lines).alias(geom), (F.col("_n") > 1).alias("_many")), "edges")
+        merged = merge_parts(joined.where("_many"), keys, geom)
+        return joined.where("not _many").unionByName(merged).drop("_many")
     return g.select(*out)
 
 

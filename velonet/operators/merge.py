@@ -2,40 +2,58 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velonet.functions import geometry as G
 from velonet.operators.graph import least_reachable
+from velonet.operators.noding import node_lines
 from velonet.operators.scratch import written
 
 
-def _chain(part: pd.DataFrame) -> pd.DataFrame:
-    """One row for the members (place, line, s_joint, e_joint) of a chain. Each joint is shared by two ends."""
-    part = part.sort_values("place")
-    lines = [[(v["x"], v["y"]) for v in line] for line in part["line"]]
-    joint = list(zip(part["s_joint"], part["e_joint"], strict=True))
-    at = defaultdict(list)
-    for i, (line, ends) in enumerate(zip(lines, joint, strict=True)):
-        for side in (0, 1):
-            if ends[side]:
-                at[line[-side]].append((i, side))
-    free = [(i, side) for i, ends in enumerate(joint) for side in (0, 1) if not ends[side]]
-    i, side = free[0] if free else (0, 0)  # without a free end it is a ring: from the start of its first member
-    out, forward, first_kept = [], 0, True
-    for _ in lines:
-        own = lines[i] if side == 0 else lines[i][::-1]
-        forward += 1 if side == 0 else -1
-        first_kept = side == 0 if i == 0 else first_kept
-        out += own[1:] if out else own
-        if joint[i][1 - side]:
-            (i, side) = next(e for e in at[own[-1]] if e != (i, 1 - side))
-    if forward < 0 or (forward == 0 and not first_kept):
-        out.reverse()
-    return pd.DataFrame({"place": [int(part["place"].iloc[0])], "line": [[{"x": x, "y": y} for x, y in out]]})
+def _positions(t: pa.Table) -> pa.RecordBatch:
+    """Where each member lies in its chain, and whether it is turned. Rows of whole chains (component, place and the ends' partners),
+    sorted by component and place."""
+    component, place = t["component"].to_numpy(), t["place"].to_numpy()
+    by = np.argsort(place)
+    to, side = [], []
+    for end in ("s", "e"):
+        other = pc.fill_null(t[f"{end}_place"], -1).to_numpy()
+        row = by[np.searchsorted(place[by], np.maximum(other, place[by[0]]))]
+        to.append(np.where(other < 0, -1, row).tolist())
+        side.append(pc.fill_null(t[f"{end}_side"], 0).to_numpy().tolist())
+    position, turned = np.zeros(len(place), np.int32), np.zeros(len(place), bool)
+    first = np.flatnonzero(np.r_[True, component[1:] != component[:-1]])
+    for s, e in zip(first.tolist(), [*first[1:].tolist(), len(place)], strict=True):
+        # without a free end it is a ring: from the start of its first member
+        i, at = next(((r, k) for r in range(s, e) for k in (0, 1) if to[k][r] < 0), (s, 0))
+        for n in range(e - s):
+            position[i], turned[i] = n, at == 1
+            i, at = to[1 - at][i], side[1 - at][i]
+        back = int(turned[s:e].sum())
+        if 2 * back > e - s or (2 * back == e - s and turned[s]):
+            position[s:e], turned[s:e] = e - s - 1 - position[s:e], ~turned[s:e]
+    return pa.RecordBatch.from_arrays([pa.array(component), pa.array(place), pa.array(position), pa.array(turned)], names=["component", "place", "position", "turned"])
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_positions() of all chains that are whole in what has come so far."""
+    rest: pa.Table | None = None
+    for b in batches:
+        t = pa.Table.from_batches([b]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([b])]).combine_chunks()
+        if t.num_rows:
+            c = t["component"].to_numpy()
+            cut = int(np.searchsorted(c, c[-1]))
+            if cut:
+                yield _positions(t.slice(0, cut).combine_chunks())
+            rest = t.slice(cut)
+    if rest is not None:
+        yield _positions(rest.combine_chunks())
 
 
 def chains(lines: DataFrame, key: str, by: tuple[str, ...] = (), geom: str = "geom") -> DataFrame:
@@ -43,7 +61,8 @@ def chains(lines: DataFrame, key: str, by: tuple[str, ...] = (), geom: str = "ge
 
     A chain has the key and part of its least member. It runs as most of its members do, as the least one if they are even; a ring
     begins at its least member's start. Parts without two vertices are left out. Ends meet if their coordinates are equal; lines
-    that cross elsewhere don't meet. A chain becomes one row, so its members, the lines between two junctions, are one group.
+    that cross elsewhere don't meet: see node_lines(). Members are put in order by their ends' partners alone, many chains a batch;
+    lines join them afterwards. A chain becomes one row, so its members, the lines between two junctions, are one group.
     """
     g = F.struct(*by) if by else F.lit(0)
     rows = lines.select(g.alias("g"), F.col(key).alias("k"), F.posexplode(geom).alias("part", "line")).where(F.size("line") > 1)
@@ -53,18 +72,25 @@ def chains(lines: DataFrame, key: str, by: tuple[str, ...] = (), geom: str = "ge
     ends = numbered.select(F.col("p.g").alias("g"), F.explode(F.array(end(0, F.get("line", 0)), end(1, F.element_at("line", -1)))).alias("e"))
     met = ends.groupBy("g", "e.x", "e.y").agg(F.count("*").alias("n"), F.min(F.struct("e.place", "e.side")).alias("lo"), F.max(F.struct("e.place", "e.side")).alias("hi"))
     joints = written(met.where("n = 2 and lo.place <> hi.place").select("lo", "hi"), "joints")
-    flags = joints.select(F.explode(F.array("lo", "hi")).alias("e")).groupBy("e.place").agg(F.bool_or(F.col("e.side") == 0).alias("s_joint"), F.bool_or(F.col("e.side") == 1).alias("e_joint"))
+    both = joints.select(F.col("lo").alias("own"), F.col("hi").alias("other")).unionByName(joints.select(F.col("hi").alias("own"), F.col("lo").alias("other")))
+    of = lambda side, c, name: F.max(F.when(F.col("own.side") == side, F.col(f"other.{c}"))).alias(name)
+    partners = both.groupBy(F.col("own.place").alias("place")).agg(*[of(k, c, f"{e}_{c}") for k, e in enumerate("se") for c in ("place", "side")])
     found = least_reachable(joints.select(F.col("hi.place").alias("a"), F.col("lo.place").alias("b"))).withColumnRenamed("id", "place")
-    members = numbered.join(flags, "place").join(found, "place", "left").select("place", "line", "s_joint", "e_joint", F.coalesce("component", "place").alias("component"))
-    joined = members.groupBy("component").applyInPandas(_chain, "place long, line array<struct<x:double,y:double>>")
-    alone = numbered.join(flags, "place", "left_anti").select("place", "line")
-    own = [F.col(f"p.g.{c}").alias(c) for c in by]
-    return alone.unionByName(joined).join(numbered.select("place", "p"), "place").select(*own, F.col("p.k").alias(key), F.col("p.part").alias("part"), "line")
+    members = partners.join(found, "place", "left").withColumn("component", F.coalesce("component", "place"))
+    ordered = written(members.repartition("component").sortWithinPartitions("component", "place").mapInArrow(_walk, "component long, place long, position int, turned boolean"), "order")
+    own = numbered.join(ordered, "place").select("component", F.struct("position", F.when(F.col("turned"), F.reverse("line")).otherwise(F.col("line")).alias("line")).alias("m"))
+    whole = F.transform(F.array_sort("members"), lambda m, i: F.when(i == 0, m["line"]).otherwise(F.slice(m["line"], 2, F.size(m["line"]))))
+    joined = own.groupBy(F.col("component").alias("place")).agg(F.collect_list("m").alias("members")).select("place", F.flatten(whole).alias("line"))
+    alone = numbered.join(ordered, "place", "left_anti").select("place", "line")
+    names = [F.col(f"p.g.{c}").alias(c) for c in by]
+    return alone.unionByName(joined).join(numbered.select("place", "p"), "place").select(*names, F.col("p.k").alias(key), F.col("p.part").alias("part"), "line")
 
 
-def merge_network(network: DataFrame, key: str = "id") -> DataFrame:
-    """(key, geom): the network's lines as chains between junctions. Several parts of one line may stay apart under its key."""
-    parts = chains(network, key).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("part", "line"))).alias("parts"))
+def merge_network(network: DataFrame, key: str = "id", noded: bool = True) -> DataFrame:
+    """(key, geom): the network's lines as chains between junctions. Several parts of one line may stay apart under its key.
+
+    noded: lines are cut first where they cross or touch, and what lies twice stays once."""
+    parts = chains(node_lines(network, key) if noded else network, key).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("part", "line"))).alias("parts"))
     return parts.select(key, F.transform("parts", lambda p: p["line"]).cast(G.GEOM).alias("geom"))
 
 
@@ -72,3 +98,28 @@ def merge_groups(lines: DataFrame, key: str, by: tuple[str, ...]) -> DataFrame:
     """(*by, geom): the merged lines of each group, a part for each chain, in the order of their least members."""
     parts = chains(lines, key, by).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(key, "part", "line"))).alias("parts"))
     return parts.select(*by, F.transform("parts", lambda p: p["line"]).cast(G.GEOM).alias("geom"))
+
+
+def _place(p: Column) -> Column:
+    return F.xxhash64(p["x"] + 0.0, p["y"] + 0.0)
+
+
+def merge_parts(rows: DataFrame, ids: Sequence[str], geom: str = "geom", pieces: bool = False) -> DataFrame:
+    """rows with the parts of each geometry joined wherever exactly two ends meet. ids name a row; rows should be written, since
+    they are read more than once.
+
+    Parts are lines with two ends; or else (pieces) runs of straight pieces, which have an end at each vertex: a run then is cut
+    where it meets itself or another's end. Geometries of one part that doesn't meet itself are merged already."""
+    g = F.col(geom)
+    within = F.flatten(F.transform(g, lambda p: F.transform(F.slice(p, 2, F.greatest(F.size(p) - 2, F.lit(0))), _place)))
+    ends = F.flatten(F.transform(g, lambda p: F.array(_place(F.get(p, 0)), _place(F.try_element_at(p, F.lit(-1))))))
+    touch = (F.size(F.array_distinct(within)) < F.size(within)) | F.arrays_overlap(within, ends) if pieces else F.lit(False)
+    marked = rows.withColumn("_touch", F.coalesce(touch, F.lit(False))).withColumn("_open", F.coalesce((F.size(geom) > 1) | F.col("_touch"), F.lit(False)))
+    open_ = marked.where("_open")
+    if open_.isEmpty():
+        return rows
+    single = F.transform(G.pieces(g), lambda q: F.array(G.point(q["ax"], q["ay"]), G.point(q["bx"], q["by"])))
+    lines = open_.select(*ids, F.lit(0).alias("_line"), F.when(F.col("_touch"), single).otherwise(g).cast(G.GEOM).alias(geom))
+    merged = merge_groups(lines, "_line", tuple(ids)).withColumnRenamed(geom, "_merged")
+    done = open_.join(merged, list(ids)).withColumn(geom, F.col("_merged"))
+    return marked.where("not _open").select(*rows.columns).unionByName(done.select(*rows.columns))

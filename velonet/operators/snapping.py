@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from velonet.functions import geometry as G
 from velonet.functions.text import has_traffic_sign, merge_key, opt, whole
 from velonet.operators import near
+from velonet.operators.merge import merge_parts
 from velonet.operators.near import cut_lines
 from velonet.operators.scratch import written
 from velonet.operators.sets import number_rows
@@ -125,20 +126,27 @@ def attributed(chosen: DataFrame, ways: DataFrame, network: DataFrame, way_key:
 
 
 def merge_segments(rows: DataFrame, order: list[str], edge: str = "element_nr", attributes: tuple[str, ...] = MERGE_ATTRIBUTES) -> DataFrame:
-    """One row for all segments of an edge with equal attributes, apart or not: the first row's columns, the joined geometry
+    """One row for all segments of an edge with equal attributes, apart or not: the first row's columns, the merged geometry
     and its length. Numbers count as equal to one decimal, texts without outer blanks, nulls with nulls; edges need a number."""
-    kinds = dict(rows.dtypes)
-    keys = [merge_key(F.col(f"`{c}`"), kinds[c]).alias(f"_k_{c}") for c in attributes if c in kinds]
-    keep = [c for c in rows.columns if c not in ("ax", "ay", "bx", "by", "geom", "Länge")]
-    d = rows.where(F.col(edge).isNotNull()).withColumns({f"_k_{c}": k for c, k in zip([c for c in attributes if c in kinds], keys, strict=True)})
-    at = F.struct(*order)
-    g = d.groupBy(edge, *[f"_k_{c}" for c in attributes if c in kinds]).agg(
-        F.min_by(F.struct(*[F.col(f"`{c}`") for c in keep if c != edge]), at).alias("_first"),
-        F.min(at).alias("_at"),
-        F.array_sort(F.collect_list(F.struct(at.alias("at"), "ax", "ay", "bx", "by"))).alias("_pieces"),
+    at = F.struct(*order).alias("at")
+    return merge_runs(rows.withColumns({"at": at, "pieces": F.array(F.struct(at, "ax", "ay", "bx", "by"))}).drop("ax", "ay", "bx", "by"), edge, attributes)
+
+
+def merge_runs(runs: DataFrame, edge: str = "element_nr", attributes: tuple[str, ...] = MERGE_ATTRIBUTES) -> DataFrame:
+    """As merge_segments(), of rows that hold several pieces already: at (the first one's place) and pieces (at, ax, ay, bx, by)."""
+    kinds = dict(runs.dtypes)
+    own = [c for c in attributes if c in kinds]
+    keep = [c for c in runs.columns if c not in (edge, "at", "pieces", "geom", "Länge")]
+    d = runs.where(F.col(edge).isNotNull()).withColumns({f"_k_{c}": merge_key(F.col(f"`{c}`"), kinds[c]) for c in own})
+    g = d.groupBy(edge, *[f"_k_{c}" for c in own]).agg(
+        F.min_by(F.struct(*[F.col(f"`{c}`") for c in keep]), F.col("at")).alias("_first"),
+        F.min("at").alias("_at"),
+        F.array_sort(F.flatten(F.collect_list("pieces"))).alias("_pieces"),
     )
-    g = g.withColumn("geom", G.join_pieces(F.transform("_pieces", lambda q: F.struct(q["ax"].alias("ax"), q["ay"].alias("ay"), q["bx"].alias("bx"), q["by"].alias("by")))))
-    return g.select(edge, "_first.*", "_at", "geom", whole(G.length(F.col("geom"))).alias("Länge"))
+    g = g.select(edge, "_first.*", "_at", G.join_pieces(F.col("_pieces")).alias("geom"))
+    # written: the merge reads the rows more than once
+    g = written(g.withColumn("Länge", whole(G.length(F.col("geom")))), "merged")
+    return merge_parts(g, [edge, "_at"], pieces=True)
 
 
 def finish(merged: DataFrame) -> DataFrame:
@@ -158,9 +166,12 @@ def snap(network: DataFrame, ways: DataFrame, edge_key: str = "seq", way_key: st
     o = opts or SnapOptions()
     # written: the candidates and the rows both read them
     seg = written(segmentize(network, edge_key, o.step).withColumn("_seg", F.struct(edge_key, "part", "piece")), "segments")
-    rows = attributed(variants(seg, best_ways(seg, ways, "_seg", way_key, o), "_seg", way_key), ways, network, way_key, edge_key)
-    merged = merge_segments(rows.drop("bearing", "case"), [edge_key, "part", "piece", "ri"])
-    return finish(merged.drop("_seg", "part", "piece", edge_key))
+    chosen = variants(seg, best_ways(seg, ways, "_seg", way_key, o), "_seg", way_key)
+    # attributes belong to ways: the segments of an edge that one way has are one row before any is joined
+    at = F.struct(edge_key, "part", "piece", "ri").alias("at")
+    runs = chosen.groupBy(edge_key, "ri", way_key, "case").agg(F.min(at).alias("at"), F.collect_list(F.struct(at, "ax", "ay", "bx", "by")).alias("pieces"))
+    merged = merge_runs(attributed(runs, ways, network, way_key, edge_key).drop("case"))
+    return finish(merged.drop(edge_key))
 
 
 def attribute_stats(merged: DataFrame, columns: tuple[str, ...]) -> DataFrame:

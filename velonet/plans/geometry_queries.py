@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from velonet.functions import geometry as G
 from velonet.operators import districts as D
-from velonet.operators import graph, matching, merge, near, snapping
+from velonet.operators import graph, matching, merge, near, noding, snapping
 from velonet.operators.translate import MIXED, ONE_WAY
 from velonet.plans.bindings import DISTRICTS, POINTS, POLYLINES, WAYS, customers, districts, network, other_ways, polylines, read, suppliers, ways
 from velonet.plans.registry import query
@@ -388,11 +388,11 @@ def node_ids_from_endpoints(spark, sf_dir):
     return graph.node_ids(customers(spark, sf_dir), w, "id", "id").withColumnRenamed("node_id", "node_id")
 
 
-def _grid(spark, sf_dir):
-    """Unit steps of a sparse grid, to the east or the north."""
+def _grid(spark, sf_dir, steps=1):
+    """Steps of a sparse grid, to the east or the north."""
     lines = read(spark, sf_dir, "part").selectExpr("p_partkey id", "p_partkey % 40 x", "p_partkey div 40 y", "p_size s")
     step = F.when(F.col("s") % 2 == 0, F.struct(F.lit(1).alias("x"), F.lit(0).alias("y"))).otherwise(F.struct(F.lit(0).alias("x"), F.lit(1).alias("y")))
-    return lines.withColumn("d", step).select("id", G.line(G.point(F.col("x") * 10, F.col("y") * 10), G.point((F.col("x") + F.col("d.x")) * 10, (F.col("y") + F.col("d.y")) * 10)).alias("geom"))
+    return lines.withColumn("d", step).select("id", G.line(G.point(F.col("x") * 10, F.col("y") * 10), G.point((F.col("x") + F.col("d.x") * steps) * 10, (F.col("y") + F.col("d.y") * steps) * 10)).alias("geom"))
 
 
 @query()
@@ -410,10 +410,40 @@ _JOINTS = "en as (select id, ax x, ay y from st union all select id, bx, by_ fro
 @query(f"with recursive {_STEPS}, {_JOINTS}, re(id, c) as (select id, id from st union select b, c from re join bo on id = a), ch as (select id, min(c) c from re group by 1), jn as (select c, count(*) joints from jo join ch on a = id group by 1) select ch.c id, 2 * count(*) - coalesce(any_value(joints), 0) vertices, cast(10 * count(*) as double) length from ch left join jn using (c) group by 1")
 def network_chains(spark, sf_dir):
     """The network merged where two ends meet: vertices and length of each chain."""
-    c = merge.merge_network(_grid(spark, sf_dir))
+    c = merge.merge_network(_grid(spark, sf_dir), noded=False)
     return c.select("id", F.size(F.get("geom", 0)).cast("bigint").alias("vertices"), G.length(F.col("geom")).alias("length"))
 
 
+_CUTS = """pr as (select a.id i, b.id j, a.ax, a.ay, a.bx, a.by_, b.ax cx, b.ay cy, b.bx dx, b.by_ dy from net a join net b on a.id < b.id and least(a.ax, a.bx) <= greatest(b.ax, b.bx) and least(b.ax, b.bx) <= greatest(a.ax, a.bx) and least(a.ay, a.by_) <= greatest(b.ay, b.by_) and least(b.ay, b.by_) <= greatest(a.ay, a.by_)),
+sd as (select *, (dx - cx) * (ay - cy) - (dy - cy) * (ax - cx) sa, (dx - cx) * (by_ - cy) - (dy - cy) * (bx - cx) sb, (bx - ax) * (cy - ay) - (by_ - ay) * (cx - ax) sc, (bx - ax) * (dy - ay) - (by_ - ay) * (dx - ax) sd from pr),
+x0 as (select *, round(ax + (bx - ax) * sa / (sa - sb), 6) x, round(ay + (by_ - ay) * sa / (sa - sb), 6) y from sd where sa * sb < 0 and sc * sd < 0),
+ct as (select i id, x, y from x0 union select j, x, y from x0 union select j, ax, ay from sd where sa = 0 and (ax - cx) * (ax - dx) + (ay - cy) * (ay - dy) < 0 union select j, bx, by_ from sd where sb = 0 and (bx - cx) * (bx - dx) + (by_ - cy) * (by_ - dy) < 0
+ union select i, cx, cy from sd where sc = 0 and (cx - ax) * (cx - bx) + (cy - ay) * (cy - by_) < 0 union select i, dx, dy from sd where sd = 0 and (dx - ax) * (dx - bx) + (dy - ay) * (dy - by_) < 0),
+st as (select id, ax x, ay y from net union select id, bx, by_ from net union select id, x, y from ct),
+sp_ as (select id, row(x, y) a, lead(row(x, y)) over (partition by id order by (x - ax) * (bx - ax) + (y - ay) * (by_ - ay)) b from st join net using (id)),
+nd as (select min(id) id, least(a, b) lo, greatest(a, b) hi from sp_ where b is not null group by 2, 3)"""
+
+
+@query(f"with {WAYS}, {_CUTS} select id, count(*) pieces, round(sum(sqrt(pow(lo[1] - hi[1], 2) + pow(lo[2] - hi[2], 2))), 3) length from nd group by 1")
+def network_noded(spark, sf_dir):
+    """The network cut where its lines cross or touch; what lies twice belongs to the least line."""
+    p = noding.noded_pieces(network(spark, sf_dir), "id")
+    return p.groupBy("id").agg(F.count("*").alias("pieces"), F.round(F.sum(G.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))), 3).alias("length"))
+
+
+_LONG_STEPS = "net as (select p_partkey id, p_partkey % 40 * 10.0::double ax, p_partkey // 40 * 10.0::double ay, p_partkey % 40 * 10 + if(p_size % 2 = 0, 30.0::double, 0) bx, p_partkey // 40 * 10 + if(p_size % 2 = 0, 0, 30.0::double) by_ from part)"
+
+
+@query(
+    f"with recursive {_LONG_STEPS}, {_CUTS}, pc as (select row_number() over (order by lo, hi) p, * from nd), en as (select p, lo v from pc union all select p, hi from pc), jo as (select min(p) a, max(p) b from en group by v having count(*) = 2), bo as (select a, b from jo union select b, a from jo), "
+    "re(p, c) as (select p, p from pc union select b, c from re join bo on p = a), ch as (select p, min(c) c from re group by 1), ln as (select c, count(*) pieces, sum(sqrt(pow(lo[1] - hi[1], 2) + pow(lo[2] - hi[2], 2))) l from ch join pc using (p) group by 1) select pieces, count(*) chains, round(sum(l), 2) length from ln group by 1"
+)
+def network_noded_chains(spark, sf_dir):
+    """Steps of three units, which cross, touch and lie on each other: their chains between junctions, by their number of pieces."""
+    g = merge.merge_network(_grid(spark, sf_dir, 3)).select(F.explode("geom").alias("line")).select((F.size("line") - 1).cast("bigint").alias("pieces"), G.length(F.array("line")).alias("l"))
+    return g.groupBy("pieces").agg(F.count("*").alias("chains"), F.round(F.sum("l"), 2).alias("length"))
+
+
 @query("select count(*) segments, count(*) filter (b is not null and e is not null) \"both\", count(*) filter ((b is null) <> (e is null)) one, count(*) filter (b is null and e is null) \"none\" from (select case when o_orderkey % 3 > 0 then o_orderkey end b, case when o_custkey % 4 > 0 then o_custkey end e from orders)")
 def node_coverage(spark, sf_dir):
     return graph.node_coverage(read(spark, sf_dir, "orders").selectExpr("if(o_orderkey % 3 > 0, o_orderkey, null) b", "if(o_custkey % 4 > 0, o_custkey, null) e"), "b", "e")
