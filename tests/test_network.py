@@ -1,6 +1,7 @@
 """Snapping, edge aggregation, graphs, sources and the town from end to end."""
 
 import json
+import math
 import random
 from collections import defaultdict, deque
 
@@ -98,47 +99,111 @@ def test_components_and_clusters(spark):
     assert {x.cluster: (x.n, x.x) for x in graph.centroids(pts, c, "id").collect()} == {1: (3, 30.0), 4: (1, 200.0)}
 
 
+def plain_walk(lines, at, own, start, closed=(), limit=50):
+    """(segments, node) by the rule, without a queue: every place's ring and way come from relaxation over the open segments, then all
+    meetings are listed in the order of rings and ways, and the first that leads to a node ends the list."""
+    beside = defaultdict(dict)  # place -> the place beyond -> (order, segment): the first of parallel segments orders, the last is walked
+    for k in sorted(lines):
+        for p, q in (lines[k], lines[k][::-1]):
+            beside[p][q] = (beside[p].get(q, (k, k))[0], k)
+    open_ = {p: sorted((order, k, q) for q, (order, k) in to.items() if k != own and k not in closed) for p, to in beside.items()}
+    way = {start: ()}  # orders of the segments to a place; shorter ways first, then by order
+    changed = True
+    while changed:
+        changed = False
+        for p in list(way):
+            for order, _, q in open_.get(p, []):
+                new = (*way[p], order)
+                if q not in at and len(new) < limit and (q not in way or (len(new), new) < (len(way[q]), way[q])):
+                    way[q], changed = new, True
+    segments = []
+    for p in sorted(way, key=lambda p: (len(way[p]), way[p])):
+        if len(segments) >= limit:
+            break
+        for _, k, q in open_.get(p, []):
+            if q in at:
+                return segments, at[q]
+            if k not in segments:
+                segments.append(k)
+    return segments, None
+
+
 def plain_numbers(lines, nodes, limit=50):
-    """A plain sequential walk."""
+    """Segments in order; each takes what its two walks took."""
     at = {(x, y): n for n, x, y in nodes}
-    adj = defaultdict(dict)
-    for k, (s, e) in lines.items():
-        adj[s][e] = adj[e][s] = k
     done, lost = {}, 0
     for k in sorted(lines):
         if k in done:
             continue
-        group, found = [k], []
-        for p in lines[k]:
-            node = at.get(p)
-            if node is None:
-                taken, been, queue = [], set(), deque([(p, 0)])
-                while queue and len(taken) < limit and node is None:
-                    q, d = queue.popleft()
-                    if q in been or d >= limit:
-                        continue
-                    been.add(q)
-                    for o, j in adj[q].items():
-                        if j == k or j in done:
-                            continue
-                        if o in at:
-                            node = at[o]
-                            break
-                        if j not in taken:
-                            taken.append(j)
-                            queue.append((o, d + 1))
-                group += taken
-            found.append(node)
-        b, e = found
-        if b is None and e is None:
-            lost += 1
-            nr = f"UNKNOWN_UNKNOWN_{lost:03d}.01"
-        else:
-            nr = f"{b or 'UNKNOWN'}_{e or 'UNKNOWN'}.01"
-        done |= dict.fromkeys(group, (b, e, nr))
+        walks = [([], at[p]) if p in at else plain_walk(lines, at, k, p, done, limit) for p in lines[k]]
+        b, e = walks[0][1], walks[1][1]
+        lost += b is None and e is None
+        nr = f"{b or 'UNKNOWN'}_{e or 'UNKNOWN'}.01" if b or e else f"UNKNOWN_UNKNOWN_{lost:03d}.01"
+        done |= dict.fromkeys([k, *walks[0][0], *walks[1][0]], (b, e, nr))
     return done
 
 
+def test_walks_by_hand(spark):
+    """A street of four segments to a node; a fork whose nearer node comes second; a ring; a closed segment; parallel segments."""
+    rows = [(1, "a", "b"), (2, "b", "c"), (3, "c", "d"), (4, "d", "N"), (10, "f", "g"), (11, "g", "h"), (12, "h", "M"), (13, "g", "O"), (20, "r", "s"), (21, "s", "t"), (22, "t", "r"), (30, "u", "v"), (31, "v", "u"), (32, "v", "w")]
+    edges = spark.createDataFrame(rows, "segment long, src string, dst string")
+    stops = spark.createDataFrame([("N", "n"), ("M", "m"), ("O", "o")], "at string, node string")
+    starts = spark.createDataFrame([("street", "b", 1), ("fork", "f", None), ("ring", "s", 20), ("end", "a", 1), ("pair", "u", None), ("nowhere", "x", None)], "start string, at string, own long")
+    got = {r.start: (r.segments, r.node) for r in graph.explore(edges, starts, stops).collect()}
+    assert got == {"street": ([2, 3], "n"), "fork": ([10, 11], "o"), "ring": ([21, 22], None), "end": ([], None), "pair": ([31, 32], None), "nowhere": ([], None)}
+    cut = {r.start: (r.segments, r.node) for r in graph.explore(edges, starts, stops, 2, edges.where("segment = 13")).collect()}
+    assert cut["fork"] == ([10, 11], None) and cut["street"] == ([2, 3], None)
+    assert graph.explore(edges, starts.limit(0), stops).count() == 0
+
+
+@pytest.mark.parametrize("limit", [50, 4])
+def test_walks_as_plain(spark, limit):
+    r = random.Random(limit)
+    lines = {k: tuple(sorted({(r.randrange(6), r.randrange(6)), (r.randrange(6), r.randrange(6))} | {(0, k)})[:2]) for k in range(70)}
+    at = {(r.randrange(6), r.randrange(6)): f"n{k}" for k in range(4)}
+    name = lambda p: f"{p[0]},{p[1]}"
+    edges = spark.createDataFrame([(k, name(a), name(b)) for k, (a, b) in lines.items()], "segment long, src string, dst string")
+    starts = [(f"{k}{e}", name(lines[k][e]), k) for k in lines for e in (0, 1)]
+    closed = [3, 14, 15]
+    found = graph.explore(edges, spark.createDataFrame(starts, "start string, at string, own long"), spark.createDataFrame([(name(p), n) for p, n in at.items()], "at string, node string"), limit, spark.createDataFrame([(k,) for k in closed], "segment long"))
+    want = {f"{k}{e}": plain_walk(lines, at, k, lines[k][e], closed, limit) for k in lines for e in (0, 1)}
+    assert {x.start: (x.segments, x.node) for x in found.collect()} == want and any(len(v[0]) > 3 for v in want.values())
+
+
+def test_registered_walk_as_plain(spark):
+    from velonet.plans.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    step = {0: (10, 0), 1: (0, 10)}
+    rows = [(p.p_partkey, p.p_partkey % 40 * 10, p.p_partkey // 40 * 10, step[p.p_size % 2]) for p in spark.read.parquet(f"{sf}/part.parquet").collect()]
+    lines = {k: ((x, y), (x + d[0], y + d[1])) for k, x, y, d in rows}
+    at = {}
+    for n in sorted(r.s_suppkey for r in spark.read.parquet(f"{sf}/supplier.parquet").collect()):
+        at.setdefault((n * 7 % 41 * 10, n * 11 % 51 * 10), n)
+    got = {r.start: (r.segments, r.node) for r in QUERIES["explore_from_open_ends"](spark, sf).collect()}
+    want = {f"{k}:{e}": plain_walk(lines, at, k, p) for k, ends in lines.items() for e, p in zip("se", ends, strict=True) if p not in at}
+    assert got == {k: (",".join(map(str, s)), n) for k, (s, n) in want.items()} and any(n for _, n in want.values())
+
+
+def test_clusters_by_cells(spark):
+    """Against all pairs; very many points at one place and in one cell give no pairs."""
+    r = random.Random(4)
+    pts = [(k, r.uniform(-90, 90), r.uniform(-90, 90)) for k in range(300)] + [(500 + k, 3.0 * k, 200.0) for k in range(40)] + [(700, 0.0, 203.0), (701, None, 1.0), (702, 1.0, None), (703, 300.0, 300.0), (704, 309.0, 300.0)]
+    df = spark.createDataFrame(pts, "id long, x double, y double")
+    for d in (3.0, 9.0, 14.0):
+        least = {k: k for k, _, _ in pts}
+        changed = True
+        near = [(a[0], b[0]) for a in pts for b in pts if None not in (*a, *b) and math.hypot(a[1] - b[1], a[2] - b[2]) <= d]
+        while changed:
+            changed = False
+            for a, b in near:
+                if least[b] < least[a]:
+                    least[a], changed = least[b], True
+        assert {x.id: x.cluster for x in graph.clusters(df, d, "id").collect()} == least
+    many = spark.range(300000).selectExpr("id", "cast(if(id % 3 = 0, 5.0, id % 1000 / 1000.0) as double) x", "0.5d y")
+    assert graph.clusters(many, 20.0, "id").select("cluster").distinct().count() == 1
+
+
 def test_element_numbers(spark):
     r = random.Random(9)
     lines = {}
