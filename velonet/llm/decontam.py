@@ -158,13 +158,13 @@ def _covered(ranges: list[tuple[int, int]]) -> int:
 
 
 def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str | None, bytes]]]:
-    """The test set in parts of about block_bytes, dealt out by a hash of the text; each is brought to the driver by itself, when it
-    is asked for."""
-    b = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("binary").alias("text")).where("text is not null")
+    """The test set in parts of about block_bytes, dealt out by a hash of text and item, so that a text of very many items is dealt
+    out too; repeated rows are one. Each part is brought to the driver by itself, when it is asked for."""
+    b = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("binary").alias("text")).where("text is not null").distinct()
     total = b.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     n = -(-total // block_bytes)
     for k in range(n):
-        yield [(r.item, bytes(r.text)) for r in b.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k).toLocalIterator()]
+        yield [(r.item, bytes(r.text)) for r in b.where(F.pmod(F.xxhash64("text", "item"), F.lit(n)) == k).toLocalIterator()]
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velonet.llm.common import NO_ID, shuffle_partitions, text_bytes
+from velonet.operators.scratch import written
 
 WINDOW, PERIOD = 13, 7
 #: Each remainder by PERIOD is a difference of two of these.
@@ -170,7 +171,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, period: int = PERIOD,
     n = max(shuffle_partitions(docs.sparkSession), -(-size // chunk_bytes))
     parts, key = min(n, PARTS), secrets.token_bytes(16)
     d = d.select(F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(n)).cast("int").alias("chunk"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
-    d = d.select((F.col("chunk") % parts).alias("part"), "*").repartitionById(parts, "part")
+    # written: equal rows are dealt out by the partition that they are read in, and every later step must meet the same chunks,
+    # also where a lost executor's tasks run again behind a source whose partitions aren't fixed
+    d = written(d.select((F.col("chunk") % parts).alias("part"), "*"), "chunks").repartitionById(parts, "part")
 
     def load(t: pa.Table) -> tuple[int, np.ndarray, Words]:
         return t["chunk"][0].as_py(), t["doc_id"].to_numpy(), Words(t["text"].to_pylist(), key)

@@ -1,8 +1,8 @@
 """URL filters: a trie over reversed host labels, then path segments; the longest matching rule decides.
 
 The longest is the one with the most characters, host and path together; of two as long, the one with more of the host, and of
-equal rules the last given. Rules go to the tasks as tries of about RULE_BYTES each. Several of these follow each other over the
-rows where they are, each carrying the best rule so far, so any number of rules gives the same results and no row moves.
+equal rules the last given. Rules go to the tasks as tries of about RULE_BYTES each, one a pass: each carries the best rule so far, and
+its rows are written before the next, so any number of rules gives the same results, a worker holds one trie, and no row is shuffled.
 
 Defined cases: a null url, or one without `://`, has an empty host and path and matches no rule; so does a url without a
 path, as every rule's path begins with `/`. What no rule matches gets the default verdict. Repeated rows give a row each;
@@ -19,9 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velonet.operators.scratch import discard, written
+
 #: (verdict, host and path prefix)
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
-#: Bytes of rules in a trie. A worker that runs several tries one after the other holds them all, each about ten times as large.
+#: Bytes of rules in a trie, which is about ten times as large in a worker.
 RULE_BYTES = 8 << 20
 
 
@@ -100,7 +102,8 @@ def split_url(url: str | None) -> tuple[str, str]:
 
 
 def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES, default: str = "allow", id_col: str = "page_id", url_col: str = "url", rule_bytes: int = RULE_BYTES) -> DataFrame:
-    """Per row: page_id, host, path, rule (or null), verdict. Only id and url are read; nothing is shuffled."""
+    """Per row: page_id, host, path, rule (or null), verdict. Only id and url are read; nothing is shuffled. The default rules, and any
+    others that fit one trie, are a single pass without writing."""
     names = ["page_id", "host", "path", "rule", "verdict"]
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,6 +124,9 @@ def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str]] = RULES, defa
 
     schema = "page_id long, host string, path string, rule string, verdict string"
     out = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url")).mapInArrow(split, schema)
-    for trie in tries(rules, rule_bytes):
+    for k, trie in enumerate(tries(rules, rule_bytes)):
+        # a stage holds the tries of all its passes at once
+        out, before = written(out, "urls") if k else out, out
+        discard(before)
         out = out.mapInArrow(match(pages.sparkSession.sparkContext.broadcast(trie)), schema)
     return out.fillna(default, ["verdict"])
