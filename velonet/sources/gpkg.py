@@ -108,9 +108,8 @@ def decode(blob: bytes | None) -> tuple[str, list[np.ndarray]] | None:
     return KINDS[code], [] if flags & 16 else [p for p in _parts(blob, start)[0] if len(p)]
 
 
-def geometries(blobs: list[bytes | None]) -> tuple[pa.Array, pa.Array]:
-    """Columns kind and geom."""
-    found = [decode(b) for b in blobs]
+def geometry_columns(found: list[tuple[str, list[np.ndarray]] | None]) -> tuple[pa.Array, pa.Array]:
+    """Columns kind and geom of (kind, parts)."""
     parts = [p for f in found if f for p in f[1]]
     xy = np.concatenate(parts).astype("f8") if parts else np.zeros((0, 2))
     vertices = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(xy[:, k])) for k in (0, 1)], names=["x", "y"])
@@ -135,7 +134,7 @@ class GeoPackageReader(DataSourceReader):
     def partitions(self) -> list[Range]:
         with _open(self.path) as db:
             least, most = db.execute(f"SELECT min(rowid), max(rowid) FROM {_quoted(self.layer.table)}").fetchone()
-        return [] if least is None else [Range(k, min(k + self.rows - 1, most)) for k in range(least, most + 1, self.rows)]
+        return [Range(1, 0)] if least is None else [Range(k, min(k + self.rows - 1, most)) for k in range(least, most + 1, self.rows)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         as_kind = {"INTEGER": "CAST({} AS INTEGER)", "REAL": "CAST({} AS REAL)", "BOOLEAN": "{} <> 0", "BLOB": "CAST({} AS BLOB)", "TEXT": "CAST({} AS TEXT)"}
@@ -147,7 +146,7 @@ class GeoPackageReader(DataSourceReader):
             while some := rows.fetchmany(4096):
                 *values, blobs = zip(*some, strict=True)
                 own = [pa.array([None if v is None else bool(v) for v in c] if t == pa.bool_() else c, t) for c, t in zip(values, types, strict=True)]
-                yield pa.RecordBatch.from_arrays([*own, *geometries(list(blobs))], names=names)
+                yield pa.RecordBatch.from_arrays([*own, *geometry_columns([decode(b) for b in blobs])], names=names)
 
 
 class GeoPackage(DataSource):

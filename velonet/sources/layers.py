@@ -1,7 +1,7 @@
-"""Readers and writers: line layers as Parquet, GeoJSON or GeoPackage, id lists, test cases, exports.
+"""Readers and writers: line layers as Parquet, GeoJSON, GeoPackage or FlatGeobuf (read only), id lists, test cases, exports.
 
-FlatGeobuf needs a library that isn't here: convert such files once, outside. The readers here take `path` or `path:layer`, the
-layer being a table of a GeoPackage, else a folder below the path.
+The readers here take `path` or `path:layer`, the layer being a table of a GeoPackage, else a folder below the path; a FlatGeobuf
+file has one layer, whatever its name.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from velonet.functions import geometry as G
 from velonet.operators.sets import common_columns
+from velonet.sources.flatgeobuf import read_fgb
 from velonet.sources.gpkg import read_gpkg
 
 GEOJSON = "type string, id string, geometry struct<type:string,coordinates:string>, properties map<string,string>"
@@ -44,10 +45,10 @@ def split_layer(path: str) -> tuple[str, str | None]:
 
 
 def file_type(path: str) -> str:
-    """'parquet', 'geojson' or 'gpkg' by the ending; others are an error."""
+    """'parquet', 'geojson', 'gpkg' or 'fgb' by the ending; others are an error."""
     end = split_layer(path)[0].rstrip("/").rpartition(".")[2].lower()
-    if end in ("parquet", "gpkg", "geojson", "geojsonl", "json"):
-        return end if end in ("parquet", "gpkg") else "geojson"
+    if end in ("parquet", "gpkg", "fgb", "geojson", "geojsonl", "json"):
+        return end if end in ("parquet", "gpkg", "fgb") else "geojson"
     raise ValueError(f"unknown file type {end!r}: {path}")
 
 
@@ -77,6 +78,8 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
     base, layer = split_layer(path)
     if file_type(path) == "gpkg":
         return read_gpkg(spark, base, layer)
+    if file_type(path) == "fgb":
+        return read_fgb(spark, base)
     full = f"{base}/{layer}" if layer else base
     return spark.read.parquet(full) if file_type(path) == "parquet" else read_geojson(spark, full)
 
