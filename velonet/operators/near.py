@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from velonet.functions import geometry as G
@@ -130,28 +130,32 @@ def nearest_point(points: DataFrame, nodes: DataFrame, r: float, key: str, node_
 
 
 def covered_intervals(target: DataFrame, network: DataFrame, r: float, flat: bool = False) -> DataFrame:
-    """Target pieces (key columns and ends) with `intervals`: where they lie within r of the network, as parameters.
+    """(target's columns, lo, hi): stretches of target pieces within r of the network, as parameters; they may overlap.
 
     Round caps: a piece's buffer is a capsule, so it covers one interval. Flat caps: the rectangle, and a disc at every vertex
     inside a part, cover one each."""
     near = near_pieces(target, network, r)
     t, n = (tuple(F.col(f"{p}_{x}") for x in ("ax", "ay", "bx", "by")) for p in "lr")
     first, last, slab = G.disc_interval(t, n[0], n[1], r), G.disc_interval(t, n[2], n[3], r), G.slab_interval(t, n, r)
+    own = [F.col(f"l_{c}").alias(c) for c in target.columns]
     if flat:
-        each = F.array(slab, F.when(~F.col("r_at_start"), first), F.when(~F.col("r_at_end"), last))
+        found = near.select(*own, F.explode(F.array(slab, F.when(~F.col("r_at_start"), first), F.when(~F.col("r_at_end"), last))).alias("i"))
     else:
-        each = F.array(G.hull(slab, first, last))
-    found = near.select(*[F.col(f"l_{c}").alias(c) for c in target.columns], F.filter(each, lambda i: i.isNotNull()).alias("i"))
-    return found.groupBy(*target.columns).agg(F.flatten(F.collect_list("i")).alias("intervals"))
+        found = near.select(*own, G.hull(slab, first, last).alias("i"))
+    return found.where("i is not null").select(*target.columns, "i.lo", "i.hi")
 
 
 def coverage(target: DataFrame, network: DataFrame, r: float, key: str, flat: bool = False, geom: str = "geom") -> DataFrame:
     """(key, fraction): the share of each target line within r of the network; 0 for empty lines and far ones.
 
-    The network's own keys don't matter: it is one buffer."""
+    The network's own keys don't matter: it is one buffer. Intervals are dealt by line once; in the order of their beginnings, each
+    adds what reaches past all before it on its piece."""
     t = explode_pieces(target, key, geom, 10 * cell_size(r))
     n = explode_pieces(network.select(F.lit(0).alias("_net"), F.col(geom).alias("geom")), "_net", "geom", 10 * cell_size(r)).drop("_net", "part", "piece", "sub")
     long = G.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))
-    part = covered_intervals(t, n, r, flat).groupBy(key).agg(F.sum(G.union_length(F.col("intervals")) * long).alias("covered"))
+    found = covered_intervals(t, n, r, flat).select(key, "part", "piece", "sub", long.alias("long"), "lo", "hi").repartition(key)
+    before = Window.partitionBy(key, "part", "piece", "sub").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
+    past = F.col("hi") - F.greatest("lo", F.max("hi").over(before))
+    part = found.withColumn("more", F.greatest(past, F.lit(0.0)) * F.col("long")).groupBy(key).agg(F.sum("more").alias("covered"))
     total = target.select(key, G.length(F.col(geom)).alias("total"))
     return total.join(part, key, "left").select(key, F.least(F.lit(1.0), F.coalesce(F.col("covered") / F.nullif("total", F.lit(0.0)), F.lit(0.0))).alias("fraction"))
