@@ -12,7 +12,7 @@ from velonet.functions.text import has_traffic_sign, merge_key, opt, whole
 from velonet.operators import near
 from velonet.operators.merge import merge_parts
 from velonet.operators.near import cut_lines
-from velonet.operators.scratch import written
+from velonet.operators.scratch import kept, written
 from velonet.operators.sets import number_rows
 from velonet.operators.translate import MIXED, ONE_WAY
 
@@ -28,13 +28,19 @@ CATEGORY_PRIORITY = {"sharedBusLaneBikeWithBus": 3, "sharedBusLaneBusWithBike":
 # ----------------------------------------------------------------------------------------------------------------------
 
 
+#: Rises with each change of how segments are cut: segments kept by older code aren't read.
+SEGMENTS_VERSION = 1
+
+
 @dataclass(frozen=True)
 class SnapOptions:
-    """Metres. strict_box: a way must also meet the box of the segment's flat-capped buffer, which leaves out ways beyond its ends."""
+    """Metres. strict_box: a way must also meet the box of the segment's flat-capped buffer, which leaves out ways beyond its ends.
+    reuse: a network from files is cut once; later runs over the same files with the same step read its segments again."""
 
     radius: float = 25.0
     step: float = 2.5
     strict_box: bool = True
+    reuse: bool = True
 
 
 def priority(category: Column, sign: Column) -> Column:
@@ -165,7 +171,8 @@ def snap(network: DataFrame, ways: DataFrame, edge_key: str = "seq", way_key: st
         raise ValueError(f"the network lacks {missing}")
     o = opts or SnapOptions()
     # written: the candidates and the rows both read them
-    seg = written(segmentize(network, edge_key, o.step).withColumn("_seg", F.struct(edge_key, "part", "piece")), "segments")
+    cut = segmentize(network, edge_key, o.step).withColumn("_seg", F.struct(edge_key, "part", "piece"))
+    seg = kept(cut, "segments", SEGMENTS_VERSION, edge_key, o.step, inputs=[network.select(edge_key, "geom")]) if o.reuse else written(cut, "segments")
     chosen = variants(seg, best_ways(seg, ways, "_seg", way_key, o), "_seg", way_key)
     # attributes belong to ways: the segments of an edge that one way has are one row before any is joined
     at = F.struct(edge_key, "part", "piece", "ri").alias("at")
