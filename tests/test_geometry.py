@@ -171,6 +171,51 @@ def test_crossing_ways(spark):
     assert got == {1: True, 2: False, 3: False}
 
 
+def test_registered_crossing_ways_as_all_pairs(spark):
+    """orthogonal_removed and orthogonal_complex_kept: every short way against every chord of the network."""
+    from velonet.plans.bindings import network, other_ways
+    from velonet.plans.queries import QUERIES
+
+    sf, o = "/root/testdata/sf0.001", matching.MatchOptions()
+    tup = lambda df: {r.id: [(p.x, p.y) for p in r.geom[0]] for r in df.select("id", "geom").collect()}
+    fold = lambda d: min(abs(d) % 180, 180 - abs(d) % 180)
+    turn = lambda a, b: math.degrees(math.atan2(b[1] - a[1], b[0] - a[0]))
+    chords = []  # (edge, place, from, to); edges are straight here
+    for e, (a, b) in tup(network(spark, sf)).items():
+        n = math.dist(a, b)
+        stops = [min(k * o.short_step, n) / n for k in range(math.ceil(n / o.short_step) + 1)]
+        at = [(a[0] + (b[0] - a[0]) * t, a[1] + (b[1] - a[1]) * t) for t in stops]
+        chords += [(e, k, p, q) for k, (p, q) in enumerate(zip(at, at[1:], strict=False)) if p != q]
+    box = np.array([[min(p[0], q[0]), min(p[1], q[1]), max(p[0], q[0]), max(p[1], q[1])] for _, _, p, q in chords])
+    removed, kept = {}, {}
+    for w, (a, b) in tup(other_ways(spark, sf)).items():
+        if math.dist(a, b) >= o.short:
+            continue
+        r = o.short_buffer
+        near_ = np.flatnonzero((box[:, 0] <= max(a[0], b[0]) + r) & (box[:, 2] >= min(a[0], b[0]) - r) & (box[:, 1] <= max(a[1], b[1]) + r) & (box[:, 3] >= min(a[1], b[1]) - r))
+        close = [chords[i] for i in near_ if piece_piece((*a, *b), (*chords[i][2], *chords[i][3])) <= r]
+        if not close:
+            continue
+        runs = []
+        for c in sorted(close):
+            if runs and runs[-1][-1][0] == c[0] and runs[-1][-1][1] + 1 == c[1]:
+                runs[-1].append(c)
+            else:
+                runs.append([c])
+        longest = max(runs, key=lambda x: (round(sum(math.dist(c[2], c[3]) for c in x), 9), -x[0][0]))
+        own, bearings = turn(a, b), [turn(c[2], c[3]) for c in close]
+        angle, spread = fold(own - turn(longest[0][2], longest[-1][3])), max(bearings) - min(bearings)
+        spread, parallel = min(spread, 360 - spread), min(fold(own - x) for x in bearings)
+        if angle > o.max_angle and not (spread > o.spread and parallel < o.parallel):
+            removed[w] = angle
+        elif angle > 50:
+            kept[w] = (spread, parallel)
+    got = {r.id: r.angle for r in QUERIES["orthogonal_removed"](spark, sf).collect()}
+    assert got.keys() == removed.keys() and got and all(abs(got[k] - removed[k]) < 1e-3 for k in got)
+    also = {r.id: (r.spread, r.parallel) for r in QUERIES["orthogonal_complex_kept"](spark, sf).collect()}
+    assert also.keys() == kept.keys() and all(abs(x - y) < 1e-3 for k in also for x, y in zip(also[k], kept[k], strict=True))
+
+
 def test_thresholds(spark):
     """Shares at the bounds: 70 % inside stays, 69 % doesn't; under 80 % parallel stays."""
     net = spark.createDataFrame([(1, [[(0.0, 0.0), (1000.0, 0.0)]])], SCHEMA)

@@ -62,8 +62,8 @@ def crossing_short_ways(ways: DataFrame, network: DataFrame, key: str, opts: Mat
     """Short ways near the network, with what decides whether they cross it: (key, angle, spread, parallel, removed).
 
     The network is cut into short chords; those within the radius of a way are ordered by edge and place and joined where
-    one ends at the next one's start. The longest such run is what the way is compared with (folded difference of bearings,
-    0 to 90). A way is removed if it differs by more than max_angle, unless the chords turn by more than `spread` and one of
+    one ends at the next one's start. The longest such run (in micrometres; of equal ones that of the least edge) is what the way is
+    compared with (folded difference of bearings, 0 to 90). A way is removed if it differs by more than max_angle, unless the chords turn by more than `spread` and one of
     them runs nearly parallel: a bend."""
     o = opts or MatchOptions()
     net = near.cut_lines(network.select(network_key, "geom").withColumnRenamed(network_key, "edge"), "edge", o.short_step, equal=False).withColumnRenamed("piece", "pos")
@@ -75,7 +75,7 @@ def crossing_short_ways(ways: DataFrame, network: DataFrame, key: str, opts: Mat
     close = close.withColumn("run", run).withColumn("long", G.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))).withColumn("raw", F.degrees(F.atan2(F.col("by") - F.col("ay"), F.col("bx") - F.col("ax"))))
     first, last = F.min_by(F.struct("ax", "ay"), "pos"), F.max_by(F.struct("bx", "by"), "pos")
     runs = close.groupBy(key, "edge", "part", "run").agg(F.sum("long").alias("long"), first.alias("a"), last.alias("b"), F.min("raw").alias("least"), F.max("raw").alias("most"), F.collect_list("raw").alias("raws"))
-    per = runs.groupBy(key).agg(F.max_by(F.struct("a", "b"), F.struct("long", -F.col("edge"), -F.col("part"), -F.col("run"))).alias("m"), F.min("least").alias("least"), F.max("most").alias("most"), F.flatten(F.collect_list("raws")).alias("raws"))
+    per = runs.groupBy(key).agg(F.max_by(F.struct("a", "b"), F.struct(F.round("long", 6), -F.col("edge"), -F.col("part"), -F.col("run"))).alias("m"), F.min("least").alias("least"), F.max("most").alias("most"), F.flatten(F.collect_list("raws")).alias("raws"))
     j = per.join(angle, key)
     main = F.degrees(F.atan2(F.col("m.b.by") - F.col("m.a.ay"), F.col("m.b.bx") - F.col("m.a.ax")))
     turn = F.col("most") - F.col("least")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from velonet.functions import geometry as G
 from velonet.operators import districts as D
-from velonet.operators import graph, matching, merge, near, noding, snapping
+from velonet.operators import edges, graph, matching, merge, near, noding, snapping
 from velonet.operators.translate import MIXED, ONE_WAY
 from velonet.plans.bindings import DISTRICTS, POINTS, POLYLINES, WAYS, customers, districts, network, other_ways, polylines, read, suppliers, ways
 from velonet.plans.registry import query
@@ -279,9 +279,20 @@ def _snapped(spark, sf_dir):
     return snapping.snap(n, other_ways(spark, sf_dir).withColumnRenamed("id", "way_id"), "id")
 
 
-@query(f"with {_ROWS} select cast(net_id as varchar) element_nr, ri, fuehr, verkehrsri, case when fuehr = '{MIXED}' then null else breite end breite, cast(round_even(len, 0) as integer) \"Länge\" from m")
+_PARTS = """q as (select r.net_id, r.ri, r.fuehr, r.verkehrsri, r.breite, r.piece, s.ax, s.ay, s.bx, s.by_, r.piece - lag(r.piece) over (partition by r.net_id, r.ri, r.fuehr, r.verkehrsri, r.breite order by r.piece) step from rows_ r join seg s on r.net_id = s.id and r.piece = s.piece),
+gm as (select net_id, ri, fuehr, verkehrsri, breite, cast(count(*) filter (step is null or step > 1) as integer) parts, cast(count(*) + count(*) filter (step is null or step > 1) as integer) vertices, round(arg_min(ax, piece), 4) sx, round(arg_min(ay, piece), 4) sy, round(arg_max(bx, piece), 4) ex, round(arg_max(by_, piece), 4) ey from q group by 1, 2, 3, 4, 5)"""
+
+
+@query(
+    f"with {_ROWS}, {_PARTS} select cast(net_id as varchar) element_nr, ri, m.fuehr, m.verkehrsri, case when m.fuehr = '{MIXED}' then null else m.breite end breite, cast(round_even(len, 0) as integer) \"Länge\", parts, vertices, sx, sy, ex, ey "
+    "from m join gm using (net_id, ri) where m.fuehr is not distinct from gm.fuehr and m.verkehrsri is not distinct from gm.verkehrsri and m.breite is not distinct from gm.breite"
+)
 def snap_merge_segments(spark, sf_dir):
-    return _snapped(spark, sf_dir).select("element_nr", "ri", "fuehr", "verkehrsri", "breite", "Länge")
+    """With the merged geometry: its parts and vertices, where it begins and ends."""
+    g = F.col("geom")
+    first, last = G.first_point(g), G.last_point(g)
+    shape = [F.size(g).alias("parts"), F.size(F.flatten(g)).alias("vertices"), *[R4(p[v]).alias(f"{c}{v}") for c, p in (("s", first), ("e", last)) for v in "xy"]]
+    return _snapped(spark, sf_dir).select("element_nr", "ri", "fuehr", "verkehrsri", "breite", "Länge", *shape)
 
 
 @query(f"with {_ROWS} select cast(row_number() over (order by net_id, first, ri) as integer) sfid, cast(net_id as varchar) element_nr, ri from m")
@@ -291,13 +302,14 @@ def snap_sfid(spark, sf_dir):
 
 @query()
 def orthogonal_removed(spark, sf_dir):
-    """Short ways that cross the network: angles of the longest run of chords decide. No SQL: tests compare with brute force."""
+    """Short ways that cross the network: angles of the longest run of chords decide. No SQL: a test compares with all pairs."""
     c = matching.crossing_short_ways(other_ways(spark, sf_dir), network(spark, sf_dir), "id")
     return c.where("removed").select("id", R4(F.col("angle")).alias("angle"))
 
 
 @query()
 def orthogonal_complex_kept(spark, sf_dir):
+    """Ways across the longest run that stay, as the network bends beside them; compared with all pairs as well."""
     c = matching.crossing_short_ways(other_ways(spark, sf_dir), network(spark, sf_dir), "id")
     return c.where("not removed and angle > 50").select("id", R4(F.col("spread")).alias("spread"), R4(F.col("parallel")).alias("parallel"))
 
@@ -456,6 +468,18 @@ def network_noded_chains(spark, sf_dir):
     return g.groupBy("pieces").agg(F.count("*").alias("chains"), F.round(F.sum("l"), 2).alias("length"))
 
 
+@query(
+    "with recursive s as (select p_partkey % 23 e, p_partkey % 2 ri, p_partkey q, p_partkey % 40 * 10 ax, p_partkey // 40 * 10 ay, p_partkey % 40 * 10 + if(p_size % 2 = 0, 10, 0) bx, p_partkey // 40 * 10 + if(p_size % 2 = 0, 0, 10) by_ from part), "
+    "en as (select e, ri, q, ax x, ay y from s union all select e, ri, q, bx, by_ from s), jo as (select min(q) a, max(q) b from en group by e, ri, x, y having count(*) = 2 and min(q) <> max(q)), bo as (select a, b from jo union select b, a from jo), "
+    "re(q, c) as (select q, q from s union select b, c from re join bo on q = a), ch as (select q, min(c) c from re group by 1) select cast(e as varchar) element_nr, cast(ri as integer) ri, cast(count(distinct c) as integer) parts, cast(10 * count(*) as double) length from s join ch using (q) group by 1, 2"
+)
+def edge_merged_lines(spark, sf_dir):
+    """Edges of the grid's steps, aggregated: the parts that are left once their sections are merged, and their length."""
+    steps = _grid(spark, sf_dir).select(F.expr("cast(id % 23 as string)").alias("element_nr"), F.expr("cast(id % 2 as int)").alias("ri"), F.col("id").alias("seq"), F.lit(10.0).alias("length"), "geom")
+    e = edges.aggregate_edges(steps, geom="geom")
+    return e.select("element_nr", "ri", F.size("geom").alias("parts"), G.length(F.col("geom")).alias("length"))
+
+
 @query("select count(*) segments, count(*) filter (b is not null and e is not null) \"both\", count(*) filter ((b is null) <> (e is null)) one, count(*) filter (b is null and e is null) \"none\" from (select case when o_orderkey % 3 > 0 then o_orderkey end b, case when o_custkey % 4 > 0 then o_custkey end e from orders)")
 def node_coverage(spark, sf_dir):
     return graph.node_coverage(read(spark, sf_dir, "orders").selectExpr("if(o_orderkey % 3 > 0, o_orderkey, null) b", "if(o_custkey % 4 > 0, o_custkey, null) e"), "b", "e")
