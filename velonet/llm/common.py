@@ -47,7 +47,8 @@ def text_node(text_col: str = "text") -> F.Column:
 def keep_first(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """docs with one row of each group: the one with the least doc_id (null after all), then the least text node.
 
-    rows: doc_id, node, component of every row. Only ids and nodes of rows that stay cross the join with the texts."""
+    rows: doc_id, node, component of every row. Only ids and nodes of rows that stay cross the join with the texts. Of other columns'
+    names, only __id and __node are this operator's own."""
     named = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.col("node").alias("__node"), "component")
     counted = named.groupBy("component", "__id", "__node").agg(F.count("*").alias("copies"))
     stay = written(counted.groupBy("component").agg(F.min(F.struct("__id", "__node", "copies")).alias("r")).select("r.*"), "stay")

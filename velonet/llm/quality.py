@@ -6,7 +6,8 @@ marks and the like, in tenths). It gives the expected grade and, for selection,
 
 It is fitted on at most SAMPLE labelled documents, by their ids' hash; scores cover every row where it is, without a
 shuffle. Defined cases: null and empty texts have only shape features; unlabelled rows are scored alike; repeated rows give
-a row each; with no labels every weight is zero; an empty table gives an empty result.
+a row each; very long texts are read whole, in slices of rows by size; of several labels of an id the least counts; with no labels
+every weight is zero; other columns, whatever their names, aren't read; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -142,7 +142,7 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", rules: tuple[Rule, ...] = RU
     """docs with every found span of `text` replaced by the mask and n_chars brought up to date; nothing else changes.
 
     The spans are scan_with_ledger()'s, each distinct content scanned once; only findings that aren't empty are joined to docs,
-    on the content's hash. mask must not match a rule."""
+    on the content's hash. mask must not match a rule. Of other columns' names, only __blob and __spans are this operator's own."""
     found = scan_with_ledger(docs, ledger_path, rules)
     spans = written(found.where(F.size("spans") > 0).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")).dropDuplicates(["__blob"]), "findings")
     joined = docs.withColumn("__blob", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).join(spans, "__blob", "left").select(*docs.columns, "__spans")
