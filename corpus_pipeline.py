@@ -1,4 +1,10 @@
-"""A corpus pipeline of five of the text operators. Each stage's rows are written as Parquet and read again by the next."""
+"""A corpus pipeline of five of the text operators. Each stage's rows are written as Parquet and read again by the next.
+
+Defined cases: a null or empty text is a text without words: never toxic by its words, contaminated or secret; all such texts are alike, so
+one stays of them; it is packed as its end token alone. Null ids are ids like any other, after all others where the least is
+kept. Repeated rows are near copies: one stays. Very long texts are read whole, and only packing cuts them, into pieces. Of groups
+that tie, the least id stays, then the least hash of the text. Other columns pass all stages but the last, whatever their names, if these don't
+begin with two underscores. Without documents, labels or benchmark items no stage fails: the result is empty, or nothing is rejected."""
 
 from __future__ import annotations
 
