@@ -10,8 +10,9 @@ A bucket of at most SMALL texts gives all its pairs; in a larger one each text m
 its least candidate is verified first; of the other pairs only those whose ends are still apart. Large buckets whose texts are still apart
 then are compared whole, the exact way for what pairs with the least leave out: a unit holds their shingle sets, counts what texts of different
 components share by one matrix product, and gives an edge for components that it joins, never its pairs. A bucket past a unit's size is
-cut into parts by text, and every two parts are a unit: so a crowd of texts that lie about the bound, joined by no link, costs the
-comparisons that it has pairs, spread over tasks. Pairs whose sizes alone keep them under LEAST are left out.
+cut into parts by text: each part of all texts meets each part of those outside the bucket's largest component. So a group of copies with a
+few stragglers is sent about once, and a crowd of texts that lie about the bound, joined by no link, costs the comparisons that it has
+pairs, spread over tasks. Pairs whose sizes alone keep them under LEAST are left out.
 
 Defined cases: texts that are equal as bytes are one node; repeated rows and null ids are rows like any other, and one row stays
 of each group: the one with the least id (null after all), then the least hash of its text. Very long texts are hashed whole; a unit
@@ -36,7 +37,7 @@ from velonet.operators.scratch import discard, written
 SHINGLE, LEAST, BANDS, ROWS = 5, 0.8, 24, 4
 SMALL = 64
 #: Texts, and shingles of all, that a unit of two parts holds.
-UNIT_TEXTS, UNIT_SHINGLES = 2048, 1 << 20
+UNIT_TEXTS, UNIT_SHINGLES = 2048, 1 << 19
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FACTORS = np.random.default_rng(42).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -106,7 +107,8 @@ def candidates(of: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def joined_components(table: pa.Table) -> pa.Table:
-    """(a, b): components of a unit's texts (component, s) that similar texts join. Exact: all pairs of different components."""
+    """(a, b): components of a unit's texts (component, other, s) that similar texts join. Exact: all pairs of texts that are `other` and
+    any texts of different components."""
     component, code = np.unique(table["component"].to_numpy(), return_inverse=True)
     sets = [np.frombuffer(v.as_buffer(), "<u8") for v in table["s"]]
     n, m = np.array([len(s) for s in sets], np.int64), len(sets)
@@ -130,9 +132,9 @@ def joined_components(table: pa.Table) -> pa.Table:
         return c
 
     edges = []
-    others = np.flatnonzero(code != np.bincount(code).argmax())  # of any two components one isn't the largest
-    for s in range(0, len(others), 64):
-        own = others[s : s + 64]
+    others = np.flatnonzero(table["other"].to_numpy(zero_copy_only=False))
+    for s in range(0, len(others), 16):
+        own = others[s : s + 16]
         own_ids = ids[np.concatenate([np.arange(start[r], start[r + 1]) for r in own])]
         size = begin[own_ids + 1] - begin[own_ids]
         place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(begin[own_ids], size)
@@ -152,11 +154,18 @@ def joined_components(table: pa.Table) -> pa.Table:
 def crowd_links(of: DataFrame, sets: DataFrame, label: DataFrame) -> DataFrame:
     """(a, b): components (label: id, component) that similar texts of one large bucket join."""
     large = of.where(F.col("texts") > SMALL).join(label.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    apart = large.groupBy("k", "key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("k", "key")
-    parts = F.ceil(F.greatest(F.col("texts") * 2 / UNIT_TEXTS, F.col("shingles") * 2 / UNIT_SHINGLES)).cast("int")
-    rows = large.join(apart, ["k", "key"]).withColumn("parts", F.when((F.col("texts") <= UNIT_TEXTS) & (F.col("shingles") <= UNIT_SHINGLES), 1).otherwise(parts))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    units = rows.select("k", "key", F.least("part", "to").alias("one"), F.greatest("part", "to").alias("two"), "node", "component").join(sets, "node")
+    held = large.groupBy("k", "key", "component").agg(F.count("*").alias("n"), F.sum("n").alias("size"))
+    main = F.max_by("component", F.struct("n", "component")).alias("main")
+    apart = held.groupBy("k", "key").agg(main, F.max_by("size", F.struct("n", "component")).alias("size"), F.max("n").alias("n"), F.count("*").alias("components")).where("components > 1").drop("components")
+    rows = large.drop("n").join(apart, ["k", "key"]).withColumn("other", F.col("component") != F.col("main"))
+    parts = lambda texts, size: F.ceil(F.greatest(texts * 2 / UNIT_TEXTS, size * 2 / UNIT_SHINGLES, F.lit(1.0))).cast("int")
+    rows = rows.withColumns({"all_parts": parts(F.col("texts"), F.col("shingles")), "other_parts": parts(F.col("texts") - F.col("n"), F.col("shingles") - F.col("size"))})
+    place = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    # a part of all texts meets a part of those outside the largest component: of two components one is outside
+    every = rows.select("k", "key", place(F.col("all_parts")).alias("one"), each("other_parts").alias("two"), "node", "component", F.lit(False).alias("other"))
+    others = rows.where("other").select("k", "key", each("all_parts").alias("one"), place(F.col("other_parts")).alias("two"), "node", "component", "other")
+    units = every.unionByName(others).groupBy("k", "key", "one", "two", "node", "component").agg(F.bool_or("other").alias("other")).join(sets, "node")
     return units.groupBy("k", "key", "one", "two").applyInArrow(joined_components, "a long, b long")
 
 
