@@ -151,7 +151,8 @@ def merge_runs(runs: DataFrame, edge: str = "element_nr", attributes: tuple[str,
     )
     g = g.select(edge, "_first.*", "_at", G.join_pieces(F.col("_pieces")).alias("geom"))
     # written: the merge reads the rows more than once
-    g = written(g.withColumn("Länge", whole(G.length(F.col("geom")))), "merged")
+    # in micrometres first, so that the order of addition can't decide a half
+    g = written(g.withColumn("Länge", whole(F.round(G.length(F.col("geom")), 6))), "merged")
     return merge_parts(g, [edge, "_at"], pieces=True)
 
 

@@ -284,7 +284,7 @@ gm as (select net_id, ri, fuehr, verkehrsri, breite, cast(count(*) filter (step
 
 
 @query(
-    f"with {_ROWS}, {_PARTS} select cast(net_id as varchar) element_nr, ri, m.fuehr, m.verkehrsri, case when m.fuehr = '{MIXED}' then null else m.breite end breite, cast(round_even(len, 0) as integer) \"Länge\", parts, vertices, sx, sy, ex, ey "
+    f"with {_ROWS}, {_PARTS} select cast(net_id as varchar) element_nr, ri, m.fuehr, m.verkehrsri, case when m.fuehr = '{MIXED}' then null else m.breite end breite, cast(round_even(round(len, 6), 0) as integer) \"Länge\", parts, vertices, sx, sy, ex, ey "
     "from m join gm using (net_id, ri) where m.fuehr is not distinct from gm.fuehr and m.verkehrsri is not distinct from gm.verkehrsri and m.breite is not distinct from gm.breite"
 )
 def snap_merge_segments(spark, sf_dir):
