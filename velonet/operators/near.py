@@ -75,10 +75,11 @@ def cut_lines(df: DataFrame, key: str, step: float, equal: bool = True, geom: st
 
 
 def middle_pieces(cut: DataFrame, key: str) -> DataFrame:
-    """Of cut_lines() the middle piece of each line: that with as many before as after it, or one more."""
-    order = F.struct("part", "piece")
-    n = F.size("all")
-    return cut.groupBy(key).agg(F.array_sort(F.collect_list(order)).alias("all")).select(key, F.get("all", F.floor(n / 2).cast("int")).alias("m")).select(key, "m.*").join(cut, [key, "part", "piece"])
+    """Of cut_lines() the middle piece of each line: that with as many before as after it, or one more. A window, which spills: pieces
+    are sorted by line once, and neither collected nor joined to themselves."""
+    line = Window.partitionBy(key)
+    d = cut.withColumns({"_at": F.row_number().over(line.orderBy("part", "piece")) - 1, "_n": F.count("*").over(line)})
+    return d.where(F.expr("_at = _n div 2")).drop("_at", "_n")
 
 
 def explode_cells(df: DataFrame, box: tuple[Column, Column, Column, Column], c: float) -> DataFrame:
