@@ -21,3 +21,15 @@ def test_middle_pieces_without_join(spark):
     assert "Join" not in plan(m)
 
 
+def test_share_at_the_bound_as_in_sql(spark, tmp_path):
+    """Ways of which exactly 80 % lie beside the network: three squares of the larger orders table, where a product with the length rounded."""
+    duckdb = pytest.importorskip("duckdb")
+    from velonet.plans.queries import QUERIES, SQL
+
+    spark.read.parquet("/root/testdata/sf0.1/orders.parquet").where("o_orderkey div 1000 in (85, 95, 121)").write.parquet(f"{tmp_path}/orders.parquet")
+    got = sorted(r.id for r in QUERIES["match_without_parallel"](spark, str(tmp_path)).collect())
+    c = duckdb.connect()
+    c.sql(f"create view orders as select * from '{tmp_path}/orders.parquet/*.parquet'")
+    assert got == sorted(r[0] for r in c.sql(SQL["match_without_parallel"]).fetchall())
+
+

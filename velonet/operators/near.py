@@ -150,13 +150,13 @@ def coverage(target: DataFrame, network: DataFrame, r: float, key: str, flat: bo
     """(key, fraction): the share of each target line within r of the network; 0 for empty lines and far ones.
 
     The network's own keys don't matter: it is one buffer. Intervals are dealt by line once; in the order of their beginnings, each
-    adds what reaches past all before it on its piece."""
-    t = explode_pieces(target, key, geom, 10 * cell_size(r))
-    n = explode_pieces(network.select(F.lit(0).alias("_net"), F.col(geom).alias("geom")), "_net", "geom", 10 * cell_size(r)).drop("_net", "part", "piece", "sub")
+    adds what reaches past all before it on its piece. Parameters are
+    weighted by the piece's share of its line, which is exactly 1 for a straight one: no rounding comes between them and a bound."""
     long = G.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))
-    found = covered_intervals(t, n, r, flat).select(key, "part", "piece", "sub", long.alias("long"), "lo", "hi").repartition(key)
+    t = explode_pieces(target.select(key, geom, G.length(F.col(geom)).alias("total")), key, geom, 10 * cell_size(r), ("total",)).withColumn("share", long / F.nullif("total", F.lit(0.0)))
+    n = explode_pieces(network.select(F.lit(0).alias("_net"), F.col(geom).alias("geom")), "_net", "geom", 10 * cell_size(r)).drop("_net", "part", "piece", "sub")
+    found = covered_intervals(t, n, r, flat).select(key, "part", "piece", "sub", "share", "lo", "hi").repartition(key)
     before = Window.partitionBy(key, "part", "piece", "sub").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
     past = F.col("hi") - F.greatest("lo", F.max("hi").over(before))
-    part = found.withColumn("more", F.greatest(past, F.lit(0.0)) * F.col("long")).groupBy(key).agg(F.sum("more").alias("covered"))
-    total = target.select(key, G.length(F.col(geom)).alias("total"))
-    return total.join(part, key, "left").select(key, F.least(F.lit(1.0), F.coalesce(F.col("covered") / F.nullif("total", F.lit(0.0)), F.lit(0.0))).alias("fraction"))
+    part = found.withColumn("more", F.greatest(past, F.lit(0.0)) * F.col("share")).groupBy(key).agg(F.sum("more").alias("covered"))
+    return target.select(key).join(part, key, "left").select(key, F.least(F.lit(1.0), F.coalesce("covered", F.lit(0.0))).alias("fraction"))
