@@ -33,3 +33,25 @@ def test_share_at_the_bound_as_in_sql(spark, tmp_path):
     assert got == sorted(r[0] for r in c.sql(SQL["match_without_parallel"]).fetchall())
 
 
+def test_nearest_of_dense_nodes_meets_few(spark, monkeypatch):
+    """Nodes on every third place of a square, a radius over all of it, far points, points at one place: the same nearest, few pairs."""
+    r = random.Random(5)
+    nodes = [(k, float(k % 30 * 3), float(k // 30 * 3)) for k in range(900)] + [(900 + k, 30.0, 30.0) for k in range(5)]
+    points = [(k, r.uniform(-40, 130), r.uniform(-40, 130)) for k in range(400)] + [(400 + k, 45.0, 45.0) for k in range(50)] + [(450, None, 1.0), (451, 500.0, 500.0)]
+    pairs = []
+    plain = near.near_points
+
+    def counted(*a):
+        df = plain(*a)
+        pairs.append(df.count())
+        return df
+
+    monkeypatch.setattr(near, "near_points", counted)
+    p, n = spark.createDataFrame(points, "id long, x double, y double"), spark.createDataFrame(nodes, "node long, x double, y double")
+    got = {x.id: (x.node, x.distance) for x in near.nearest_point(p, n, 60.0, "id", "node").collect()}
+    for k, x, y in points:
+        best = min(((((x - a) ** 2 + (y - b) ** 2) ** 0.5, j) for j, a, b in nodes), default=None) if x is not None else (1e9, None)
+        assert got[k][0] == (best[1] if best[0] <= 60 else None) and (best[0] > 60 or abs(got[k][1] - best[0]) < 1e-9)
+    assert len(got) == len(points) and sum(pairs) < 401 * 100  # all pairs within the radius are some 200,000
+
+

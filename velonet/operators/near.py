@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from velonet.functions import geometry as G
+from velonet.operators.scratch import written
 
 #: Shares at or above this count as whole.
 WHOLE = 1 - 1e-9
@@ -124,10 +125,33 @@ def near_points(left: DataFrame, right: DataFrame, r: float, left_key: str, righ
 
 
 def nearest_point(points: DataFrame, nodes: DataFrame, r: float, key: str, node_key: str, order: str | None = None) -> DataFrame:
-    """(key, node_key, distance): the nearest node within r of each point; the least `order` (or key) wins ties; null if none."""
-    near = near_points(points, nodes.withColumn("_node", F.struct(F.col(order or node_key).alias("o"), F.col(node_key).alias("k"))), r, key, "_node")
-    best = near.groupBy(key).agg(F.min(F.struct("distance", "_node")).alias("b"))
-    return points.select(key).join(best, key, "left").select(key, F.col("b._node.k").alias(node_key), F.col("b.distance").alias("distance"))
+    """(key, node_key, distance): the nearest node within r of each point; the least `order` (or key) wins ties; null if none.
+
+    Places are searched, not points: equal ones once. Where nodes are dense the search begins within a part of r (a cell then holds about
+    two nodes) and goes on, four times as far a round, with the places that found none: the nearest within any radius is the nearest."""
+    name = F.struct(F.col(order or node_key).alias("o"), F.col(node_key).alias("k"))
+    sites = nodes.where("x is not null and y is not null").groupBy("x", "y").agg(F.min(name).alias("_node"))
+    fine = _halvings(sites, r)
+    place = F.struct("x", "y").alias("_place")
+    rest = points.where("x is not null and y is not null").select("x", "y").distinct().select("x", "y", place)
+    if fine:
+        sites, rest = written(sites, "sites"), written(rest, "places")
+    best = None
+    for n in sorted({*range(fine, 0, -2), 0}, reverse=True):
+        found = near_points(rest, sites, r / 2**n, "_place", "_node").groupBy("_place").agg(F.min(F.struct("distance", "_node")).alias("b"))
+        if n:
+            found = written(found, "nearest")
+            rest = rest.join(found, "_place", "left_anti")
+        best = found if best is None else best.unionByName(found)
+    best = best.select(F.col("_place.x").alias("x"), F.col("_place.y").alias("y"), "b")
+    return points.select(key, "x", "y").join(best, ["x", "y"], "left").select(key, F.col("b._node.k").alias(node_key), F.col("b.distance").alias("distance"))
+
+
+def _halvings(sites: DataFrame, r: float, few: float = 2.0, most: int = 16) -> int:
+    """How often r is halved until cells of that size that aren't empty hold no more than `few` sites on average. One row to the driver."""
+    cell = lambda n: F.approx_count_distinct(F.struct(*[F.floor(F.col(v) / max(r / 2**n, 1e-9)) for v in "xy"])).alias(f"_{n}")
+    n = sites.agg(F.count("*").alias("n"), *[cell(k) for k in range(most + 1)]).first()
+    return next((k for k in range(most + 1) if n["n"] <= few * n[f"_{k}"]), most)
 
 
 def covered_intervals(target: DataFrame, network: DataFrame, r: float, flat: bool = False) -> DataFrame:
