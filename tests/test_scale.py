@@ -55,3 +55,20 @@ def test_nearest_of_dense_nodes_meets_few(spark, monkeypatch):
     assert len(got) == len(points) and sum(pairs) < 401 * 100  # all pairs within the radius are some 200,000
 
 
+def test_distance_of_pieces_compiles(spark):
+    """The JVM doesn't compile methods above 8000 bytes; values are those of the plain formula."""
+    from velonet.functions import geometry as G
+
+    r = random.Random(6)
+    rows = [tuple(float(r.randint(0, 60)) for _ in range(4)) for _ in range(60)]
+    df = spark.createDataFrame([(k, *v) for k, v in enumerate(rows) if v[:2] != v[2:]], "id long, ax double, ay double, bx double, by double")
+    pairs = near.near_pieces(df, df, 9.0)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else there is no code before a run
+    try:
+        assert 0 < max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", plan(pairs, "codegen")))) < 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    cols = [tuple(F.col(f"{p}_{c}") for c in ("ax", "ay", "bx", "by")) for p in "lr"]
+    every = df.select(*[F.col(c).alias(f"l_{c}") for c in df.columns]).crossJoin(df.select(*[F.col(c).alias(f"r_{c}") for c in df.columns]))
+    want = every.withColumn("d", G.piece_distance(*cols)).where("d <= 9").select("l_id", "r_id", "d")
+    assert sorted(map(tuple, pairs.select("l_id", "r_id", "distance").collect())) == sorted(map(tuple, want.collect()))

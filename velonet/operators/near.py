@@ -101,9 +101,26 @@ def near_pieces(left: DataFrame, right: DataFrame, r: float) -> DataFrame:
     r_ = explode_cells(right, _box(grow=r), c).select("cx", "cy", *[F.col(x).alias(f"r_{x}") for x in right.columns])
     lb, rb = _box("l_"), _box("r_", r)
     here = (F.floor(F.greatest(lb[0], rb[0]) / c) == F.col("cx")) & (F.floor(F.greatest(lb[1], rb[1]) / c) == F.col("cy"))
-    d = G.piece_distance(tuple(F.col(f"l_{x}") for x in ("ax", "ay", "bx", "by")), tuple(F.col(f"r_{x}") for x in ("ax", "ay", "bx", "by")))
     meet = (lb[0] <= rb[2]) & (rb[0] <= lb[2]) & (lb[1] <= rb[3]) & (rb[1] <= lb[3])
-    return l.join(r_, ["cx", "cy"]).where(here & meet).withColumn("distance", d).where(F.col("distance") <= r).drop("cx", "cy")
+    return with_distance(l.join(r_, ["cx", "cy"]).where(here & meet).drop("cx", "cy")).where(F.col("distance") <= r)
+
+
+def with_distance(pairs: DataFrame) -> DataFrame:
+    """Pairs of pieces (l_ax, ..., r_by) with their distance: as functions.geometry.piece_distance(), bit for bit.
+
+    In steps, each an operator with a method of its own in the compiled plan: the JVM only interprets methods above 8000 bytes, and the
+    whole formula in the join's condition is more. An exploded array of one keeps a filter of the distance out of that condition."""
+    c = lambda n: F.col(f"_{n}")
+    put = lambda df, of: df.select("*", *[F.coalesce(v, F.lit(float("nan"))).alias(f"_{n}") for n, v in of.items()])
+    ends = {"a": "l_a", "b": "l_b", "c": "r_a", "d": "r_b"}
+    p = put(pairs, {f"{s}{t}{v}": F.col(f"{ends[t]}{v}") - F.col(f"{ends[s]}{v}") for s, t in ("ab", "cd", "ac", "ad", "bc", "bd") for v in "xy"})
+    dot = lambda s, t: c(f"{s}x") * c(f"{t}x") + c(f"{s}y") * c(f"{t}y")
+    side = lambda s, t: c(f"{s}x") * c(f"{t}y") - c(f"{s}y") * c(f"{t}x")
+    p = put(p, {k: dot(k, k) for k in ("ab", "cd", "ac", "ad", "bc", "bd")} | {f"{s}_{t}": side(s, t) for s, t in (("ab", "ac"), ("ab", "ad"), ("cd", "ac"), ("cd", "bc"))} | {"c": dot("ab", "ac"), "d": dot("ab", "ad"), "a": -dot("cd", "ac"), "b": -dot("cd", "bc")})
+    foot = lambda e, own, near, far, cross: F.when(c(e) <= 0, c(near)).when(c(e) >= c(own), c(far)).otherwise(c(cross) * c(cross) / c(own))
+    least = F.least(foot("a", "cd", "ac", "ad", "cd_ac"), foot("b", "cd", "bc", "bd", "cd_bc"), foot("c", "ab", "ac", "bc", "ab_ac"), foot("d", "ab", "ad", "bd", "ab_ad"))
+    crossing = (c("ab_ac") * c("ab_ad") < 0) & (c("cd_ac") * c("cd_bc") < 0)
+    return p.select(*pairs.columns, F.explode(F.array(F.when(crossing, 0.0).otherwise(F.sqrt(least)))).alias("distance"))
 
 
 def near_join(left: DataFrame, right: DataFrame, r: float, left_key: str, right_key: str, how: str = "inner", geom: str = "geom") -> DataFrame:
