@@ -72,3 +72,16 @@ def test_distance_of_pieces_compiles(spark):
     every = df.select(*[F.col(c).alias(f"l_{c}") for c in df.columns]).crossJoin(df.select(*[F.col(c).alias(f"r_{c}") for c in df.columns]))
     want = every.withColumn("d", G.piece_distance(*cols)).where("d <= 9").select("l_id", "r_id", "d")
     assert sorted(map(tuple, pairs.select("l_id", "r_id", "distance").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_changes_combine_once(spark):
+    """Counts of distinct values would expand each row once a column before the shuffle."""
+    from velonet.operators import edges
+
+    rows = [("1", 0, 40.0, "a", None, "x"), ("1", 0, 40.0, "b", "k", "x"), ("1", 0, 5.0, "b", "k", "y"), ("2", 1, 40.0, None, "k", None), ("2", 1, 40.0, None, "k", "z"), ("3", 0, 40.0, None, None, "q"), ("3", 0, 31.0, None, None, "r")]
+    df = spark.createDataFrame(rows, "element_nr string, ri int, length double, pflicht string, nutz_beschr string, fuehr string")
+    out = edges.significant_changes(df, least=30.0)
+    assert {r.element_nr: r.attributes for r in out.collect()} == {"1": "pflicht", "3": "fuehr"}
+    assert "Expand" not in plan(out)
+
+

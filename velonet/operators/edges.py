@@ -99,15 +99,19 @@ def aggregate_edges(df: DataFrame, keys: Sequence[str] = ("element_nr", "ri"), l
 
 def significant_changes(df: DataFrame, keys: Sequence[str] = ("element_nr", "ri"), length: str = "length", least: float = SIGNIFICANT_LENGTH, width: float = SIGNIFICANT_WIDTH) -> DataFrame:
     """(keys, attributes): what changes along an edge more than it should: any change of pflicht and nutz_beschr; on sections of
-    `least` metres or more also of fuehr, ofm, protek and trennstreifen, and a range of widths above `width`."""
+    `least` metres or more also of fuehr, ofm, protek and trennstreifen, and a range of widths above `width`.
+
+    Two values differ if the least and the greatest do: one combining aggregation, where counts of distinct values would deal out
+    each row once a column."""
+    differ = lambda c: F.coalesce(F.min(c) < F.max(c), F.lit(False))
     long = F.col(length) >= least
     some = {}
     for c in ("pflicht", "nutz_beschr"):
         if c in df.columns:
-            some[c] = F.count_distinct(c) > 1
+            some[c] = differ(F.col(c))
     for c in ("fuehr", "ofm", "protek", "trennstreifen"):
         if c in df.columns:
-            some[c] = F.count_distinct(F.when(long, F.col(c))) > 1
+            some[c] = differ(F.when(long, F.col(c)))
     if "breite" in df.columns:
         w = F.when(long, F.col("breite").try_cast("double"))
         some["breite"] = F.coalesce(F.round(F.max(w) - F.min(w), 9) > width, F.lit(False))
