@@ -85,3 +85,15 @@ def test_changes_combine_once(spark):
     assert "Expand" not in plan(out)
 
 
+def test_expectations_leave_other_edges_at_the_scan(spark):
+    """Only edges that a case names reach the window: its semi-join stands below it in the plan."""
+    from velonet.plans.queries import QUERIES
+
+    text = QUERIES["expect_summary"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    lines = text.splitlines()
+    at = [i for i, x in enumerate(lines) if x.lstrip(" :+-").startswith("Window")]
+    assert all(any("LeftSemi" in y and depth(y) > depth(lines[i]) for y in lines[i + 1 :]) for i in at)
+    assert text.count("LeftSemi") >= 2
+
+

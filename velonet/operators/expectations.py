@@ -25,19 +25,26 @@ def expectations(rows: Sequence[dict], spark) -> DataFrame:
     return spark.createDataFrame(out, SCHEMA)
 
 
-def long_form(features: DataFrame, key: str, row_key: str, columns: Sequence[str], geom: str | None = None) -> DataFrame:
-    """(element_nr, row, attribute, actual, length) of features."""
-    length = G.length(F.col(geom)) if geom else F.lit(None).cast("double")
+def long_form(features: DataFrame, key: str, row_key: str, columns: Sequence[str], geom: str | None = None, measured: str | None = None) -> DataFrame:
+    """(element_nr, row, attribute, actual, length) of features; measured: a column that has their lengths."""
+    length = F.col(measured).cast("double") if measured else G.length(F.col(geom)) if geom else F.lit(None).cast("double")
     pairs = F.array(*[F.struct(F.lit(c).alias("attribute"), F.col(f"`{c}`").cast("string").alias("actual")) for c in columns])
     return features.select(F.col(key).cast("string").alias("element_nr"), F.col(row_key).alias("row"), length.alias("length"), F.explode(pairs).alias("p")).select("element_nr", "row", "length", "p.*")
 
 
+def named(features: DataFrame, key: str, expected: DataFrame) -> DataFrame:
+    """Features of edges that a case names. Spark doesn't move it below a window: apply it to what the window reads."""
+    return features.join(F.broadcast(expected.select(F.col("element_nr").alias("_nr"))), F.col(key).cast("string") == F.col("_nr"), "left_semi")
+
+
 def check(expected: DataFrame, features: DataFrame) -> DataFrame:
     """(case, mode, features, attributes_ok, geometry_ok, passed). features: long_form() of the checked table.
 
     An absent or null attribute fails. all_features: every feature of the edge must satisfy all. any_segment: some feature
-    satisfies the attributes, and some, perhaps another, the length. An edge without features fails. Other modes give no row."""
+    satisfies the attributes, and some, perhaps another, the length. An edge without features fails. Other modes give no row.
+    Features of edges that no case names are left out before anything is dealt."""
     e = expected.where(F.col("mode").isin(*MODES))
+    features = named(features, "element_nr", e)
     ids = features.select("element_nr", "row", "length").distinct().alias("f")
     base = e.select("case", "element_nr", "mode", "attribute", "expected", "min_length").join(ids, "element_nr", "left")
     j = base.join(features.select("element_nr", "row", "attribute", "actual"), ["element_nr", "row", "attribute"], "left")

@@ -346,9 +346,14 @@ _CASES = [
 ]
 
 
-def _segments_long(spark, sf_dir):
-    s = segments(spark, sf_dir).withColumn("row", F.concat_ws("-", "element_nr", "seq"))
-    return expectations.long_form(s, "element_nr", "row", ["fuehr", "pflicht", "breite", "trennstreifen"]).drop("length").join(s.select(F.col("row"), "length"), "row")
+def _segments_long(spark, sf_dir, expected):
+    s = segments(spark, sf_dir, lambda rows, edge: expectations.named(rows, edge, expected)).withColumn("row", F.concat_ws("-", "element_nr", "seq"))
+    return expectations.long_form(s, "element_nr", "row", ["fuehr", "pflicht", "breite", "trennstreifen"], measured="length")
+
+
+def _checked(spark, sf_dir):
+    cases = expectations.expectations(_CASES, spark)
+    return expectations.check(cases, _segments_long(spark, sf_dir, cases))
 
 
 _EXPECT = f"""with {SEGMENTS}, e("case", nr, mode, f, p, b, t, ml) as (values ('a', 7, 'all_features', 'N', true, null, null, null), ('b', 7, 'any_segment', 'N', true, null, null, 10.0), ('c', 11, 'any_segment', null, null, 0.02, null, 49.5), ('d', -1, 'all_features', 'A', null, null, null, null), ('e', 20, 'all_features', null, null, null, 'nein', null)),
@@ -358,7 +363,7 @@ select "case", mode, count(seq) features, case mode when 'all_features' then boo
 
 def _expect(mode):
     def run(spark, sf_dir):
-        return expectations.check(expectations.expectations(_CASES, spark), _segments_long(spark, sf_dir)).where(F.col("mode") == mode)
+        return _checked(spark, sf_dir).where(F.col("mode") == mode)
 
     return run
 
@@ -370,4 +375,4 @@ for _m in ("all_features", "any_segment"):
 
 @query(f"select count(*) cases, count(*) filter (passed) passed, count(*) filter (not passed) failed from ({_EXPECT})")
 def expect_summary(spark, sf_dir):
-    return expectations.summary(expectations.check(expectations.expectations(_CASES, spark), _segments_long(spark, sf_dir)))
+    return expectations.summary(_checked(spark, sf_dir))

@@ -4,6 +4,8 @@ Each binding is a Spark DataFrame and, as SQL, a common table expression of the
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +36,9 @@ STRIPS, LIMITS = ["nein", "ja", "entfällt"], ["Physische Sperre", DAMAGE, "kein
 _ORDER = "partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
 
 
-def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "lineitem").select(
+def segments(spark: SparkSession, sf_dir: str, of: Callable[[DataFrame, str], DataFrame] = lambda rows, edge: rows) -> DataFrame:
+    """of: which edges' rows are read (rows, name of the edge's column); a filter above wouldn't pass the window of the places."""
+    return of(read(spark, sf_dir, "lineitem"), "l_orderkey").select(
         F.col("l_orderkey").alias("element_nr"),
         (F.col("l_linenumber") % 2).alias("ri"),
         F.expr(f"row_number() over ({_ORDER})").alias("seq"),
