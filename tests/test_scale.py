@@ -97,3 +97,14 @@ def test_expectations_leave_other_edges_at_the_scan(spark):
     assert text.count("LeftSemi") >= 2
 
 
+def test_edge_numbers_fold_no_other_attribute(spark):
+    """Running numbers need the edges and their lengths: one shuffle of attributes less, the same rows as the whole aggregation's."""
+    from velonet.operators import edges
+    from velonet.plans.attribute_queries import _lengths
+    from velonet.plans.bindings import segments
+
+    sf = "/root/testdata/sf0.001"
+    few = _lengths(spark, sf)
+    assert "Join" not in plan(few)
+    whole = edges.aggregate_edges(segments(spark, sf), geom=None).select(*few.columns)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, whole.collect()))

@@ -60,15 +60,20 @@ def edge_significant_changes(spark, sf_dir):
     return edges.significant_changes(segments(spark, sf_dir), least=30.0, width=0.05)
 
 
+def _lengths(spark, sf_dir):
+    """Edges with their lengths alone: no other attribute is folded, joined or written for numbers."""
+    return edges.aggregate_edges(segments(spark, sf_dir), longest=(), geom=None).select(*KEYS, "Länge")
+
+
 @query(f"with {_AGG}, n as (select *, cast(row_number() over (partition by ri order by element_nr) as integer) afid from agg) select afid, element_nr, ri, \"Länge\" from n")
 def edge_afid_by_direction(spark, sf_dir):
-    parts = edges.split_directions(edges.finish(edges.aggregate_edges(segments(spark, sf_dir), geom=None)))
+    parts = edges.split_directions(edges.finish(_lengths(spark, sf_dir)))
     return parts["hinrichtung"].unionByName(parts["gegenrichtung"]).select("afid", *KEYS, "Länge")
 
 
 @query(f"with {_AGG} select cast(row_number() over (order by element_nr, ri) as integer) afid, element_nr, ri from agg")
 def edge_afid(spark, sf_dir):
-    return edges.finish(edges.aggregate_edges(segments(spark, sf_dir), geom=None)).select("afid", *KEYS)
+    return edges.finish(_lengths(spark, sf_dir)).select("afid", *KEYS)
 
 
 @query(f"with {_AGG} select case ri when 0 then 'hinrichtung' when 1 then 'gegenrichtung' end direction, count(*) n, cast(sum(\"Länge\") as bigint) total from agg where ri in (0, 1) group by 1")
