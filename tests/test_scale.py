@@ -108,3 +108,24 @@ def test_edge_numbers_fold_no_other_attribute(spark):
     assert "Join" not in plan(few)
     whole = edges.aggregate_edges(segments(spark, sf), geom=None).select(*few.columns)
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_parts_that_meet_nowhere_are_merged_already(spark, monkeypatch):
+    """Only rows in which two ends meet go to the merge: parts apart (all segments of a straight edge that others interrupt) stay as they are."""
+    from velonet.operators import merge
+
+    apart, meet = [[(0.0, 0.0), (1.0, 0.0)], [(2.0, 0.0), (3.0, 0.0)]], [[(1.0, 0.0), (0.0, 0.0)], [(1.0, 0.0), (2.0, 0.0)]]
+    rows = [(1, apart), (2, meet), (3, [*apart, [(9.0, 9.0)]]), (4, apart[:1]), (5, None), (6, [*apart, [(5.0, 5.0), (3.0, 0.0)]])]
+    df = spark.createDataFrame(rows, "id long, geom array<array<struct<x:double,y:double>>>")
+    seen, plain = [], merge.merge_groups
+
+    def counted(lines, key, by):
+        seen.extend(r.id for r in lines.collect())
+        return plain(lines, key, by)
+
+    monkeypatch.setattr(merge, "merge_groups", counted)
+    for pieces in (False, True):
+        got = {r.id: r.geom and [[tuple(p) for p in line] for line in r.geom] for r in merge.merge_parts(df, ["id"], pieces=pieces).collect()}
+        assert got == {1: apart, 2: [[(2.0, 0.0), (1.0, 0.0), (0.0, 0.0)]], 3: apart, 4: apart[:1], 5: None, 6: [apart[0], [(2.0, 0.0), (3.0, 0.0), (5.0, 5.0)]]}
+        assert sorted(seen) == [2, 3, 6]
+        seen.clear()

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from velonet.functions.geometry import GEOM
 from velonet.functions.text import whole
 from velonet.operators.merge import merge_parts
-from velonet.operators.scratch import written
 from velonet.operators.sets import number_rows
 
 # Fixed values ---------------------------------------------------------------------------------------------------------
@@ -71,7 +70,7 @@ def aggregate_edges(df: DataFrame, keys: Sequence[str] = ("element_nr", "ri"), l
     first = F.min_by(F.struct(*[F.col(f"`{c}`") for c in carried]), F.col(seq)).alias("_first")
     aggs = [F.count("*").alias("_n"), first, F.min(seq).alias("_seq"), F.sum(length).alias("_length"), *[special[c](F.col(c)).alias(f"_w_{c}") for c in ruled], *[joined_distinct(F.col(c)).alias(f"_t_{c}") for c in tags]]
     if geom and geom in d.columns:
-        aggs.append(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("at"), F.col(geom).alias("geom")))).alias("_geoms"))
+        aggs.append(F.sort_array(F.collect_list(F.struct(F.col(seq).alias("at"), F.col(geom).alias("geom")))).alias("_geoms"))
     g = d.groupBy(*keys).agg(*aggs)
     if own:
         pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("a"), F.col(c).cast("string").alias("v")) for c in own])).alias("x")
@@ -90,10 +89,9 @@ def aggregate_edges(df: DataFrame, keys: Sequence[str] = ("element_nr", "ri"), l
     out = [*[F.col(k) for k in keys], *[column(c) for c in carried], whole(F.col("_length")).alias("Länge")]
     if geom and geom in d.columns:
         lines = F.filter(F.flatten(F.transform("_geoms", lambda x: F.coalesce(x["geom"], F.array().cast(GEOM)))), lambda p: F.size(p) > 1)
-        # a single section keeps its geometry; written, as the merge reads the rows more than once
-        joined = written(g.select(*out, F.when(F.col("_n") == 1, F.get("_geoms", 0)["geom"]).otherwise(lines).alias(geom), (F.col("_n") > 1).alias("_many")), "edges")
-        merged = merge_parts(joined.where("_many"), keys, geom)
-        return joined.where("not _many").unionByName(merged).drop("_many")
+        # a single section keeps its geometry
+        joined = g.select(*out, F.when(F.col("_n") == 1, F.get("_geoms", 0)["geom"]).otherwise(lines).alias(geom), (F.col("_n") > 1).alias("_many"))
+        return merge_parts(joined, keys, geom, where=F.col("_many")).drop("_many")
     return g.select(*out)
 
 

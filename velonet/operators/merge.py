@@ -79,7 +79,7 @@ def chains(lines: DataFrame, key: str, by: tuple[str, ...] = (), geom: str = "ge
     members = partners.join(found, "place", "left").withColumn("component", F.coalesce("component", "place"))
     ordered = written(members.repartition("component").sortWithinPartitions("component", "place").mapInArrow(_walk, "component long, place long, position int, turned boolean"), "order")
     own = numbered.join(ordered, "place").select("component", F.struct("position", F.when(F.col("turned"), F.reverse("line")).otherwise(F.col("line")).alias("line")).alias("m"))
-    whole = F.transform(F.array_sort("members"), lambda m, i: F.when(i == 0, m["line"]).otherwise(F.slice(m["line"], 2, F.size(m["line"]))))
+    whole = F.transform(F.sort_array("members"), lambda m, i: F.when(i == 0, m["line"]).otherwise(F.slice(m["line"], 2, F.size(m["line"]))))
     joined = own.groupBy(F.col("component").alias("place")).agg(F.collect_list("m").alias("members")).select("place", F.flatten(whole).alias("line"))
     alone = numbered.join(ordered, "place", "left_anti").select("place", "line")
     names = [F.col(f"p.g.{c}").alias(c) for c in by]
@@ -90,13 +90,13 @@ def merge_network(network: DataFrame, key: str = "id", noded: bool = True) -> Da
     """(key, geom): the network's lines as chains between junctions. Several parts of one line may stay apart under its key.
 
     noded: lines are cut first where they cross or touch, and what lies twice stays once."""
-    parts = chains(node_lines(network, key) if noded else network, key).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("part", "line"))).alias("parts"))
+    parts = chains(node_lines(network, key) if noded else network, key).groupBy(key).agg(F.sort_array(F.collect_list(F.struct("part", "line"))).alias("parts"))
     return parts.select(key, F.transform("parts", lambda p: p["line"]).cast(G.GEOM).alias("geom"))
 
 
 def merge_groups(lines: DataFrame, key: str, by: tuple[str, ...]) -> DataFrame:
     """(*by, geom): the merged lines of each group, a part for each chain, in the order of their least members."""
-    parts = chains(lines, key, by).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(key, "part", "line"))).alias("parts"))
+    parts = chains(lines, key, by).groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(key, "part", "line"))).alias("parts"))
     return parts.select(*by, F.transform("parts", lambda p: p["line"]).cast(G.GEOM).alias("geom"))
 
 
@@ -104,20 +104,24 @@ def _place(p: Column) -> Column:
     return F.xxhash64(p["x"] + 0.0, p["y"] + 0.0)
 
 
-def merge_parts(rows: DataFrame, ids: Sequence[str], geom: str = "geom", pieces: bool = False) -> DataFrame:
-    """rows with the parts of each geometry joined wherever exactly two ends meet. ids name a row; rows should be written, since
-    they are read more than once.
+def merge_parts(rows: DataFrame, ids: Sequence[str], geom: str = "geom", pieces: bool = False, where: Column | None = None) -> DataFrame:
+    """rows (those of `where`, if given) with the parts of each geometry joined wherever exactly two ends meet. ids name a row.
 
     Parts are lines with two ends; or else (pieces) runs of straight pieces, which have an end at each vertex: a run then is cut
-    where it meets itself or another's end. Geometries of one part that doesn't meet itself are merged already."""
+    where it meets itself or another's end. Geometries of one part that doesn't meet itself are merged already, and so are those whose
+    parts all end at places of their own. Rows are written once, with what says whether they need it."""
     g = F.col(geom)
     within = F.flatten(F.transform(g, lambda p: F.transform(F.slice(p, 2, F.greatest(F.size(p) - 2, F.lit(0))), _place)))
     ends = F.flatten(F.transform(g, lambda p: F.array(_place(F.get(p, 0)), _place(F.try_element_at(p, F.lit(-1))))))
     touch = (F.size(F.array_distinct(within)) < F.size(within)) | F.arrays_overlap(within, ends) if pieces else F.lit(False)
-    marked = rows.withColumn("_touch", F.coalesce(touch, F.lit(False))).withColumn("_open", F.coalesce((F.size(geom) > 1) | F.col("_touch"), F.lit(False)))
+    # an end that is met by another, or a part without two vertices, which goes
+    met = (F.size(F.array_distinct(ends)) < F.size(ends)) | F.exists(g, lambda p: F.coalesce(F.size(p), F.lit(0)) < 2)
+    some = F.lit(True) if where is None else where
+    marked = rows.withColumn("_touch", F.coalesce(some & touch, F.lit(False)))
+    marked = written(marked.withColumn("_open", F.col("_touch") | F.coalesce(some & (F.size(geom) > 1) & met, F.lit(False))), "merged")
     open_ = marked.where("_open")
     if open_.isEmpty():
-        return rows
+        return marked.select(*rows.columns)
     single = F.transform(G.pieces(g), lambda q: F.array(G.point(q["ax"], q["ay"]), G.point(q["bx"], q["by"])))
     lines = open_.select(*ids, F.lit(0).alias("_line"), F.when(F.col("_touch"), single).otherwise(g).cast(G.GEOM).alias(geom))
     merged = merge_groups(lines, "_line", tuple(ids)).withColumnRenamed(geom, "_merged")

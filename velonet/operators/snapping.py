@@ -29,7 +29,7 @@ CATEGORY_PRIORITY = {"sharedBusLaneBikeWithBus": 3, "sharedBusLaneBusWithBike":
 
 
 #: Rises with each change of how segments are cut: segments kept by older code aren't read.
-SEGMENTS_VERSION = 1
+SEGMENTS_VERSION = 2
 
 
 @dataclass(frozen=True)
@@ -147,13 +147,11 @@ def merge_runs(runs: DataFrame, edge: str = "element_nr", attributes: tuple[str,
     g = d.groupBy(edge, *[f"_k_{c}" for c in own]).agg(
         F.min_by(F.struct(*[F.col(f"`{c}`") for c in keep]), F.col("at")).alias("_first"),
         F.min("at").alias("_at"),
-        F.array_sort(F.flatten(F.collect_list("pieces"))).alias("_pieces"),
+        F.sort_array(F.flatten(F.collect_list("pieces"))).alias("_pieces"),
     )
     g = g.select(edge, "_first.*", "_at", G.join_pieces(F.col("_pieces")).alias("geom"))
-    # written: the merge reads the rows more than once
     # in micrometres first, so that the order of addition can't decide a half
-    g = written(g.withColumn("Länge", whole(F.round(G.length(F.col("geom")), 6))), "merged")
-    return merge_parts(g, [edge, "_at"], pieces=True)
+    return merge_parts(g.withColumn("Länge", whole(F.round(G.length(F.col("geom")), 6))), [edge, "_at"], pieces=True)
 
 
 def finish(merged: DataFrame) -> DataFrame:
@@ -171,8 +169,8 @@ def snap(network: DataFrame, ways: DataFrame, edge_key: str = "seq", way_key: st
     if missing:
         raise ValueError(f"the network lacks {missing}")
     o = opts or SnapOptions()
-    # written: the candidates and the rows both read them
-    cut = segmentize(network, edge_key, o.step).withColumn("_seg", F.struct(edge_key, "part", "piece"))
+    # written: the candidates and the rows both read them, and each segment's number, which sorts faster than its place
+    cut = segmentize(network, edge_key, o.step).withColumn("_seg", F.monotonically_increasing_id())
     seg = kept(cut, "segments", SEGMENTS_VERSION, edge_key, o.step, inputs=[network.select(edge_key, "geom")]) if o.reuse else written(cut, "segments")
     chosen = variants(seg, best_ways(seg, ways, "_seg", way_key, o), "_seg", way_key)
     # attributes belong to ways: the segments of an edge that one way has are one row before any is joined
