@@ -143,3 +143,15 @@ def test_walks_write_each_segment_once(spark, tmp_path, monkeypatch):
     assert got == {"a": ([0, 1, 2, 3, 4, 5], "n"), "b": ([1, 2, 3, 4, 5], "n"), "c": ([], None)}
     rounds = spark.read.parquet(str(next(tmp_path.glob("explore-*"))))
     assert rounds.selectExpr("max(size(segments))").first()[0] == 1 and rounds.selectExpr("sum(size(segments))").first()[0] == 11
+
+
+def test_noding_deals_its_pairs_out(spark):
+    """A small file's pieces meet in cells that are shuffled, not in the file's few tasks beside a broadcast; a piece's cuts are one group without joins."""
+    from velonet.operators import noding
+
+    lines = [(1, [[(0.0, 0.0), (30.0, 0.0)]]), (2, [[(10.0, -5.0), (10.0, 5.0)]]), (3, [[(20.0, 0.0), (20.0, 9.0)], [(0.0, 0.0), (10.0, 0.0)]])]
+    df = spark.createDataFrame(lines, "id long, geom array<array<struct<x:double,y:double>>>")
+    p = noding.noded_pieces(df, "id")
+    tree = p._jdf.queryExecution().executedPlan().toString()
+    assert tree.count("SortMergeJoin") == 1 and "BroadcastHashJoin" not in tree
+    assert sorted((r.id, r.part, r.ax, r.ay, r.bx, r.by) for r in p.collect()) == [(1, 0, 0.0, 0.0, 10.0, 0.0), (1, 0, 10.0, 0.0, 20.0, 0.0), (1, 0, 20.0, 0.0, 30.0, 0.0), (2, 0, 10.0, -5.0, 10.0, 0.0), (2, 0, 10.0, 0.0, 10.0, 5.0), (3, 0, 20.0, 0.0, 20.0, 9.0)]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from velonet.functions import geometry as G
 from velonet.operators.graph import least_reachable
-from velonet.operators.noding import node_lines
+from velonet.operators.noding import noded_pieces
 from velonet.operators.scratch import written
 
 
@@ -64,8 +64,13 @@ def chains(lines: DataFrame, key: str, by: tuple[str, ...] = (), geom: str = "ge
     that cross elsewhere don't meet: see node_lines(). Members are put in order by their ends' partners alone, many chains a batch;
     lines join them afterwards. A chain becomes one row, so its members, the lines between two junctions, are one group.
     """
+    return _joined(lines.select(*by, key, F.posexplode(geom).alias("part", "line")).where(F.size("line") > 1), key, by)
+
+
+def _joined(rows: DataFrame, key: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """chains() of rows (*by, key, part, line), part being of any type that sorts."""
     g = F.struct(*by) if by else F.lit(0)
-    rows = lines.select(g.alias("g"), F.col(key).alias("k"), F.posexplode(geom).alias("part", "line")).where(F.size("line") > 1)
+    rows = rows.select(g.alias("g"), F.col(key).alias("k"), "part", "line")
     # sorted in ranges, so that places rise with (g, k, part)
     numbered = written(rows.select(F.struct("g", "k", "part").alias("p"), "line").orderBy("p").withColumn("place", F.monotonically_increasing_id()), "places")
     end = lambda side, v: F.struct(F.col("place").alias("place"), F.lit(side).alias("side"), v["x"].alias("x"), v["y"].alias("y"))
@@ -78,22 +83,28 @@ def chains(lines: DataFrame, key: str, by: tuple[str, ...] = (), geom: str = "ge
     found = least_reachable(joints.select(F.col("hi.place").alias("a"), F.col("lo.place").alias("b"))).withColumnRenamed("id", "place")
     members = partners.join(found, "place", "left").withColumn("component", F.coalesce("component", "place"))
     ordered = written(members.repartition("component").sortWithinPartitions("component", "place").mapInArrow(_walk, "component long, place long, position int, turned boolean"), "order")
-    own = numbered.join(ordered, "place").select("component", F.struct("position", F.when(F.col("turned"), F.reverse("line")).otherwise(F.col("line")).alias("line")).alias("m"))
+    # a line that meets none is a chain of its own; the least member, whose place names the chain, has the least p
+    m = F.struct(F.coalesce("position", F.lit(0)).alias("position"), F.when(F.col("turned"), F.reverse("line")).otherwise(F.col("line")).alias("line"))
+    own = numbered.join(ordered, "place", "left").select(F.coalesce("component", "place").alias("component"), "p", m.alias("m"))
     whole = F.transform(F.sort_array("members"), lambda m, i: F.when(i == 0, m["line"]).otherwise(F.slice(m["line"], 2, F.size(m["line"]))))
-    joined = own.groupBy(F.col("component").alias("place")).agg(F.collect_list("m").alias("members")).select("place", F.flatten(whole).alias("line"))
-    alone = numbered.join(ordered, "place", "left_anti").select("place", "line")
-    names = [F.col(f"p.g.{c}").alias(c) for c in by]
-    return alone.unionByName(joined).join(numbered.select("place", "p"), "place").select(*names, F.col("p.k").alias(key), F.col("p.part").alias("part"), "line")
+    joined = own.groupBy("component").agg(F.min("p").alias("p"), F.collect_list("m").alias("members"))
+    return joined.select(*[F.col(f"p.g.{c}").alias(c) for c in by], F.col("p.k").alias(key), F.col("p.part").alias("part"), F.flatten(whole).alias("line"))
 
 
 def merge_network(network: DataFrame, key: str = "id", noded: bool = True) -> DataFrame:
     """(key, geom): the network's lines as chains between junctions. Several parts of one line may stay apart under its key.
 
     noded: lines are cut first where they cross or touch, and what lies twice stays once."""
-    parts = chains(node_lines(network, key) if noded else network, key).groupBy(key).agg(F.sort_array(F.collect_list(F.struct("part", "line"))).alias("parts"))
+    parts = (_joined(_pieces(network, key), key) if noded else chains(network, key)).groupBy(key).agg(F.sort_array(F.collect_list(F.struct("part", "line"))).alias("parts"))
     return parts.select(key, F.transform("parts", lambda p: p["line"]).cast(G.GEOM).alias("geom"))
 
 
+def _pieces(network: DataFrame, key: str) -> DataFrame:
+    """(key, part, line) of noded_pieces(), each a line in the place that it has in its own: no line is put together to be taken apart."""
+    line = F.array(G.point(F.col("ax"), F.col("ay")), G.point(F.col("bx"), F.col("by")))
+    return noded_pieces(network, key).select(key, F.struct("part", "piece", "sub").alias("part"), line.alias("line"))
+
+
 def merge_groups(lines: DataFrame, key: str, by: tuple[str, ...]) -> DataFrame:
     """(*by, geom): the merged lines of each group, a part for each chain, in the order of their least members."""
     parts = chains(lines, key, by).groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(key, "part", "line"))).alias("parts"))

@@ -94,15 +94,18 @@ def _box(prefix: str = "", grow: float = 0.0) -> tuple[Column, Column, Column, C
     return F.least(c("ax"), c("bx")) - grow, F.least(c("ay"), c("by")) - grow, F.greatest(c("ax"), c("bx")) + grow, F.greatest(c("ay"), c("by")) + grow
 
 
-def near_pieces(left: DataFrame, right: DataFrame, r: float) -> DataFrame:
-    """Pairs of pieces within r of each other, once each: all columns of left (prefix l_) and right (prefix r_), and distance."""
+def near_pieces(left: DataFrame, right: DataFrame, r: float, also: Column | None = None) -> DataFrame:
+    """Pairs of pieces within r of each other, once each: all columns of left (prefix l_) and right (prefix r_), and distance.
+
+    also: what else a pair must be. It is asked of pairs whose boxes meet; a filter above would come first, for every pair of a cell."""
     c = cell_size(r)
     l = explode_cells(left, _box(), c).select("cx", "cy", *[F.col(x).alias(f"l_{x}") for x in left.columns])
     r_ = explode_cells(right, _box(grow=r), c).select("cx", "cy", *[F.col(x).alias(f"r_{x}") for x in right.columns])
     lb, rb = _box("l_"), _box("r_", r)
     here = (F.floor(F.greatest(lb[0], rb[0]) / c) == F.col("cx")) & (F.floor(F.greatest(lb[1], rb[1]) / c) == F.col("cy"))
     meet = (lb[0] <= rb[2]) & (rb[0] <= lb[2]) & (lb[1] <= rb[3]) & (rb[1] <= lb[3])
-    return with_distance(l.join(r_, ["cx", "cy"]).where(here & meet).drop("cx", "cy")).where(F.col("distance") <= r)
+    good = here & meet if also is None else here & meet & also
+    return with_distance(l.join(r_, ["cx", "cy"]).where(good).drop("cx", "cy")).where(F.col("distance") <= r)
 
 
 def with_distance(pairs: DataFrame) -> DataFrame:
