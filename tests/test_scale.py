@@ -155,3 +155,17 @@ def test_noding_deals_its_pairs_out(spark):
     tree = p._jdf.queryExecution().executedPlan().toString()
     assert tree.count("SortMergeJoin") == 1 and "BroadcastHashJoin" not in tree
     assert sorted((r.id, r.part, r.ax, r.ay, r.bx, r.by) for r in p.collect()) == [(1, 0, 0.0, 0.0, 10.0, 0.0), (1, 0, 10.0, 0.0, 20.0, 0.0), (1, 0, 20.0, 0.0, 30.0, 0.0), (2, 0, 10.0, -5.0, 10.0, 0.0), (2, 0, 10.0, 0.0, 10.0, 5.0), (3, 0, 20.0, 0.0, 20.0, 9.0)]
+
+
+def test_crossing_ways_are_dealt_out_once(spark):
+    """Pairs of a way and a chord are shuffled by way alone: for their runs, for the longest one and for its angle."""
+    from velonet.operators import matching
+
+    geom = "id long, geom array<array<struct<x:double,y:double>>>"
+    net = spark.createDataFrame([(1, [[(0.0, 0.0), (60.0, 0.0)]])], geom)
+    ways = spark.createDataFrame([(1, [[(30.0, -10.0), (30.0, 0.0), (30.0, 10.0)]]), (2, [[(10.0, 3.0), (40.0, 4.0)]])], geom)
+    found = matching.crossing_short_ways(ways, net, "id")
+    tree = found._jdf.queryExecution().executedPlan().toString()
+    assert tree.count("SortMergeJoin") + tree.count("BroadcastHashJoin") == 1
+    assert tree.count("Exchange hashpartitioning(") == tree.count("Exchange hashpartitioning(cx") + 1
+    assert {r.id: (round(r.angle, 6), r.removed) for r in found.collect()} == {1: (90.0, True), 2: (1.909152, False)}

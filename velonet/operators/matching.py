@@ -64,22 +64,24 @@ def crossing_short_ways(ways: DataFrame, network: DataFrame, key: str, opts: Mat
     The network is cut into short chords; those within the radius of a way are ordered by edge and place and joined where
     one ends at the next one's start. The longest such run (in micrometres; of equal ones that of the least edge) is what the way is
     compared with (folded difference of bearings, 0 to 90). A way is removed if it differs by more than max_angle, unless the chords turn by more than `spread` and one of
-    them runs nearly parallel: a bend."""
+    them runs nearly parallel: a bend. Pairs are dealt out by way once; all that follows is done where they lie."""
     o = opts or MatchOptions()
     net = near.cut_lines(network.select(network_key, "geom").withColumnRenamed(network_key, "edge"), "edge", o.short_step, equal=False).withColumnRenamed("piece", "pos")
-    short = short_ways(ways, o.short)
-    angle = short.select(key, G.bearing_mean(F.col("geom")).alias("own"))
-    pairs = near.near_pieces(near.explode_pieces(short, key).select(key, "ax", "ay", "bx", "by"), net, o.short_buffer)
-    close = pairs.select(F.col(f"l_{key}").alias(key), *[F.col(f"r_{c}").alias(c) for c in ("edge", "part", "pos", "ax", "ay", "bx", "by")]).distinct()
+    short = short_ways(ways, o.short).select(key, "geom", G.bearing_mean(F.col("geom")).alias("own"))
+    # chords are many: the ways' boxes are those that are grown by the radius
+    pairs = near.near_pieces(net, near.explode_pieces(short, key, carry=("own",)).select(key, "own", "ax", "ay", "bx", "by"), o.short_buffer)
+    close = pairs.select(F.col(f"r_{key}").alias(key), F.col("r_own").alias("own"), *[F.col(f"l_{c}").alias(c) for c in ("edge", "part", "pos", "ax", "ay", "bx", "by")]).repartition(key).distinct()
     run = F.col("pos") - F.row_number().over(_window(key))
-    close = close.withColumn("run", run).withColumn("long", G.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))).withColumn("raw", F.degrees(F.atan2(F.col("by") - F.col("ay"), F.col("bx") - F.col("ax"))))
-    first, last = F.min_by(F.struct("ax", "ay"), "pos"), F.max_by(F.struct("bx", "by"), "pos")
-    runs = close.groupBy(key, "edge", "part", "run").agg(F.sum("long").alias("long"), first.alias("a"), last.alias("b"), F.min("raw").alias("least"), F.max("raw").alias("most"), F.collect_list("raw").alias("raws"))
-    per = runs.groupBy(key).agg(F.max_by(F.struct("a", "b"), F.struct(F.round("long", 6), -F.col("edge"), -F.col("part"), -F.col("run"))).alias("m"), F.min("least").alias("least"), F.max("most").alias("most"), F.flatten(F.collect_list("raws")).alias("raws"))
-    j = per.join(angle, key)
-    main = F.degrees(F.atan2(F.col("m.b.by") - F.col("m.a.ay"), F.col("m.b.bx") - F.col("m.a.ax")))
+    raw = F.degrees(F.atan2(F.col("by") - F.col("ay"), F.col("bx") - F.col("ax")))
+    close = close.withColumn("run", run).withColumn("long", G.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))).withColumn("raw", raw)
+    ends = [*[F.min_by(f"a{v}", "pos").alias(f"a{v}") for v in "xy"], *[F.max_by(f"b{v}", "pos").alias(f"b{v}") for v in "xy"]]
+    parallel = F.min(G.fold90(F.col("own") - F.col("raw"))).alias("parallel")
+    runs = close.groupBy(key, "edge", "part", "run").agg(F.sum("long").alias("long"), *ends, F.min("raw").alias("least"), F.max("raw").alias("most"), parallel, F.max("own").alias("own"))
+    longest = F.max_by(F.struct("ax", "ay", "bx", "by"), F.struct(F.round("long", 6), -F.col("edge"), -F.col("part"), -F.col("run"))).alias("m")
+    j = runs.groupBy(key).agg(longest, F.min("least").alias("least"), F.max("most").alias("most"), F.min("parallel").alias("parallel"), F.max("own").alias("own"))
+    main = F.degrees(F.atan2(F.col("m.by") - F.col("m.ay"), F.col("m.bx") - F.col("m.ax")))
     turn = F.col("most") - F.col("least")
-    j = j.withColumn("angle", G.fold90(F.col("own") - main)).withColumn("spread", F.when(turn > 180, 360 - turn).otherwise(turn)).withColumn("parallel", F.array_min(F.transform("raws", lambda a: G.fold90(F.col("own") - a))))
+    j = j.withColumn("angle", G.fold90(F.col("own") - main)).withColumn("spread", F.when(turn > 180, 360 - turn).otherwise(turn))
     bend = (F.col("spread") > o.spread) & (F.col("parallel") < o.parallel)
     return j.select(key, "angle", "spread", "parallel", ((F.col("angle") > o.max_angle) & ~bend).alias("removed"))
 
