@@ -70,10 +70,11 @@ def crossing_short_ways(ways: DataFrame, network: DataFrame, key: str, opts: Mat
     short = short_ways(ways, o.short).select(key, "geom", G.bearing_mean(F.col("geom")).alias("own"))
     # chords are many: the ways' boxes are those that are grown by the radius
     pairs = near.near_pieces(net, near.explode_pieces(short, key, carry=("own",)).select(key, "own", "ax", "ay", "bx", "by"), o.short_buffer)
-    close = pairs.select(F.col(f"r_{key}").alias(key), F.col("r_own").alias("own"), *[F.col(f"l_{c}").alias(c) for c in ("edge", "part", "pos", "ax", "ay", "bx", "by")]).repartition(key).distinct()
-    run = F.col("pos") - F.row_number().over(_window(key))
+    close = pairs.select(F.col(f"r_{key}").alias(key), F.col("r_own").alias("own"), *[F.col(f"l_{c}").alias(c) for c in ("edge", "part", "pos", "ax", "ay", "bx", "by")]).repartition(key)
+    # a chord near several pieces of a way comes several times, side by side: its length counts once
+    run, again = F.col("pos") - F.dense_rank().over(_window(key)), F.coalesce(F.lag("pos").over(_window(key)) == F.col("pos"), F.lit(False))
     raw = F.degrees(F.atan2(F.col("by") - F.col("ay"), F.col("bx") - F.col("ax")))
-    close = close.withColumn("run", run).withColumn("long", G.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay"))).withColumn("raw", raw)
+    close = close.withColumn("run", run).withColumn("long", F.when(again, 0.0).otherwise(G.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")))).withColumn("raw", raw)
     ends = [*[F.min_by(f"a{v}", "pos").alias(f"a{v}") for v in "xy"], *[F.max_by(f"b{v}", "pos").alias(f"b{v}") for v in "xy"]]
     parallel = F.min(G.fold90(F.col("own") - F.col("raw"))).alias("parallel")
     runs = close.groupBy(key, "edge", "part", "run").agg(F.sum("long").alias("long"), *ends, F.min("raw").alias("least"), F.max("raw").alias("most"), parallel, F.max("own").alias("own"))
