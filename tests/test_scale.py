@@ -169,3 +169,38 @@ def test_crossing_ways_are_dealt_out_once(spark):
     assert tree.count("SortMergeJoin") + tree.count("BroadcastHashJoin") == 1
     assert tree.count("Exchange hashpartitioning(") == tree.count("Exchange hashpartitioning(cx") + 1
     assert {r.id: (round(r.angle, 6), r.removed) for r in found.collect()} == {1: (90.0, True), 2: (1.909152, False)}
+
+
+def test_layers_are_judged_in_one_pass(spark, monkeypatch):
+    """The network is cut into chords and dealt out once for all layers, not once a layer; keys that two layers share are told apart, and
+    what the rest of the paths is compared with carries geometry alone."""
+    from velonet.operators import matching
+
+    layer = "seq long, tilda_id string, geom array<array<struct<x:double,y:double>>>, tilda_note string"
+    line = lambda *p: [list(p)]
+    along, across, far = line((10.0, 3.0), (40.0, 3.0)), line((30.0, -10.0), (30.0, 10.0)), line((60.0, 4.0), (90.0, 4.0))
+    rows = {"bikelanes": [(1, "b1", along, "n")], "streets": [(1, "s1", across, "n"), (2, "s2", far, "n")], "paths": [(1, "p1", line((110.0, 5.0), (140.0, 5.0)), "n"), (2, "p2", across, "n")]}
+    layers = {n: spark.createDataFrame(r, layer) for n, r in rows.items()}
+    net = spark.createDataFrame([(1, line((0.0, 0.0), (200.0, 0.0)))], "id long, geom array<array<struct<x:double,y:double>>>")
+    cut, met = [], []
+    plain, plainer = matching.near.cut_lines, matching.without_parallel
+    monkeypatch.setattr(matching.near, "cut_lines", lambda *a, **k: cut.append(1) or plain(*a, **k))
+    monkeypatch.setattr(matching, "without_parallel", lambda w, other, *a: met.append(other.columns) or plainer(w, other, *a))
+    out = matching.match(layers, net)
+    assert len(cut) == 1 and "tilda_note" not in met[-1]
+    assert {n: sorted(r.tilda_id for r in out[n].collect()) for n in rows} == {"bikelanes": ["b1"], "streets": ["s2"], "paths": ["p1"]}
+    assert sorted((r.tilda_id, r.tilda_note) for r in out["matched"].collect()) == [("b1", "n"), ("p1", "n"), ("s2", "n")]
+    assert {r.tilda_id for r in matching.remove_crossing(layers["streets"], layers["streets"], net, "seq", "tilda_id").collect()} == {"s2"}
+
+
+def test_pairs_of_lines_are_dealt_out(spark):
+    """Pieces and chords outnumber their small files: neither side of the cells is broadcast, in coverage and beside crossing ways."""
+    from velonet.operators import matching
+
+    geom = "id long, geom array<array<struct<x:double,y:double>>>"
+    net = spark.createDataFrame([(1, [[(0.0, 0.0), (60.0, 0.0)]])], geom)
+    ways = spark.createDataFrame([(1, [[(30.0, -10.0), (30.0, 10.0)]]), (2, [[(10.0, 3.0), (40.0, 4.0)]])], geom)
+    for df in (near.coverage(ways, net, 5.0, "id"), near.coverage(ways, net, 5.0, "id", flat=True), matching.crossing_short_ways(ways, net, "id")):
+        cells = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "[cx#" in x and "Join" in x]
+        assert len(cells) == 1 and "SortMergeJoin" in cells[0]
+    assert {r.id: round(r.fraction, 6) for r in near.coverage(ways, net, 5.0, "id").collect()} == {1: 0.5, 2: 1.0}

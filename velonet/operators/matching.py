@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from velonet.operators.scratch import written
 from velonet.operators.sets import apply_interventions, combine, id_column, keep_first, without_ids
 from velonet.operators.translate import one_sided_streets
 
+LAYERS = ("bikelanes", "streets", "paths")
+
 
 @dataclass(frozen=True)
 class MatchOptions:
@@ -58,8 +61,9 @@ def short_ways(ways: DataFrame, below: float = 50.0, geom: str = "geom") -> Data
     return ways.where(G.length(F.col(geom)) < below)
 
 
-def crossing_short_ways(ways: DataFrame, network: DataFrame, key: str, opts: MatchOptions | None = None, network_key: str = "id") -> DataFrame:
-    """Short ways near the network, with what decides whether they cross it: (key, angle, spread, parallel, removed).
+def crossing_short_ways(ways: DataFrame, network: DataFrame, key: str, opts: MatchOptions | None = None, network_key: str = "id", by: tuple[str, ...] = ()) -> DataFrame:
+    """Short ways near the network, with what decides whether they cross it: (key, *by, angle, spread, parallel, removed). by: what names
+    a way beside its key, such as the layer.
 
     The network is cut into short chords; those within the radius of a way are ordered by edge and place and joined where
     one ends at the next one's start. The longest such run (in micrometres; of equal ones that of the least edge) is what the way is
@@ -67,35 +71,41 @@ def crossing_short_ways(ways: DataFrame, network: DataFrame, key: str, opts: Mat
     them runs nearly parallel: a bend. Pairs are dealt out by way once; all that follows is done where they lie."""
     o = opts or MatchOptions()
     net = near.cut_lines(network.select(network_key, "geom").withColumnRenamed(network_key, "edge"), "edge", o.short_step, equal=False).withColumnRenamed("piece", "pos")
-    short = short_ways(ways, o.short).select(key, "geom", G.bearing_mean(F.col("geom")).alias("own"))
-    # chords are many: the ways' boxes are those that are grown by the radius
-    pairs = near.near_pieces(net, near.explode_pieces(short, key, carry=("own",)).select(key, "own", "ax", "ay", "bx", "by"), o.short_buffer)
-    close = pairs.select(F.col(f"r_{key}").alias(key), F.col("r_own").alias("own"), *[F.col(f"l_{c}").alias(c) for c in ("edge", "part", "pos", "ax", "ay", "bx", "by")]).repartition(key)
+    keys = [key, *by]
+    short = short_ways(ways, o.short).select(*keys, "geom", G.bearing_mean(F.col("geom")).alias("own"))
+    # chords are many: the ways' boxes are those that are grown by the radius. Nor does the file's size tell how many: a broadcast would
+    # take all of them through the driver
+    pairs = near.near_pieces(net, near.explode_pieces(short, key, carry=(*by, "own")).select(*keys, "own", "ax", "ay", "bx", "by").hint("merge"), o.short_buffer)
+    close = pairs.select(*[F.col(f"r_{c}").alias(c) for c in (*keys, "own")], *[F.col(f"l_{c}").alias(c) for c in ("edge", "part", "pos", "ax", "ay", "bx", "by")]).repartition(*keys)
     # a chord near several pieces of a way comes several times, side by side: its length counts once
-    run, again = F.col("pos") - F.dense_rank().over(_window(key)), F.coalesce(F.lag("pos").over(_window(key)) == F.col("pos"), F.lit(False))
+    run, again = F.col("pos") - F.dense_rank().over(_window(keys)), F.coalesce(F.lag("pos").over(_window(keys)) == F.col("pos"), F.lit(False))
     raw = F.degrees(F.atan2(F.col("by") - F.col("ay"), F.col("bx") - F.col("ax")))
     close = close.withColumn("run", run).withColumn("long", F.when(again, 0.0).otherwise(G.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")))).withColumn("raw", raw)
     ends = [*[F.min_by(f"a{v}", "pos").alias(f"a{v}") for v in "xy"], *[F.max_by(f"b{v}", "pos").alias(f"b{v}") for v in "xy"]]
     parallel = F.min(G.fold90(F.col("own") - F.col("raw"))).alias("parallel")
-    runs = close.groupBy(key, "edge", "part", "run").agg(F.sum("long").alias("long"), *ends, F.min("raw").alias("least"), F.max("raw").alias("most"), parallel, F.max("own").alias("own"))
+    runs = close.groupBy(*keys, "edge", "part", "run").agg(F.sum("long").alias("long"), *ends, F.min("raw").alias("least"), F.max("raw").alias("most"), parallel, F.max("own").alias("own"))
     longest = F.max_by(F.struct("ax", "ay", "bx", "by"), F.struct(F.round("long", 6), -F.col("edge"), -F.col("part"), -F.col("run"))).alias("m")
-    j = runs.groupBy(key).agg(longest, F.min("least").alias("least"), F.max("most").alias("most"), F.min("parallel").alias("parallel"), F.max("own").alias("own"))
+    j = runs.groupBy(*keys).agg(longest, F.min("least").alias("least"), F.max("most").alias("most"), F.min("parallel").alias("parallel"), F.max("own").alias("own"))
     main = F.degrees(F.atan2(F.col("m.by") - F.col("m.ay"), F.col("m.bx") - F.col("m.ax")))
     turn = F.col("most") - F.col("least")
     j = j.withColumn("angle", G.fold90(F.col("own") - main)).withColumn("spread", F.when(turn > 180, 360 - turn).otherwise(turn))
     bend = (F.col("spread") > o.spread) & (F.col("parallel") < o.parallel)
-    return j.select(key, "angle", "spread", "parallel", ((F.col("angle") > o.max_angle) & ~bend).alias("removed"))
+    return j.select(*keys, "angle", "spread", "parallel", ((F.col("angle") > o.max_angle) & ~bend).alias("removed"))
 
 
-def _window(key: str):
-    return Window.partitionBy(key, "edge", "part").orderBy("pos")
+def _window(keys: list[str]):
+    return Window.partitionBy(*keys, "edge", "part").orderBy("pos")
 
 
 def remove_crossing(matched: DataFrame, layer: DataFrame, network: DataFrame, key: str, id_col: str, opts: MatchOptions | None = None) -> DataFrame:
     """Rows of the layer whose id was matched and isn't that of a crossing short way.
 
     Ids decide, so a feature that shares its id with a matched one comes back."""
-    gone = layer.join(crossing_short_ways(layer, network, key, opts).where("removed").select(key), key, "left_semi").select(id_col).distinct()
+    return _remove(matched, layer, crossing_short_ways(layer, network, key, opts).where("removed").select(key), key, id_col)
+
+
+def _remove(matched: DataFrame, layer: DataFrame, crossing: DataFrame, key: str, id_col: str) -> DataFrame:
+    gone = layer.join(crossing, key, "left_semi").select(id_col).distinct()
     ids = matched.select(id_col).distinct().join(gone, id_col, "left_anti")
     return layer.join(ids, id_col, "left_semi")
 
@@ -103,24 +113,27 @@ def remove_crossing(matched: DataFrame, layer: DataFrame, network: DataFrame, ke
 def match(layers: dict[str, DataFrame], network: DataFrame, opts: MatchOptions | None = None, exclude: DataFrame | None = None, include: DataFrame | None = None, key: str = "seq") -> dict[str, DataFrame]:
     """The whole matching stage over translated layers with a unique `key`: a table for each step's result, and 'matched'.
 
-    Short ways are judged by the network's chains between junctions (its lines merged). Each layer's matches are written once to the
+    Short ways of all layers are judged in one pass by the network's chains between junctions (its lines merged): chains are cut into
+    chords and dealt out once, however many layers there are. Each layer's matches are written once to the
     shared folder, as several later steps read them; the rest is lazy."""
     o = opts or MatchOptions()
-    judged = [n for n in layers if n not in o.skip_layers and n not in o.skip_orthogonal]
-    merged = written(merge_network(network), "chains") if judged else None
+    judged = [n for n in LAYERS if n in layers and n not in o.skip_layers and n not in o.skip_orthogonal]
+    if judged:
+        ways = reduce(DataFrame.unionByName, [layers[n].select(key, "geom", F.lit(LAYERS.index(n)).alias("_layer")) for n in judged])
+        crossing = written(crossing_short_ways(ways, written(merge_network(network), "chains"), key, o, by=("_layer",)).where("removed").select("_layer", key), "crossing")
     out: dict[str, DataFrame] = {}
-    for name in ("bikelanes", "streets", "paths"):
+    for at, name in enumerate(LAYERS):
         if name not in layers or name in o.skip_layers:
             continue
         layer = layers[name]
         id_col = id_column(layer, ("tilda_osm_id", "tilda_id"))
         m = within_fraction(layer, network, o.buffers[name], o.min_fraction, key)
-        if name not in o.skip_orthogonal:
-            m = remove_crossing(m, layer, merged, key, id_col, o)
+        if name in judged:
+            m = _remove(m, layer, crossing.where(F.col("_layer") == at).select(key), key, id_col)
         if not o.skip_manual and exclude is not None and include is not None:
             m = apply_interventions(m, layer, exclude, include, id_col)
         out[name] = written(m, name)
-    bikelanes, streets, paths = (out.get(n) for n in ("bikelanes", "streets", "paths"))
+    bikelanes, streets, paths = (out.get(n) for n in LAYERS)
     reduced = None
     if not o.skip_difference_streets and bikelanes is not None and streets is not None:
         reduced = without_parallel(streets, bikelanes, key, o.difference_buffer, o.difference_fraction)
@@ -131,7 +144,9 @@ def match(layers: dict[str, DataFrame], network: DataFrame, opts: MatchOptions |
         out["streets_enhanced"] = reduced
     rest = None
     if not o.skip_difference_paths and paths is not None and (bikelanes is not None or streets is not None):
-        both = combine([(n, t) for n, t in (("bikelanes", bikelanes), ("streets", streets)) if t is not None], id_column(bikelanes if bikelanes is not None else streets, ("tilda_id", "tilda_osm_id")), key)
+        id_col = id_column(bikelanes if bikelanes is not None else streets, ("tilda_id", "tilda_osm_id"))
+        # coverage asks for geometry alone: no other attribute is combined
+        both = combine([(n, t.select(*[c for c in dict.fromkeys((id_col, key, "geom")) if c in t.columns])) for n, t in (("bikelanes", bikelanes), ("streets", streets)) if t is not None], id_col, key)
         rest = without_parallel(paths, both, key, o.difference_buffer, o.difference_fraction)
         out["paths_without_others"] = rest
     final = [("bikelanes", bikelanes), ("streets", streets if o.all_streets or reduced is None else reduced), ("paths", rest)]

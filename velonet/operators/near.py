@@ -179,7 +179,8 @@ def covered_intervals(target: DataFrame, network: DataFrame, r: float, flat: boo
 
     Round caps: a piece's buffer is a capsule, so it covers one interval. Flat caps: the rectangle, and a disc at every vertex
     inside a part, cover one each."""
-    near = near_pieces(target, network, r)
+    # both sides are dealt out by cell: a broadcast of pieces would leave all pairs to the few tasks of a small file
+    near = near_pieces(target, network.hint("merge"), r)
     t, n = (tuple(F.col(f"{p}_{x}") for x in ("ax", "ay", "bx", "by")) for p in "lr")
     first, last, slab = G.disc_interval(t, n[0], n[1], r), G.disc_interval(t, n[2], n[3], r), G.slab_interval(t, n, r)
     own = [F.col(f"l_{c}").alias(c) for c in target.columns]
