@@ -204,3 +204,18 @@ def test_pairs_of_lines_are_dealt_out(spark):
         cells = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "[cx#" in x and "Join" in x]
         assert len(cells) == 1 and "SortMergeJoin" in cells[0]
     assert {r.id: round(r.fraction, 6) for r in near.coverage(ways, net, 5.0, "id").collect()} == {1: 0.5, 2: 1.0}
+
+
+def test_edges_are_dealt_out_by_rows(spark, monkeypatch):
+    """A task's rows don't grow with the table: tasks do. Order and folds find an edge's rows where they lie; only the join deals them again."""
+    from velonet.operators import sets
+    from velonet.plans.queries import QUERIES
+
+    assert sets.dealt(spark.range(1001), "id", 100).rdd.getNumPartitions() == 11 and sets.dealt(spark.range(0), "id").count() == 0
+    whole = sorted(map(repr, QUERIES["edge_aggregate"](spark, "/root/testdata/sf0.001").collect()))
+    monkeypatch.setattr(sets.dealt, "__defaults__", (500,))
+    many = QUERIES["edge_aggregate"](spark, "/root/testdata/sf0.001")
+    tree = many._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"hashpartitioning\(l_orderkey#\d+L, 12\), REPARTITION_BY_NUM", tree)) == 2
+    assert tree.count("Exchange hashpartitioning(") == 2  # so few edges are joined by a broadcast
+    assert sorted(map(repr, many.collect())) == whole

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 
 from velonet.operators.scratch import written
 
+#: What a task of dealt() holds.
+ROWS_A_TASK = 200_000
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row for each key: the first by `order`, which must be total. Rows of a key are combined before the shuffle.
@@ -21,6 +25,12 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return best.select("_row.*")
 
 
+def dealt(df: DataFrame, key: str, rows: int = ROWS_A_TASK) -> DataFrame:
+    """df dealt out by key, about so many rows a task, whose memory then doesn't follow the table's size as it would with a fixed number of
+    shuffle partitions. Windows and aggregations by the key (and more) find their rows together. Counts df once."""
+    return df.repartition(max(1, math.ceil(df.count() / rows)), key)
+
+
 def number_rows(df: DataFrame, order: Sequence[str], name: str, by: Sequence[str] = ()) -> DataFrame:
     """Running numbers from 1, by group. Without a group the rows are sorted in ranges, and each range's numbers go on from
     the one before: no single task sees all rows."""

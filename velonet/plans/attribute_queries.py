@@ -29,7 +29,8 @@ agg as (select g.element_nr, g.ri, l_fuehr.fuehr, l_pflicht.pflicht, breite, tre
 
 @query(f"with {_AGG} select * from agg")
 def edge_aggregate(spark, sf_dir):
-    return edges.aggregate_edges(segments(spark, sf_dir), geom=None)
+    """Rows are dealt out by edge once, for the order of segments and for all that is folded after it."""
+    return edges.aggregate_edges(segments(spark, sf_dir, sets.dealt), geom=None)
 
 
 @query(f"with {SEGMENTS}, {_longest_sql('fuehr')} select * from l_fuehr")
