@@ -193,13 +193,16 @@ def test_layers_are_judged_in_one_pass(spark, monkeypatch):
     assert {r.tilda_id for r in matching.remove_crossing(layers["streets"], layers["streets"], net, "seq", "tilda_id").collect()} == {"s2"}
 
 
-def test_pairs_of_lines_are_dealt_out(spark):
+def test_pairs_of_lines_are_dealt_out(spark, tmp_path):
     """Pieces and chords outnumber their small files: neither side of the cells is broadcast, in coverage and beside crossing ways."""
     from velonet.operators import matching
 
     geom = "id long, geom array<array<struct<x:double,y:double>>>"
     net = spark.createDataFrame([(1, [[(0.0, 0.0), (60.0, 0.0)]])], geom)
     ways = spark.createDataFrame([(1, [[(30.0, -10.0), (30.0, 10.0)]]), (2, [[(10.0, 3.0), (40.0, 4.0)]])], geom)
+    net.write.parquet(f"{tmp_path}/net")
+    ways.write.parquet(f"{tmp_path}/ways")
+    net, ways = spark.read.parquet(f"{tmp_path}/net"), spark.read.parquet(f"{tmp_path}/ways")
     for df in (near.coverage(ways, net, 5.0, "id"), near.coverage(ways, net, 5.0, "id", flat=True), matching.crossing_short_ways(ways, net, "id")):
         cells = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "[cx#" in x and "Join" in x]
         assert len(cells) == 1 and "SortMergeJoin" in cells[0]
