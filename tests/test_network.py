@@ -185,6 +185,48 @@ def test_registered_walk_as_plain(spark):
     assert got == {k: (",".join(map(str, s)), n) for k, (s, n) in want.items()} and any(n for _, n in want.values())
 
 
+def registered_grid(spark, sf):
+    """Lines and nodes of the registered grid's tables."""
+    step = {0: (10, 0), 1: (0, 10)}
+    rows = [(p.p_partkey, p.p_partkey % 40 * 10, p.p_partkey // 40 * 10, step[p.p_size % 2]) for p in spark.read.parquet(f"{sf}/part.parquet").collect()]
+    at = {}
+    for n in sorted(r.s_suppkey for r in spark.read.parquet(f"{sf}/supplier.parquet").collect()):
+        at.setdefault((n * 7 % 41 * 10, n * 11 % 51 * 10), n)
+    return {k: ((x, y), (x + d[0], y + d[1])) for k, x, y, d in rows}, at
+
+
+def test_registered_walk_has_no_limit(spark, tmp_path):
+    """A street of 70 steps to the north with its only node near the south end, and a fork of 65 more: walks of more than 50 segments reach the node."""
+    from velonet.plans.queries import QUERIES
+
+    node = next(s for s in range(1, 2092) if (s * 7 % 41, s * 11 % 51) == (5, 3))
+    parts = [(5 + 40 * y, 1) for y in range(70)] + [(6 + 40 * y, 1) for y in range(80, 145)] + [(7 + 40 * 90, 2)]
+    spark.createDataFrame(parts, "p_partkey long, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(node,)], "s_suppkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    lines, at = registered_grid(spark, str(tmp_path))
+    got = {r.start: (r.segments, r.node) for r in QUERIES["explore_from_open_ends"](spark, str(tmp_path)).collect()}
+    want = {f"{k}:{e}": plain_walk(lines, at, k, p, limit=10**9) for k, ends in lines.items() for e, p in zip("se", ends, strict=True) if p not in at}
+    assert got == {k: (",".join(map(str, s)), n) for k, (s, n) in want.items()}
+    assert want[f"{5 + 40 * 69}:s"] == ([5 + 40 * y for y in range(68, 3, -1)], node) and len(want[f"{6 + 40 * 80}:e"][0]) == 64
+
+
+@pytest.mark.parametrize("steps", [8192, 20])
+def test_walks_without_limit_by_stretches_and_rings(spark, monkeypatch, steps):
+    """All walked in tasks, or those of large stretches ring by ring: the same as the plain walk. Starts at a node, nowhere, and without an own segment."""
+    monkeypatch.setattr(graph, "STEPS_A_STRETCH", steps)
+    monkeypatch.setattr(graph, "WALK_SEGMENTS", 5)
+    r = random.Random(3)
+    lines = {k: ((x := r.randrange(30), y := r.randrange(3)), r.choice([(x + 1, y), (x, y + 1), (x, y)])) for k in range(90)} | {200 + k: ((100 + k, 0), (101 + k, 0)) for k in range(60)}
+    at = {(r.randrange(30), r.randrange(3)): f"n{k}" for k in range(5)}
+    name = lambda p: f"{p[0]},{p[1]}"
+    edges = spark.createDataFrame([(k, name(a), name(b)) for k, (a, b) in lines.items()], "segment long, src string, dst string")
+    starts = [(f"{k}{e}", name(lines[k][e]), k) for k in lines for e in (0, 1)] + [("free", name(lines[200][0]), None), ("nowhere", "x", None), ("null", None, 3)]
+    found = graph.explore(edges, spark.createDataFrame(starts, "start string, at string, own long"), spark.createDataFrame([(name(p), n) for p, n in at.items()], "at string, node string"), None, spark.createDataFrame([(3,), (259,)], "segment long"))
+    want = {f"{k}{e}": plain_walk(lines, at, k, lines[k][e], (3, 259), 10**9) for k in lines for e in (0, 1)}
+    want |= {"free": (list(range(200, 259)), None), "nowhere": ([], None), "null": ([], None)}
+    assert {x.start: (x.segments, x.node) for x in found.collect()} == want
+
+
 def test_clusters_by_cells(spark):
     """Against all pairs; very many points at one place and in one cell give no pairs."""
     r = random.Random(4)

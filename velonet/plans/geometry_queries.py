@@ -417,13 +417,13 @@ def element_numbers(spark, sf_dir):
 
 @query()
 def explore_from_open_ends(spark, sf_dir):
-    """The walk from each end of the grid's steps that has no node, to the first node that it meets; tests compare with a plain walk."""
+    """The whole walk from each end of the grid's steps that has no node, to the first node that it meets; tests compare with a plain walk."""
     place = lambda p: F.concat_ws(",", f"{p}x", f"{p}y")
     e = graph.endpoints(_grid(spark, sf_dir), "id").select("id", place("s").alias("src"), place("e").alias("dst"))
     stops = read(spark, sf_dir, "supplier").selectExpr("concat_ws(',', cast(s_suppkey * 7 % 41 * 10 as double), cast(s_suppkey * 11 % 51 * 10 as double)) at", "s_suppkey node").groupBy("at").agg(F.min("node").alias("node"))
     ends = e.select(F.col("id").alias("own"), F.explode(F.array(F.struct(F.lit("s").alias("end"), F.col("src").alias("at")), F.struct(F.lit("e").alias("end"), F.col("dst").alias("at")))).alias("p"))
     starts = ends.select(F.concat_ws(":", "own", "p.end").alias("start"), "own", "p.at").join(stops, "at", "left_anti")
-    found = graph.explore(e.withColumnRenamed("id", "segment"), starts, stops)
+    found = graph.explore(e.withColumnRenamed("id", "segment"), starts, stops, limit=None)
     return found.select("start", F.array_join(F.col("segments").cast("array<string>"), ",").alias("segments"), "node")
 
 
