@@ -222,3 +222,32 @@ def test_edges_are_dealt_out_by_rows(spark, monkeypatch):
     assert len(re.findall(r"hashpartitioning\(l_orderkey#\d+L, 12\), REPARTITION_BY_NUM", tree)) == 2
     assert tree.count("Exchange hashpartitioning(") == 2  # so few edges are joined by a broadcast
     assert sorted(map(repr, many.collect())) == whole
+
+
+def test_snapping_carries_no_lines(spark, monkeypatch):
+    """Rows are numbered before they have lines, and only rows whose parts meet are written; segments reach the edge as places. Against
+    merge_segments() of all segments: numbers that several edges share, lines of several parts and legs, a loop, edges without a number or a way."""
+    from velonet.operators import merge, scratch, snapping
+
+    tags, numbered, write, number = [], [], scratch.written, snapping.number_rows
+    monkeypatch.setattr(merge, "written", lambda df, tag: tags.append(tag) or write(df, tag))
+    monkeypatch.setattr(snapping, "number_rows", lambda df, *a: numbered.append(df.columns) or number(df, *a))
+    r = random.Random(8)
+    at = lambda: (r.randrange(0, 120) / 2, r.randrange(0, 120) / 2)
+    net = [(k, f"E{k // 3}" if k != 7 else None, f"a{k}", "b", f"S{k}", [[at() for _ in range(r.randrange(1, 4))] for _ in range(r.randrange(1, 3))]) for k in range(24)]
+    net += [(30, "loop", "a", "b", "S", [[(0.0, 0.0), (20.0, 0.0), (20.0, 10.0), (10.0, 10.0), (10.0, 0.0), (10.0, -10.0)]]), (31, "far", "a", "b", "S", [[(900.0, 0.0), (907.0, 0.0)]])]
+    network = spark.createDataFrame(net, "seq int, element_nr string, beginnt_bei_vp string, endet_bei_vp string, strassenname string, geom array<array<struct<x:double,y:double>>>")
+    rows = [(k, [[at(), at()]], r.choice(["Radweg", " Radweg", None]), r.choice(["Einrichtungsverkehr", "Zweirichtungsverkehr"]), r.choice([1.5, 1.52, None]), f"t{k}") for k in range(12)]
+    ways = spark.createDataFrame(rows, "way_id int, geom array<array<struct<x:double,y:double>>>, fuehr string, verkehrsri string, breite double, tilda_id string")
+    o = snapping.SnapOptions(radius=9.0, reuse=False)
+    got = snapping.snap(network, ways, opts=o)
+    assert len(numbered) == 1 and "geom" not in numbered[0] and tags[0] == "open" and "merged" not in tags
+    seg = snapping.segmentize(network, "seq").withColumn("_seg", F.struct("seq", "part", "piece"))
+    chosen = snapping.variants(seg, snapping.best_ways(seg, ways, "_seg", "way_id", o), "_seg", "way_id").drop("_seg", "bearing")
+    full = chosen.join(ways.drop("geom"), "way_id", "left").join(network.drop("geom"), "seq").withColumn("fuehr", F.when(F.col("case") == 1, snapping.NOTHING).otherwise(F.col("fuehr")))
+    want = snapping.merge_segments(full, ["seq", "part", "piece", "ri"])
+    names = ["element_nr", "ri", "fuehr", "verkehrsri", "breite", "tilda_id", "strassenname", "beginnt_bei_vp", "Länge", "geom"]
+    take = lambda df: sorted(map(str, df.select(*names).collect()))
+    assert take(got) == take(want) and got.count() > 30
+    order = [tuple(x) for x in want.select(F.col("_at.seq"), F.col("_at.part"), F.col("_at.piece"), F.col("_at.ri"), "element_nr", "ri").orderBy("_at").collect()]
+    assert [tuple(x) for x in got.orderBy("sfid").select("element_nr", "ri").collect()] == [x[4:] for x in order] and got.where("pflicht is null and Kommentar is null").count() == got.count()

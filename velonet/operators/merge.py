@@ -115,12 +115,13 @@ def _place(p: Column) -> Column:
     return F.xxhash64(p["x"] + 0.0, p["y"] + 0.0)
 
 
-def merge_parts(rows: DataFrame, ids: Sequence[str], geom: str = "geom", pieces: bool = False, where: Column | None = None) -> DataFrame:
+def merge_parts(rows: DataFrame, ids: Sequence[str], geom: str = "geom", pieces: bool = False, where: Column | None = None, once: bool = True) -> DataFrame:
     """rows (those of `where`, if given) with the parts of each geometry joined wherever exactly two ends meet. ids name a row.
 
     Parts are lines with two ends; or else (pieces) runs of straight pieces, which have an end at each vertex: a run then is cut
     where it meets itself or another's end. Geometries of one part that doesn't meet itself are merged already, and so are those whose
-    parts all end at places of their own. Rows are written once, with what says whether they need it."""
+    parts all end at places of their own. Rows are written once, with what says whether they need it; without `once` only those that need it are
+    written, and the others are computed again, as far as they are read."""
     g = F.col(geom)
     within = F.flatten(F.transform(g, lambda p: F.transform(F.slice(p, 2, F.greatest(F.size(p) - 2, F.lit(0))), _place)))
     ends = F.flatten(F.transform(g, lambda p: F.array(_place(F.get(p, 0)), _place(F.try_element_at(p, F.lit(-1))))))
@@ -129,8 +130,10 @@ def merge_parts(rows: DataFrame, ids: Sequence[str], geom: str = "geom", pieces:
     met = (F.size(F.array_distinct(ends)) < F.size(ends)) | F.exists(g, lambda p: F.coalesce(F.size(p), F.lit(0)) < 2)
     some = F.lit(True) if where is None else where
     marked = rows.withColumn("_touch", F.coalesce(some & touch, F.lit(False)))
-    marked = written(marked.withColumn("_open", F.col("_touch") | F.coalesce(some & (F.size(geom) > 1) & met, F.lit(False))), "merged")
-    open_ = marked.where("_open")
+    marked = marked.withColumn("_open", F.col("_touch") | F.coalesce(some & (F.size(geom) > 1) & met, F.lit(False)))
+    if once:
+        marked = written(marked, "merged")
+    open_ = marked.where("_open") if once else written(marked.where("_open"), "open")
     if open_.isEmpty():
         return marked.select(*rows.columns)
     single = F.transform(G.pieces(g), lambda q: F.array(G.point(q["ax"], q["ay"]), G.point(q["bx"], q["by"])))

@@ -38,25 +38,25 @@ def explode_pieces(df: DataFrame, key: str, geom: str = "geom", longest: float =
     return p.select(key, *carry, "p.part", "p.piece", "sub", *ends, ((F.col("p.piece") == 0) & (F.col("sub") == 0)).alias("at_start"), ((F.col("p.piece") == F.get("last", F.col("p.part"))) & (F.col("sub") == F.col("n") - 1)).alias("at_end"))
 
 
-def cut_lines(df: DataFrame, key: str, step: float, equal: bool = True, geom: str = "geom", nearest: bool = False, least: float = 0.0) -> DataFrame:
-    """(key, part, piece, ax, ay, bx, by): each part in straight chords between points of it.
+def cut_lines(df: DataFrame, key: str, step: float, equal: bool = True, geom: str = "geom", nearest: bool = False, least: float = 0.0, carry: Sequence[str] = ()) -> DataFrame:
+    """(key, carry, part, piece, ax, ay, bx, by): each part in straight chords between points of it.
 
     equal: ceil(length / step) chords of equal length along the part (nearest: as many as round(length / step)), one at least; else
     one for every step and a shorter last one, none of length 0. Chords shorter than `least` are left out.
 
     A leg gives the chords that begin on it, so a chord's place is a product, whatever the length of its line; only one that
     goes past its leg's end looks further."""
-    p = df.select(key, F.posexplode(F.col(geom)).alias("part", "line")).where(F.size("line") > 1)
+    p = df.select(key, *carry, F.posexplode(F.col(geom)).alias("part", "line")).where(F.size("line") > 1)
     p = p.withColumn("legs", G._legs(F.col("line"))).withColumn("total", G.part_length(F.col("line")))
     # where each leg begins, and the whole length last
     begins = F.transform(F.sequence(F.lit(0), F.size("legs")), lambda i: G.part_length(F.slice(F.col("line"), 1, i + 1)))
     p = p.withColumn("begins", F.when(F.size("legs") == 1, F.array(F.lit(0.0), F.col("total"))).otherwise(begins))
     many = F.bround(F.col("total") / step) if nearest else F.ceil(F.col("total") / step)
-    p = p.withColumn("n", F.greatest(many, F.lit(1)).cast("int")).select(key, "part", "line", "total", "begins", "n", F.posexplode("legs").alias("leg", "l"))
+    p = p.withColumn("n", F.greatest(many, F.lit(1)).cast("int")).select(key, *carry, "part", "line", "total", "begins", "n", F.posexplode("legs").alias("leg", "l"))
     begin, end = F.get("begins", F.col("leg")), F.get("begins", F.col("leg") + 1)
     rest = F.slice("line", F.col("leg") + 2, F.size("line"))
     last = F.col("leg") == F.size("begins") - 2
-    p = p.select(key, "part", "total", "n", begin.alias("begin"), end.alias("end"), *[F.col(f"l.{e}.{v}").alias(f"{e}{v}") for e in "ab" for v in "xy"], F.when(~last, rest).alias("rest"), last.alias("last"), (F.col("leg") == 0).alias("first"), F.try_element_at("line", F.lit(-1)).alias("goal"))
+    p = p.select(key, *carry, "part", "total", "n", begin.alias("begin"), end.alias("end"), *[F.col(f"l.{e}.{v}").alias(f"{e}{v}") for e in "ab" for v in "xy"], F.when(~last, rest).alias("rest"), last.alias("last"), (F.col("leg") == 0).alias("first"), F.try_element_at("line", F.lit(-1)).alias("goal"))
     at = lambda k: F.col("total") * k / F.col("n") if equal else F.least(k * F.lit(float(step)), F.col("total"))
     number = lambda d: F.ceil(d * F.col("n") / F.nullif("total", F.lit(0.0)) if equal else d / step).cast("int")
     lo = F.when(F.col("first"), 0).otherwise(number(F.col("begin")))
@@ -68,9 +68,9 @@ def cut_lines(df: DataFrame, key: str, step: float, equal: bool = True, geom: st
     here, there = at(F.col("piece")), at(F.col("piece") + 1)
     goal = F.col("piece") + 1 == F.col("n")
     further = F.when(~goal & (there > F.col("end")), G.interpolate(F.col("rest"), there - F.col("end")))
-    p = p.select(key, "part", "piece", "goal", goal.alias("_goal"), *[F.when(F.col("piece") == 0, F.col(f"a{v}")).otherwise(on(here, v)).alias(f"_a{v}") for v in "xy"], *[on(there, v).alias(f"_b{v}") for v in "xy"], further.alias("further"))
+    p = p.select(key, *carry, "part", "piece", "goal", goal.alias("_goal"), *[F.when(F.col("piece") == 0, F.col(f"a{v}")).otherwise(on(here, v)).alias(f"_a{v}") for v in "xy"], *[on(there, v).alias(f"_b{v}") for v in "xy"], further.alias("further"))
     to = lambda v: F.when(F.col("_goal"), F.col(f"goal.{v}")).otherwise(F.coalesce(F.col(f"further.{v}"), F.col(f"_b{v}")))
-    p = p.select(key, "part", "piece", F.col("_ax").alias("ax"), F.col("_ay").alias("ay"), to("x").alias("bx"), to("y").alias("by"))
+    p = p.select(key, *carry, "part", "piece", F.col("_ax").alias("ax"), F.col("_ay").alias("ay"), to("x").alias("bx"), to("y").alias("by"))
     p = p if equal else p.where("ax <> bx or ay <> by")
     return p.where(G.hypot(F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")) >= least) if least else p
 

@@ -97,12 +97,16 @@ def best_ways(segments: DataFrame, ways: DataFrame, seg_key: str, way_key: str,
 
     Best is the most compatible, then the highest priority, then the nearest to the middle, then the least key: a least struct, which
     combines before the one shuffle of pairs."""
-    p = _near(segments, ways, seg_key, way_key, opts or SnapOptions())
-    rank = lambda ri: F.struct(-compatibility(F.col("one_way"), F.col("own"), ri), -F.col("prio"), F.col("mid"), F.col(way_key).alias("way"), F.col("own"))
-    best = p.groupBy(seg_key).agg(F.min(rank(0)).alias("b0"), F.min(rank(1)).alias("b1"), F.min(rank(None)).alias("any"), F.bool_and("single").alias("single"))
+    best = _best(_near(segments, ways, seg_key, way_key, opts or SnapOptions()), seg_key, way_key)
     return best.select(seg_key, *[F.struct(F.col(f"{b}.way"), F.col(f"{b}.own")).alias(b) for b in ("b0", "b1", "any")], "single")
 
 
+def _best(near_rows: DataFrame, seg_key: str, way_key: str, *also: Column) -> DataFrame:
+    """best_ways() of _near(), and what else is asked of a segment's rows. A row without a distance is no candidate; b0, b1 and any are null without one."""
+    rank = lambda ri: F.when(F.col("mid").isNotNull(), F.struct(-compatibility(F.col("one_way"), F.col("own"), ri), -F.col("prio"), F.col("mid"), F.col(way_key).alias("way"), F.col("own")))
+    return near_rows.groupBy(seg_key).agg(F.min(rank(0)).alias("b0"), F.min(rank(1)).alias("b1"), F.min(rank(None)).alias("any"), F.bool_and("single").alias("single"), *also)
+
+
 def compatibility(one_way: Column, own: Column, ri: int | None) -> Column:
     """One-way ways count 10 in their own direction and 0 in the other (or if none is asked for); others 1."""
     hit = F.lit(0) if ri is None else F.when(own == ri, 10).otherwise(0)
@@ -114,21 +118,97 @@ def variants(segments: DataFrame, best: DataFrame, seg_key: str, way_key: str) -
 
     Case 1: no candidate, both directions, no way. Case 2: all candidates are one-way mixed traffic and none is part of a dual
     carriageway: one row, its direction that of the best way. Else (4) both directions, each with its best way."""
+    own = [F.col(c) for c in segments.columns]
+    d = segments.join(best, seg_key, "left")
+    return d.select(*own, F.explode(_rows(d)).alias("v")).select(*own, "v.ri", F.col("v.way").alias(way_key), "v.case")
+
+
+def _rows(best: DataFrame) -> Column:
+    """variants() of one segment: array<struct<ri, way, case>>."""
     kind = best.schema["b0"].dataType["way"].dataType
     row = lambda ri, way, case: F.struct(ri.cast("int").alias("ri"), way.alias("way"), F.lit(case).alias("case"))
     none = F.array(*[row(F.lit(k), F.lit(None).cast(kind), 1) for k in (0, 1)])
-    rows = F.when(F.col("b0").isNull(), none).when(F.col("single"), F.array(row(F.col("any.own"), F.col("any.way"), 2))).otherwise(F.array(row(F.lit(0), F.col("b0.way"), 4), row(F.lit(1), F.col("b1.way"), 4)))
-    own = [F.col(c) for c in segments.columns]
-    return segments.join(best, seg_key, "left").select(*own, F.explode(rows).alias("v")).select(*own, "v.ri", F.col("v.way").alias(way_key), "v.case")
+    return F.when(F.col("b0").isNull(), none).when(F.col("single"), F.array(row(F.col("any.own"), F.col("any.way"), 2))).otherwise(F.array(row(F.lit(0), F.col("b0.way"), 4), row(F.lit(1), F.col("b1.way"), 4)))
+
+
+def way_runs(segments: DataFrame, ways: DataFrame, edge_key: str, way_key: str, opts: SnapOptions | None = None) -> DataFrame:
+    """(edge_key, ri, way_key, case, spans): the segments (_seg, edge_key, part, piece, ...) of an edge that one way has in one direction (variants()), as
+    spans of pieces that follow on: array<struct<edge, part, first, last>>.
+
+    No geometry crosses a shuffle but that of the cells. Each segment's place joins its candidates in their aggregation, so that none goes
+    missing and none is joined back; then segments are dealt out by edge once."""
+    place = F.struct(F.col(edge_key).alias("edge"), "part", "piece").alias("_place")
+    every = _near(segments, ways, "_seg", way_key, opts or SnapOptions()).unionByName(segments.select("_seg", place), allowMissingColumns=True)
+    least = lambda b, *names: F.when(F.col(b).isNotNull(), F.struct(*[F.col(f"{b}.{n}") for n in names])).alias(b)
+    best = _best(every, "_seg", way_key, F.max("_place").alias("_place"))
+    best = best.select(F.col("_place.edge").alias(edge_key), "_place.part", "_place.piece", least("b0", "way"), least("b1", "way"), least("any", "way", "own"), "single").repartition(edge_key)
+    chosen = best.select(edge_key, "part", "piece", F.explode(_rows(best)).alias("v")).select(edge_key, "part", "piece", "v.ri", F.col("v.way").alias(way_key), "v.case")
+    runs = chosen.groupBy(edge_key, "ri", way_key, "case").agg(F.sort_array(F.collect_list(F.struct("part", "piece"))).alias("places"))
+    return runs.select(edge_key, "ri", way_key, "case", _spans(F.col(edge_key), F.col("places")).alias("spans"))
+
+
+def _spans(edge: Column, places: Column) -> Column:
+    """Places (part, piece) of an edge, in order, as array<struct<edge, part, first, last>>."""
 
+    def spans(q: Column) -> Column:
+        follows = lambda i: (F.get(q, i - 1)["part"] == F.get(q, i)["part"]) & (F.get(q, i - 1)["piece"] + 1 == F.get(q, i)["piece"])
+        begins = F.filter(F.sequence(F.lit(0), F.size(q) - 1), lambda i: (i == 0) | ~follows(i))
 
-def attributed(chosen: DataFrame, ways: DataFrame, network: DataFrame, way_key: str, edge_key: str) -> DataFrame:
-    """variants() with the network's own columns and the chosen way's attributes."""
-    carried = [c for c in (*MERGE_ATTRIBUTES, *EXTRA_ATTRIBUTES) if c != "ri"]
-    w = ways.select(F.col(way_key).alias("_way"), *[(F.col(f"`{c}`") if c in ways.columns else F.lit(None).cast("string")).alias(c) for c in carried])
-    e = network.select(edge_key, *[F.col(f"`{c}`") for c in EDGE_ATTRIBUTES if c in network.columns and c != edge_key])
-    out = chosen.withColumnRenamed(way_key, "_way").join(e, edge_key).join(w, "_way", "left").drop("_way")
-    return out.withColumn("fuehr", F.when(F.col("case") == 1, NOTHING).otherwise(F.col("fuehr")))
+        def span(begins: Column) -> Column:
+            last = lambda k: F.coalesce(F.get(begins, k + 1), F.size(q)) - 1
+            return F.transform(begins, lambda s, k: F.struct(edge.alias("edge"), F.get(q, s)["part"].alias("part"), F.get(q, s)["piece"].alias("first"), F.get(q, last(k))["piece"].alias("last")))
+
+        return G.let(begins, span)
+
+    return G.let(places, spans)
+
+
+def attributed(runs: DataFrame, ways: DataFrame, network: DataFrame, way_key: str, edge_key: str) -> DataFrame:
+    """way_runs() of edges with a number: element_nr, ri, spans and the chosen way's attributes, as far as ways have them, and fuehr in any case."""
+    carried = [c for c in _carried() if c in ways.columns]
+    w = ways.select(F.col(way_key).alias("_way"), *[F.col(f"`{c}`") for c in carried])
+    e = network.select(edge_key, "element_nr").where("element_nr is not null")
+    out = runs.withColumnRenamed(way_key, "_way").join(e, edge_key).join(w, "_way", "left")
+    fuehr = F.when(F.col("case") == 1, NOTHING).otherwise(F.col("fuehr") if "fuehr" in carried else F.lit(None).cast("string"))
+    return out.select("element_nr", "ri", "spans", fuehr.alias("fuehr"), *[F.col(f"`{c}`") for c in carried if c != "fuehr"])
+
+
+def _carried() -> list[str]:
+    return [c for c in (*MERGE_ATTRIBUTES, *EXTRA_ATTRIBUTES) if c != "ri"]
+
+
+def merge_spans(runs: DataFrame) -> DataFrame:
+    """One row for all runs (attributed()) of an edge with equal attributes, as merge_segments() compares them: the first run's columns, its
+    place _place and all spans in order. Runs are dealt out by edge as they are; what compares them is made after that."""
+    kinds = dict(runs.dtypes)
+    keep = [c for c in runs.columns if c not in ("element_nr", "spans")]
+    own = [c for c in MERGE_ATTRIBUTES if c in keep]
+    first = F.get("spans", 0)
+    d = runs.repartition("element_nr").withColumns({"_p": F.struct(first["edge"].alias("edge"), first["part"].alias("part"), first["first"].alias("piece"), "ri"), **{f"_k_{c}": merge_key(F.col(f"`{c}`"), kinds[c]) for c in own}})
+    g = d.groupBy("element_nr", *[f"_k_{c}" for c in own]).agg(
+        F.min_by(F.struct(*[F.col(f"`{c}`") for c in keep]), F.col("_p")).alias("_first"),
+        F.min("_p").alias("_place"),
+        F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"),
+    )
+    return g.select("element_nr", "_first.*", "_place", "spans")
+
+
+def with_lines(rows: DataFrame, network: DataFrame, edge_key: str, step: float) -> DataFrame:
+    """rows (element_nr, _place, spans, ...) with the geometry of their spans, its length and the other columns of the first one's edge.
+
+    An edge's lines are cut where its rows are, so the network crosses a shuffle uncut, once."""
+    others = [c for c in EDGE_ATTRIBUTES if c in network.columns and c not in (edge_key, "element_nr")]
+    n = network.where("element_nr is not null").select(edge_key, "element_nr", F.struct(*others).alias("_own"), "geom").repartition("element_nr")
+    cut = cut_lines(n, edge_key, step, carry=("element_nr", "_own"))
+    line = cut.groupBy("element_nr", F.col(edge_key).alias("edge"), "part").agg(F.first("_own").alias("own"), F.sort_array(F.collect_list(F.struct("piece", "ax", "ay", "bx", "by"))).alias("line"))
+    lines = line.groupBy("element_nr").agg(F.collect_list(F.struct("edge", "part", "own", "line")).alias("_lines"))
+    of = lambda test: F.get(F.filter("_lines", test), 0)
+    pieces = F.flatten(F.transform("spans", lambda s: F.slice(of(lambda l: (l["edge"] == s["edge"]) & (l["part"] == s["part"]))["line"], s["first"] + 1, s["last"] - s["first"] + 1)))
+    own = of(lambda l: l["edge"] == F.col("_place.edge"))["own"]
+    # a generator, which no filter above passes: else each use of the geometry would make it anew
+    g = rows.join(lines, "element_nr").select(*rows.columns, F.explode(F.array(F.struct(G.join_pieces(pieces).alias("geom"), own.alias("own")))).alias("_g"))
+    # in micrometres first, so that the order of addition can't decide a half
+    return g.select(*rows.columns, "_g.own.*", F.col("_g.geom").alias("geom")).withColumn("Länge", whole(F.round(G.length(F.col("geom")), 6)))
 
 
 def merge_segments(rows: DataFrame, order: list[str], edge: str = "element_nr", attributes: tuple[str, ...] = MERGE_ATTRIBUTES) -> DataFrame:
@@ -155,9 +235,8 @@ def merge_runs(runs: DataFrame, edge: str = "element_nr", attributes: tuple[str,
 
 
 def finish(merged: DataFrame) -> DataFrame:
-    """Widths of mixed traffic go, running numbers come, columns in their order and others after them."""
+    """Widths of mixed traffic go, columns in their order and others after them."""
     m = merged.withColumn("breite", F.when(F.col("fuehr") == MIXED, None).otherwise(F.col("breite"))) if "breite" in merged.columns else merged
-    m = number_rows(m, ["_at"], "sfid").drop("_at")
     lead = [c for c in (*LEADING, *EXTRA_ATTRIBUTES[1:], "data_source", "edge_source") if c in m.columns]
     rest = [c for c in m.columns if c not in lead and c != "geom"]
     return m.select(*[F.col(f"`{c}`") for c in [*lead, *rest, "geom"]])
@@ -169,15 +248,13 @@ def snap(network: DataFrame, ways: DataFrame, edge_key: str = "seq", way_key: st
     if missing:
         raise ValueError(f"the network lacks {missing}")
     o = opts or SnapOptions()
-    # written: the candidates and the rows both read them, and each segment's number, which sorts faster than its place
+    # written: the candidates and the places both read them, and each segment's number, which sorts faster than its place
     cut = segmentize(network, edge_key, o.step).withColumn("_seg", F.monotonically_increasing_id())
     seg = kept(cut, "segments", SEGMENTS_VERSION, edge_key, o.step, inputs=[network.select(edge_key, "geom")]) if o.reuse else written(cut, "segments")
-    chosen = variants(seg, best_ways(seg, ways, "_seg", way_key, o), "_seg", way_key)
-    # attributes belong to ways: the segments of an edge that one way has are one row before any is joined
-    at = F.struct(edge_key, "part", "piece", "ri").alias("at")
-    runs = chosen.groupBy(edge_key, "ri", way_key, "case").agg(F.min(at).alias("at"), F.collect_list(F.struct(at, "ax", "ay", "bx", "by")).alias("pieces"))
-    merged = merge_runs(attributed(runs, ways, network, way_key, edge_key).drop("case"))
-    return finish(merged.drop(edge_key))
+    # attributes belong to ways: the segments of an edge that one way has are one row before any is joined, and rows are numbered before they have lines
+    rows = number_rows(merge_spans(attributed(way_runs(seg, ways, edge_key, way_key, o), ways, network, way_key, edge_key)), ["_place"], "sfid")
+    merged = merge_parts(with_lines(rows, network, edge_key, o.step), ["sfid"], pieces=True, once=False).drop("_place", "spans")
+    return finish(merged.withColumns({c: F.lit(None).cast("string") for c in _carried() if c not in merged.columns}))
 
 
 def attribute_stats(merged: DataFrame, columns: tuple[str, ...]) -> DataFrame:
