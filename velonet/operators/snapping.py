@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +14,7 @@ from velonet.operators import near
 from velonet.operators.merge import merge_parts
 from velonet.operators.near import cut_lines
 from velonet.operators.scratch import kept, written
-from velonet.operators.sets import number_rows
+from velonet.operators.sets import ROWS_A_TASK, number_rows
 from velonet.operators.translate import MIXED, ONE_WAY
 
 # Fixed values ---------------------------------------------------------------------------------------------------------
@@ -131,17 +132,17 @@ def _rows(best: DataFrame) -> Column:
     return F.when(F.col("b0").isNull(), none).when(F.col("single"), F.array(row(F.col("any.own"), F.col("any.way"), 2))).otherwise(F.array(row(F.lit(0), F.col("b0.way"), 4), row(F.lit(1), F.col("b1.way"), 4)))
 
 
-def way_runs(segments: DataFrame, ways: DataFrame, edge_key: str, way_key: str, opts: SnapOptions | None = None) -> DataFrame:
+def way_runs(segments: DataFrame, ways: DataFrame, edge_key: str, way_key: str, tasks: int, opts: SnapOptions | None = None) -> DataFrame:
     """(edge_key, ri, way_key, case, spans): the segments (_seg, edge_key, part, piece, ...) of an edge that one way has in one direction (variants()), as
     spans of pieces that follow on: array<struct<edge, part, first, last>>.
 
     No geometry crosses a shuffle but that of the cells. Each segment's place joins its candidates in their aggregation, so that none goes
-    missing and none is joined back; then segments are dealt out by edge once."""
+    missing and none is joined back; then segments are dealt out by edge once, to so many tasks."""
     place = F.struct(F.col(edge_key).alias("edge"), "part", "piece").alias("_place")
     every = _near(segments, ways, "_seg", way_key, opts or SnapOptions()).unionByName(segments.select("_seg", place), allowMissingColumns=True)
     least = lambda b, *names: F.when(F.col(b).isNotNull(), F.struct(*[F.col(f"{b}.{n}") for n in names])).alias(b)
     best = _best(every, "_seg", way_key, F.max("_place").alias("_place"))
-    best = best.select(F.col("_place.edge").alias(edge_key), "_place.part", "_place.piece", least("b0", "way"), least("b1", "way"), least("any", "way", "own"), "single").repartition(edge_key)
+    best = best.select(F.col("_place.edge").alias(edge_key), "_place.part", "_place.piece", least("b0", "way"), least("b1", "way"), least("any", "way", "own"), "single").repartition(tasks, edge_key)
     chosen = best.select(edge_key, "part", "piece", F.explode(_rows(best)).alias("v")).select(edge_key, "part", "piece", "v.ri", F.col("v.way").alias(way_key), "v.case")
     runs = chosen.groupBy(edge_key, "ri", way_key, "case").agg(F.sort_array(F.collect_list(F.struct("part", "piece"))).alias("places"))
     return runs.select(edge_key, "ri", way_key, "case", _spans(F.col(edge_key), F.col("places")).alias("spans"))
@@ -177,14 +178,14 @@ def _carried() -> list[str]:
     return [c for c in (*MERGE_ATTRIBUTES, *EXTRA_ATTRIBUTES) if c != "ri"]
 
 
-def merge_spans(runs: DataFrame) -> DataFrame:
+def merge_spans(runs: DataFrame, tasks: int) -> DataFrame:
     """One row for all runs (attributed()) of an edge with equal attributes, as merge_segments() compares them: the first run's columns, its
     place _place and all spans in order. Runs are dealt out by edge as they are; what compares them is made after that."""
     kinds = dict(runs.dtypes)
     keep = [c for c in runs.columns if c not in ("element_nr", "spans")]
     own = [c for c in MERGE_ATTRIBUTES if c in keep]
     first = F.get("spans", 0)
-    d = runs.repartition("element_nr").withColumns({"_p": F.struct(first["edge"].alias("edge"), first["part"].alias("part"), first["first"].alias("piece"), "ri"), **{f"_k_{c}": merge_key(F.col(f"`{c}`"), kinds[c]) for c in own}})
+    d = runs.repartition(tasks, "element_nr").withColumns({"_p": F.struct(first["edge"].alias("edge"), first["part"].alias("part"), first["first"].alias("piece"), "ri"), **{f"_k_{c}": merge_key(F.col(f"`{c}`"), kinds[c]) for c in own}})
     g = d.groupBy("element_nr", *[f"_k_{c}" for c in own]).agg(
         F.min_by(F.struct(*[F.col(f"`{c}`") for c in keep]), F.col("_p")).alias("_first"),
         F.min("_p").alias("_place"),
@@ -193,12 +194,12 @@ def merge_spans(runs: DataFrame) -> DataFrame:
     return g.select("element_nr", "_first.*", "_place", "spans")
 
 
-def with_lines(rows: DataFrame, network: DataFrame, edge_key: str, step: float) -> DataFrame:
+def with_lines(rows: DataFrame, network: DataFrame, edge_key: str, step: float, tasks: int) -> DataFrame:
     """rows (element_nr, _place, spans, ...) with the geometry of their spans, its length and the other columns of the first one's edge.
 
     An edge's lines are cut where its rows are, so the network crosses a shuffle uncut, once."""
     others = [c for c in EDGE_ATTRIBUTES if c in network.columns and c not in (edge_key, "element_nr")]
-    n = network.where("element_nr is not null").select(edge_key, "element_nr", F.struct(*others).alias("_own"), "geom").repartition("element_nr")
+    n = network.where("element_nr is not null").select(edge_key, "element_nr", F.struct(*others).alias("_own"), "geom").repartition(tasks, "element_nr")
     cut = cut_lines(n, edge_key, step, carry=("element_nr", "_own"))
     line = cut.groupBy("element_nr", F.col(edge_key).alias("edge"), "part").agg(F.first("_own").alias("own"), F.sort_array(F.collect_list(F.struct("piece", "ax", "ay", "bx", "by"))).alias("line"))
     lines = line.groupBy("element_nr").agg(F.collect_list(F.struct("edge", "part", "own", "line")).alias("_lines"))
@@ -251,9 +252,12 @@ def snap(network: DataFrame, ways: DataFrame, edge_key: str = "seq", way_key: st
     # written: the candidates and the places both read them, and each segment's number, which sorts faster than its place
     cut = segmentize(network, edge_key, o.step).withColumn("_seg", F.monotonically_increasing_id())
     seg = kept(cut, "segments", SEGMENTS_VERSION, edge_key, o.step, inputs=[network.select(edge_key, "geom")]) if o.reuse else written(cut, "segments")
+    # what a task holds doesn't follow the table's size, so that its sorts needn't spill
+    tasks = max(int(network.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(seg.count() / ROWS_A_TASK))
     # attributes belong to ways: the segments of an edge that one way has are one row before any is joined, and rows are numbered before they have lines
-    rows = number_rows(merge_spans(attributed(way_runs(seg, ways, edge_key, way_key, o), ways, network, way_key, edge_key)), ["_place"], "sfid")
-    merged = merge_parts(with_lines(rows, network, edge_key, o.step), ["sfid"], pieces=True, once=False).drop("_place", "spans")
+    runs = attributed(way_runs(seg, ways, edge_key, way_key, tasks, o), ways, network, way_key, edge_key)
+    rows = number_rows(merge_spans(runs, tasks), ["_place"], "sfid")
+    merged = merge_parts(with_lines(rows, network, edge_key, o.step, tasks), ["sfid"], pieces=True, once=False).drop("_place", "spans")
     return finish(merged.withColumns({c: F.lit(None).cast("string") for c in _carried() if c not in merged.columns}))
 
 
